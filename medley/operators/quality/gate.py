@@ -18,7 +18,7 @@ from medley.operators.skew import ROWS_PER_TASK, lookup
 from medley.operators.windows import count_keys, fingerprint
 from medley.session import materialise
 
-ERROR = "struct<rule:string,check:string,column:string,message:string,priority:string,mail_group:string>"
+ERROR = "struct<rule_no:int,rule:string,check:string,column:string,message:string,priority:string,mail_group:string>"
 
 
 @dataclass(frozen=True)
@@ -74,9 +74,10 @@ class GateResult:
         return report.custom_summary(self.tagged)
 
 
-def _error(rule: Rule, column: str, message: Column | str, priority: Column | str) -> Column:
+def _error(number: int, rule: Rule, column: str, message: Column | str, priority: Column | str) -> Column:
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     return F.struct(
+        F.lit(number).alias("rule_no"),
         F.lit(rule.name).alias("rule"),
         F.lit(rule.kind).alias("check"),
         F.lit(column).cast("string").alias("column"),
@@ -106,14 +107,14 @@ def _mark_duplicates(
     return found.withColumn(out, later).drop("_fp", "_first")
 
 
-def _run_query(df: DataFrame, rule: Rule, views: Mapping[str, DataFrame]) -> DataFrame:
+def _run_query(df: DataFrame, number: int, rule: Rule, views: Mapping[str, DataFrame]) -> DataFrame:
     """[Q10, Q11] A custom query over the data; it adds `processing_status_2` and `priority_status_2`."""
     out = df.sparkSession.sql(str(rule.arg), data=df, **views)
     want = set(df.columns) | {"processing_status_2", "priority_status_2"}
     if set(out.columns) != want:
         raise ValueError(f"{rule.name} must return the data's columns plus the two status columns")
     failed = F.col("processing_status_2").isNotNull()
-    error = _error(rule, None, F.col("processing_status_2"), F.coalesce("priority_status_2", F.lit(rule.priority)))
+    error = _error(number, rule, None, F.col("processing_status_2"), F.coalesce("priority_status_2", F.lit(rule.priority)))
     return out.withColumn(
         "errors", F.concat("errors", F.when(failed, F.array(error)).otherwise(F.array().cast(f"array<{ERROR}>")))
     ).select(*df.columns)
@@ -155,18 +156,18 @@ def gate(
             flags[i] = f"_dup{i}"
             data = _mark_duplicates(data, rule, flags[i], columns, key, rows)
     failures = [
-        F.when(~checks.passes(rule, column, flags.get(i)), _error(rule, column, rule.message(column), rule.priority))
+        F.when(~checks.passes(rule, column, flags.get(i)), _error(i, rule, column, rule.message(column), rule.priority))
         for i, rule in enumerate(rules)
         if rule.kind not in ("custom", "history")
         for column in rule.columns
     ]
     errors = F.filter(F.array(*failures), lambda e: e.isNotNull()) if failures else empty
     data = data.withColumn("errors", errors.cast(f"array<{ERROR}>")).select(*columns, "errors")
-    for rule in rules:
+    for i, rule in enumerate(rules):
         if rule.kind == "custom":
-            data = _run_query(data, rule, views or {})
+            data = _run_query(data, i, rule, views or {})
         elif rule.kind == "history":
-            data = _run_query(data, rule, {**(views or {}), "previous": previous})
+            data = _run_query(data, i, rule, {**(views or {}), "previous": previous})
     worst = F.array_join(F.transform("errors", lambda e: e["priority"]), ";")
     grade = priority_level(F.when(F.size("errors") > 0, worst))
     return GateResult(data.withColumn("grade", grade), tuple(rules), tuple(columns), tuple(key))

@@ -135,23 +135,23 @@ def validation_log(tagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     spark = tagged.sparkSession
     listed = spark.createDataFrame(
         [(i, r.name, r.kind, r.subject, list(r.columns)) for i, r in enumerate(rules)],
-        "position int, rule string, check string, subject string, columns array<string>",
+        "rule_no int, rule string, check string, subject string, columns array<string>",
     )
     # At most one value per rule and column reaches a list.
     failed = (
         _errors(tagged)
-        .groupBy("rule", "check", F.coalesce("column", F.lit("")).alias("column"))
+        .groupBy("rule_no", F.coalesce("column", F.lit("")).alias("column"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("rule", "check")
+        .groupBy("rule_no")
         .agg(F.collect_set("column").alias("failed"), F.sum("n").alias("errors"))
     )
-    rows = listed.join(failed, ["rule", "check"], "left")
+    rows = listed.join(failed, "rule_no", "left")
     named = F.filter("columns", lambda c: F.array_contains("failed", c))
     text = F.when(F.size(named) > 0, F.concat("subject", F.lit(": "), F.array_join(named, ","))).otherwise(
         F.when(F.col("errors") > 0, F.col("subject")).otherwise("")
     )
     return rows.select(
-        "position",
+        "rule_no",
         "rule",
         "check",
         F.coalesce(text, F.lit("")).alias("error_text"),
