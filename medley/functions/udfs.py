@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def plus_one(s: pd.Series) -> pd.Series:
     """[U01] A scalar vectorised function."""
     return s + 1

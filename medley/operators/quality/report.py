@@ -21,6 +21,11 @@ CHECK_TYPES = [
     ("mandatory", "Null check", "Mandatory value is missing"),
 ]
 
+# Columns the error table adds to the data, in lower case.
+ADDED = {
+    "priority_level", "error_description", "filename", "record_number", "processed_date", "notebook_name", "status"
+}
+
 CUSTOM_KINDS = ("custom", "history", "expr")
 
 
@@ -56,11 +61,13 @@ def error_rows(
 ) -> DataFrame:
     """[Q18, P04] Data columns, priorities, description, file, record number, date, process and status.
 
-    The record number is the row's declared key as text.
+    The record number is the row's declared key as text. A data column with the name of one of the added
+    columns gets a leading underscore.
     """
     data = sanitise_names(invalid.select(*columns))
+    names = [f"_{n}" if n.lower() in ADDED else n for n in data.columns]
     rows = invalid.select(
-        *[F.col(f"`{a}`").alias(b) for a, b in zip(columns, data.columns, strict=True)],
+        *[F.col(f"`{a}`").alias(b) for a, b in zip(columns, names, strict=True)],
         priorities(F.col("errors")).alias("priority_level"),
         render(F.col("errors")).alias("ERROR_DESCRIPTION"),
         F.lit(file).alias("FILENAME"),

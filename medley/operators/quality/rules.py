@@ -66,9 +66,9 @@ def select_rules(rules: DataFrame, country: str, source: str, file: str, file_fo
     return rules.filter(
         F.contains(F.upper("country_code"), F.lit(country.upper()))
         & (F.upper("source_system") == source.upper())
-        & F.lit(file.upper()).like(F.upper("file_name"))
+        & F.like(F.lit(file.upper()), F.upper("file_name"))
         & (F.upper("active_flag") == "A")
-        & plain.like(pattern)
+        & F.like(plain, pattern)
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +53,9 @@ def read_typed(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 def has_format(spark: SparkSession, fmt: str) -> bool:
     """True if the session has a data source of that name."""
-    if fmt != "avro":
-        return True
+    empty = spark.createDataFrame([], "a string")
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
-    except Exception:
+        spark.read.format(fmt).schema(empty.schema).load([])
+    except AnalysisException:
         return False
     return True
