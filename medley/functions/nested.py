@@ -51,23 +51,26 @@ def flatten_structs(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(path).alias(name) for path, name in flat_columns(df.schema)])
 
 
-def flatten(df: DataFrame, parent_keys: Sequence[str], path: str, position: str = "position") -> DataFrame:
+def flatten(df: DataFrame, parent_keys: Sequence[str], path: str, position: str = "position", outer: bool = True) -> DataFrame:
     """[K01, K02] One child table out of a nested frame: parent keys, position and child fields.
 
     `path` leads through structs and arrays (`refunds.transactions`); every array on the way is exploded
-    with its positions, a missing or empty array gives one row with nulls. Struct children become
-    columns with flat names, other children a column named after the path's last step.
+    with its positions. A missing or empty array gives one row with nulls (`outer`) or none. Struct children
+    become columns with flat names, other children a column named after the path's last step.
     """
     frame = df.select(*parent_keys, F.col(path.split(".")[0]).alias("_node"))
     steps = path.split(".")
     positions: list[str] = []
+    explode = F.posexplode_outer if outer else F.posexplode
     for depth, step in enumerate(steps):
         if depth:
             frame = frame.withColumn("_node", F.col("_node")[step])
         if isinstance(frame.schema["_node"].dataType, T.ArrayType):
             name = position if depth == len(steps) - 1 else f"{steps[depth]}_{position}"
-            frame = frame.select(*parent_keys, *positions, F.posexplode_outer("_node").alias(name, "_node"))
+            frame = frame.select(*parent_keys, *positions, explode("_node").alias(name, "_node"))
             positions.append(name)
+    if not outer:
+        frame = frame.filter(F.col("_node").isNotNull())
     node = frame.schema["_node"].dataType
     if isinstance(node, T.StructType):
         children = [

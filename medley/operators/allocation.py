@@ -31,7 +31,7 @@ def allocate(
         F.collect_list(F.struct(F.col(area).alias("area"), F.col(weight).alias("weight"))).alias("_areas")
     )
     rows = lookup(sales, packed, key).withColumn("_a", F.explode_outer("_areas"))
-    share = F.coalesce(F.col("_a.weight"), F.lit(1.0))
+    share = F.coalesce(F.col("_a.weight"), F.lit(1))
     return rows.withColumns({area: F.col("_a.area"), amount: F.col(amount) * share}).drop("_areas", "_a")
 
 
@@ -44,7 +44,7 @@ def reallocate(sales: DataFrame, regions: DataFrame, key: Sequence[str], region:
 def convert(sales: DataFrame, factors: DataFrame, key: Sequence[str], factor: str, columns: Sequence[str]) -> DataFrame:
     """[G04] Multiply columns by a conversion factor, 1 where none is listed."""
     table = factors.select(*key, F.col(factor).alias("_factor"))
-    scale = F.coalesce(F.col("_factor"), F.lit(1.0))
+    scale = F.coalesce(F.col("_factor"), F.lit(1))
     return lookup(sales, table, key).withColumns({c: F.col(c) * scale for c in columns}).drop("_factor")
 
 

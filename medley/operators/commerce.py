@@ -76,14 +76,10 @@ def child_tables(df: DataFrame, key: Sequence[str], paths: Mapping[str, str]) ->
     """[K01, K02] Child tables of a nested entity, by name; paths the schema lacks are left out.
 
     Ours: one row per element with the parent's key and positions; parents without elements give no row.
+    Give it a table, not raw JSON text: every child then reads only its own nested columns, and nothing
+    is parsed again.
     """
-    out = {}
-    for name, path in paths.items():
-        if _has(df, path):
-            rows = flatten(df.filter(F.col(path.split(".")[0]).isNotNull()), key, path)
-            data = [c for c in rows.columns if c not in key and not c.endswith("position")]
-            out[name] = rows.dropna("all", subset=data)
-    return out
+    return {name: flatten(df, key, path, outer=False) for name, path in paths.items() if _has(df, path)}
 
 
 def entity_rows(df: DataFrame, changed: str, since: dt.date | None, full: bool) -> DataFrame:

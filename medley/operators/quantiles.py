@@ -17,48 +17,57 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return low + 1, min(low + 2, n), position - low
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int, n: int, limit: int = DISTINCT_PER_TASK) -> float:
-    """The rank-th smallest non-null value, found by narrowing a bracket around it.
+def _pick(values: DataFrame, ranks: Sequence[int], below: int) -> dict[int, float]:
+    """Values at global ranks, where `below` rows come before the given ones; few distinct values only."""
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    # The caller bounds the distinct values, so one ordered task is enough here.
+    upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("v")) + F.lit(below)
+    placed = counts.withColumn("upto", upto)
+    asked = F.filter(
+        F.array(*[F.lit(r).cast("long") for r in ranks]),
+        lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")),
+    )
+    hits = placed.select("v", F.explode(asked).alias("rank")).collect()
+    return {h["rank"]: h["v"] for h in hits}
 
-    Each round reads approximate quantiles a little below and above the rank, counts exactly what lies
+
+def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], limit: int = DISTINCT_PER_TASK) -> dict[int, float]:
+    """The values at neighbouring 1-based ranks, found by narrowing a bracket around them.
+
+    Each round reads approximate quantiles a little below and above the ranks, counts exactly what lies
     below the bracket and drops the rest. It ends when the bracket's distinct values fit one task.
     The driver only ever sees a handful of numbers.
     """
     values = df.select(F.col(column).alias("v")).filter("v is not null")
-    low = high = None
-    below = 0
+    inside, below, bracket = values, 0, None
     while True:
-        inside = values
-        if low is not None:
-            inside = values.filter(F.col("v").between(low, high))
         size = inside.agg(F.count("v").alias("n"), F.approx_count_distinct("v", 0.02).alias("d")).first()
         if size["d"] <= limit:
-            break
-        share, slack = (rank - below) / size["n"], 0.001
-        cuts = [max(0.0, share - slack), min(1.0, share + slack)]
-        bracket = inside.agg(F.percentile_approx("v", cuts, 100_000).alias("q")).first()["q"]
-        if (low, high) == (bracket[0], bracket[1]):
-            break
-        low, high = bracket
-        below = values.filter(F.col("v") < low).count()
-    counts = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    # Bounded by `limit` distinct values, so one ordered task is enough here.
-    upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("v"))
-    hit = counts.withColumn("upto", upto + F.lit(below)).filter(F.col("upto") >= rank).orderBy("v").limit(1)
-    return hit.first()["v"]
+            return _pick(inside, ranks, below)
+        slack = 0.001
+        low, high = ((r - below) / size["n"] for r in (min(ranks), max(ranks)))
+        cuts = [max(0.0, low - slack), min(1.0, high + slack)]
+        found = inside.agg(F.percentile_approx("v", cuts, 100_000).alias("q")).first()["q"]
+        if found == bracket:
+            return _pick(inside, ranks, below)
+        bracket = found
+        below = values.filter(F.col("v") < bracket[0]).count()
+        inside = values.filter(F.col("v").between(*bracket))
 
 
 def quantiles(
     df: DataFrame, column: str, probabilities: Sequence[float], limit: int = DISTINCT_PER_TASK
 ) -> list[float | None]:
     """[P22, A09] Exact interpolated quantiles of a column; None for each if there is no value."""
-    n = df.agg(F.count(column)).first()[0]
-    if not n:
+    values = df.select(F.col(column).alias("v")).filter("v is not null")
+    size = values.agg(F.count("v").alias("n"), F.approx_count_distinct("v", 0.02).alias("d")).first()
+    if not size["n"]:
         return [None for _ in probabilities]
-    out = []
-    for p in probabilities:
-        lower, upper, weight = _ranks(n, p)
-        a = value_at_rank(df, column, lower, n, limit)
-        b = a if weight == 0 else value_at_rank(df, column, upper, n, limit)
-        out.append(a + (b - a) * weight)
-    return out
+    asked = [_ranks(size["n"], p) for p in probabilities]
+    if size["d"] <= limit:
+        at = _pick(values, sorted({r for low, high, _ in asked for r in (low, high)}), 0)
+    else:
+        at = {}
+        for low, high, _ in asked:
+            at |= values_at_ranks(df, column, sorted({low, high}), limit)
+    return [at[low] + (at[high] - at[low]) * weight for low, high, weight in asked]

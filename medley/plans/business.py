@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from medley.operators import allocation, commerce
 from medley.operators.reshape import stack_tagged
 from medley.plans.base import Tables, money, number, query
+from medley.session import materialise
 
 ORDER_SCHEMA = (
     "id bigint, customer bigint, line_items array<struct<sku: bigint, quantity: int, "
@@ -37,8 +39,8 @@ def raw_orders(t: Tables) -> DataFrame:
 
 
 def nested_orders(t: Tables) -> DataFrame:
-    """The documents parsed."""
-    return commerce.parse_orders(raw_orders(t), "value", ORDER_SCHEMA)
+    """The documents parsed once into a table that all child tables read."""
+    return materialise(commerce.parse_orders(raw_orders(t), "value", ORDER_SCHEMA), "orders")
 
 
 @query("""
@@ -207,10 +209,18 @@ def merge_reporting(t: Tables) -> DataFrame:
     return stack_tagged(merged, "entity")
 
 
-WEIGHTS = [("PROMO", "cardio", 0.75), ("PROMO", "neuro", 0.25), ("ECONOMY", "onco", 1.0), ("SMALL", "cardio", 0.5), ("SMALL", "onco", 0.5)]
+WEIGHT_SCHEMA = "p_type string, area string, weight decimal(4,2)"
+
+WEIGHTS = [
+    ("PROMO", "cardio", Decimal("0.75")),
+    ("PROMO", "neuro", Decimal("0.25")),
+    ("ECONOMY", "onco", Decimal("1.00")),
+    ("SMALL", "cardio", Decimal("0.50")),
+    ("SMALL", "onco", Decimal("0.50")),
+]
 
 SALES = """
-WITH sales AS (SELECT p_type, l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
+WITH sales AS (SELECT p_type, l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount
  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
 w(p, area, weight) AS (VALUES ('PROMO', 'cardio', 0.75), ('PROMO', 'neuro', 0.25), ('ECONOMY', 'onco', 1.0), ('SMALL', 'cardio', 0.5), ('SMALL', 'onco', 0.5))
 """
@@ -221,17 +231,17 @@ def product_sales(t: Tables) -> DataFrame:
     per_part = t.lineitem.groupBy("l_partkey", "l_returnflag").agg(F.sum(money("l_extendedprice")).alias("amount"))
     kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type")
     rows = per_part.join(kinds, "l_partkey").groupBy("p_type", "l_returnflag")
-    return rows.agg(number(F.sum("amount")).alias("amount"))
+    return rows.agg(F.sum("amount").alias("amount"))
 
 
 @query(SALES + """
-SELECT p_type, l_returnflag, area, round(amount * coalesce(weight, 1.0), 4) AS amount FROM sales LEFT JOIN w ON p_type = p
+SELECT p_type, l_returnflag, area, CAST(amount * coalesce(weight, 1.0) AS DOUBLE) AS amount FROM sales LEFT JOIN w ON p_type = p
 """)
 def allocation_areas(t: Tables) -> DataFrame:
     """[G01] Sales split over areas by weight."""
-    weights = t.spark.createDataFrame(WEIGHTS, "p_type string, area string, weight double")
+    weights = t.spark.createDataFrame(WEIGHTS, WEIGHT_SCHEMA)
     rows = allocation.allocate(product_sales(t), weights, ["p_type"], "area", "weight", "amount")
-    return rows.select("p_type", "l_returnflag", "area", F.round("amount", 4).alias("amount"))
+    return rows.select("p_type", "l_returnflag", "area", number(F.col("amount")).alias("amount"))
 
 
 @query("""
@@ -260,17 +270,17 @@ def conversion(t: Tables) -> DataFrame:
 
 
 @query(SALES + """
-SELECT coalesce(area, 'none') AS area, round(sum(amount * coalesce(weight, 1.0) * CASE WHEN l_returnflag = 'R' THEN 0.5 ELSE 1.0 END), 2) AS amount
+SELECT coalesce(area, 'none') AS area, CAST(sum(amount * coalesce(weight, 1.0) * CASE WHEN l_returnflag = 'R' THEN 0.5 ELSE 1.0 END) AS DOUBLE) AS amount
 FROM sales LEFT JOIN w ON p_type = p GROUP BY 1
 """)
 def rule_sequence(t: Tables) -> DataFrame:
     """[G03, G05] Conversion, then allocation, then totals; each step on the result of the one before."""
-    weights = t.spark.createDataFrame(WEIGHTS, "p_type string, area string, weight double")
-    factors = t.spark.createDataFrame([("R", 0.5)], "l_returnflag string, factor double")
+    weights = t.spark.createDataFrame(WEIGHTS, WEIGHT_SCHEMA)
+    factors = t.spark.createDataFrame([("R", Decimal("0.50"))], "l_returnflag string, factor decimal(4,2)")
     steps = [
         lambda d: allocation.convert(d, factors, ["l_returnflag"], "factor", ["amount"]),
         lambda d: allocation.allocate(d, weights, ["p_type"], "area", "weight", "amount"),
-        lambda d: d.fillna({"area": "none"}).groupBy("area").agg(F.round(F.sum("amount"), 2).alias("amount")),
+        lambda d: d.fillna({"area": "none"}).groupBy("area").agg(number(F.sum("amount")).alias("amount")),
     ]
     return allocation.run_rules(allocation.run_rules(product_sales(t), []), steps)
 
