@@ -49,7 +49,7 @@ def array_ops(a: Column, b: Column) -> dict[str, Column]:
     return {
         "added": lift(a, b, lambda x, y: x + y),
         "divided": lift(a, b, F.try_divide),
-        "floored": F.transform(a, F.floor),
+        "floored": F.transform(a, lambda x: F.floor(x)),
         "ordered": F.array_sort(a),
         "joined": F.concat(a, b),
         "head": F.slice(a, 1, 2),

@@ -107,7 +107,7 @@ def ratio(df: DataFrame, part: str, whole: str, out: str = "percent") -> DataFra
 
 
 def value_sets(df: DataFrame, by: Sequence[str], column: str, out: str = "items") -> DataFrame:
-    """[A16] Sorted distinct values by key. Duplicates are removed before any list is built."""
+    """[A16] Sorted distinct values by key, nulls left out. Duplicates are removed before any list is built."""
     return df.select(*by, column).distinct().groupBy(*by).agg(F.array_sort(F.collect_list(column)).alias(out))
 
 

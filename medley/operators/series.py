@@ -153,48 +153,45 @@ def theta(history: DataFrame, keys: Sequence[str], horizon: int, season: int = 1
     (the smaller on a tie), plus half the slope of the line through them times
     `h - 1 + (1 - (1 - alpha)^n) / alpha`. A series is one array of its days; as long as the calendar.
     """
-    values = history.filter("y is not null").groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y")))), lambda r: r["y"])
-        .alias("ys")
-    )
-    n = F.size("ys")
-    mean = F.aggregate("ys", F.lit(0.0), lambda a, v: a + v) / n
+    points = F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))
+    values = history.filter("y is not null").groupBy(*keys).agg(F.transform(points, lambda r: r["y"]).alias("_ys"))
+    zero = F.lit(0.0)
+
+    def total(array: str | Column) -> Column:
+        return F.aggregate(array, zero, lambda a, v: a + v)
 
     def seat_mean(seat: Column) -> Column:
-        own = F.filter("ys", lambda _, i: i % season == seat)
-        return F.try_divide(F.aggregate(own, F.lit(0.0), lambda a, v: a + v), F.size(own))
-
-    factor = F.when(n >= 2 * season, F.transform(F.sequence(F.lit(0), F.lit(season - 1)), lambda s: seat_mean(s) / F.col("m")))
-    usable = F.col("f").isNotNull() & ~F.exists("f", lambda v: v.isNull() | (v == 0))
-    seasonal = values.withColumns({"n": n, "m": F.when(mean != 0, mean)}).withColumn("f", factor)
-    seasonal = seasonal.withColumn("f", F.when(usable, F.col("f")).otherwise(F.array_repeat(F.lit(1.0), season)))
-    adjusted = seasonal.withColumn("a", F.transform("ys", lambda v, i: v / F.get("f", i % season)))
+        own = F.filter("_ys", lambda _, i: i % season == seat)
+        return F.try_divide(total(own), F.size(own))
+
+    n, mean = F.col("_n"), F.col("_mean")
+    sized = values.withColumn("_n", F.size("_ys")).withColumn("_mean", total("_ys") / F.size("_ys"))
+    seats = F.transform(F.sequence(F.lit(0), F.lit(season - 1)), lambda s: F.try_divide(seat_mean(s), mean))
+    seasonal = sized.withColumn("_f", F.when(n >= 2 * season, seats))
+    usable = F.col("_f").isNotNull() & ~F.exists("_f", lambda v: v.isNull() | (v == 0))
+    seasonal = seasonal.withColumn("_f", F.when(usable, F.col("_f")).otherwise(F.array_repeat(F.lit(1.0), season)))
+    adjusted = seasonal.withColumn("_a", F.transform("_ys", lambda v, i: v / F.get("_f", i % season))).drop("_ys")
     tried = adjusted.withColumn("alpha", F.explode(F.array(*[F.lit(x) for x in ALPHAS])))
-    start = F.struct(F.get("a", 0).alias("level"), F.lit(0.0).alias("sse"))
     smoothed = F.aggregate(
-        F.slice("a", F.lit(2), F.greatest(n - 1, F.lit(0))),
-        start,
+        F.slice("_a", F.lit(2), n),
+        F.struct(F.get("_a", 0).alias("level"), zero.alias("sse")),
         lambda s, v: F.struct(
             (s["level"] + F.col("alpha") * (v - s["level"])).alias("level"),
             (s["sse"] + F.pow(v - s["level"], F.lit(2))).alias("sse"),
         ),
     )
-    best = (
-        tried.withColumn("s", smoothed)
-        .groupBy(*keys)
-        .agg(F.min_by(F.struct("alpha", "s", "a", "f", "n"), F.struct("s.sse", "alpha")).alias("b"))
-        .select(*keys, "b.*")
-    )
-    t_mean = (F.col("n") - 1) / 2.0
-    a_mean = F.aggregate("a", F.lit(0.0), lambda x, v: x + v) / F.col("n")
-    cov = F.aggregate(F.transform("a", lambda v, i: (i - t_mean) * (v - a_mean)), F.lit(0.0), lambda x, v: x + v)
-    var = F.aggregate(F.transform("a", lambda v, i: F.pow(i - t_mean, F.lit(2))), F.lit(0.0), lambda x, v: x + v)
-    drift = F.coalesce(F.try_divide(cov, var), F.lit(0.0)) / 2
-    lag = (1 - F.pow(1 - F.col("alpha"), F.col("n"))) / F.col("alpha")
-    ahead = best.withColumn("drift", drift).withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    flat = F.col("s.level") + F.col("drift") * (F.col("h") - 1 + lag)
-    seat = ((F.col("n") + F.col("h") - 1) % season).cast("int")
-    return ahead.select(*keys, "h", (flat * F.get("f", seat)).alias("yhat"), "alpha")
+    scored = tried.withColumn("_s", smoothed)
+    chosen = F.min_by(F.struct("alpha", "_s", "_a", "_f", "_n"), F.struct("_s.sse", "alpha"))
+    best = scored.groupBy(*keys).agg(chosen.alias("_b")).select(*keys, "_b.*")
+    t_mean, a_mean = (n - 1) / 2.0, total("_a") / n
+    covariance = total(F.transform("_a", lambda v, i: (i - t_mean) * (v - a_mean)))
+    variance = total(F.transform("_a", lambda _, i: F.pow(i - t_mean, F.lit(2))))
+    drift = F.coalesce(F.try_divide(covariance, variance), zero) / 2
+    lag = (1 - F.pow(1 - F.col("alpha"), n)) / F.col("alpha")
+    ahead = best.withColumn("_drift", drift).withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    flat = F.col("_s.level") + F.col("_drift") * (F.col("h") - 1 + lag)
+    seat = ((n + F.col("h") - 1) % season).cast("int")
+    return ahead.select(*keys, "h", (flat * F.get("_f", seat)).alias("yhat"), "alpha")
 
 
 def grid(

@@ -44,9 +44,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_TASK) -> l
         .groupBy("p")
         .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
-    top = merged.select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT})").alias("top")).first()["top"]
-    return [(t["item"], t["count"]) for t in top or [] if t["count"] > rows]
+    # Grouped, because combining has no result for a frame without rows.
+    merged = sketches.groupBy(F.lit("all").alias("one")).agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT})").alias("top")).first()
+    return [(t["item"], t["count"]) for t in found["top"] if t["count"] > rows] if found else []
 
 
 def mark_hot(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) -> DataFrame:
