@@ -3,20 +3,46 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _shape(pattern: str) -> str | None:
+    """A regular expression that every text of an all-digit pattern fits; None for other patterns."""
+    digits = {"yyyy": r"\d{4}", **{c * 2: r"\d{2}" for c in "MdHms"}, **{c: r"\d{1,2}" for c in "MdHms"}}
+    out = ""
+    for token in _tokens(pattern):
+        if token[0].isalpha():
+            if token not in digits:
+                return None
+            out += digits[token]
+        else:
+            out += re.escape(token.strip("'") if token.startswith("'") else token)
+    return f"^{out}$"
+
+
+def _tokens(pattern: str) -> list[str]:
+    """Runs of one letter, quoted texts and single other characters."""
+    return [m.group(0) for m in re.finditer(r"'[^']*'|([a-zA-Z])\1*|[^a-zA-Z']", pattern)]
+
+
+def _guarded(col: Column, pattern: str, parsed: Column) -> Column:
+    """Parse only texts of the right shape: a failed parse costs an exception, a failed match does not."""
+    shape = _shape(pattern)
+    return parsed if shape is None else F.when(col.rlike(shape), parsed)
+
+
 def parse_date(col: Column, pattern: str) -> Column:
     """[X07] A date by pattern, null if the text does not fit."""
-    return F.try_to_date(col, pattern)
+    return _guarded(col, pattern, F.try_to_date(col, pattern))
 
 
 def parse_timestamp(col: Column, pattern: str) -> Column:
     """[X07] A timestamp by pattern, null if the text does not fit."""
-    return F.try_to_timestamp(col, F.lit(pattern))
+    return _guarded(col, pattern, F.try_to_timestamp(col, F.lit(pattern)))
 
 
 def parts(col: Column) -> dict[str, Column]:
@@ -93,17 +119,13 @@ def rewrite(col: Column, expected: str, local: str, with_time: bool = False) ->
     expected date pattern followed by the local time part, joined as in the local pattern (T or blank).
     """
     if not with_time:
-        return F.when(
-            parse_date(col, expected).isNull() & parse_date(col, local).isNotNull(),
-            F.date_format(parse_date(col, local), expected),
-        ).otherwise(col)
+        rewritten = F.coalesce(F.date_format(parse_date(col, local), expected), col)
+        return F.when(parse_date(col, expected).isNotNull(), col).otherwise(rewritten)
     mark = "'T'" if "'T'" in local else ("T" if "T" in local else " ")
     target = expected + ("'T'" if "T" in mark else " ") + local.split(mark, 1)[1]
     pattern = local if mark != "T" else local.replace("T", "'T'", 1)
-    parsed = parse_timestamp(col, pattern)
-    return F.when(
-        parse_timestamp(col, expected).isNull() & parsed.isNotNull(), F.date_format(parsed, target)
-    ).otherwise(col)
+    rewritten = F.coalesce(F.date_format(parse_timestamp(col, pattern), target), col)
+    return F.when(parse_timestamp(col, expected).isNotNull(), col).otherwise(rewritten)
 
 
 def scrape_lists(frequency: str | None, day: dt.date, lists: dict[str, Sequence[str]]) -> Sequence[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from medley.functions.dates import parse_date
 from medley.operators.quality.rules import Rule
 
 
@@ -20,7 +21,7 @@ def numeric(col: Column) -> Column:
 
 def date(col: Column, pattern: str) -> Column:
     """[Q07] Ours: the text reads as a date by the expected pattern."""
-    return col.isNull() | F.try_to_date(col.cast("string"), pattern).isNotNull()
+    return col.isNull() | parse_date(col.cast("string"), pattern).isNotNull()
 
 
 def valid_value(col: Column, allowed: list[str]) -> Column:

@@ -14,10 +14,13 @@ from medley.operators import project
 from medley.operators.quality import checks, report
 from medley.operators.quality.dates import LocalFormat, normalise_dates
 from medley.operators.quality.rules import Rule
-from medley.operators.skew import ROWS_PER_TASK, lookup
+from medley.operators.skew import ROWS_PER_TASK, hot_counts, lookup
 from medley.operators.windows import count_keys, fingerprint
 from medley.session import materialise
 
+# Grades of a row, in ascending order.
+LEVELS = ("ok", "low", "medium", "high")
+
 ERROR = "struct<rule_no:int,rule:string,check:string,column:string,message:string,priority:string,mail_group:string>"
 
 
@@ -74,6 +77,11 @@ class GateResult:
         return report.custom_summary(self.tagged)
 
 
+def grade_of(priority: str) -> str:
+    """[X28] Grade of a rule's priority text: high over medium over low."""
+    return next((g for g in ("high", "medium") if g in priority.lower()), "low")
+
+
 def _error(number: int, rule: Rule, column: str, message: Column | str, priority: Column | str) -> Column:
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     return F.struct(
@@ -101,8 +109,9 @@ def _mark_duplicates(
     data = [c for c in columns if c not in key]
     marked = df.withColumn("_fp", fingerprint(data))
     first = F.min(F.struct(*key)).alias("_first")
-    repeated = marked.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"), first).filter("_n > 1").drop("_n")
-    found = lookup(marked, repeated, ["_fp"], rows=rows)
+    repeated = marked.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"), first).filter("_n > 1")
+    counts = materialise(repeated, "copies")
+    found = lookup(marked, counts.drop("_n"), ["_fp"], hot=hot_counts(counts, ["_fp"], "_n", rows))
     later = F.col("_first").isNotNull() & (F.col("_first") != F.struct(*key))
     return found.withColumn(out, later).drop("_fp", "_first")
 
@@ -114,9 +123,14 @@ def _run_query(df: DataFrame, number: int, rule: Rule, views: Mapping[str, DataF
     if set(out.columns) != want:
         raise ValueError(f"{rule.name} must return the data's columns plus the two status columns")
     failed = F.col("processing_status_2").isNotNull()
-    error = _error(number, rule, None, F.col("processing_status_2"), F.coalesce("priority_status_2", F.lit(rule.priority)))
-    return out.withColumn(
-        "errors", F.concat("errors", F.when(failed, F.array(error)).otherwise(F.array().cast(f"array<{ERROR}>")))
+    priority = F.coalesce("priority_status_2", F.lit(rule.priority))
+    error = F.array(_error(number, rule, None, F.col("processing_status_2"), priority)).cast(f"array<{ERROR}>")
+    level = F.array_position(F.array(*[F.lit(v) for v in LEVELS]), priority_level(priority)).cast("int") - 1
+    return out.withColumns(
+        {
+            "errors": F.concat("errors", F.when(failed, error).otherwise(F.array().cast(f"array<{ERROR}>"))),
+            "_level": F.greatest("_level", F.when(failed, level).otherwise(0)),
+        }
     ).select(*df.columns)
 
 
@@ -155,22 +169,36 @@ def gate(
         if rule.kind == "duplicate":
             flags[i] = f"_dup{i}"
             data = _mark_duplicates(data, rule, flags[i], columns, key, rows)
-    failures = [
-        F.when(~checks.passes(rule, column, flags.get(i)), _error(i, rule, column, rule.message(column), rule.priority))
+    checked = [
+        (i, rule, column)
         for i, rule in enumerate(rules)
         if rule.kind not in ("custom", "history")
         for column in rule.columns
     ]
-    errors = F.filter(F.array(*failures), lambda e: e.isNotNull()) if failures else empty
-    data = data.withColumn("errors", errors.cast(f"array<{ERROR}>")).select(*columns, "errors")
+    # One projection says what fails; the next builds errors and level from those flags alone.
+    failed = data.select(
+        *columns, *[(~checks.passes(r, c, flags.get(i))).alias(f"_f{n}") for n, (i, r, c) in enumerate(checked)]
+    )
+    found = [
+        F.when(F.col(f"_f{n}"), F.array(_error(i, r, c, r.message(c), r.priority)).cast(f"array<{ERROR}>")).otherwise(empty)
+        for n, (i, r, c) in enumerate(checked)
+    ]
+    levels = [
+        F.when(F.col(f"_f{n}"), F.lit(LEVELS.index(grade_of(r.priority)))).otherwise(0)
+        for n, (_, r, _) in enumerate(checked)
+    ]
+    data = failed.select(
+        *columns,
+        (F.concat(*found) if found else empty).alias("errors"),
+        F.greatest(F.lit(0), F.lit(0), *levels).alias("_level"),
+    )
     for i, rule in enumerate(rules):
         if rule.kind == "custom":
             data = _run_query(data, i, rule, views or {})
         elif rule.kind == "history":
             data = _run_query(data, i, rule, {**(views or {}), "previous": previous})
-    worst = F.array_join(F.transform("errors", lambda e: e["priority"]), ";")
-    grade = priority_level(F.when(F.size("errors") > 0, worst))
-    return GateResult(data.withColumn("grade", grade), tuple(rules), tuple(columns), tuple(key))
+    grade = F.element_at(F.array(*[F.lit(v) for v in LEVELS]), F.col("_level") + 1)
+    return GateResult(data.withColumn("grade", grade).drop("_level"), tuple(rules), tuple(columns), tuple(key))
 
 
 def previous_snapshot(snapshots: DataFrame, run_column: str, today: dt.date) -> DataFrame:

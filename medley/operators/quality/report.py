@@ -47,8 +47,8 @@ def error_columns(errors: Column) -> Column:
 
 def priority_flags(tagged: DataFrame) -> DataFrame:
     """[Q20] One row of flags: high, medium, low."""
-    named = F.upper(F.coalesce(priorities(F.col("errors")), F.lit("")))
-    return tagged.select(named.alias("p")).agg(
+    named = F.upper(priorities(F.col("errors")))
+    return tagged.filter(F.size("errors") > 0).select(named.alias("p")).agg(
         *[
             F.coalesce(F.bool_or(F.contains("p", F.lit(level.upper()))), F.lit(False)).alias(level)
             for level in ("high", "medium", "low")

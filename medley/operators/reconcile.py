@@ -55,17 +55,15 @@ def _compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     return filled.withColumn("diff", F.col("n_a") - F.col("n_b"))
 
 
-def value_drift(
+def drift_rows(
     tables: Mapping[str, DataFrame],
     config: Sequence[tuple[str, str, Sequence[str]]],
-    today: dt.date,
     null_is_value: bool = False,
 ) -> DataFrame:
-    """[C04, A16, J07, J12] New and missing values of configured columns against their allowed lists.
+    """[C04, J07, J12] New and missing values of configured columns against their allowed lists, as rows.
 
-    One row per (table, column, kind) with a sorted array, none where nothing differs. Both sides are
-    compared as text. A column is reduced to its distinct values before it meets the list; values are
-    compared against one combined list of (table, column, value).
+    Both sides are compared as text. A column is reduced to its distinct values before it meets the list;
+    values are compared against one combined list of (table, column, value).
     """
     spark = next(iter(tables.values())).sparkSession
     parts = []
@@ -80,11 +78,22 @@ def value_drift(
     sides = stack(parts).withColumn("_new", F.lit(1)).unionByName(allowed.withColumn("_new", F.lit(-1)))
     odd = sides.groupBy("table", "column", "value").agg(F.sum("_new").alias("s")).filter("s <> 0")
     kind = F.when(F.col("s") > 0, "New Values").otherwise("Missing Values")
-    return (
-        odd.groupBy("table", "column", kind.alias("kind"))
-        .agg(F.array_sort(F.collect_list("value")).alias("items"))
-        .withColumn("report_date", F.lit(today))
-    )
+    return odd.select("table", "column", kind.alias("kind"), "value")
+
+
+def value_drift(
+    tables: Mapping[str, DataFrame],
+    config: Sequence[tuple[str, str, Sequence[str]]],
+    today: dt.date,
+    null_is_value: bool = False,
+) -> DataFrame:
+    """[C04, A16] One row per (table, column, kind) with a sorted array, none where nothing differs.
+
+    For columns of few values; a list too long for one cell is refused (see `drift_rows`).
+    """
+    rows = drift_rows(tables, config, null_is_value)
+    sets = aggregates.value_sets(rows, ["table", "column", "kind"], "value")
+    return sets.withColumn("report_date", F.lit(today))
 
 
 def volume_metrics(

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators.skew import lookup, running
+from medley.operators.skew import ROWS_PER_TASK, lookup, running, split_groups
 from medley.operators.windows import fingerprint
 
 
@@ -67,28 +67,25 @@ def reindex(df: DataFrame, key: str, keys: Sequence[Any], extra: str, fill: Any,
 
 
 def report_rows(
-    df: DataFrame, file: str, line: str, label: str, amount: str, date: str | None = None
+    df: DataFrame, file: str, line: str, label: str, amount: str, date: str | None = None, rows: int = ROWS_PER_TASK
 ) -> DataFrame:
     """[W07, T10] Report lines as (date, category, sub_category, details, amount).
 
     A labelled line without an amount is a header. A header followed by another header is a category, any
     other header a sub-category. Blank lines and lines that start with `Total` are left out, and so are
-    lines above the first header. A line can see only its neighbour and what was carried down to it.
+    lines above the first header. That a header was a category is known at the header below it, so
+    one look back and one value carried down say it all; both scans share one shuffle and one sort.
     """
     text = F.trim(F.col(label))
     lines = df.filter(text.isNotNull() & (text != "")).withColumn("_label", text)
-    lines = lines.withColumn("_head", F.col(amount).isNull() | (F.trim(F.col(amount).cast("string")) == ""))
-    numbered = running(lines, [file], [line], {"_n": ("count", "*")})
-    heads = numbered.filter("_head").select(file, (F.col("_n") - 1).alias("_n"), F.lit(True).alias("_next_head"))
-    marked = lookup(numbered, heads, [file, "_n"], rows=None)
-    category = F.when(F.col("_head") & F.col("_next_head").isNotNull(), F.col("_label"))
-    sub = F.when(F.col("_head") & F.col("_next_head").isNull(), F.col("_label"))
-    carried = running(
-        marked.withColumns({"_category": category, "_sub": sub}),
-        [file],
-        [line],
-        {"category": ("last", "_category"), "sub_category": ("last", "_sub")},
-    )
-    rows = carried.filter(~F.col("_head") & ~F.startswith(F.lower("_label"), F.lit("total")) & F.col("sub_category").isNotNull())
+    blank = F.col(amount).isNull() | (F.trim(F.col(amount).cast("string")) == "")
+    heads = lines.withColumn("_head", F.when(blank, F.col("_label")))
+    split, chunks = split_groups(heads, [file], [line], rows)
+    seen = running(split, [file], [line], {"_above": ("previous", "_head")}, rows, chunks)
+    marked = seen.withColumn("_category", F.when(F.col("_head").isNotNull(), F.col("_above")))
+    outputs = {"category": ("last", "_category"), "sub_category": ("last", "_head")}
+    carried = running(marked, [file], [line], outputs, rows, chunks)
+    total = F.startswith(F.lower("_label"), F.lit("total"))
+    data = carried.filter(F.col("_head").isNull() & ~total & F.col("sub_category").isNotNull())
     keep = [F.col(date)] if date else []
-    return rows.select(file, line, *keep, "category", "sub_category", F.col("_label").alias("details"), amount)
+    return data.select(file, line, *keep, "category", "sub_category", F.col("_label").alias("details"), amount)

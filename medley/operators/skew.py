@@ -50,6 +50,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_TASK) -> l
     return [(t["item"], t["count"]) for t in found["top"] if t["count"] > rows] if found else []
 
 
+def hot_counts(counts: DataFrame, keys: Sequence[str], n: str, rows: int = ROWS_PER_TASK) -> list[tuple[int, int]]:
+    """As `hot_keys`, from a table that already holds the number of rows per key."""
+    large = counts.filter(F.col(n) > rows).orderBy(F.desc(n)).limit(MAX_HOT)
+    return [(r["h"], r["n"]) for r in large.select(_hash(keys).alias("h"), F.col(n).alias("n")).collect()]
+
+
 def mark_hot(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) -> DataFrame:
     """Add `_hot`: the number of the row's hot group, null for all other rows. No shuffle.
 
@@ -65,18 +71,21 @@ def lookup(
     keys: Sequence[str],
     how: str = "left",
     rows: int | None = ROWS_PER_TASK,
+    hot: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Join `df` to a table that holds one row per key, nulls in the keys matching nulls.
 
     Rows of hot keys never travel: they meet the table's few hot rows (MAX_HOT at most, because the
     table is unique on the key) by broadcast. Everything else takes the ordinary join, whose method
     Spark picks from the real size of the table. `how` is inner, left, left_semi or left_anti.
-    `rows=None` says that the keys of `df` are unique too, so there is nothing to look for.
+    `rows=None` says that the keys of `df` are unique too, so there is nothing to look for; `hot` passes
+    the hot keys if the caller has them.
     """
     for k in keys:
         if df.schema[k].dataType != table.schema[k].dataType:
             raise ValueError(f"key {k} is {df.schema[k].dataType} here and {table.schema[k].dataType} there")
-    hot = hot_keys(df, keys, rows) if rows is not None else []
+    if hot is None:
+        hot = hot_keys(df, keys, rows) if rows is not None else []
     if not hot:
         return _lookup(df, table, keys, how)
     marked = mark_hot(df, keys, hot)
@@ -172,55 +181,68 @@ def running(
     order: Sequence[str],
     outputs: dict[str, tuple[str, str]],
     rows: int = ROWS_PER_TASK,
+    chunks: list[str] | None = None,
 ) -> DataFrame:
     """Running values from the first row of a group to the current one, in ascending order.
 
-    `outputs` maps a new column to ("max", col), ("last", col: last non-null) or ("count", "*").
-    A hot group is scanned in chunks side by side: each chunk computes its own running value and
-    adds what the chunks before it carry over, which is one small row per chunk.
+    `outputs` maps a new column to ("max", col), ("last", col: last non-null), ("count", "*") or
+    ("previous", col: value of the row before). A hot group is scanned in chunks side by side: each chunk
+    computes its own running value and adds what the chunks before it carry over, which is one small row
+    per chunk. A caller with several scans splits the frame once (`split_groups`) and passes the chunk
+    columns, which then stay in the result.
     """
-    df, chunks = split_groups(df, by, order, rows)
+    given = chunks is not None
+    if not given:
+        df, chunks = split_groups(df, by, order, rows)
     keys = [*by, *chunks]
-    window = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    window = window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(*order)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {
-        "max": lambda c: F.max(c).over(window),
-        "last": lambda c: F.last(c, ignorenulls=True).over(window),
-        "count": lambda c: F.count(F.lit(1)).over(window),
+        "max": lambda c: F.max(c).over(upto),
+        "last": lambda c: F.last(c, ignorenulls=True).over(upto),
+        "count": lambda c: F.count(F.lit(1)).over(upto),
+        "previous": lambda c: F.lag(c).over(ordered),
     }
     out = df.withColumns({name: local[kind](col) for name, (kind, col) in outputs.items()})
     if not chunks:
         return out
+    out = out.withColumn("_at_start", F.row_number().over(ordered) == 1)
     at = F.struct(*order)
     total = {
         "max": F.max,
         "last": lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)),
         "count": lambda c: F.count(F.lit(1)),
+        "previous": lambda c: F.max_by(F.struct(c), at),
     }
-    before = Window.partitionBy(*[f"_k{i}" for i in range(len(by))]) if by else Window.partitionBy(F.lit(0))
-    before = before.orderBy(*[F.asc_nulls_first(f"_p_{c}") for c in chunks])
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    groups = [f"_k{i}" for i in range(len(by))]
+    before = (Window.partitionBy(*groups) if by else Window.partitionBy(F.lit(0))).orderBy(
+        *[F.asc_nulls_first(f"_p_{c}") for c in chunks]
+    )
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
     carry = {
-        "max": lambda c: F.max(c).over(before),
-        "last": lambda c: F.last(c, ignorenulls=True).over(before),
-        "count": lambda c: F.sum(c).over(before),
+        "max": lambda c: F.max(c).over(earlier),
+        "last": lambda c: F.last(c, ignorenulls=True).over(earlier),
+        "count": lambda c: F.sum(c).over(earlier),
+        "previous": lambda c: F.lag(c).over(before),
     }
     per_chunk = (
         df.filter(F.col(chunks[0]).isNotNull())
-        .groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], *[F.col(c).alias(f"_p_{c}") for c in chunks])
+        .groupBy(*[F.col(k).alias(g) for k, g in zip(by, groups, strict=True)], *[F.col(c).alias(f"_p_{c}") for c in chunks])
         .agg(*[total[kind](col).alias(f"_t_{name}") for name, (kind, col) in outputs.items()])
     )
     carried = per_chunk.select(
-        *[f"_k{i}" for i in range(len(by))],
+        *groups,
         *[f"_p_{c}" for c in chunks],
         *[carry[kind](f"_t_{name}").alias(f"_c_{name}") for name, (kind, _) in outputs.items()],
     )
-    pairs = [(k, f"_k{i}") for i, k in enumerate(by)] + [(c, f"_p_{c}") for c in chunks]
+    pairs = [*zip(by, groups, strict=True), *[(c, f"_p_{c}") for c in chunks]]
     joined = out.join(carried, same(out, carried, pairs), "left")
     combine = {
-        "max": lambda n: F.greatest(n, f"_c_{n}"),
-        "last": lambda n: F.coalesce(n, f"_c_{n}"),
-        "count": lambda n: F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)),
+        "max": lambda n, _: F.greatest(n, f"_c_{n}"),
+        "last": lambda n, _: F.coalesce(n, f"_c_{n}"),
+        "count": lambda n, _: F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)),
+        "previous": lambda n, c: F.when(F.col("_at_start"), F.col(f"_c_{n}")[c]).otherwise(F.col(n)),
     }
-    merged = joined.withColumns({name: combine[kind](name) for name, (kind, _) in outputs.items()})
-    return merged.select(*[c for c in out.columns if c not in chunks])
+    merged = joined.withColumns({name: combine[kind](name, col) for name, (kind, col) in outputs.items()})
+    kept = [c for c in out.columns if c != "_at_start" and (given or c not in chunks)]
+    return merged.select(*kept)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medley.operators.skew import ROWS_PER_TASK, lookup, running
+from medley.operators.skew import ROWS_PER_TASK, hot_counts, lookup, running
+from medley.session import materialise
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
@@ -34,10 +35,13 @@ def mark_duplicate_rows(
 def count_keys(df: DataFrame, keys: Sequence[str], out: str = "_key_n", rows: int = ROWS_PER_TASK) -> DataFrame:
     """[W02] How many rows share the row's key; a null key is a group like any other.
 
-    Only keys that repeat are counted out and joined back, rows of unique keys get 1.
+    Only keys that repeat are counted out and joined back, rows of unique keys get 1. The counts are written
+    once: they name the hot keys and feed the join, so the data itself is read twice, not three times.
     """
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 1)
-    return lookup(df, repeated, keys, rows=rows).withColumn(out, F.coalesce(F.col(out), F.lit(1)))
+    counts = materialise(repeated, "counts")
+    hot = hot_counts(counts, keys, out, rows)
+    return lookup(df, counts, keys, hot=hot).withColumn(out, F.coalesce(F.col(out), F.lit(1)))
 
 
 def rank_in(df: DataFrame, by: Sequence[str], order: str, out: str = "rank", rows: int = ROWS_PER_TASK) -> DataFrame:

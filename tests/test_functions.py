@@ -176,3 +176,14 @@ def test_rewrite_table(spark, tmp_path):
     for n in (3, 2):
         commerce.rewrite_table(spark.range(n), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_lists_and_groups_of_any_size_are_not_gathered(spark, monkeypatch):
+    df = spark.range(10).selectExpr("'k' as k", "id")
+    with pytest.raises(ValueError):
+        aggregates.value_sets(df, ["k"], "id", limit=5)
+    from medley.operators import skew
+
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (5,))
+    with pytest.raises(ValueError):
+        udfs.grouped(df, ["k"], lambda p: p, "k string, id long")
