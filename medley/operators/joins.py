@@ -100,16 +100,16 @@ def asof(
     """[J05] For each left row the last right row of its group at or before its time.
 
     `values` maps a right column to its output name; equal times match; `tie` decides among right rows
-    of one time (the largest wins). Both sides are stacked and scanned once in time order, one shuffle
-    by group; hot groups are scanned in chunks. A null value on the right is still a match.
+    of one time (the largest wins; without it a hash of the values decides). Both sides are stacked and
+    scanned once in time order, one shuffle by group; hot groups are scanned in chunks. A null value on
+    the right is still a match.
     """
-    packed = F.struct(*[F.col(v).alias(o) for v, o in values.items()])
-    newest = F.max_by(packed, F.col(tie) if tie else F.struct(*[F.col(v) for v in values]))
-    points = right.filter(F.col(at).isNotNull()).groupBy(*by, at).agg(newest.alias("_v"))
-    points = points.withColumn("_side", F.lit(0))
-    rows_in = left.withColumn("_row", F.struct(*left.columns)).select(*by, at, "_row").withColumn("_side", F.lit(1))
-    stacked = points.unionByName(rows_in, allowMissingColumns=True)
-    scanned = running(stacked, by, [at, "_side"], {"_hit": ("last", "_v")}, rows)
+    packed = F.struct(*[F.col(v).alias(o) for v, o in values.items()]).alias("_v")
+    among = (F.col(tie) if tie else F.xxhash64(*values)).alias("_among")
+    points = right.filter(F.col(at).isNotNull()).select(*by, at, packed, F.lit(0).alias("_side"), among)
+    asked = left.select(*by, at, F.struct(*left.columns).alias("_row"), F.lit(1).alias("_side"))
+    stacked = points.unionByName(asked, allowMissingColumns=True)
+    scanned = running(stacked, by, [at, "_side", "_among"], {"_hit": ("last", "_v")}, rows)
     return scanned.filter("_side = 1").select("_row.*", "_hit.*")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from medley.operators.joins import anti, compare_totals, semi
 from medley.operators.windows import latest
+from medley.session import materialise
 
 
 def mode(load_type: str | None, watermark: Any) -> str:
@@ -67,10 +68,10 @@ def merge(
 
     The source must hold one row per key; with `order_by` its newest row per key is taken, without it a
     repeated key is an error. Only the source's keys travel to the target's side of the join; nulls in the
-    key match nulls.
+    key match nulls. The chosen rows are written once, as both halves of the result need them.
     """
     if order_by:
-        source = latest(source, key, order_by)
+        source = materialise(latest(source, key, order_by), "source")
     elif not duplicate_keys(source, key).isEmpty():
         raise ValueError(f"source has several rows for one key {list(key)}")
     renamed = source.select(*[F.col(k).alias(f"_{k}") for k in key])
@@ -95,8 +96,6 @@ def merge_partitions(
     so the scan of the target is pruned to them. The new partitions are written aside and read back
     before they replace the old ones, because a path must not be overwritten while it is read.
     """
-    from medley.session import materialise
-
     touched = [r[0] for r in source.select(partition).distinct().limit(limit + 1).collect()]
     if len(touched) > limit:
         raise ValueError(f"source touches more than {limit} partitions")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators.skew import ROWS_PER_TASK, lookup, running, split_groups
+from medley.operators.skew import ROWS_PER_TASK, lookup, scan, split_groups
 from medley.operators.windows import fingerprint
 
 
@@ -80,11 +81,10 @@ def report_rows(
     lines = df.filter(text.isNotNull() & (text != "")).withColumn("_label", text)
     blank = F.col(amount).isNull() | (F.trim(F.col(amount).cast("string")) == "")
     heads = lines.withColumn("_head", F.when(blank, F.col("_label")))
-    split, chunks = split_groups(heads, [file], [line], rows)
-    seen = running(split, [file], [line], {"_above": ("previous", "_head")}, rows, chunks)
-    marked = seen.withColumn("_category", F.when(F.col("_head").isNotNull(), F.col("_above")))
+    seen = scan(split_groups(heads, [file], [line], rows), [file], {"_above": ("previous", "_head")})
+    marked = seen.frame.withColumn("_category", F.when(F.col("_head").isNotNull(), F.col("_above")))
     outputs = {"category": ("last", "_category"), "sub_category": ("last", "_head")}
-    carried = running(marked, [file], [line], outputs, rows, chunks)
+    carried = scan(replace(seen, frame=marked), [file], outputs).frame
     total = F.startswith(F.lower("_label"), F.lit("total"))
     data = carried.filter(F.col("_head").isNull() & ~total & F.col("sub_category").isNotNull())
     keep = [F.col(date)] if date else []

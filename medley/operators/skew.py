@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medley.session import materialise
+
 ROWS_PER_TASK = 2_000_000
 MAX_HOT = 500
 MAX_CHUNKS = 4096
 SKETCH_ITEMS = 8192
+TIE = "_tie"
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -130,49 +134,62 @@ def _axis(df: DataFrame, column: str) -> tuple[Column, bool]:
     raise ValueError(f"cannot split along {column} of type {kind.simpleString()}")
 
 
-def split_groups(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int = ROWS_PER_TASK
-) -> tuple[DataFrame, list[str]]:
+@dataclass(frozen=True)
+class Split:
+    """A frame whose hot groups are cut into chunks: its chunk columns (none if no group is hot) and the
+    order columns, one more than asked for if rows that tie on all of them had to be told apart."""
+
+    frame: DataFrame
+    chunks: list[str]
+    order: list[str]
+
+
+def _cut(df: DataFrame, keys: list[str], column: str, hot: list[tuple[int, int]], rows: int, out: str) -> DataFrame:
+    """Add a chunk number along one column to the rows of the hot groups, null to all others."""
+    axis, _ = _axis(df, column)
+    pieces = min(MAX_CHUNKS, math.ceil(hot[0][1] / rows) + 1)
+    marked = mark_hot(df, keys, hot)
+    cuts = [i / pieces for i in range(1, pieces)]
+    bounds = (
+        marked.filter("_hot is not null")
+        .groupBy("_hot")
+        .agg(F.percentile_approx(axis, cuts, max(10_000, 4 * pieces)).alias("_bounds"))
+        .select(F.col("_hot").alias("_h"), F.array_sort(F.array_distinct("_bounds")).alias("_bounds"))
+    )
+    # At most MAX_HOT rows of at most MAX_CHUNKS numbers.
+    kept = df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
+    numbered = marked.join(F.broadcast(kept), F.col("_hot") == F.col("_h"), "left").withColumn(
+        out, F.when(F.col("_hot").isNotNull(), _position(F.col("_bounds"), axis))
+    )
+    return numbered.drop("_hot", "_h", "_bounds")
+
+
+def split_groups(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int = ROWS_PER_TASK) -> Split:
     """Cut every hot group into consecutive chunks along the order columns.
 
-    Returns the frame with chunk columns added (null outside hot groups) and their names, none if no
-    group is hot. Chunk borders are approximate quantiles, exact about which chunk is earlier.
-    A border value that is itself hot gets its own chunk, cut again along the next order column.
+    Chunk borders are approximate quantiles, exact about which chunk is earlier. A border value that is
+    itself hot gets its own chunk, cut again along the next order column. Rows that tie on all order
+    columns in a hot chunk (copies, for example) get a running id; the frame is written first, so that the
+    id stays the same for every task that reads it.
     """
-    chunk_cols: list[str] = []
-    keys = list(by)
-    limit = rows
-    anchor = "_all"
-    if not keys:
-        df, keys = df.withColumn(anchor, F.lit(0)), [anchor]
-    for depth, column in enumerate(order):
-        again = df if not depth else df.filter(F.col(chunk_cols[-1]).isNotNull())
-        hot = hot_keys(again, keys, limit)
-        if not hot:
+    chunks: list[str] = []
+    by, order, anchor = list(by), list(order), "_all"
+    if not by:
+        df, by = df.withColumn(anchor, F.lit(0)), [anchor]
+    limit, exact = rows, True
+    for depth, column in enumerate([*order, TIE]):
+        keys = by + chunks
+        inside = df.filter(F.col(chunks[-1]).isNotNull()) if chunks else df
+        hot = hot_keys(inside, keys, limit)
+        if not hot or not exact:
             break
-        pieces = min(MAX_CHUNKS, math.ceil(hot[0][1] / rows) + 1)
-        axis, exact = _axis(df, column)
-        marked = mark_hot(df, keys, hot)
-        cuts = [i / pieces for i in range(1, pieces)]
-        bounds = (
-            marked.filter("_hot is not null")
-            .groupBy("_hot")
-            .agg(F.percentile_approx(axis, cuts, max(10_000, 4 * pieces)).alias("_bounds"))
-            .select(F.col("_hot").alias("_h"), F.array_sort(F.array_distinct("_bounds")).alias("_bounds"))
-        )
-        kept = df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
-        chunk = f"_chunk{depth}"
-        df = (
-            marked.join(F.broadcast(kept), F.col("_hot") == F.col("_h"), "left")
-            .withColumn(chunk, F.when(F.col("_hot").isNotNull(), _position(F.col("_bounds"), axis)))
-            .drop("_hot", "_h", "_bounds")
-        )
-        chunk_cols.append(chunk)
-        keys = keys + [chunk]
-        limit = 4 * rows
-        if not exact:
-            break
-    return df.drop(anchor), chunk_cols
+        if column == TIE:
+            df = materialise(df.withColumn(TIE, F.monotonically_increasing_id()), "ties")
+            order = [*order, TIE]
+        df = _cut(df, keys, column, hot, rows, f"_chunk{depth}")
+        chunks.append(f"_chunk{depth}")
+        limit, exact = 4 * rows, _axis(df, column)[1]
+    return Split(df.drop(anchor), chunks, order)
 
 
 def running(
@@ -181,19 +198,21 @@ def running(
     order: Sequence[str],
     outputs: dict[str, tuple[str, str]],
     rows: int = ROWS_PER_TASK,
-    chunks: list[str] | None = None,
 ) -> DataFrame:
     """Running values from the first row of a group to the current one, in ascending order.
 
     `outputs` maps a new column to ("max", col), ("last", col: last non-null), ("count", "*") or
     ("previous", col: value of the row before). A hot group is scanned in chunks side by side: each chunk
     computes its own running value and adds what the chunks before it carry over, which is one small row
-    per chunk. A caller with several scans splits the frame once (`split_groups`) and passes the chunk
-    columns, which then stay in the result.
+    per chunk.
     """
-    given = chunks is not None
-    if not given:
-        df, chunks = split_groups(df, by, order, rows)
+    split = split_groups(df, by, order, rows)
+    return scan(split, by, outputs).frame.drop(*split.chunks, TIE)
+
+
+def scan(split: Split, by: Sequence[str], outputs: dict[str, tuple[str, str]]) -> Split:
+    """One scan over a frame that is already split; several scans share the split, shuffle and sort."""
+    df, chunks, order = split.frame, split.chunks, split.order
     keys = [*by, *chunks]
     ordered = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(*order)
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -205,7 +224,7 @@ def running(
     }
     out = df.withColumns({name: local[kind](col) for name, (kind, col) in outputs.items()})
     if not chunks:
-        return out
+        return replace(split, frame=out)
     out = out.withColumn("_at_start", F.row_number().over(ordered) == 1)
     at = F.struct(*order)
     total = {
@@ -244,5 +263,4 @@ def running(
         "previous": lambda n, c: F.when(F.col("_at_start"), F.col(f"_c_{n}")[c]).otherwise(F.col(n)),
     }
     merged = joined.withColumns({name: combine[kind](name, col) for name, (kind, col) in outputs.items()})
-    kept = [c for c in out.columns if c != "_at_start" and (given or c not in chunks)]
-    return merged.select(*kept)
+    return replace(split, frame=merged.select(*[c for c in out.columns if c != "_at_start"]))

@@ -139,7 +139,7 @@ def elapsed_micros(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT event_id, round((value - 273.15), 6) AS celsius, round((value - 273.15) * 9 / 5 + 32, 6) AS fahrenheit, round(1 / value, 6) AS reciprocal,
+SELECT event_id, round((value - 273.15), 6) AS celsius, round((value - 273.15) * 9 / 5 + 32, 6) AS fahrenheit, round(1 / nullif(value, 0), 6) AS reciprocal,
  round(value / nullif(event_id % 4, 0), 6) AS quotient FROM events
 """)
 def unit_change(t: Tables) -> DataFrame:

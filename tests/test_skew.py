@@ -39,8 +39,9 @@ def test_hot_keys_finds_heavy_and_null_groups(frame):
 
 
 def test_chunks_are_small_and_in_order(frame):
-    cut, names = skew.split_groups(frame, ["k"], ["t", "i"], LOW)
-    assert names == ["_chunk0", "_chunk1"]
+    split = skew.split_groups(frame, ["k"], ["t", "i"], LOW)
+    cut, names = split.frame, split.chunks
+    assert names == ["_chunk0", "_chunk1"] and split.order == ["t", "i"]
     sizes = cut.filter("_chunk0 is not null").groupBy("k", *names).count()
     assert sizes.agg(F.max("count")).first()[0] <= 5 * LOW
     spans = cut.filter("k = 'hot' and t is not null").groupBy("_chunk0").agg(F.min("t"), F.max("t")).orderBy("_chunk0")
@@ -58,6 +59,36 @@ def test_running_equals_window(frame, rows):
     equal(skew.running(frame, ["k"], ["t", "i"], outputs, rows), want)
 
 
+def test_copies_are_split_too(spark):
+    rows = [("hot", 1, 1.0)] * 600 + [("hot", 0, 5.0), ("hot", 2, None), ("x", 1, 2.0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(4)
+    split = skew.split_groups(df, ["k"], ["t"], LOW)
+    assert split.order == ["t", skew.TIE]
+    sizes = split.frame.groupBy("k", *split.chunks).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 5 * LOW
+    got = skew.running(df, ["k"], ["t"], {"n": ("count", "*"), "m": ("max", "v"), "p": ("previous", "t")}, LOW)
+    assert got.columns == ["k", "t", "v", "n", "m", "p"]
+    hot = sorted((r["n"], r["t"], r["m"], r["p"]) for r in got.filter("k = 'hot'").collect())
+    assert [h[0] for h in hot] == list(range(1, 603))
+    assert [h[1] for h in hot] == [0] + [1] * 600 + [2] and {h[2] for h in hot} == {5.0}
+    assert [h[3] for h in hot] == [None, 0] + [1] * 600
+
+
+@pytest.mark.parametrize("rows", [LOW, 10**9])
+def test_previous_equals_lag(frame, rows):
+    want = frame.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "i")))
+    equal(skew.running(frame, ["k"], ["t", "i"], {"p": ("previous", "v")}, rows), want)
+
+
+def test_asof_with_copies_on_both_sides(spark, same):
+    left = [("a", 5, 1)] * 500 + [("a", 1, 2), ("a", 9, 3)]
+    right = [("a", 5, 7, 0.5)] * 400 + [("a", 4, 1, 0.1), ("a", 6, 2, None)]
+    a = spark.createDataFrame(left, "k string, t long, i long")
+    b = spark.createDataFrame(right, "k string, t long, ri long, rv double")
+    got = joins.asof(a, b, ["k"], "t", {"ri": "hit", "rv": "value"}, "ri", LOW)
+    same(got, brute_asof(left, right))
+
+
 def test_running_without_group_and_along_text(frame):
     text = frame.withColumn("z", F.concat(F.lit("id-"), F.sha2(F.col("i").cast("string"), 256)))
     w = Window.partitionBy(F.lit(0)).orderBy("z").rowsBetween(Window.unboundedPreceding, 0)
