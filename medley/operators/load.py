@@ -149,6 +149,27 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     writer.partitionBy(*by).parquet(path)
 
 
+def write_snapshot(df: DataFrame, path: str, run: str) -> None:
+    """One version of a table in a folder of its own; a version that runs again replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
+
+
+def read_snapshot(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
+    """The newest version of a table (before a run, if given), None if there is none.
+
+    Versions are compared as text, so run names must sort in time order. Only folder names are read to
+    find it, and only that folder is scanned.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(location):
+        return None
+    names = [f.getPath().getName() for f in system.listStatus(location)]
+    runs = sorted(n[4:] for n in names if n.startswith("run="))
+    runs = [r for r in runs if before is None or r < before]
+    return spark.read.parquet(f"{path.rstrip('/')}/run={runs[-1]}") if runs else None
+
+
 def checked_overwrite(raw_lines: DataFrame, loaded: DataFrame, path: str) -> int:
     """[L10, C01] Replace a table only if as many rows were loaded as there are raw lines."""
     row = compare_totals(raw_lines, loaded).first()

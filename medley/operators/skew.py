@@ -105,12 +105,12 @@ def _lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> D
     return df.join(renamed, on, how).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
-def _position(bounds: Column, value: Column) -> Column:
-    """Slot of a value among sorted bounds: even between two bounds, odd on a bound itself.
+def _position(bounds: Column, value: Column, most: int) -> Column:
+    """Slot of a value among at most `most` sorted bounds: even between two bounds, odd on a bound itself.
 
     A binary search, so that a row costs a dozen comparisons and not one per bound.
     """
-    steps = [1 << i for i in range(MAX_CHUNKS.bit_length() - 1, -1, -1)]
+    steps = [1 << i for i in range(most.bit_length() - 1, -1, -1)]
     below = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
@@ -159,7 +159,7 @@ def _cut(df: DataFrame, keys: list[str], column: str, hot: list[tuple[int, int]]
     # At most MAX_HOT rows of at most MAX_CHUNKS numbers.
     kept = df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
     numbered = marked.join(F.broadcast(kept), F.col("_hot") == F.col("_h"), "left").withColumn(
-        out, F.when(F.col("_hot").isNotNull(), _position(F.col("_bounds"), axis))
+        out, F.when(F.col("_hot").isNotNull(), _position(F.col("_bounds"), axis, pieces))
     )
     return numbered.drop("_hot", "_h", "_bounds")
 

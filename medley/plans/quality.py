@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from medley.operators.quality import GateResult, Rule, gate, report, select_rules, to_rules
 from medley.operators.quality.dates import LocalFormat, normalise_dates
+from medley.operators.load import read_snapshot
 from medley.operators.quality.gate import previous_snapshot
+from medley.operators.quality.run import Delivery, check_file
 from medley.plans.base import Tables, query
+from medley.session import work_path
 
 RUN_TIME = dt.datetime(2024, 3, 1, 6, 30)
 
@@ -337,3 +340,19 @@ def post_load_rules(t: Tables) -> DataFrame:
         excluded=["skip"],
     )
     return stack_tagged({name.split(".")[0]: df for name, df in found.items()}, "table")
+
+
+@query(BASE + """
+SELECT CASE WHEN e1 OR e2 THEN 'high' ELSE 'low' END AS grade, count(*) AS n, 'orders_2024.csv' AS filename
+FROM graded WHERE e1 OR e2 OR e5 GROUP BY 1
+""")
+def dq_file_run(t: Tables) -> DataFrame:
+    """[Q01, Q17 to Q24] A whole run, twice: the second delivery of a file replaces its rows in the error table."""
+    table = t.spark.createDataFrame(RULE_ROWS, RULE_SCHEMA)
+    errors, summary = work_path(t.spark, "error_table"), work_path(t.spark, "summary")
+    for hour in (6, 7):
+        at = dt.datetime(2024, 3, 1, hour)
+        delivery = Delivery("orders_2024.csv", "orders_*.csv", "xx", "Orders", "gate", at)
+        check_file(source(t), table, ["orderkey"], delivery, errors, summary)
+    rows = report.by_grade(read_snapshot(t.spark, errors))
+    return rows.groupBy("grade", F.col("FILENAME").alias("filename")).agg(F.count(F.lit(1)).alias("n"))

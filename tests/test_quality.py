@@ -164,3 +164,37 @@ def test_error_table_upkeep(spark, same):
     new = spark.createDataFrame([("f.csv", day(1))], old.schema)
     got = report.refresh_error_table(old, new, "f.csv", dt.date(2024, 3, 1))
     same(got.select("FILENAME"), [("g.csv",), ("f.csv",)])
+
+
+def test_file_run_keeps_the_books(spark, tmp_path):
+    from medley.operators.load import read_snapshot
+    from medley.operators.quality.run import Delivery, HighPriorityError, check_file, load_file
+
+    table = spark.createDataFrame(RULE_ROWS, RULE_SCHEMA)
+    errors, summary, out = (str(tmp_path / n) for n in ("errors", "summary", "out"))
+    schema = "orderkey int, status string, segment string"
+    good = spark.createDataFrame([(1, "O", "s"), (2, "Z", "s")], schema)
+    bad = spark.createDataFrame([(1, None, "s"), (2, "O", "s")], schema)
+
+    def run(df, file, hour):
+        at = dt.datetime(2024, 3, 1, hour)
+        delivery = Delivery(file, "orders_*.csv", "XX", "ORDERS", "job", at)
+        return check_file(df, table, ["orderkey"], delivery, errors, summary, export=out)
+
+    first = run(bad, "orders_2024.csv", 1)
+    assert first.high_flag and first.error_path == errors
+    with pytest.raises(HighPriorityError):
+        load_file(first, good, ["orderkey"])
+    run(bad, "orders_2024b.csv", 2)
+    again = run(good, "orders_2024.csv", 3)
+    assert not again.high_flag
+    kept = {(r["FILENAME"], r["RECORD_NUMBER"], r["priority_level"]) for r in read_snapshot(spark, errors).collect()}
+    assert kept == {("orders_2024b.csv", "1", "high"), ("orders_2024.csv", "2", "low")}
+    lines = {(r["filename"], r["count"], r["total_record"]) for r in read_snapshot(spark, summary).collect()}
+    assert lines == {("orders_2024b.csv", 1, 2), ("orders_2024.csv", 1, 2)}
+    target = spark.createDataFrame([(2, "O", "t"), (9, "O", "t")], schema)
+    merged = {tuple(r) for r in load_file(again, target, ["orderkey"]).collect()}
+    assert merged == {(1, "O", "s"), (2, "Z", "s"), (9, "O", "t")}
+    assert read_snapshot(spark, errors, "20240301T010000") is None
+    passed = run(good, "other.txt", 4)
+    assert passed.result is None and passed.valid is good
