@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,59 +20,6 @@ def register(spark: SparkSession, name: str = "add_one") -> str:
     return name
 
 
-def map_batches(df: DataFrame, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """[U03] A function over batches of rows, table in and table out; never sees a whole partition."""
-
-    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield f(batch)
-
-    return df.mapInPandas(over, schema)
-
-
-def demean(df: DataFrame, by: list[str], col: str, out: str) -> DataFrame:
-    """[U04] Value minus the mean of its group.
-
-    The mean is a map-side aggregate joined back (see `skew.lookup`), so that no worker has to hold a
-    whole group, as a grouped-map function would.
-    """
-    from medley.operators.skew import hot_counts, lookup
-    from medley.session import materialise
-
-    means = materialise(df.groupBy(*by).agg(F.avg(col).alias("_mean"), F.count(F.lit(1)).alias("_n")), "means")
-    found = lookup(df, means.drop("_n"), by, hot=hot_counts(means, by, "_n"))
-    return found.withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
-
-
-def grouped(df: DataFrame, by: list[str], f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """[U04] The grouped-map form. A worker holds a whole group, so hot groups are refused."""
-    _require_small_groups(df, by)
-    return df.groupBy(*by).applyInPandas(f, schema)
-
-
-def cogrouped_asof(
-    left: DataFrame, right: DataFrame, by: str, at: str, schema: str
-) -> DataFrame:
-    """[U05] As-of join as a cogrouped map. Hot groups are refused; `joins.asof` takes groups of any size."""
-    _require_small_groups(left, [by])
-    _require_small_groups(right, [by])
-
-    columns = T.StructType.fromDDL(schema).names
-
-    def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(at), b.sort_values(at)
-        return pd.merge_asof(a, b.drop(columns=[by]), on=at)[columns]
-
-    return left.groupBy(by).cogroup(right.groupBy(by)).applyInPandas(one, schema)
-
-
-def _require_small_groups(df: DataFrame, by: list[str]) -> None:
-    from medley.operators.skew import hot_keys
-
-    if hot_keys(df, by):
-        raise ValueError(f"a group of {by} is too large for one worker")
-
-
 def error_text(subject: Column, column: Column) -> Column:
     """[U06] `subject` if it has a colon, else `subject: column`. An expression, not a Python function."""
     return F.when(F.instr(subject, ":") > 0, subject).otherwise(F.concat(subject, F.lit(": "), column))

@@ -17,9 +17,9 @@ JSON_SCRIPT = r'(?s)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
 
 
 def first_group(html: Column, pattern: str) -> Column:
-    """First capture of a pattern, null if it does not occur."""
-    found = F.regexp_extract(html, pattern, 1)
-    return F.when(F.regexp_like(html, F.lit(pattern)), found)
+    """First capture of a pattern, null if it does not occur. The page is searched once, the capture is
+    taken from the match."""
+    return F.regexp_extract(F.regexp_substr(html, F.lit(pattern)), pattern, 1)
 
 
 def script_json(html: Column) -> Column:

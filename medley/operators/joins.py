@@ -33,14 +33,15 @@ def interval_join(
     end: str,
     how: str = "left",
     small: int = BROADCAST_ROWS,
-    salts: int = 16,
+    rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """[J04, K04] Rows joined to the ranges of their key that contain their day, both ends inclusive.
 
     A row in two ranges comes out twice, a row in none stays (left). A range table of at most `small`
     rows, counted first, is broadcast: one hash join on the key with the range as a residual filter.
-    A larger one is cut into months and joined on key, month and a salt, so a key with most of the
-    rows is spread over its months and the salts.
+    For a larger one the distinct (key, day) pairs of the rows, no more than keys times calendar days,
+    find their ranges by key and month; the rows then look their pair up, and rows of a hot pair do
+    not travel.
     """
     day = F.to_date(F.col(at))
     key, other = on
@@ -48,28 +49,22 @@ def interval_join(
         hit = (left[key] == ranges[other]) & day.between(F.to_date(ranges[start]), F.to_date(ranges[end]))
         return left.join(F.broadcast(ranges), hit, how)
     span = left.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-    if span["lo"] is None:
-        hit = (left[key] == ranges[other]) & F.lit(False)
-        return left.join(ranges, hit, how)
-    first = F.greatest(F.to_date(F.col(start)), F.lit(span["lo"]))
-    last = F.least(F.to_date(F.col(end)), F.lit(span["hi"]))
+    first = F.greatest(F.to_date(F.col(start)), F.lit(span["lo"]).cast("date"))
+    last = F.least(F.to_date(F.col(end)), F.lit(span["hi"]).cast("date"))
     months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
-    cut = (
-        ranges.filter(first <= last)
-        .withColumn("_month", F.explode(months))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    # The salt depends on the row's content only, so a task that runs again sends rows the same way.
-    spread = left.withColumns(
-        {"_m": F.trunc(day, "month"), "_s": F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")}
-    )
+    cut = ranges.filter(first <= last).select(F.struct(*ranges.columns).alias("_range"), F.explode(months).alias("_month"))
+    dated = left.withColumn("_day", day)
+    pairs = dated.select(key, "_day").dropna().distinct().withColumn("_in", F.trunc("_day", "month"))
+    bounds = [F.to_date(F.col(f"_range.{c}")) for c in (start, end)]
     hit = (
-        (spread[key] == cut[other])
-        & (spread["_m"] == cut["_month"])
-        & (spread["_s"] == cut["_salt"])
-        & day.between(F.to_date(cut[start]), F.to_date(cut[end]))
+        (F.col(key) == F.col(f"_range.{other}"))
+        & (F.col("_in") == F.col("_month"))
+        & F.col("_day").between(*bounds)
     )
-    return spread.join(cut, hit, how).drop("_m", "_s", "_month", "_salt")
+    found = pairs.join(cut, hit).groupBy(key, "_day").agg(F.collect_list("_range").alias("_ranges"))
+    explode = F.explode_outer if how == "left" else F.explode
+    joined = lookup(dated, found, [key, "_day"], how, rows).withColumn("_range", explode("_ranges"))
+    return joined.select(*left.columns, "_range.*")
 
 
 def overlapping(ranges: DataFrame, key: str, start: str, end: str) -> DataFrame:

@@ -12,7 +12,7 @@ from medley.operators import load
 from medley.operators.quality import report
 from medley.operators.quality.dates import LocalFormat
 from medley.operators.quality.gate import GateResult, gate
-from medley.operators.quality.rules import select_rules, to_rules
+from medley.operators.quality.rules import MAX_RULES, select_rules, to_rules
 
 
 class HighPriorityError(Exception):
@@ -44,7 +44,9 @@ class Outcome:
 
 def local_formats(table: DataFrame, country: str) -> list[LocalFormat]:
     """[Q13, Q15] Local date formats of a country, in table order; a small configuration table."""
-    rows = table.filter(table["country_code"] == country).collect()
+    rows = table.filter(table["country_code"] == country).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} date formats for {country}")
     return [
         LocalFormat(r["local_date_format"], r["timestamp_flag"] == "Y", r["active_flag"], r["filename_format"])
         for r in rows

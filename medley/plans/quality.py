@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medley.operators.load import read_snapshot
 from medley.operators.quality import GateResult, Rule, gate, report, select_rules, to_rules
 from medley.operators.quality.dates import LocalFormat, normalise_dates
-from medley.operators.load import read_snapshot
-from medley.operators.quality.gate import previous_snapshot
+from medley.operators.quality.gate import post_load, previous_snapshot
 from medley.operators.quality.run import Delivery, check_file
+from medley.operators.reshape import stack_tagged
 from medley.plans.base import Tables, query
 from medley.session import work_path
 
@@ -320,9 +321,6 @@ SELECT 'customer', count(*) FROM customer WHERE c_acctbal < 0
 """)
 def post_load_rules(t: Tables) -> DataFrame:
     """[Q31] Active post-load rules of a region run against the loaded tables."""
-    from medley.operators.quality.gate import post_load
-    from medley.operators.reshape import stack_tagged
-
     t.orders.createOrReplaceTempView("loaded_orders")
     t.customer.createOrReplaceTempView("loaded_customer")
     entry = lambda name, sql, target, active="A", region="EU": {

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from medley.functions import numbers
 from medley.operators import aggregates, joins, project, reshape, windows
+from medley.operators.commerce import sales_input
 from medley.plans.base import Tables, money, number, query
+from medley.streaming.hourly import merge_copies
 
 
 @query("""
@@ -253,8 +255,6 @@ LEFT JOIN rates ON cur = c_mktsegment AND CAST(o_orderdate AS DATE) BETWEEN s AN
 """)
 def rate_interval_join(t: Tables) -> DataFrame:
     """[J04, K04] Orders with the rate of their segment on their day."""
-    from medley.operators.commerce import sales_input
-
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     sales = orders.select("o_orderkey", "c_mktsegment", "o_orderdate")
     rows = sales_input(sales, rate_table(t), ("c_mktsegment", "cur"), "o_orderdate")
@@ -268,12 +268,12 @@ SELECT o_orderkey, s_suppkey FROM orders JOIN customer ON o_custkey = c_custkey
 LEFT JOIN r ON s_nationkey = c_nationkey AND CAST(o_orderdate AS DATE) BETWEEN s AND e
 """)
 def period_interval_join(t: Tables) -> DataFrame:
-    """[J04] Ranges taken from a table of any size: cut into months and joined on key, month and salt."""
+    """[J04] Ranges from a table of any size: distinct key and day pairs find theirs, rows look them up."""
     start = F.date_add(F.lit(dt.date(1995, 1, 1)), (F.col("s_suppkey") % 20 * 100).cast("int"))
     ranges = t.supplier.select("s_suppkey", "s_nationkey", start.alias("s"), F.date_add(start, 150).alias("e"))
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     orders = orders.select("o_orderkey", "c_nationkey", "o_orderdate")
-    rows = joins.interval_join(orders, ranges, ("c_nationkey", "s_nationkey"), "o_orderdate", "s", "e", small=0, salts=4)
+    rows = joins.interval_join(orders, ranges, ("c_nationkey", "s_nationkey"), "o_orderdate", "s", "e", small=0)
     return rows.select("o_orderkey", "s_suppkey")
 
 
@@ -597,8 +597,6 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
 """)
 def latest_per_key(t: Tables) -> DataFrame:
     """[W04, R02] Newest row per key over batch and stream copies; some rows exist in both."""
-    from medley.streaming.hourly import merge_copies
-
     batch, stream = t.events.filter("event_id % 3 <> 0"), t.events.filter("event_id % 3 <> 1")
     rows = merge_copies(batch, stream, ["user_id", "event_type"], ["ts", "event_id"])
     return rows.select("user_id", "event_type", "event_id", "value")

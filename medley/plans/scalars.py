@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medley.functions import dates, nested, numbers, text, udfs
-from medley.operators import project
+from medley.operators import batches, project
+from medley.operators.commerce import hash_emails
+from medley.operators.reconcile import error_reports
 from medley.plans.base import Tables, query
 
 RUN_DATE = dt.date(2024, 3, 1)
@@ -157,8 +159,6 @@ def unit_change(t: Tables) -> DataFrame:
 @query("SELECT c_custkey, sha256('pepper' || lower(trim(c_name))) AS name_hash FROM customer")
 def pii_hash(t: Tables) -> DataFrame:
     """[X18, K07, P06] Names replaced by a salted hash."""
-    from medley.operators.commerce import hash_emails
-
     return hash_emails(t.customer, "c_name", "pepper", "name_hash").select("c_custkey", "name_hash")
 
 
@@ -259,8 +259,6 @@ FROM orders WHERE o_orderstatus = 'F'
 """)
 def error_text_parse(t: Tables) -> DataFrame:
     """[C06, X03, X04] Error lines to URL and message; lines without the marker are left out."""
-    from medley.operators.reconcile import error_reports
-
     url = F.concat(F.lit(" https://shop"), F.col("o_custkey").cast("string"), F.lit("/api/graphql.json"))
     line = F.when(F.col("o_orderstatus") == "F", F.concat(url, F.lit("  error "), F.col("o_orderkey").cast("string")))
     lines = t.orders.select(F.coalesce(line, F.lit("https://shop/ok")).alias("line"))
@@ -282,13 +280,13 @@ def map_filter(t: Tables) -> DataFrame:
     def clicks(batch: pd.DataFrame) -> pd.DataFrame:
         return batch[batch.event_type == "click"][["event_id", "value"]]
 
-    return udfs.map_batches(t.events.select("event_id", "event_type", "value"), clicks, "event_id long, value double")
+    return batches.map_batches(t.events.select("event_id", "event_type", "value"), clicks, "event_id long, value double")
 
 
 @query("SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 6) AS off FROM events")
 def group_demean(t: Tables) -> DataFrame:
     """[U04] Value minus its group's mean; hot groups are never gathered."""
-    rows = udfs.demean(t.events.select("event_id", "event_type", "value"), ["event_type"], "value", "off")
+    rows = batches.demean(t.events.select("event_id", "event_type", "value"), ["event_type"], "value", "off")
     return rows.select("event_id", F.round("off", 6).alias("off"))
 
 
@@ -301,7 +299,7 @@ def cogroup_asof(t: Tables) -> DataFrame:
     at = F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
     left = t.events.filter("event_type = 'purchase'").select("user_id", at, "event_id")
     right = t.events.filter("event_type = 'click'").select("user_id", at, F.col("event_id").cast("double").alias("click_id"))
-    rows = udfs.cogrouped_asof(left, right, "user_id", "at", "event_id long, click_id double")
+    rows = batches.cogrouped_asof(left, right, "user_id", "at", "event_id long, click_id double")
     return rows.withColumn("click_id", F.when(~F.isnan("click_id"), F.col("click_id")).cast("long"))
 
 

@@ -4,8 +4,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from medley.functions import dates, nested, numbers, text, udfs, web
-from medley.operators import aggregates, commerce, project, reshape
+from medley.functions import dates, nested, numbers, text, web
+from medley.operators import aggregates, batches, commerce, project, reshape, skew
 
 DAY = dt.date(2024, 3, 1)
 
@@ -92,16 +92,16 @@ def test_web(spark):
 def test_udfs(spark, same):
     df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, "b", 5.0), (4, None, 2.0)], "id long, g string, v double")
     want = [(1, -1.0), (2, 1.0), (3, 0.0), (4, 0.0)]
-    same(udfs.demean(df, ["g"], "v", "off").select("id", "off"), want)
+    same(batches.demean(df, ["g"], "v", "off").select("id", "off"), want)
 
     def off(pdf):
         return pdf.assign(off=pdf.v - pdf.v.mean())[["id", "off"]]
 
-    same(udfs.grouped(df, ["g"], off, "id long, off double"), want)
-    same(udfs.map_batches(df.select("id"), lambda p: pd.DataFrame({"id": p.id * 2}), "id long"), [(2,), (4,), (6,), (8,)])
+    same(batches.grouped(df, ["g"], off, "id long, off double"), want)
+    same(batches.map_batches(df.select("id"), lambda p: pd.DataFrame({"id": p.id * 2}), "id long"), [(2,), (4,), (6,), (8,)])
     left = spark.createDataFrame([(1, "x", 1.0), (3, "x", 2.0), (2, "y", 3.0)], "at long, id string, v double")
     right = spark.createDataFrame([(1, "x", "p"), (2, "x", "q")], "at long, id string, w string")
-    got = udfs.cogrouped_asof(left, right, "id", "at", "at long, id string, v double, w string")
+    got = batches.cogrouped_asof(left, right, "id", "at", "at long, id string, v double, w string")
     same(got, [(1, "x", 1.0, "p"), (3, "x", 2.0, "q"), (2, "y", 3.0, None)])
 
 
@@ -182,8 +182,6 @@ def test_lists_and_groups_of_any_size_are_not_gathered(spark, monkeypatch):
     df = spark.range(10).selectExpr("'k' as k", "id")
     with pytest.raises(ValueError):
         aggregates.value_sets(df, ["k"], "id", limit=5)
-    from medley.operators import skew
-
     monkeypatch.setattr(skew.hot_keys, "__defaults__", (5,))
     with pytest.raises(ValueError):
-        udfs.grouped(df, ["k"], lambda p: p, "k string, id long")
+        batches.grouped(df, ["k"], lambda p: p, "k string, id long")

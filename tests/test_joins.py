@@ -27,6 +27,14 @@ def test_interval_join(spark, same, small):
     same(got.select("id", "rate"), want)
 
 
+def test_interval_join_of_a_hot_day(spark, same):
+    rows = [(i, "a", dt.datetime(2024, 1, 10)) for i in range(300)] + [(300, "a", dt.datetime(2024, 1, 9)), (301, "z", None)]
+    df = spark.createDataFrame(rows, "id int, cur string, at timestamp")
+    for how, extra in (("left", [(301, None)]), ("inner", [])):
+        got = joins.interval_join(df, ranges(spark), ("cur", "key"), "at", "s", "e", how, small=0, rows=50)
+        same(got.select("id", "rate"), [(i, r) for i in range(300) for r in (1.0, 2.0)] + [(300, 1.0)] + extra)
+
+
 def test_interval_join_plan_is_a_hash_join(spark):
     df = joins.interval_join(left(spark), ranges(spark), ("cur", "key"), "at", "s", "e")
     plan = df._jdf.queryExecution().executedPlan().toString()
