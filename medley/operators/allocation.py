@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators.skew import lookup
+from medley.operators.skew import BROADCAST_ROWS, lookup
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -30,7 +30,7 @@ def allocate(
     packed = weights.groupBy(*key).agg(
         F.collect_list(F.struct(F.col(area).alias("area"), F.col(weight).alias("weight"))).alias("_areas")
     )
-    rows = lookup(sales, packed, key).withColumn("_a", F.explode_outer("_areas"))
+    rows = lookup(sales, packed, key, small=BROADCAST_ROWS).withColumn("_a", F.explode_outer("_areas"))
     share = F.coalesce(F.col("_a.weight"), F.lit(1))
     return rows.withColumns({area: F.col("_a.area"), amount: F.col(amount) * share}).drop("_areas", "_a")
 
@@ -38,14 +38,14 @@ def allocate(
 def reallocate(sales: DataFrame, regions: DataFrame, key: Sequence[str], region: str, real: str) -> DataFrame:
     """[G02] Replace a distributor's region by the real one; unlisted rows keep theirs."""
     table = regions.select(*key, F.col(real).alias("_real"))
-    return lookup(sales, table, key).withColumn(region, F.coalesce("_real", region)).drop("_real")
+    return lookup(sales, table, key, small=BROADCAST_ROWS).withColumn(region, F.coalesce("_real", region)).drop("_real")
 
 
 def convert(sales: DataFrame, factors: DataFrame, key: Sequence[str], factor: str, columns: Sequence[str]) -> DataFrame:
     """[G04] Multiply columns by a conversion factor, 1 where none is listed."""
     table = factors.select(*key, F.col(factor).alias("_factor"))
     scale = F.coalesce(F.col("_factor"), F.lit(1))
-    return lookup(sales, table, key).withColumns({c: F.col(c) * scale for c in columns}).drop("_factor")
+    return lookup(sales, table, key, small=BROADCAST_ROWS).withColumns({c: F.col(c) * scale for c in columns}).drop("_factor")
 
 
 def run_rules(df: DataFrame, rules: Sequence[Step]) -> DataFrame:
@@ -56,7 +56,7 @@ def run_rules(df: DataFrame, rules: Sequence[Step]) -> DataFrame:
 def region_subset(df: DataFrame, config: DataFrame, table: str, country: str) -> DataFrame:
     """[G06] Rows of the countries configured for a table, with their region."""
     listed = config.filter(F.col("table_name") == table).select(F.col("country").alias(country), "region").distinct()
-    return lookup(df, listed, [country], "inner")
+    return lookup(df, listed, [country], "inner", small=BROADCAST_ROWS)
 
 
 def roll_up(df: DataFrame, levels: Sequence[str], amount: str) -> Mapping[str, DataFrame]:

@@ -8,20 +8,15 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medley.operators.skew import ROWS_PER_TASK, lookup, running
+from medley.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, lookup, running
 
-BROADCAST_ROWS = 100_000
 
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if a frame has at most `rows` rows; reads no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def enrich(df: DataFrame, master: DataFrame, keys: Sequence[str], flag: str = "unmatched") -> DataFrame:
+def enrich(
+    df: DataFrame, master: DataFrame, keys: Sequence[str], flag: str = "unmatched", small: int = BROADCAST_ROWS
+) -> DataFrame:
     """[J13] Left lookup in master data (one row per key) with a flag on rows that found nothing."""
     marked = master.withColumn("_found", F.lit(True))
-    return lookup(df, marked, keys).withColumn(flag, F.col("_found").isNull()).drop("_found")
+    return lookup(df, marked, keys, small=small).withColumn(flag, F.col("_found").isNull()).drop("_found")
 
 
 def interval_join(

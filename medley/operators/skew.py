@@ -22,6 +22,7 @@ from medley.session import materialise
 ROWS_PER_TASK = 2_000_000
 MAX_HOT = 500
 MAX_CHUNKS = 4096
+BROADCAST_ROWS = 100_000
 SKETCH_ITEMS = 8192
 TIE = "_tie"
 
@@ -54,6 +55,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_TASK) -> l
     return [(t["item"], t["count"]) for t in found["top"] if t["count"] > rows] if found else []
 
 
+def is_small(df: DataFrame, rows: int) -> bool:
+    """True if a frame has at most `rows` rows; reads no more than one row beyond that."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def hot_counts(counts: DataFrame, keys: Sequence[str], n: str, rows: int = ROWS_PER_TASK) -> list[tuple[int, int]]:
     """As `hot_keys`, from a table that already holds the number of rows per key."""
     large = counts.filter(F.col(n) > rows).orderBy(F.desc(n)).limit(MAX_HOT)
@@ -76,6 +82,7 @@ def lookup(
     how: str = "left",
     rows: int | None = ROWS_PER_TASK,
     hot: list[tuple[int, int]] | None = None,
+    small: int = 0,
 ) -> DataFrame:
     """Join `df` to a table that holds one row per key, nulls in the keys matching nulls.
 
@@ -83,11 +90,15 @@ def lookup(
     table is unique on the key) by broadcast. Everything else takes the ordinary join, whose method
     Spark picks from the real size of the table. `how` is inner, left, left_semi or left_anti.
     `rows=None` says that the keys of `df` are unique too, so there is nothing to look for; `hot` passes
-    the hot keys if the caller has them.
+    the hot keys if the caller has them. With `small`, for tables that are cheap to read, the table's rows
+    are counted up to that number first: if it has no more it is broadcast, and `df` is not searched for
+    hot keys as none of its rows travel.
     """
     for k in keys:
         if df.schema[k].dataType != table.schema[k].dataType:
             raise ValueError(f"key {k} is {df.schema[k].dataType} here and {table.schema[k].dataType} there")
+    if small and is_small(table, small):
+        return _lookup(df, F.broadcast(table), keys, how)
     if hot is None:
         hot = hot_keys(df, keys, rows) if rows is not None else []
     if not hot:

@@ -103,6 +103,8 @@ def test_lookup_equals_join(spark, frame, how):
     want = frame.join(table, on, how).drop(table["k"])
     equal(skew.lookup(frame, table, ["k"], how, LOW), want)
     equal(skew.lookup(frame, table, ["k"], how), want)
+    equal(skew.lookup(frame, table, ["k"], how, LOW, small=10), want)
+    equal(skew.lookup(frame, table, ["k"], how, LOW, small=2), want)
 
 
 def test_lookup_refuses_different_key_types(spark, frame):
