@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +55,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int, seed: str, s
     chosen = session.materialise(chosen, "sample")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", excerpt(F.col("text"), size).alias("text"), "label")
+
+
+def prior_shift(labels: DataFrame, column: str, sample: object) -> float:
+    """What to add to a log-odds fitted to a sample of 0/1 labels so that it holds for all rows that are not held out."""
+    known = labels.where(F.col("doc_id").isNotNull() & ~held_out())
+    ones, zeros = known.agg(F.count_if(F.col(column) == 1), F.count_if(F.col(column) == 0)).first()
+    taken = [int((sample == 1).sum()), int((sample == 0).sum())]
+    if not all([ones, zeros, *taken]):
+        return 0.0
+    return log(ones / zeros) - log(taken[0] / taken[1])

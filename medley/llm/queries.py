@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import base, language, mixing
+from medley.llm import base, language, mixing, quality, toxicity
+
+
+def op6(spark: SparkSession, path: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.score(base.table(spark, path, "documents"), base.table(spark, path, "labels"))
+
+
+def op7(spark: SparkSession, path: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.score(base.table(spark, path, "documents"), base.table(spark, path, "labels"))
 
 
 def op8(spark: SparkSession, path: str) -> DataFrame:
@@ -18,6 +28,8 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
 
 
 REGISTRY: dict[str, base.Query] = {
+    "op6_quality_cnn": base.Query(op6),
+    "op7_toxicity_gru": base.Query(op7),
     "op8_language_id": base.Query(op8),
     "op9_poisson_mixing": base.Query(op9, mixing.SQL),
 }
