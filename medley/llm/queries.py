@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import base, language, mixing, quality, toxicity
+from medley.llm import base, language, minhash, mixing, quality, toxicity
+
+
+def op2(spark: SparkSession, path: str) -> DataFrame:
+    """Near-duplicates by three-word shingles at 0.85."""
+    return minhash.near_duplicates(base.table(spark, path, "documents"), 3, 85)
 
 
 def op6(spark: SparkSession, path: str) -> DataFrame:
@@ -28,6 +33,7 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
 
 
 REGISTRY: dict[str, base.Query] = {
+    "op2_minhash": base.Query(op2, minhash.SQL),
     "op6_quality_cnn": base.Query(op6),
     "op7_toxicity_gru": base.Query(op7),
     "op8_language_id": base.Query(op8),
