@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from medley import session
 from medley.llm import words
 from medley.llm.components import components
+from medley.llm.grouped import whole_groups
 
 COORDINATES, MATCHES = 24, 11
 PREFIX = COORDINATES - MATCHES + 1
@@ -82,26 +83,6 @@ def _signatures(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows again, cut only between groups of equal keys; rows come sorted by them."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
-        rows = pa.concat_tables([rest, rows]) if rest is not None else rows
-        last = np.ones(rows.num_rows, bool)
-        for k in keys:
-            column = rows.column(k).to_numpy()
-            last &= column == column[-1]
-        cut = rows.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
-        if cut:
-            yield rows.slice(0, cut)
-        rest = rows.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Every pair of rows of one group, in bounded pieces; ``group`` is sorted."""
     ends = np.searchsorted(group, group, "right")
@@ -149,7 +130,7 @@ def _active(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     """Members with at least one partner to confirm."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, ["key", "i", "j"]):
+        for rows in whole_groups(batches, ["key", "i", "j"]):
             has = np.zeros(rows.num_rows, bool)
             for a, b in _Members(rows).partners(percent):
                 has[a] = has[b] = True
@@ -162,7 +143,7 @@ def _confirm(shingle: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
     """Links confirmed on full sets, of each group only those that join two parts not joined before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, ["key", "i", "j"]):
+        for rows in whole_groups(batches, ["key", "i", "j"]):
             m = _Members(rows)
             grams = list(shingle_sets(rows.column("text"), shingle))
             parent = np.arange(len(grams))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medley.llm import base, language, minhash, mixing, quality, toxicity
+from medley.llm import base, language, minhash, mixing, quality, substring, toxicity
 
 
 def op2(spark: SparkSession, path: str) -> DataFrame:
@@ -32,10 +33,17 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
     return mixing.mix(base.table(spark, path, "documents"), mixing.SEED)
 
 
+def op10(spark: SparkSession, path: str) -> DataFrame:
+    """Documents without words of windows that start earlier."""
+    kept = substring.remove_repeats(base.table(spark, path, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 REGISTRY: dict[str, base.Query] = {
     "op2_minhash": base.Query(op2, minhash.SQL),
     "op6_quality_cnn": base.Query(op6),
     "op7_toxicity_gru": base.Query(op7),
     "op8_language_id": base.Query(op8),
     "op9_poisson_mixing": base.Query(op9, mixing.SQL),
+    "op10_super_kmers": base.Query(op10, substring.SQL),
 }
