@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medley.llm import base, language, minhash, mixing, quality, substring, toxicity
+from medley.llm import base, language, minhash, mixing, quality, sentencepiece, substring, toxicity
+
+
+def op1(spark: SparkSession, path: str) -> DataFrame:
+    """Piece ids of every document and whether they decode to its text."""
+    return sentencepiece.round_trip(base.table(spark, path, "documents"))
 
 
 def op2(spark: SparkSession, path: str) -> DataFrame:
@@ -40,6 +45,7 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
 
 
 REGISTRY: dict[str, base.Query] = {
+    "op1_sentencepiece": base.Query(op1),
     "op2_minhash": base.Query(op2, minhash.SQL),
     "op6_quality_cnn": base.Query(op6),
     "op7_toxicity_gru": base.Query(op7),
