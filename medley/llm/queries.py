@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medley.llm import base, embeddings, language, minhash, mixing, quality, sentencepiece, substring, toxicity
+from medley.llm import base, embeddings, language, minhash, mixing, pages, quality, sentencepiece, substring, toxicity
 
 
 def op1(spark: SparkSession, path: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2(spark: SparkSession, path: str) -> DataFrame:
     return minhash.near_duplicates(base.table(spark, path, "documents"), 3, 85)
 
 
+def op3(spark: SparkSession, path: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(base.table(spark, path, "pages"))
+
+
 def op4(spark: SparkSession, path: str) -> DataFrame:
     """Embeddings of equal label linked at a cosine of 0.93."""
     return embeddings.near_duplicates(base.table(spark, path, "embeddings"), embeddings.LEAST)
@@ -52,6 +57,7 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
 REGISTRY: dict[str, base.Query] = {
     "op1_sentencepiece": base.Query(op1),
     "op2_minhash": base.Query(op2, minhash.SQL),
+    "op3_page_text": base.Query(op3),
     "op4_rotation_codes": base.Query(op4, embeddings.SQL),
     "op6_quality_cnn": base.Query(op6),
     "op7_toxicity_gru": base.Query(op7),
