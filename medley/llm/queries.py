@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medley.llm import base, embeddings, language, minhash, mixing, pages, quality, sentencepiece, substring, toxicity
+from medley.llm import base, embeddings, language, minhash, mixing, pages, quality, sentencepiece, spotsigs, substring, toxicity
 
 
 def op1(spark: SparkSession, path: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op4(spark: SparkSession, path: str) -> DataFrame:
     return embeddings.near_duplicates(base.table(spark, path, "embeddings"), embeddings.LEAST)
 
 
+def op5(spark: SparkSession, path: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return spotsigs.compare_edits(base.table(spark, path, "documents"))
+
+
 def op6(spark: SparkSession, path: str) -> DataFrame:
     """Quality of every document."""
     return quality.score(base.table(spark, path, "documents"), base.table(spark, path, "labels"))
@@ -59,6 +64,7 @@ REGISTRY: dict[str, base.Query] = {
     "op2_minhash": base.Query(op2, minhash.SQL),
     "op3_page_text": base.Query(op3),
     "op4_rotation_codes": base.Query(op4, embeddings.SQL),
+    "op5_spotsigs": base.Query(op5),
     "op6_quality_cnn": base.Query(op6),
     "op7_toxicity_gru": base.Query(op7),
     "op8_language_id": base.Query(op8),
