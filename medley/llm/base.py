@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import log
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medley import session
+from medley.llm.grouped import parts
 
 
 @dataclass(frozen=True)
@@ -65,3 +68,16 @@ def prior_shift(labels: DataFrame, column: str, sample: object) -> float:
     if not all([ones, zeros, *taken]):
         return 0.0
     return log(ones / zeros) - log(taken[0] / taken[1])
+
+
+def annotate(docs: DataFrame, column: str, added: dict[str, T.DataType], compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """Every row with columns worked out batch by batch from one column; input columns of the new names are replaced."""
+    rows = docs.select([c for c in docs.columns if c.lower() not in added])
+    at = rows.columns.index(column)
+    names = [*rows.columns, *added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column(at))], names)
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *(T.StructField(k, v) for k, v in added.items())]))

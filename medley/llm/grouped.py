@@ -1,4 +1,4 @@
-"""Batches of sorted rows cut between groups."""
+"""Batches cut into bounded parts, or between groups of sorted rows."""
 
 from __future__ import annotations
 
@@ -8,6 +8,17 @@ import numpy as np
 import pyarrow as pa
 
 
+PART = 1 << 22
+
+
+def parts(batches: Iterator[pa.RecordBatch], limit: int = PART) -> Iterator[pa.RecordBatch]:
+    """The rows again in batches of about ``limit`` bytes, one row at least, so that what is made of one stays small."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * min(1.0, limit / max(1, batch.nbytes))))
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The rows again, cut only between groups of equal keys; rows come sorted by them, so memory is bounded by a group."""
     rest: pa.Table | None = None

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medley.llm import base
 
@@ -150,13 +151,10 @@ def identify(docs: DataFrame, sample: int = SAMPLE, top: int = TOP) -> DataFrame
     rows = base.training_sample(docs, labelled, sample, "lang").orderBy("doc_id").toPandas()
     model = learn(rows["text"].tolist(), rows["label"].tolist(), top)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = model.predict(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"],
-            )
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        names, scores = model.predict(texts.to_pylist())
+        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), base.held_out().alias("held_out"), "text")
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
+    scored = base.annotate(rows, "text", {"lang_pred": T.StringType(), "score": T.DoubleType()}, compute)
+    return scored.select("doc_id", "held_out", "lang_pred", "score")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from medley import session
 from medley.llm import words
 from medley.llm.components import components
-from medley.llm.grouped import whole_groups
+from medley.llm.grouped import parts, whole_groups
 
 COORDINATES, MATCHES = 24, 11
 PREFIX = COORDINATES - MATCHES + 1
@@ -69,7 +69,7 @@ def signature(grams: np.ndarray) -> np.ndarray:
 
 def _signatures(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             count, digest, sig = [], [], []
             for grams in shingle_sets(batch.column(1), size):
                 count.append(len(grams))

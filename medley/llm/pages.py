@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medley.llm.grouped import parts
+
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?|<[!?/][^>]*+>?""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/>]|$))""", re.I)
 
@@ -222,7 +224,7 @@ def main_text(page: str | None) -> str:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         texts = [main_text(page.as_py()) for page in batch.column(2)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medley.llm import base, words
 
@@ -161,13 +162,13 @@ def _gradients(net: Net, data: np.ndarray, offsets: np.ndarray, y: np.ndarray) -
     return [embed, conv, grad.sum(0), f.T @ g, np.array([g.sum()], np.float32)]
 
 
-def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row, by a network fitted to ``labels`` (doc_id, quality).
+def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """Every row with score and predicted, by a network fitted to ``labels`` (doc_id, quality).
 
     About ``sample`` documents of each label, none of them held out, are learned from, and the probability is then moved
-    to the labels' own shares among all rows that are not held out; every whole text is scored. Null
-    and empty texts are scored as one padded chunk; equal texts have equal scores. Repeated ids each get a row. Without
-    any usable label the score is 0.5, with one label value it is nearly that value.
+    to the labels' own shares among all rows that are not held out; every whole text is scored. Null and empty texts are
+    scored as one padded chunk; equal texts have equal scores. Repeated ids and null ids each get a score. Without any
+    usable label the score is 0.5, with one label value it is nearly that value. Input columns of these names are replaced.
     """
     rows = base.training_sample(docs, labels.select("doc_id", F.col("quality").alias("label")), sample, "quality", 6000)
     rows = rows.orderBy("doc_id", "text").toPandas()
@@ -176,13 +177,16 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: f
         net.out[:] = 0
     net.out_bias += base.prior_shift(labels, "quality", rows["label"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = words.buffers(batch.column(2))
-            found = [probability(net, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in words.slices(offsets)]
-            p = np.concatenate([np.zeros(0), *found])
-            predicted = pa.array((p >= threshold).astype(np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), predicted], ["doc_id", "held_out", "score", "predicted"])
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        data, offsets = words.buffers(texts)
+        found = [probability(net, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in words.slices(offsets)]
+        p = np.concatenate([np.zeros(0), *found])
+        return [pa.array(p), pa.array((p >= threshold).astype(np.int32), pa.int32())]
+
+    return base.annotate(docs, "text", {"score": T.DoubleType(), "predicted": T.IntegerType()}, compute)
 
+
+def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row, as ``judge`` finds them."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), base.held_out().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return judge(rows, labels, sample, threshold).select("doc_id", "held_out", "score", "predicted")

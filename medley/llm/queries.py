@@ -55,7 +55,7 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
 
 def op10(spark: SparkSession, path: str) -> DataFrame:
     """Documents without words of windows that start earlier."""
-    kept = substring.remove_repeats(base.table(spark, path, "documents"))
+    kept = substring.remove_repeats(base.table(spark, path, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

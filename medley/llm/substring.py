@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medley import session
 from medley.llm import words
-from medley.llm.grouped import whole_groups
+from medley.llm.grouped import parts, whole_groups
 
 WINDOW = 20
 M = 6
@@ -68,7 +69,7 @@ def _hashed(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of every document and a digest of their sequence."""
-    for batch in batches:
+    for batch in parts(batches):
         count, digest = [], []
         for low, high, row, hashed in _hashed(batch.column(1)):
             ends = np.searchsorted(row, np.arange(low, high) - low, "right")
@@ -82,7 +83,7 @@ def _minimisers(window: int, m: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
     """Every super-k-mer without its words; ``sequence`` tells documents of different words apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for low, high, row, hashed in _hashed(batch.column(1)):
                 of, first, n, least = super_kmers(hashed, row, window, m)
@@ -110,27 +111,27 @@ def _packed(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     """The super-k-mers named in ``hits`` with their words as one packed string, and the part of the bucket that they go to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ids, hits = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
             for low, high, row, hashed in _hashed(batch.column(1)):
                 begin = np.searchsorted(row, np.arange(high - low))
                 ends = np.searchsorted(row, np.arange(high - low), "right")
-                part = hits.slice(low, high - low)
-                size = np.diff(part.offsets.to_numpy())
-                flat = part.flatten()
-                mini, start, n, parts = (flat.field(c).to_numpy() for c in ("mini", "start", "n", "parts"))
+                own = hits.slice(low, high - low)
+                size = np.diff(own.offsets.to_numpy())
+                flat = own.flatten()
+                mini, start, n, share = (flat.field(c).to_numpy() for c in ("mini", "start", "n", "parts"))
                 of = np.repeat(np.arange(high - low), size)
                 stop = begin[of] + start + n + window - 1
                 ok = stop <= ends[of]
-                mini, start, n, parts, of, stop = (x[ok] for x in (mini, start, n, parts, of, stop))
+                mini, start, n, share, of, stop = (x[ok] for x in (mini, start, n, share, of, stop))
                 doc = ids[low + of]
-                salt = words.mix(doc.astype(np.uint64) * _C[0][0] + start.astype(np.uint64) * _C[1][0]) % parts.astype(np.uint64)
+                salt = words.mix(doc.astype(np.uint64) * _C[0][0] + start.astype(np.uint64) * _C[1][0]) % share.astype(np.uint64)
                 offsets = np.concatenate([[0], np.cumsum(stop - begin[of] - start)])
                 at = np.arange(offsets[-1]) + np.repeat(begin[of] + start - offsets[:-1], np.diff(offsets))
                 packed = pa.Array.from_buffers(
                     pa.large_binary(), len(of), [None, pa.py_buffer((offsets * 8).astype(np.int64)), pa.py_buffer(hashed[at])]
                 ).cast(pa.binary())
-                columns = [mini, salt.astype(np.int32), doc, start.astype(np.int32), parts.astype(np.int32)]
+                columns = [mini, salt.astype(np.int32), doc, start.astype(np.int32), share.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), packed], ["mini", "salt", "doc_id", "start", "parts", "words"])
 
     return run
@@ -141,7 +142,7 @@ def _repeats(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["mini", "salt"]):
-            doc, start, parts = (rows.column(c).to_numpy() for c in ("doc_id", "start", "parts"))
+            doc, start, share = (rows.column(c).to_numpy() for c in ("doc_id", "start", "parts"))
             key, salt = rows.column("mini").to_numpy(), rows.column("salt").to_numpy()
             packed = rows.column("words").to_pylist()
             size = np.array([len(p) // 8 for p in packed])
@@ -166,7 +167,7 @@ def _repeats(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             first = spot[new]
             length = np.diff(np.append(np.flatnonzero(new), len(spot)))
             yield _rows(doc[of[first]], place[first], length, None, None)
-            early = np.flatnonzero(~late & (parts[of] > 1))
+            early = np.flatnonzero(~late & (share[of] > 1))
             if len(early):
                 yield _rows(doc[of[early]], place[early], np.ones(len(early), np.int64), one[early].view(np.int64), two[early].view(np.int64))
 
@@ -182,9 +183,9 @@ def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     """The kept words of every document joined by one space, the number of all and of removed words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             total, removed, kept = [], [], []
-            for text, whole, runs in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            for text, whole, runs in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 found = (text.as_py() or "").encode().split()
                 gone = np.zeros(len(found), bool)
                 if whole:
@@ -199,14 +200,14 @@ def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 total.append(len(found))
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join([w for w, g in zip(found, gone.tolist(), strict=True) if not g] if removed[-1] else found))
-            arrays = [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_text"])
+            found = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[3:], *found], [*batch.schema.names[3:], "n_words", "n_removed", "kept_text"])
 
     return run
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_text (the kept words joined by one space) of every row.
+    """Every row with n_words, n_removed and kept_text (the kept words joined by one space); such input columns are replaced.
 
     A word is a run of bytes other than space and 0x09-0x0D, taken as it is. A word goes if a window of ``window`` words
     covers it whose sequence also starts earlier: in a document of smaller id, or earlier in the same one. Windows are
@@ -239,9 +240,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFra
     runs = found.where("one IS NULL").select("doc_id", "start", "n").unionByName(late)
     runs = runs.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("runs")).withColumn("whole", F.lit(False))
     runs = runs.unionByName(copies.select("doc_id", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"), F.lit(True).alias("whole")))
-    none = rows.where("doc_id IS NULL").withColumns({"whole": F.lit(False), "runs": F.lit(None).cast(runs.schema["runs"].dataType)})
-    judged = some.join(runs, "doc_id", "left").select("doc_id", "text", "whole", "runs").unionByName(none)
-    return judged.mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
+    keep = docs.select([c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text")])
+    runs = runs.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_whole"), F.col("runs").alias("_runs"))
+    judged = keep.where("doc_id IS NOT NULL").join(runs, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
+    none = keep.where("doc_id IS NULL").withColumns({"_whole": F.lit(False), "_runs": F.lit(None).cast(judged.schema["_runs"].dataType)})
+    judged = judged.unionByName(none).select(F.col("text").alias("_text"), "_whole", "_runs", *keep.columns)
+    added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
+    return judged.mapInArrow(_cut(window), T.StructType([*keep.schema.fields, *added]))
 
 
 SQL = r"""

@@ -7,12 +7,11 @@ window's states into one log-odds, and a document's score is that of its worst w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medley.llm import base, words
 
@@ -243,14 +242,13 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: f
     net = learn(rows["text"].tolist(), rows["label"].astype(int).tolist())
     shift = base.prior_shift(labels, "toxic", rows["label"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = words.buffers(batch.column(2))
-            cut = words.slices(offsets, PIECE)
-            found = [probability(net, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shift) for a, b in cut]
-            p = np.concatenate([np.zeros(0), *found])
-            predicted = pa.array((p >= threshold).astype(np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), predicted], ["doc_id", "held_out", "score", "predicted"])
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        data, offsets = words.buffers(texts)
+        cut = words.slices(offsets, PIECE)
+        found = [probability(net, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shift) for a, b in cut]
+        p = np.concatenate([np.zeros(0), *found])
+        return [pa.array(p), pa.array((p >= threshold).astype(np.int32), pa.int32())]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), base.held_out().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    scored = base.annotate(rows, "text", {"score": T.DoubleType(), "predicted": T.IntegerType()}, compute)
+    return scored.select("doc_id", "held_out", "score", "predicted")
