@@ -10,21 +10,24 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from medley.llm import base
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
 LONG = 64
-CELLS = 1 << 20
-SLICE = 1 << 20
+CELLS = 1 << 18
+SLICE = 1 << 19
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -102,7 +105,7 @@ class Automaton:
                 state = child
             ends.setdefault(state, piece)
         n = len(nodes) + 1
-        self.goto = np.zeros((n, 256), np.int32)
+        self.goto = np.zeros((n, 256), np.min_scalar_type(n))
         self.piece, self.length, self.score = np.full(n, -1, np.int32), np.zeros(n, np.int32), np.zeros(n)
         for state, piece in ends.items():
             self.piece[state], self.length[state], self.score[state] = piece, len(model.pieces[piece].encode()), model.scores[piece]
@@ -191,7 +194,8 @@ class Automaton:
             m = int(np.searchsorted(-size, -t, "left"))
             byte = text[t, :m]
             head[:m][(byte & 0xC0) != 0x80] = t
-            state[:m] = s = self.goto[state[:m], byte]
+            s = self.goto[state[:m], byte]
+            state[:m] = s
             out = np.where(self.piece[s] >= 0, s, self.link[s])
             single = np.zeros(m, bool)
             rows = np.flatnonzero(out)
@@ -301,17 +305,6 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *rows]), pa.int32()))
 
 
-def _encoder(model: Model, text: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                rows = list(encode_texts(model, [t or "" for t in part.column(text).to_pylist()]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([len(r) for r in rows], pa.int32()), _lists(rows)], [*part.schema.names, "n_tokens", "token_ids"])
-
-    return run
-
-
 def encode(docs: DataFrame, path: str = MODEL, text: str = "text") -> DataFrame:
     """Every row with n_tokens and token_ids; input columns of these names are replaced. Null and empty texts have no token.
 
@@ -319,35 +312,41 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text") -> DataFrame:
     file's own algorithm, so a merge-ranked vocabulary gives the segmentation of best total score, not that of its merges.
     """
     model = Model.load(path)
-    rows = docs.select([c for c in docs.columns if c not in ("n_tokens", "token_ids")])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(_encoder(model, rows.columns.index(text)), f"{schema}, n_tokens int, token_ids array<int>")
+
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        rows = list(encode_texts(model, [t or "" for t in texts.to_pylist()]))
+        return [pa.array([len(r) for r in rows], pa.int32()), _lists(rows)]
+
+    return base.annotate(docs, text, {"n_tokens": T.IntegerType(), "token_ids": T.ArrayType(T.IntegerType())}, compute)
 
 
 def decode(rows: DataFrame, path: str = MODEL) -> DataFrame:
     """Every row with decoded, the text that its token_ids stand for (null for null); an input column of this name is replaced."""
     model = Model.load(path)
-    rows = rows.select([c for c in rows.columns if c != "decoded"])
-    ids = rows.columns.index("token_ids")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(ids)
-            found = decode_ids(model, [np.zeros(0, np.int32) if not x.is_valid else x.values.to_numpy() for x in column])
-            texts = [t if x.is_valid else None for t, x in zip(found, column, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+    def compute(lists: pa.Array) -> list[pa.Array]:
+        found = decode_ids(model, [np.zeros(0, np.int32) if not x.is_valid else x.values.to_numpy() for x in lists])
+        return [pa.array([t if x.is_valid else None for t, x in zip(found, lists, strict=True)], pa.string())]
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{schema}, decoded string")
+    return base.annotate(rows, "token_ids", {"decoded": T.StringType()}, compute)
 
 
 def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, token_ids, decoded_sha256 and whether decoding gives the text back, of every row.
 
     A null text counts as empty. Texts that the model's own normalisation changes (repeated spaces, where it drops them)
-    come back normalised and are marked false.
+    come back normalised and are marked false. Encoding and decoding share one pass, so a core needs one Python worker.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = decode(encode(rows, path), path)
-    same = (F.col("decoded") == F.col("text")).alias("round_trip")
-    return rows.select("doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"), same)
+    model = Model.load(path)
+
+    def compute(texts: pa.Array) -> list[pa.Array]:
+        own = [t or "" for t in texts.to_pylist()]
+        rows = list(encode_texts(model, own))
+        back = list(decode_ids(model, rows))
+        digest = [hashlib.sha256(t.encode()).hexdigest() for t in back]
+        same = [a == b for a, b in zip(own, back, strict=True)]
+        return [pa.array([len(r) for r in rows], pa.int32()), _lists(rows), pa.array(digest, pa.string()), pa.array(same, pa.bool_())]
+
+    added = {"n_tokens": T.IntegerType(), "token_ids": T.ArrayType(T.IntegerType()), "decoded_sha256": T.StringType(), "round_trip": T.BooleanType()}
+    rows = base.annotate(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text", added, compute)
+    return rows.select("doc_id", *added)
