@@ -6,6 +6,7 @@ content words, words that are neither anchors nor other stop words. A document's
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value worked out once; a lambda that names an expression would work it out again for every element."""
+    return F.transform(F.array(value), then).getItem(0)
+
+
 def signatures(text: Column) -> Column:
     """The sorted distinct signatures of a text as 64-bit hashes; null counts as empty.
 
@@ -36,16 +42,18 @@ def signatures(text: Column) -> Column:
     with none gives no signature. A text of fewer than SHORT words, or without any signature, takes every word for an
     anchor, with the next words as they are; a text without words has the empty set.
     """
-    every = words(F.coalesce(text, F.lit("")))
-    spotted = F.filter(every, lambda x: ~x.isin(STOP))
 
-    def spot(x: Column, i: Column, of: Column) -> Column:
-        chain = F.slice(F.filter(F.slice(of, i + 2, SPAN), lambda y: ~y.isin(ANCHORS)), 1, CHAIN)
-        return F.when(x.isin(ANCHORS) & (F.size(chain) > 0), F.xxhash64(x, F.array_join(chain, " ")))
+    def spots(every: Column, spotted: Column) -> Column:
+        def spot(x: Column, i: Column) -> Column:
+            chain = F.slice(F.filter(F.slice(spotted, i + 2, SPAN), lambda y: ~y.isin(ANCHORS)), 1, CHAIN)
+            return F.when(F.size(chain) > 0, F.xxhash64(x, F.array_join(chain, " ")))
+
+        found = F.array_compact(F.transform(spotted, lambda x, i: F.when(x.isin(ANCHORS), spot(x, i))))
+        plain = F.transform(every, lambda x, i: F.xxhash64(x, F.array_join(F.slice(every, i + 2, CHAIN), " ")))
+        return let(found, lambda f: F.when((F.size(every) >= SHORT) & (F.size(f) > 0), f).otherwise(plain))
 
-    found = F.array_compact(F.transform(spotted, lambda x, i: spot(x, i, spotted)))
-    plain = F.transform(every, lambda x, i: F.xxhash64(x, F.array_join(F.slice(every, i + 2, CHAIN), " ")))
-    return F.sort_array(F.array_distinct(F.when((F.size(every) >= SHORT) & (F.size(found) > 0), found).otherwise(plain)))
+    chosen = let(words(F.coalesce(text, F.lit(""))), lambda every: let(F.filter(every, lambda x: ~x.isin(STOP)), lambda v: spots(every, v)))
+    return F.sort_array(F.array_distinct(chosen))
 
 
 def fingerprint(sigs: Column) -> Column:
