@@ -106,29 +106,15 @@ def ratio(df: DataFrame, part: str, whole: str, out: str = "percent") -> DataFra
     )
 
 
-LIST_LIMIT = 1_000_000
+def value_sets(df: DataFrame, by: Sequence[str], column: str, out: str = "items") -> DataFrame:
+    """[A16] Sorted distinct values by key, nulls left out, for keys known to have few values: a list is one cell.
 
-
-def value_sets(
-    df: DataFrame, by: Sequence[str], column: str, out: str = "items", limit: int = LIST_LIMIT
-) -> DataFrame:
-    """[A16] Sorted distinct values by key, nulls left out. Duplicates are removed before any list is built.
-
-    A list is one cell, so a key with more than `limit` values is refused; `group_members` gives the same
-    as rows, for keys of any size.
+    Duplicates are removed before any list is built; `group_members` gives the same as rows, for keys of any size.
     """
     values = df.select(*by, column).dropna(subset=[column]).distinct()
-    require_short_lists(values, by, limit)
     return values.groupBy(*by).agg(F.array_sort(F.collect_list(column)).alias(out))
 
 
-def require_short_lists(rows: DataFrame, by: Sequence[str], limit: int = LIST_LIMIT) -> None:
-    """Raise if a key has more rows than one list may hold."""
-    long = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    if not long.isEmpty():
-        raise ValueError(f"a group of {list(by)} has more than {limit} values")
-
-
 def shop_batches(requests: DataFrame, shop: str) -> DataFrame:
     """[A17] Requests of one shop side by side in one partition, ordered.
 

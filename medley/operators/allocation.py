@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators.skew import BROADCAST_ROWS, lookup
+from medley.operators.skew import lookup, one_per_key
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -24,28 +24,28 @@ def allocate(
 ) -> DataFrame:
     """[G01] Split a product's sales over areas by weight; a product without weights keeps one row.
 
-    The areas of a key are packed into one row of the weight table, so sales rows find them by a lookup
-    that spares hot products the shuffle, and are exploded afterwards.
+    A key whose weights do not sum to 1 is an error when the result is read, as totals would change silently.
     """
-    packed = weights.groupBy(*key).agg(
-        F.collect_list(F.struct(F.col(area).alias("area"), F.col(weight).alias("weight"))).alias("_areas")
-    )
-    rows = lookup(sales, packed, key, small=BROADCAST_ROWS).withColumn("_a", F.explode_outer("_areas"))
-    share = F.coalesce(F.col("_a.weight"), F.lit(1))
-    return rows.withColumns({area: F.col("_a.area"), amount: F.col(amount) * share}).drop("_areas", "_a")
+    sums = weights.groupBy(*key).agg(F.sum(weight).alias("_sum"))
+    wrong = F.raise_error(F.concat(F.lit("weights do not sum to 1: "), F.to_json(F.struct(*key))))
+    shares = lookup(weights.select(*key, F.col(area).alias("_area"), F.col(weight).alias("_weight")), sums, key)
+    # a filter, so that no plan can leave the check out
+    whole = F.when(F.abs(F.col("_sum") - 1) <= 1e-9, F.lit(True)).otherwise(wrong.cast("boolean"))
+    rows = lookup(sales, shares.filter(whole).drop("_sum"), key)
+    return rows.withColumns({area: F.col("_area"), amount: F.col(amount) * F.coalesce("_weight", F.lit(1))}).drop("_area", "_weight")
 
 
 def reallocate(sales: DataFrame, regions: DataFrame, key: Sequence[str], region: str, real: str) -> DataFrame:
     """[G02] Replace a distributor's region by the real one; unlisted rows keep theirs."""
-    table = regions.select(*key, F.col(real).alias("_real"))
-    return lookup(sales, table, key, small=BROADCAST_ROWS).withColumn(region, F.coalesce("_real", region)).drop("_real")
+    table = one_per_key(regions.select(*key, F.col(real).alias("_real")), key, "region table")
+    return lookup(sales, table, key).withColumn(region, F.coalesce("_real", region)).drop("_real")
 
 
 def convert(sales: DataFrame, factors: DataFrame, key: Sequence[str], factor: str, columns: Sequence[str]) -> DataFrame:
     """[G04] Multiply columns by a conversion factor, 1 where none is listed."""
-    table = factors.select(*key, F.col(factor).alias("_factor"))
+    table = one_per_key(factors.select(*key, F.col(factor).alias("_factor")), key, "factor table")
     scale = F.coalesce(F.col("_factor"), F.lit(1))
-    return lookup(sales, table, key, small=BROADCAST_ROWS).withColumns({c: F.col(c) * scale for c in columns}).drop("_factor")
+    return lookup(sales, table, key).withColumns({c: F.col(c) * scale for c in columns}).drop("_factor")
 
 
 def run_rules(df: DataFrame, rules: Sequence[Step]) -> DataFrame:
@@ -56,7 +56,7 @@ def run_rules(df: DataFrame, rules: Sequence[Step]) -> DataFrame:
 def region_subset(df: DataFrame, config: DataFrame, table: str, country: str) -> DataFrame:
     """[G06] Rows of the countries configured for a table, with their region."""
     listed = config.filter(F.col("table_name") == table).select(F.col("country").alias(country), "region").distinct()
-    return lookup(df, listed, [country], "inner", small=BROADCAST_ROWS)
+    return lookup(df, listed, [country], "inner")
 
 
 def roll_up(df: DataFrame, levels: Sequence[str], amount: str) -> Mapping[str, DataFrame]:

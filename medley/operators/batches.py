@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from medley.operators.skew import hot_counts, hot_keys, lookup
+from medley.operators.joins import asof
+from medley.operators.skew import lookup
 from medley.session import materialise
 
 
@@ -26,36 +26,22 @@ def map_batches(df: DataFrame, f: Callable[[pd.DataFrame], pd.DataFrame], schema
 def demean(df: DataFrame, by: list[str], col: str, out: str) -> DataFrame:
     """[U04] Value minus the mean of its group.
 
-    The mean is a map-side aggregate joined back (see `skew.lookup`), so that no worker has to hold a
-    whole group, as a grouped-map function would.
+    The mean is a map-side aggregate joined back, so that no worker has to hold a whole group, as a grouped-map
+    function would. Written first, its size tells Spark how to join, and partitions of hot keys can be split.
     """
-    means = materialise(df.groupBy(*by).agg(F.avg(col).alias("_mean"), F.count(F.lit(1)).alias("_n")), "means")
-    found = lookup(df, means.drop("_n"), by, hot=hot_counts(means, by, "_n"))
-    return found.withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
+    means = materialise(df.groupBy(*by).agg(F.avg(col).alias("_mean")), "means")
+    return lookup(df, means, by).withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
 
 
 def grouped(df: DataFrame, by: list[str], f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """[U04] The grouped-map form. A worker holds a whole group, so hot groups are refused."""
-    _require_small_groups(df, by)
+    """[U04] The grouped-map form, for groups that the caller knows to fit a worker: each is held whole by one."""
     return df.groupBy(*by).applyInPandas(f, schema)
 
 
-def cogrouped_asof(
-    left: DataFrame, right: DataFrame, by: str, at: str, schema: str
-) -> DataFrame:
-    """[U05] As-of join as a cogrouped map. Hot groups are refused; `joins.asof` takes groups of any size."""
-    _require_small_groups(left, [by])
-    _require_small_groups(right, [by])
+def cogrouped_asof(left: DataFrame, right: DataFrame, by: str, at: str, value: str) -> DataFrame:
+    """[U05] Two grouped frames side by side, each left row with the last right value at or before its time.
 
-    columns = T.StructType.fromDDL(schema).names
-
-    def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(at), b.sort_values(at)
-        return pd.merge_asof(a, b.drop(columns=[by]), on=at)[columns]
-
-    return left.groupBy(by).cogroup(right.groupBy(by)).applyInPandas(one, schema)
-
-
-def _require_small_groups(df: DataFrame, by: list[str]) -> None:
-    if hot_keys(df, by):
-        raise ValueError(f"a group of {by} is too large for one worker")
+    A cogrouped function would hold both sides of a group in one worker; here the sides are stacked and scanned as in
+    `joins.asof`, so a group may have any size.
+    """
+    return asof(left, right, [by], at, {value: value})

@@ -8,15 +8,13 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medley.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, lookup, running
+from medley.operators.skew import lookup, one_per_key, running
 
 
-def enrich(
-    df: DataFrame, master: DataFrame, keys: Sequence[str], flag: str = "unmatched", small: int = BROADCAST_ROWS
-) -> DataFrame:
-    """[J13] Left lookup in master data (one row per key) with a flag on rows that found nothing."""
-    marked = master.withColumn("_found", F.lit(True))
-    return lookup(df, marked, keys, small=small).withColumn(flag, F.col("_found").isNull()).drop("_found")
+def enrich(df: DataFrame, master: DataFrame, keys: Sequence[str], flag: str = "unmatched") -> DataFrame:
+    """[J13] Left lookup in master data with a flag on rows that found nothing; a master key that occurs twice is an error."""
+    marked = one_per_key(master, keys, "master data").withColumn("_found", F.lit(True))
+    return lookup(df, marked, keys).withColumn(flag, F.col("_found").isNull()).drop("_found")
 
 
 def interval_join(
@@ -27,39 +25,26 @@ def interval_join(
     start: str,
     end: str,
     how: str = "left",
-    small: int = BROADCAST_ROWS,
-    rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """[J04, K04] Rows joined to the ranges of their key that contain their day, both ends inclusive.
 
-    A row in two ranges comes out twice, a row in none stays (left). A range table of at most `small`
-    rows, counted first, is broadcast: one hash join on the key with the range as a residual filter.
-    For a larger one the distinct (key, day) pairs of the rows, no more than keys times calendar days,
-    find their ranges by key and month; the rows then look their pair up, and rows of a hot pair do
-    not travel.
+    A row in two ranges comes out twice, a row in none stays (left). The distinct (key, day) pairs of the rows, no more
+    than keys times calendar days, meet the ranges by key and month; the rows then take their pair's ranges by an equi-join
+    on key and day. No list of ranges is gathered, and Spark chooses both joins' methods from the real sizes.
     """
     day = F.to_date(F.col(at))
     key, other = on
-    if is_small(ranges, small):
-        hit = (left[key] == ranges[other]) & day.between(F.to_date(ranges[start]), F.to_date(ranges[end]))
-        return left.join(F.broadcast(ranges), hit, how)
-    span = left.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-    first = F.greatest(F.to_date(F.col(start)), F.lit(span["lo"]).cast("date"))
-    last = F.least(F.to_date(F.col(end)), F.lit(span["hi"]).cast("date"))
-    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
-    cut = ranges.filter(first <= last).select(F.struct(*ranges.columns).alias("_range"), F.explode(months).alias("_month"))
     dated = left.withColumn("_day", day)
-    pairs = dated.select(key, "_day").dropna().distinct().withColumn("_in", F.trunc("_day", "month"))
+    pairs = dated.select(F.col(key).alias("_key"), "_day").dropna().distinct().withColumn("_in", F.trunc("_day", "month"))
+    span = pairs.agg(F.min("_day").alias("_lo"), F.max("_day").alias("_hi"))  # one row
+    first, last = F.greatest(F.to_date(F.col(start)), F.col("_lo")), F.least(F.to_date(F.col(end)), F.col("_hi"))
+    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
+    cut = ranges.join(F.broadcast(span)).filter(first <= last).select(F.struct(*ranges.columns).alias("_range"), F.explode(months).alias("_month"))
     bounds = [F.to_date(F.col(f"_range.{c}")) for c in (start, end)]
-    hit = (
-        (F.col(key) == F.col(f"_range.{other}"))
-        & (F.col("_in") == F.col("_month"))
-        & F.col("_day").between(*bounds)
-    )
-    found = pairs.join(cut, hit).groupBy(key, "_day").agg(F.collect_list("_range").alias("_ranges"))
-    explode = F.explode_outer if how == "left" else F.explode
-    joined = lookup(dated, found, [key, "_day"], how, rows).withColumn("_range", explode("_ranges"))
-    return joined.select(*left.columns, "_range.*")
+    hit = (F.col("_key") == F.col(f"_range.{other}")) & (F.col("_in") == F.col("_month")) & F.col("_day").between(*bounds)
+    found = pairs.join(cut, hit).select("_key", F.col("_day").alias("_on"), "_range")
+    joined = dated.join(found, (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_on")), how)
+    return joined.select(*[dated[c] for c in left.columns], "_range.*")
 
 
 def overlapping(ranges: DataFrame, key: str, start: str, end: str) -> DataFrame:
@@ -85,21 +70,21 @@ def asof(
     at: str,
     values: Mapping[str, str],
     tie: str | None = None,
-    rows: int = ROWS_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """[J05] For each left row the last right row of its group at or before its time.
 
     `values` maps a right column to its output name; equal times match; `tie` decides among right rows
     of one time (the largest wins; without it a hash of the values decides). Both sides are stacked and
-    scanned once in time order, one shuffle by group; hot groups are scanned in chunks. A null value on
-    the right is still a match.
+    scanned once in time order, part by part, whatever one group holds. A null value on the right is still
+    a match.
     """
     packed = F.struct(*[F.col(v).alias(o) for v, o in values.items()]).alias("_v")
     among = (F.col(tie) if tie else F.xxhash64(*values)).alias("_among")
     points = right.filter(F.col(at).isNotNull()).select(*by, at, packed, F.lit(0).alias("_side"), among)
     asked = left.select(*by, at, F.struct(*left.columns).alias("_row"), F.lit(1).alias("_side"))
     stacked = points.unionByName(asked, allowMissingColumns=True)
-    scanned = running(stacked, by, [at, "_side", "_among"], {"_hit": ("last", "_v")}, rows)
+    scanned = running(stacked, by, [at, "_side", "_among"], {"_hit": ("last", "_v")}, parts)
     return scanned.filter("_side = 1").select("_row.*", "_hit.*")
 
 

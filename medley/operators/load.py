@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medley.operators.joins import anti, compare_totals, semi
+from medley.operators.skew import lookup
 from medley.operators.windows import latest
 from medley.session import materialise
 
@@ -88,21 +90,41 @@ def merge_partitions(
     key: Sequence[str],
     partition: str,
     order_by: Sequence[str] | None = None,
-    limit: int = 10_000,
 ) -> int:
-    """[L05] Merge into a partitioned table and rewrite only the partitions the source touches.
+    """[L05] Merge into a partitioned table and rewrite only the partitions that change; how many they are.
 
-    A key must always lie in the same partition. Touched partition values are listed first (`limit` at most)
-    so the scan of the target is pruned to them. The new partitions are written aside and read back
-    before they replace the old ones, because a path must not be overwritten while it is read.
+    A partition changes if the source has rows for it, or if a key of the source lies in it so far: a key that moves leaves
+    its old partition. Those values, the null one included, are listed by a scan of the target's keys and written; the
+    target is then read by a semi join on them. The new partitions are written aside and read back before they replace
+    the old ones, because a path must not be overwritten while it is read, and partitions left empty are removed.
     """
-    touched = [r[0] for r in source.select(partition).distinct().limit(limit + 1).collect()]
-    if len(touched) > limit:
-        raise ValueError(f"source touches more than {limit} partitions")
-    old = spark.read.parquet(path).filter(F.col(partition).isin(*touched))
-    new = materialise(merge(old, source, key, order_by), "merge")
+    source = materialise(latest(source, key, order_by), "source") if order_by else source
+    if not order_by and not duplicate_keys(source, key).isEmpty():
+        raise ValueError(f"source has several rows for one key {list(key)}")
+    target = spark.read.parquet(path)
+    source = source.withColumn(partition, F.col(partition).cast(target.schema[partition].dataType))
+    moved = lookup(target.select(*key, partition), source.select(*key), key, "left_semi").select(partition)
+    touched = materialise(moved.unionByName(source.select(partition)).distinct(), "touched")
+    old = lookup(target, touched, [partition], "left_semi")
+    new = materialise(merge(old, source, key), "merge")
     overwrite_partitions(new, path, [partition])
-    return len(touched)
+    empty = lookup(touched, new.select(partition).distinct(), [partition], "left_anti")
+    for row in empty.toLocalIterator():
+        remove(spark, f"{path.rstrip('/')}/{partition_folder(partition, row[0])}")
+    return touched.count()
+
+
+def partition_folder(column: str, value: Any) -> str:
+    """The folder name of a partition value, as Spark writes it."""
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
+    special = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in text)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def vanished(target: DataFrame, source: DataFrame, key: Sequence[str], predicate: Column) -> DataFrame:
@@ -144,30 +166,38 @@ def replace_period(target: DataFrame, new: DataFrame, period: Sequence[str]) ->
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """[L09, S11] Replace only the partitions that occur in the frame."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """[L09, S11] Replace only the partitions that occur in the frame.
+
+    Rows are first dealt by partition value, in balanced pieces: a value's rows come from few tasks, and a large value
+    still gets several, so there are about as many files as the data needs and not tasks times values.
+    """
+    writer = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(path)
 
 
-def write_snapshot(df: DataFrame, path: str, run: str) -> None:
-    """One version of a table in a folder of its own; a version that runs again replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
+def replace_file(df: DataFrame, path: str, day: dt.date, file: str, keep_days: int | None = None) -> None:
+    """Replace one delivered file's rows in a table of many files, and drop days older than `keep_days`.
 
+    The table has a folder per day and file, the name in lower case; only this file's folders are touched.
+    """
+    root, folder = path.rstrip("/"), f"file_key={quote(file.lower(), safe='')}"
+    df.write.mode("overwrite").parquet(f"{root}/run_day={day}/{folder}")
+    spark = df.sparkSession
+    location = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in [f.getPath().getName() for f in system.listStatus(location)]:
+        if not name.startswith("run_day=") or name == f"run_day={day}":
+            continue
+        old = keep_days is not None and dt.date.fromisoformat(name[8:]) < day - dt.timedelta(days=keep_days)
+        remove(spark, f"{root}/{name}" if old else f"{root}/{name}/{folder}")
 
-def read_snapshot(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
-    """The newest version of a table (before a run, if given), None if there is none.
 
-    Versions are compared as text, so run names must sort in time order. Only folder names are read to
-    find it, and only that folder is scanned.
-    """
+def read_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that `replace_file` keeps, all files together; None if there is none yet."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(location):
+    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
         return None
-    names = [f.getPath().getName() for f in system.listStatus(location)]
-    runs = sorted(n[4:] for n in names if n.startswith("run="))
-    runs = [r for r in runs if before is None or r < before]
-    return spark.read.parquet(f"{path.rstrip('/')}/run={runs[-1]}") if runs else None
+    return spark.read.option("mergeSchema", "true").parquet(path).drop("run_day", "file_key")
 
 
 def checked_overwrite(raw_lines: DataFrame, loaded: DataFrame, path: str) -> int:

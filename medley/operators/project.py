@@ -73,7 +73,7 @@ def match_patterns(df: DataFrame, column: str, rules: Sequence[tuple[str, str]],
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], out: str = "row_number") -> DataFrame:
-    """[P18] Dense 1-based positions along a total order, computed in chunks for large frames."""
+    """[P18] Dense 1-based positions along a total order, counted part by part."""
     return running(df, [], order, {out: ("count", "*")})
 
 

@@ -28,13 +28,16 @@ def normalise_dates(
     """[Q13, Q14, Q15, Q16] Rewrite local date texts to the expected pattern, then unify separators.
 
     Formats are tried in table order, each on the result of the one before; separators come last, and that
-    order changes results. All columns are done in one projection.
+    order changes results. All columns are done in one projection. Only texts are rewritten; a column that is a date or a
+    time already stays one.
     """
     done = {}
     for name in columns:
-        col = F.col(f"`{name}`").cast("string")
+        if df.schema[name].dataType.typeName() != "string":
+            continue
+        col = F.col(f"`{name}`")
         for fmt in formats:
             if local_format_applies(fmt.active, fmt.file_pattern, file):
                 col = dates.rewrite(col, expected, fmt.pattern, fmt.with_time)
         done[name] = text.unify_separators(col, expected)
-    return df.withColumns(done)
+    return df.withColumns(done) if done else df

@@ -14,13 +14,16 @@ from medley.operators import project
 from medley.operators.quality import checks, report
 from medley.operators.quality.dates import LocalFormat, normalise_dates
 from medley.operators.quality.rules import Rule
-from medley.operators.skew import ROWS_PER_TASK, hot_counts, lookup
+from medley.operators.skew import lookup
 from medley.operators.windows import count_keys, fingerprint
 from medley.session import materialise
 
 # Grades of a row, in ascending order.
 LEVELS = ("ok", "low", "medium", "high")
 
+ROW = "_row_id"
+FINGERPRINT = "_fp"
+
 ERROR = "struct<rule_no:int,rule:string,check:string,column:string,message:string,priority:string,mail_group:string>"
 
 
@@ -95,41 +98,42 @@ def _error(number: int, rule: Rule, column: str, message: Column | str, priority
     )
 
 
-def _mark_duplicates(
-    df: DataFrame, rule: Rule, out: str, columns: Sequence[str], key: Sequence[str], rows: int
-) -> DataFrame:
+def _mark_duplicates(df: DataFrame, rule: Rule, out: str, key: Sequence[str]) -> DataFrame:
     """[Q09] Flag duplicates: every row of a repeated key, or all but the first of equal rows.
 
-    The first of equal rows is the one with the smallest key. Both forms count with a map-side
-    aggregate and look the few repeated groups up, so no task sorts a whole group.
+    The first of equal rows is the one with the smallest key, and of rows that share that too any one. Both forms count
+    with a map-side aggregate and look the few repeated groups up, so no task sorts a whole group.
     """
     if rule.items:
-        counted = count_keys(df, rule.items, "_n", rows)
+        counted = count_keys(df, rule.items, "_n")
         return counted.withColumn(out, F.col("_n") > 1).drop("_n")
-    data = [c for c in columns if c not in key]
-    marked = df.withColumn("_fp", fingerprint(data))
-    first = F.min(F.struct(*key)).alias("_first")
-    repeated = marked.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"), first).filter("_n > 1")
-    counts = materialise(repeated, "copies")
-    found = lookup(marked, counts.drop("_n"), ["_fp"], hot=hot_counts(counts, ["_fp"], "_n", rows))
-    later = F.col("_first").isNotNull() & (F.col("_first") != F.struct(*key))
-    return found.withColumn(out, later).drop("_fp", "_first")
-
-
-def _run_query(df: DataFrame, number: int, rule: Rule, views: Mapping[str, DataFrame]) -> DataFrame:
-    """[Q10, Q11] A custom query over the data; it adds `processing_status_2` and `priority_status_2`."""
+    first = F.min(F.struct(*key, ROW))[ROW].alias("_first")
+    repeated = df.groupBy(FINGERPRINT).agg(F.count(F.lit(1)).alias("_n"), first).filter("_n > 1").drop("_n")
+    found = lookup(df, materialise(repeated, "copies"), [FINGERPRINT])
+    return found.withColumn(out, F.col("_first").isNotNull() & (F.col("_first") != F.col(ROW))).drop("_first")
+
+
+def _run_query(df: DataFrame, number: int, rule: Rule, views: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
+    """[Q10, Q11] A custom query over the data; it adds `processing_status_2` and `priority_status_2`.
+
+    Only its messages are taken, back to the rows by key: a query that filters or joins neither loses nor doubles a row.
+    Rows that share a key share all messages of that key.
+    """
     out = df.sparkSession.sql(str(rule.arg), data=df, **views)
     want = set(df.columns) | {"processing_status_2", "priority_status_2"}
     if set(out.columns) != want:
         raise ValueError(f"{rule.name} must return the data's columns plus the two status columns")
-    failed = F.col("processing_status_2").isNotNull()
     priority = F.coalesce("priority_status_2", F.lit(rule.priority))
-    error = F.array(_error(number, rule, None, F.col("processing_status_2"), priority)).cast(f"array<{ERROR}>")
     level = F.array_position(F.array(*[F.lit(v) for v in LEVELS]), priority_level(priority)).cast("int") - 1
-    return out.withColumns(
+    error = _error(number, rule, None, F.col("processing_status_2"), priority).cast(ERROR)
+    failed = out.filter(F.col("processing_status_2").isNotNull()).select(*key, error.alias("_e"), level.alias("_l"))
+    # different messages of one key: as many as the query has texts
+    found = failed.groupBy(*key).agg(F.array_sort(F.collect_set("_e")).alias("_found"), F.max("_l").alias("_worst"))
+    rows = lookup(df, found, key)
+    return rows.withColumns(
         {
-            "errors": F.concat("errors", F.when(failed, error).otherwise(F.array().cast(f"array<{ERROR}>"))),
-            "_level": F.greatest("_level", F.when(failed, level).otherwise(0)),
+            "errors": F.concat("errors", F.coalesce("_found", F.array().cast(f"array<{ERROR}>"))),
+            "_level": F.greatest("_level", F.coalesce("_worst", F.lit(0))),
         }
     ).select(*df.columns)
 
@@ -142,14 +146,14 @@ def gate(
     formats: Sequence[LocalFormat] = (),
     views: Mapping[str, DataFrame] | None = None,
     previous: DataFrame | None = None,
-    rows: int = ROWS_PER_TASK,
 ) -> GateResult:
     """[Q02, Q04 to Q17, Q21] Tag every row with its errors and grade.
 
     `tagged` is the input plus `errors` (array of structs) and `grade` (ok, low, medium, high). Order:
     missing-value tokens, date rewriting, duplicates, all column rules in one projection, then queries.
     Without rules every row passes unchanged. A rule that names an unknown column is an error: it must
-    not let data pass unchecked. `key` names the columns that identify a row.
+    not let data pass unchecked. `key` names the columns that should identify a row; nothing rests on it
+    doing so: every input row comes out once, whatever repeats.
     """
     columns = list(df.columns)
     empty = F.array().cast(f"array<{ERROR}>")
@@ -164,11 +168,14 @@ def gate(
     for rule in rules:
         if rule.kind == "date":
             data = normalise_dates(data, rule.columns, str(rule.arg), formats, file)
-    flags = {}
-    for i, rule in enumerate(rules):
-        if rule.kind == "duplicate":
-            flags[i] = f"_dup{i}"
-            data = _mark_duplicates(data, rule, flags[i], columns, key, rows)
+    flags = {i: f"_dup{i}" for i, rule in enumerate(rules) if rule.kind == "duplicate"}
+    if flags:
+        # written once: the counts read a few columns of it, and the rows are not worked out again for each
+        if any(not rules[i].items for i in flags):
+            data = data.withColumns({ROW: F.monotonically_increasing_id(), FINGERPRINT: fingerprint([c for c in columns if c not in key])})
+        data = materialise(data, "normalised")
+    for i, name in flags.items():
+        data = _mark_duplicates(data, rules[i], name, key)
     checked = [
         (i, rule, column)
         for i, rule in enumerate(rules)
@@ -194,9 +201,9 @@ def gate(
     )
     for i, rule in enumerate(rules):
         if rule.kind == "custom":
-            data = _run_query(data, i, rule, views or {})
+            data = _run_query(data, i, rule, views or {}, key)
         elif rule.kind == "history":
-            data = _run_query(data, i, rule, {**(views or {}), "previous": previous})
+            data = _run_query(data, i, rule, {**(views or {}), "previous": previous}, key)
     grade = F.element_at(F.array(*[F.lit(v) for v in LEVELS]), F.col("_level") + 1)
     return GateResult(data.withColumn("grade", grade).drop("_level"), tuple(rules), tuple(columns), tuple(key))
 
@@ -209,14 +216,19 @@ def previous_snapshot(snapshots: DataFrame, run_column: str, today: dt.date) ->
 
 
 def post_load(
-    spark, rules: Sequence[Mapping[str, str]], region: str, excluded: Sequence[str] = ()
+    spark,
+    rules: Sequence[Mapping[str, str]],
+    region: str,
+    excluded: Sequence[str] = (),
+    views: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """[Q31] Results of the active post-load rules of a region, by target table and name.
 
-    A rule has name, query, region, active flag and target; excluded names come from the control table.
+    A rule has name, query, region, active flag and target; excluded names come from the control table. Queries name the
+    frames of `views` in braces, so two runs in one session do not meet.
     """
     return {
-        f"{r['target']}.{r['name']}": spark.sql(r["query"])
+        f"{r['target']}.{r['name']}": spark.sql(r["query"], **(views or {}))
         for r in rules
         if r["active"] == "A" and r["region"] == region and r["name"] not in excluded
     }

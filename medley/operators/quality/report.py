@@ -27,6 +27,7 @@ ADDED = {
 }
 
 CUSTOM_KINDS = ("custom", "history", "expr")
+KEEP_DAYS = 3
 
 
 def render(errors: Column) -> Column:
@@ -80,7 +81,7 @@ def error_rows(
 
 
 def refresh_error_table(
-    existing: DataFrame, new: DataFrame, file: str, today: dt.date, keep_days: int = 3
+    existing: DataFrame, new: DataFrame, file: str, today: dt.date, keep_days: int = KEEP_DAYS
 ) -> DataFrame:
     """[Q19] The error table without earlier rows of the file and rows older than `keep_days`, plus the new."""
     kept = existing.filter(
@@ -132,9 +133,10 @@ def by_check(tagged: DataFrame) -> DataFrame:
 
 
 def custom_summary(tagged: DataFrame) -> DataFrame:
-    """[Q26] Errors of custom checks by message and mail group."""
+    """[Q26] Errors of custom checks by the text of the message after its first `#` (all of it without one) and mail group."""
     custom = _errors(tagged).filter(F.col("check").isin(*CUSTOM_KINDS))
-    return custom.groupBy("message", "mail_group").agg(F.count(F.lit(1)).alias("error_records"))
+    text = F.regexp_replace("message", "^[^#]*#", "").alias("message")
+    return custom.groupBy(text, "mail_group").agg(F.count(F.lit(1)).alias("error_records"))
 
 
 def validation_log(tagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -187,29 +189,25 @@ def mark_sent(summary_rows: DataFrame, file: str) -> DataFrame:
     )
 
 
-def export_frame(errors: DataFrame, grade: str) -> DataFrame:
-    """[Q30] One line per open error of a grade: mail group and message apart, first priority kept."""
-    open_rows = by_grade(errors).filter((F.col("grade") == grade) & F.col("status").isNull())
-    one = open_rows.withColumn("_text", F.explode(F.split("ERROR_DESCRIPTION", ";")))
-    cut = F.split("_text", "-", 2)
-    return (
-        one.withColumns(
-            {
-                "mail_group": F.get(cut, 0),
-                "ERROR_DESCRIPTION": F.get(cut, 1),
-                "priority_level": F.get(F.split("priority_level", ";"), 0),
-            }
-        )
-        .drop("_text", "grade", "status")
-    )
+def export_frame(
+    invalid: DataFrame, columns: Sequence[str], key: Sequence[str], grade: str, file: str, process: str, run_time: dt.datetime
+) -> DataFrame:
+    """[Q30] One line per error of the rows of a grade, each with its own mail group, message and priority."""
+    rows = invalid.filter(F.col("grade") == grade).withColumn("_e", F.explode("errors"))
+    alone = rows.withColumn("errors", F.array("_e")).withColumn("_mail", F.col("_e.mail_group")).withColumn("_text", F.col("_e.message"))
+    lines = error_rows(alone, [*columns, "_mail", "_text"], key, file, process, run_time).drop("status")
+    return lines.withColumn("ERROR_DESCRIPTION", F.col("_text")).withColumnRenamed("_mail", "mail_group").drop("_text")
 
 
-def export_by_grade(errors: DataFrame, path: str, file: str) -> list[str]:
+def export_by_grade(
+    invalid: DataFrame, columns: Sequence[str], key: Sequence[str], path: str, file: str, process: str, run_time: dt.datetime
+) -> list[str]:
     """[Q30] CSV output per grade, named after the file and the grade. A grade may span several files."""
     written = []
     for grade in ("high", "medium", "low"):
         target = f"{path.rstrip('/')}/err_{file.lower().split('.')[0]}_{grade}"
-        export_frame(errors, grade).write.mode("overwrite").option("header", True).csv(target)
+        lines = export_frame(invalid, columns, key, grade, file, process, run_time)
+        lines.write.mode("overwrite").option("header", True).csv(target)
         written.append(target)
     return written
 

@@ -74,9 +74,12 @@ def select_rules(rules: DataFrame, country: str, source: str, file: str, file_fo
 
 def to_rules(rules: DataFrame) -> list[Rule]:
     """Rule rows as objects. Structure checks are left out: they need no data (see `structure_check`)."""
-    rows = rules.filter("rule_name <> 'structure_check'").limit(MAX_RULES + 1).collect()
+    rows = rules.filter("rule_name IS NULL OR rule_name <> 'structure_check'").limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules for one file")
+    unknown = sorted({str(r["rule_name"]) for r in rows if (r["rule_name"] or "").lower() not in KINDS})
+    if unknown:
+        raise ValueError(f"unknown rules {unknown}: data must not pass unchecked")
     return [
         Rule(
             name=r["rule_name"],

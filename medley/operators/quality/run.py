@@ -12,7 +12,11 @@ from medley.operators import load
 from medley.operators.quality import report
 from medley.operators.quality.dates import LocalFormat
 from medley.operators.quality.gate import GateResult, gate
-from medley.operators.quality.rules import MAX_RULES, select_rules, to_rules
+from medley.operators.quality.rules import MAX_RULES, select_rules, structure_check, to_rules
+
+
+class StructureError(Exception):
+    """A file's columns are not those expected; it must not be loaded."""
 
 
 class HighPriorityError(Exception):
@@ -64,35 +68,36 @@ def check_file(
     views: Mapping[str, DataFrame] | None = None,
     previous: DataFrame | None = None,
     export: str | None = None,
+    expected: Sequence[str] | None = None,
+    ignore_case: bool = False,
 ) -> Outcome:
     """[Q01, Q02, Q17 to Q24, Q29, Q30] Check a file and keep the books.
 
     Without a matching rule the data passes unchanged. The tagged rows are written once and every output
-    reads that copy. The error table and the summary are versions in folders, the newest is the table:
-    earlier rows of the file are dropped, as are error rows older than three days.
+    reads that copy. The error table and the summary hold one folder per day and file (names compared without case): a
+    run replaces its own file's rows only, earlier days of the file included, and drops error days older than three, so
+    runs of different files neither read nor overwrite each other's.
+
+    `expected` are the columns that a `structure_check` rule asks for: a file with others is refused before it is read.
     """
-    spark = df.sparkSession
-    picked = to_rules(select_rules(rules, delivery.country, delivery.source, delivery.file, delivery.file_format))
+    chosen = select_rules(rules, delivery.country, delivery.source, delivery.file, delivery.file_format)
+    if expected is not None and not chosen.filter("rule_name = 'structure_check'").isEmpty():
+        if not structure_check(df.columns, expected, ignore_case):
+            raise StructureError(f"{delivery.file} has columns {df.columns}, expected {list(expected)}")
+    picked = to_rules(chosen)
     if not picked:
         return Outcome(df, "", False, None)
     found = local_formats(formats, delivery.country) if formats is not None else []
     done = gate(df, picked, key, delivery.file, found, views, previous).materialised()
-    run = f"{delivery.run_time:%Y%m%dT%H%M%S}"
-
+    day = delivery.run_time.date()
     errors = done.error_rows(delivery.file, delivery.process, delivery.run_time)
-    earlier = load.read_snapshot(spark, error_table, run)
-    kept = errors if earlier is None else report.refresh_error_table(earlier, errors, delivery.file, delivery.run_time.date())
-    load.write_snapshot(kept, error_table, run)
-
+    load.replace_file(errors, error_table, day, delivery.file, keep_days=report.KEEP_DAYS)
     rows = report.summary(
         errors, done.tagged.count(), delivery.country, delivery.source, error_table, export or "", delivery.source_path
     )
-    before = load.read_snapshot(spark, summary_table, run)
-    if before is not None:
-        rows = before.filter(before["filename"] != delivery.file).unionByName(rows)
-    load.write_snapshot(rows, summary_table, run)
+    load.replace_file(rows, summary_table, day, delivery.file)
     if export:
-        report.export_by_grade(errors, export, delivery.file)
+        report.export_by_grade(done.invalid, done.columns, done.key, export, delivery.file, delivery.process, delivery.run_time)
     return Outcome(done.valid, error_table, done.high_flag(), done)
 
 

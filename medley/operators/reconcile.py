@@ -89,7 +89,7 @@ def value_drift(
 ) -> DataFrame:
     """[C04, A16] One row per (table, column, kind) with a sorted array, none where nothing differs.
 
-    For columns of few values; a list too long for one cell is refused (see `drift_rows`).
+    For columns of few values, as each list is one cell; `drift_rows` gives rows and takes any number.
     """
     rows = drift_rows(tables, config, null_is_value)
     sets = aggregates.value_sets(rows, ["table", "column", "kind"], "value")

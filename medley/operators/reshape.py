@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators.skew import ROWS_PER_TASK, lookup, scan, split_groups
+from medley.operators.skew import scan, split_groups
 from medley.operators.windows import fingerprint
 
 
@@ -37,12 +37,14 @@ def minus(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def drop_duplicate_rows(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
-    """[T05] The first row (by a unique order column) of each set of equal rows.
+    """[T05] The first row by an order column of each set of equal rows.
 
-    Equal rows are found by fingerprint and reduced on the map side to their first order value.
+    Equal rows are found by fingerprint and reduced on the map side to their least row; of rows that tie on the order
+    column the one with the least other values stays. Columns must be of types that can be ordered.
     """
-    firsts = df.select(fingerprint(columns).alias("_fp"), order).groupBy("_fp").agg(F.min(order).alias(order))
-    return lookup(df, firsts.select(order), [order], "left_semi", rows=None)
+    rest = [c for c in df.columns if c != order]
+    least = F.min(F.struct(F.col(order), *rest)).alias("_row")
+    return df.groupBy(fingerprint(columns).alias("_fp")).agg(least).select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, value: str) -> DataFrame:
@@ -67,9 +69,7 @@ def reindex(df: DataFrame, key: str, keys: Sequence[Any], extra: str, fill: Any,
     return rows.withColumn(extra, F.when(F.col(key).isin(*on), F.lit(fill)))
 
 
-def report_rows(
-    df: DataFrame, file: str, line: str, label: str, amount: str, date: str | None = None, rows: int = ROWS_PER_TASK
-) -> DataFrame:
+def report_rows(df: DataFrame, file: str, line: str, label: str, amount: str, date: str | None = None, parts: int | None = None) -> DataFrame:
     """[W07, T10] Report lines as (date, category, sub_category, details, amount).
 
     A labelled line without an amount is a header. A header followed by another header is a category, any
@@ -81,10 +81,10 @@ def report_rows(
     lines = df.filter(text.isNotNull() & (text != "")).withColumn("_label", text)
     blank = F.col(amount).isNull() | (F.trim(F.col(amount).cast("string")) == "")
     heads = lines.withColumn("_head", F.when(blank, F.col("_label")))
-    seen = scan(split_groups(heads, [file], [line], rows), [file], {"_above": ("previous", "_head")})
+    seen = scan(split_groups(heads, [file], [line], parts), {"_above": ("previous", "_head")})
     marked = seen.frame.withColumn("_category", F.when(F.col("_head").isNotNull(), F.col("_above")))
     outputs = {"category": ("last", "_category"), "sub_category": ("last", "_head")}
-    carried = scan(replace(seen, frame=marked), [file], outputs).frame
+    carried = scan(replace(seen, frame=marked), outputs).frame
     total = F.startswith(F.lower("_label"), F.lit("total"))
     data = carried.filter(F.col("_head").isNull() & ~total & F.col("sub_category").isNotNull())
     keep = [F.col(date)] if date else []

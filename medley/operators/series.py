@@ -54,18 +54,18 @@ def fit(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         .filter(F.col("slope").isNotNull())
     )
     trend = F.col("y_mean") + F.col("slope") * (_axis(F.col("ds")) - F.col("t_mean"))
-    detrended = lookup(h, line, keys, "inner", rows=None).withColumn("trend", trend)
+    detrended = lookup(h, line, keys, "inner").withColumn("trend", trend)
     ratio = F.when(F.col("trend") != 0, F.col("y") / F.col("trend"))
     weekday = F.dayofweek("ds")
     factors = detrended.groupBy(*keys, weekday.alias("dow")).agg(
         F.coalesce(F.avg(ratio), F.lit(1.0)).alias("factor")
     )
-    scored = lookup(detrended.withColumn("dow", weekday), factors, [*keys, "dow"], rows=None)
+    scored = lookup(detrended.withColumn("dow", weekday), factors, [*keys, "dow"])
     residual = F.col("y") - F.col("trend") * F.col("factor")
     spread = scored.groupBy(*keys).agg(F.coalesce(F.stddev_samp(residual), F.lit(0.0)).alias("sigma"))
     # Seven weekdays at most per key.
     packed = factors.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("dow", "factor"))).alias("factors"))
-    return lookup(lookup(line, spread, keys, rows=None), packed, keys, rows=None)
+    return lookup(lookup(line, spread, keys), packed, keys)
 
 
 def _predict(models: DataFrame, z: float, strength: Column) -> DataFrame:
@@ -144,9 +144,11 @@ def split(history: DataFrame, keys: Sequence[str], test_share: float = 0.25) ->
 ALPHAS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 
 
-def theta(history: DataFrame, keys: Sequence[str], horizon: int, season: int = 12) -> DataFrame:
+def theta(history: DataFrame, keys: Sequence[str], horizon: int | DataFrame, season: int = 12) -> DataFrame:
     """[M05] Theta forecasts by position: `h` from 1 to `horizon`, `yhat`.
 
+    `horizon` is a number of steps, or a table (keys, horizon) of one for each series.
+
     Multiplicative season: mean of the values at a position in the season over the mean of all values (1
     where the series is shorter than two seasons or a mean is zero). On the seasonally adjusted values:
     simple exponential smoothing from the first value, the constant with the least squared one-step error
@@ -188,7 +190,8 @@ def theta(history: DataFrame, keys: Sequence[str], horizon: int, season: int = 1
     variance = total(F.transform("_a", lambda _, i: F.pow(i - t_mean, F.lit(2))))
     drift = F.coalesce(F.try_divide(covariance, variance), zero) / 2
     lag = (1 - F.pow(1 - F.col("alpha"), n)) / F.col("alpha")
-    ahead = best.withColumn("_drift", drift).withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    best = lookup(best, horizon, keys, "inner") if isinstance(horizon, DataFrame) else best.withColumn("horizon", F.lit(horizon))
+    ahead = best.withColumn("_drift", drift).filter("horizon > 0").withColumn("h", F.explode(F.expr("sequence(1, cast(horizon AS int))")))
     flat = F.col("_s.level") + F.col("_drift") * (F.col("h") - 1 + lag)
     seat = ((n + F.col("h") - 1) % season).cast("int")
     return ahead.select(*keys, "h", (flat * F.get("_f", seat)).alias("yhat"), "alpha")
@@ -206,7 +209,7 @@ def grid(
     cut = origins(history, keys, steps).withColumn("p", F.explode(entries)).select("*", "p.*").drop("p")
     group = [*keys, "origin", "window", "strength"]
     ends = cut.groupBy(*group).agg(F.max("ds").alias("_end"))
-    near = lookup(cut, ends, group, "inner", rows=None).filter(F.datediff("_end", "ds") < F.col("window"))
+    near = lookup(cut, ends, group, "inner").filter(F.datediff("_end", "ds") < F.col("window"))
     predicted = forecast(near.drop("_end"), group, horizon, strength=F.col("strength"))
     joined = with_actuals(predicted, history.select(*keys, "ds", "y"), keys)
     return scores(joined, [*keys, "window", "strength"]).orderBy(*keys, "rmse", "window", "strength")

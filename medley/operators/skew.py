@@ -1,30 +1,24 @@
-"""Hot groups: find them, split them, and join or scan without one task holding a whole group.
+"""Running values over groups of any size, and look-ups in tables of one row per key.
 
-A group is hot when it has more rows than one task should hold. `hot_keys` returns the heaviest
-groups only, at most MAX_HOT of them, so the list always fits the driver and a broadcast: a group
-that is not on it either fits a task or holds less than about 1/MAX_HOT of all rows, no more than
-one shuffle partition's share. With no hot group every operator here is the plain Spark join or window.
+A group may hold a third of all rows. `running` never orders a group in one task: the frame is range-partitioned by group
+and order, every part is scanned by itself, and each part passes on one row for each of its two outermost groups, the only
+ones that can reach into another part. Look-ups are plain equi-joins, whose hot keys are Spark's to split (AQE).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medley.session import materialise
 
-ROWS_PER_TASK = 2_000_000
-MAX_HOT = 500
-MAX_CHUNKS = 4096
-BROADCAST_ROWS = 100_000
-SKETCH_ITEMS = 8192
+PART = "_part"
 TIE = "_tie"
+ALL = "_all"
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -32,175 +26,56 @@ def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def _hash(keys: Sequence[str]) -> Column:
-    """One long for a group. Two groups that share it are split alike, which changes no result."""
-    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+def one_per_key(table: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
+    """The table, failing when it is read if a key occurs twice: such a row would double what looks it up.
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_TASK) -> list[tuple[int, int]]:
-    """(hash, about how many rows) of the groups with more than `rows` rows, heaviest first.
-
-    A frequent-items sketch over the key columns alone: no key is shuffled, each task hands on a sketch
-    of fixed size, and the sketches are merged in two levels. At most MAX_HOT groups come back.
+    Counted by a map-side aggregate over the table, which is small next to the data.
     """
-    level = F.spark_partition_id() % 256
-    sketches = (
-        df.select(_hash(keys).alias("h"), level.alias("p"))
-        .groupBy("p")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
-    )
-    # Grouped, because combining has no result for a frame without rows.
-    merged = sketches.groupBy(F.lit("all").alias("one")).agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
-    found = merged.select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT})").alias("top")).first()
-    return [(t["item"], t["count"]) for t in found["top"] if t["count"] > rows] if found else []
-
-
-def is_small(df: DataFrame, rows: int) -> bool:
-    """True if a frame has at most `rows` rows; reads no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def hot_counts(counts: DataFrame, keys: Sequence[str], n: str, rows: int = ROWS_PER_TASK) -> list[tuple[int, int]]:
-    """As `hot_keys`, from a table that already holds the number of rows per key."""
-    large = counts.filter(F.col(n) > rows).orderBy(F.desc(n)).limit(MAX_HOT)
-    return [(r["h"], r["n"]) for r in large.select(_hash(keys).alias("h"), F.col(n).alias("n")).collect()]
-
+    rest = [c for c in table.columns if c not in keys]
+    repeated = F.raise_error(F.concat(F.lit(f"{what} has several rows for one key of {list(keys)}: "), F.to_json(F.struct(*keys))))
+    rows = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(F.lit(1).alias("_one"), *rest)).alias("_row"))
+    # the error stands where the row is made, so that no plan can leave it out
+    row = F.when(F.col("_n") == 1, F.col("_row")).otherwise(repeated.cast(rows.schema["_row"].dataType))
+    return rows.select(*keys, row.alias("_row")).filter("_row._one = 1").select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
 
-def mark_hot(df: DataFrame, keys: Sequence[str], hot: list[tuple[int, int]]) -> DataFrame:
-    """Add `_hot`: the number of the row's hot group, null for all other rows. No shuffle.
 
-    The broadcast side has at most MAX_HOT rows.
-    """
-    frame = df.sparkSession.createDataFrame([(h, i) for i, (h, _) in enumerate(hot)], "_h long, _hot int")
-    return df.join(F.broadcast(frame), _hash(keys) == frame["_h"], "left").drop("_h")
-
-
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    rows: int | None = ROWS_PER_TASK,
-    hot: list[tuple[int, int]] | None = None,
-    small: int = 0,
-) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `df` to a table that holds one row per key, nulls in the keys matching nulls.
 
-    Rows of hot keys never travel: they meet the table's few hot rows (MAX_HOT at most, because the
-    table is unique on the key) by broadcast. Everything else takes the ordinary join, whose method
-    Spark picks from the real size of the table. `how` is inner, left, left_semi or left_anti.
-    `rows=None` says that the keys of `df` are unique too, so there is nothing to look for; `hot` passes
-    the hot keys if the caller has them. With `small`, for tables that are cheap to read, the table's rows
-    are counted up to that number first: if it has no more it is broadcast, and `df` is not searched for
-    hot keys as none of its rows travel.
+    `how` is inner, left, left_semi or left_anti. Spark picks the method from the real size of the table and splits
+    partitions of hot keys; `one_per_key` makes sure of the table where the caller cannot.
     """
     for k in keys:
         if df.schema[k].dataType != table.schema[k].dataType:
             raise ValueError(f"key {k} is {df.schema[k].dataType} here and {table.schema[k].dataType} there")
-    if small and is_small(table, small):
-        return _lookup(df, F.broadcast(table), keys, how)
-    if hot is None:
-        hot = hot_keys(df, keys, rows) if rows is not None else []
-    if not hot:
-        return _lookup(df, table, keys, how)
-    marked = mark_hot(df, keys, hot)
-    few = mark_hot(table, keys, hot).filter("_hot is not null").drop("_hot")
-    apart = _lookup(marked.filter("_hot is not null"), F.broadcast(few), keys, how)
-    rest = _lookup(marked.filter("_hot is null"), table, keys, how)
-    return apart.unionByName(rest).drop("_hot")
-
-
-def _lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     renamed = table.withColumnsRenamed({k: f"_r{i}" for i, k in enumerate(keys)})
     on = same(df, renamed, [(k, f"_r{i}") for i, k in enumerate(keys)])
     return df.join(renamed, on, how).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
-def _position(bounds: Column, value: Column, most: int) -> Column:
-    """Slot of a value among at most `most` sorted bounds: even between two bounds, odd on a bound itself.
-
-    A binary search, so that a row costs a dozen comparisons and not one per bound.
-    """
-    steps = [1 << i for i in range(most.bit_length() - 1, -1, -1)]
-    below = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, step: low + F.when(F.get(bounds, low + step - 1) < value, step).otherwise(0),
-    )
-    on_bound = F.when(F.get(bounds, below) == value, 1).otherwise(0)
-    return below * 2 + on_bound
-
-
-def _axis(df: DataFrame, column: str) -> tuple[Column, bool]:
-    """A number or time that grows with the column, and whether it tells all its values apart.
-
-    A text is represented by its first seven bytes read as a number.
-    """
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.col(column), True
-    if isinstance(kind, T.StringType):
-        lead = F.substring(F.hex(F.encode(F.col(column), "UTF-8")), 1, 14)
-        return F.conv(F.rpad(lead, 14, "0"), 16, 10).cast("long"), False
-    raise ValueError(f"cannot split along {column} of type {kind.simpleString()}")
-
-
 @dataclass(frozen=True)
 class Split:
-    """A frame whose hot groups are cut into chunks: its chunk columns (none if no group is hot) and the
-    order columns, one more than asked for if rows that tie on all of them had to be told apart."""
+    """A frame cut into parts along its groups and order: the column PART says which; TIE tells equal rows apart."""
 
     frame: DataFrame
-    chunks: list[str]
+    by: list[str]
     order: list[str]
 
 
-def _cut(df: DataFrame, keys: list[str], column: str, hot: list[tuple[int, int]], rows: int, out: str) -> DataFrame:
-    """Add a chunk number along one column to the rows of the hot groups, null to all others."""
-    axis, _ = _axis(df, column)
-    pieces = min(MAX_CHUNKS, math.ceil(hot[0][1] / rows) + 1)
-    marked = mark_hot(df, keys, hot)
-    cuts = [i / pieces for i in range(1, pieces)]
-    bounds = (
-        marked.filter("_hot is not null")
-        .groupBy("_hot")
-        .agg(F.percentile_approx(axis, cuts, max(10_000, 4 * pieces)).alias("_bounds"))
-        .select(F.col("_hot").alias("_h"), F.array_sort(F.array_distinct("_bounds")).alias("_bounds"))
-    )
-    # At most MAX_HOT rows of at most MAX_CHUNKS numbers.
-    kept = df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
-    numbered = marked.join(F.broadcast(kept), F.col("_hot") == F.col("_h"), "left").withColumn(
-        out, F.when(F.col("_hot").isNotNull(), _position(F.col("_bounds"), axis, pieces))
-    )
-    return numbered.drop("_hot", "_h", "_bounds")
-
+def split_groups(df: DataFrame, by: Sequence[str], order: Sequence[str], parts: int | None = None) -> Split:
+    """Range-partition a frame by group and order columns of any type that can be ordered, and write it.
 
-def split_groups(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int = ROWS_PER_TASK) -> Split:
-    """Cut every hot group into consecutive chunks along the order columns.
-
-    Chunk borders are approximate quantiles, exact about which chunk is earlier. A border value that is
-    itself hot gets its own chunk, cut again along the next order column. Rows that tie on all order
-    columns in a hot chunk (copies, for example) get a running id; the frame is written first, so that the
-    id stays the same for every task that reads it.
+    Borders come from Spark's sample of the whole key, so a part holds about its share whatever one group holds, texts of
+    one prefix and copies included: rows that tie on everything are told apart by a running id. Written once, because the
+    parts must be the same for everything that reads them. `parts` is for tests; the session's settings decide.
     """
-    chunks: list[str] = []
-    by, order, anchor = list(by), list(order), "_all"
-    if not by:
-        df, by = df.withColumn(anchor, F.lit(0)), [anchor]
-    limit, exact = rows, True
-    for depth, column in enumerate([*order, TIE]):
-        keys = by + chunks
-        inside = df.filter(F.col(chunks[-1]).isNotNull()) if chunks else df
-        hot = hot_keys(inside, keys, limit)
-        if not hot or not exact:
-            break
-        if column == TIE:
-            df = materialise(df.withColumn(TIE, F.monotonically_increasing_id()), "ties")
-            order = [*order, TIE]
-        df = _cut(df, keys, column, hot, rows, f"_chunk{depth}")
-        chunks.append(f"_chunk{depth}")
-        limit, exact = 4 * rows, _axis(df, column)[1]
-    return Split(df.drop(anchor), chunks, order)
+    frame = df.withColumn(TIE, F.monotonically_increasing_id())
+    keys = list(by)
+    if not keys:
+        frame, keys = frame.withColumn(ALL, F.lit(0)), [ALL]
+    columns = [F.col(f"`{c}`") for c in (*keys, *order, TIE)]
+    ranged = frame.repartitionByRange(*([parts] if parts else []), *columns)
+    return Split(materialise(ranged.withColumn(PART, F.spark_partition_id()), "parts"), keys, [*order, TIE])
 
 
 def running(
@@ -208,46 +83,46 @@ def running(
     by: Sequence[str],
     order: Sequence[str],
     outputs: dict[str, tuple[str, str]],
-    rows: int = ROWS_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """Running values from the first row of a group to the current one, in ascending order.
 
-    `outputs` maps a new column to ("max", col), ("last", col: last non-null), ("count", "*") or
-    ("previous", col: value of the row before). A hot group is scanned in chunks side by side: each chunk
-    computes its own running value and adds what the chunks before it carry over, which is one small row
-    per chunk.
+    `outputs` maps a new column to ("max", col), ("last", col: last non-null), ("count", "*"), ("count", col: non-null) or
+    ("previous", col: value of the row before).
     """
-    split = split_groups(df, by, order, rows)
-    return scan(split, by, outputs).frame.drop(*split.chunks, TIE)
+    return scan(split_groups(df, by, order, parts), outputs).frame.drop(PART, TIE, ALL)
 
 
-def scan(split: Split, by: Sequence[str], outputs: dict[str, tuple[str, str]]) -> Split:
-    """One scan over a frame that is already split; several scans share the split, shuffle and sort."""
-    df, chunks, order = split.frame, split.chunks, split.order
-    keys = [*by, *chunks]
-    ordered = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(*order)
+def scan(split: Split, outputs: dict[str, tuple[str, str]]) -> Split:
+    """One scan over a frame that is already split; several scans share the split, and one shuffle and sort."""
+    df, by, order = split.frame, split.by, split.order
+    ordered = Window.partitionBy(PART, *by).orderBy(*order)
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = lambda c: F.lit(1) if c == "*" else F.col(c)
     local = {
         "max": lambda c: F.max(c).over(upto),
         "last": lambda c: F.last(c, ignorenulls=True).over(upto),
-        "count": lambda c: F.count(F.lit(1)).over(upto),
+        "count": lambda c: F.count(counted(c)).over(upto),
         "previous": lambda c: F.lag(c).over(ordered),
     }
     out = df.withColumns({name: local[kind](col) for name, (kind, col) in outputs.items()})
-    if not chunks:
-        return replace(split, frame=out)
     out = out.withColumn("_at_start", F.row_number().over(ordered) == 1)
     at = F.struct(*order)
     total = {
         "max": F.max,
         "last": lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)),
-        "count": lambda c: F.count(F.lit(1)),
+        "count": lambda c: F.count(counted(c)),
         "previous": lambda c: F.max_by(F.struct(c), at),
     }
-    groups = [f"_k{i}" for i in range(len(by))]
-    before = (Window.partitionBy(*groups) if by else Window.partitionBy(F.lit(0))).orderBy(
-        *[F.asc_nulls_first(f"_p_{c}") for c in chunks]
+    # only a part's first and last group can go on elsewhere: two rows a part, a number that the settings bound
+    group = F.struct(*by)
+    edges = df.groupBy(PART).agg(F.min(group).alias("_first"), F.max(group).alias("_last")).withColumnRenamed(PART, "_edge")
+    outer = df.join(F.broadcast(edges), F.col(PART) == F.col("_edge")).filter(group.eqNullSafe(F.col("_first")) | group.eqNullSafe(F.col("_last")))
+    names = [f"_k{i}" for i in range(len(by))]
+    ends = outer.groupBy(*[F.col(k).alias(n) for k, n in zip(by, names, strict=True)], F.col(PART).alias("_p")).agg(
+        *[total[kind](col).alias(f"_t_{name}") for name, (kind, col) in outputs.items()]
     )
+    before = Window.partitionBy(*names).orderBy("_p")
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
     carry = {
         "max": lambda c: F.max(c).over(earlier),
@@ -255,18 +130,11 @@ def scan(split: Split, by: Sequence[str], outputs: dict[str, tuple[str, str]]) -
         "count": lambda c: F.sum(c).over(earlier),
         "previous": lambda c: F.lag(c).over(before),
     }
-    per_chunk = (
-        df.filter(F.col(chunks[0]).isNotNull())
-        .groupBy(*[F.col(k).alias(g) for k, g in zip(by, groups, strict=True)], *[F.col(c).alias(f"_p_{c}") for c in chunks])
-        .agg(*[total[kind](col).alias(f"_t_{name}") for name, (kind, col) in outputs.items()])
-    )
-    carried = per_chunk.select(
-        *groups,
-        *[f"_p_{c}" for c in chunks],
+    carried = ends.select(
+        *names, "_p", F.row_number().over(before).alias("_nth"),
         *[carry[kind](f"_t_{name}").alias(f"_c_{name}") for name, (kind, _) in outputs.items()],
-    )
-    pairs = [*zip(by, groups, strict=True), *[(c, f"_p_{c}") for c in chunks]]
-    joined = out.join(carried, same(out, carried, pairs), "left")
+    ).filter("_nth > 1").drop("_nth")
+    joined = out.join(F.broadcast(carried), (out[PART] == carried["_p"]) & same(out, carried, list(zip(by, names, strict=True))), "left")
     combine = {
         "max": lambda n, _: F.greatest(n, f"_c_{n}"),
         "last": lambda n, _: F.coalesce(n, f"_c_{n}"),

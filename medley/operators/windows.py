@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medley.operators.skew import ROWS_PER_TASK, hot_counts, lookup, running
+from medley.operators.skew import ALL, PART, TIE, lookup, running, scan, split_groups
 from medley.session import materialise
 
 
@@ -23,35 +24,39 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def mark_duplicate_rows(
-    df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None, rows: int = ROWS_PER_TASK
-) -> DataFrame:
+def mark_duplicate_rows(df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
     """[W01, T05] `_dup_n`: number of the row among rows equal in `columns`, in the given order."""
     data = list(columns or [c for c in df.columns if c not in order])
     marked = df.withColumn("_fp", fingerprint(data))
-    return running(marked, ["_fp"], list(order), {"_dup_n": ("count", "*")}, rows).drop("_fp")
+    return running(marked, ["_fp"], list(order), {"_dup_n": ("count", "*")}, parts).drop("_fp")
 
 
-def count_keys(df: DataFrame, keys: Sequence[str], out: str = "_key_n", rows: int = ROWS_PER_TASK) -> DataFrame:
+def count_keys(df: DataFrame, keys: Sequence[str], out: str = "_key_n") -> DataFrame:
     """[W02] How many rows share the row's key; a null key is a group like any other.
 
     Only keys that repeat are counted out and joined back, rows of unique keys get 1. The counts are written
-    once: they name the hot keys and feed the join, so the data itself is read twice, not three times.
+    first: read from a table, their size tells Spark how to join, and partitions of hot keys can be split.
     """
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 1)
     counts = materialise(repeated, "counts")
-    hot = hot_counts(counts, keys, out, rows)
-    return lookup(df, counts, keys, hot=hot).withColumn(out, F.coalesce(F.col(out), F.lit(1)))
+    return lookup(df, counts, keys).withColumn(out, F.coalesce(F.col(out), F.lit(1)))
 
 
-def rank_in(df: DataFrame, by: Sequence[str], order: str, out: str = "rank", rows: int = ROWS_PER_TASK) -> DataFrame:
+def rank_in(df: DataFrame, by: Sequence[str], order: str, out: str = "rank", parts: int | None = None) -> DataFrame:
     """[W03] Dense rank of a value within its group.
 
-    Ranks are computed on the distinct values of each group, then looked up by every row.
+    A rank is the number of rows so far whose value differs from the one before; both scans share one split.
     """
-    values = df.select(*by, order).distinct()
-    ranked = running(values, list(by), [order], {out: ("count", "*")}, rows)
-    return lookup(df, ranked, [*by, order], rows=rows)
+    seen = scan(split_groups(df, by, [order], parts), {"_before": ("previous", order), "_n": ("count", "*")})
+    new = (F.col("_n") == 1) | ~F.col("_before").eqNullSafe(F.col(order))
+    ranked = scan(replace(seen, frame=seen.frame.withColumn("_new", F.when(new, 1))), {out: ("count", "_new")})
+    return ranked.frame.drop("_before", "_n", "_new", PART, TIE, ALL)
+
+
+def first_ranks(df: DataFrame, by: Sequence[str], order: str, most: int, out: str = "rank") -> DataFrame:
+    """[W03] Rows whose dense rank in their group is ``most`` at most; Spark's window group limit drops others before the shuffle."""
+    ranked = df.withColumn(out, F.dense_rank().over(Window.partitionBy(*by).orderBy(order)))
+    return ranked.filter(F.col(out) <= most)
 
 
 def latest(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -64,9 +69,9 @@ def latest(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
-def running_max(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str, out: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+def running_max(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str, out: str, parts: int | None = None) -> DataFrame:
     """[W05] Cumulative maximum."""
-    return running(df, by, order, {out: ("max", column)}, rows)
+    return running(df, by, order, {out: ("max", column)}, parts)
 
 
 def first_date(df: DataFrame, key: str, at: str, out: str) -> DataFrame:
@@ -74,8 +79,6 @@ def first_date(df: DataFrame, key: str, at: str, out: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(at).alias(out))
 
 
-def carry_header(
-    df: DataFrame, by: Sequence[str], line: str, header: Column, out: str = "section", rows: int = ROWS_PER_TASK
-) -> DataFrame:
+def carry_header(df: DataFrame, by: Sequence[str], line: str, header: Column, out: str = "section", parts: int | None = None) -> DataFrame:
     """[W07] A section header carried down to the lines below it, within one file."""
-    return running(df.withColumn("_h", header), by, [line], {out: ("last", "_h")}, rows).drop("_h")
+    return running(df.withColumn("_h", header), by, [line], {out: ("last", "_h")}, parts).drop("_h")

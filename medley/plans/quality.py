@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators.load import read_snapshot
+from medley.operators.load import read_files
 from medley.operators.quality import GateResult, Rule, gate, report, select_rules, to_rules
 from medley.operators.quality.dates import LocalFormat, normalise_dates
 from medley.operators.quality.gate import post_load, previous_snapshot
@@ -125,7 +125,7 @@ def dq_by_check(t: Tables) -> DataFrame:
     return checked(t).by_check().select("check", "error_records")
 
 
-@query(BASE + "SELECT 'Custom Check#Price above limit: price' AS message, 'sales' AS mail_group, count(*) AS error_records FROM graded WHERE e7")
+@query(BASE + "SELECT 'Price above limit: price' AS message, 'sales' AS mail_group, count(*) AS error_records FROM graded WHERE e7")
 def dq_custom_summary(t: Tables) -> DataFrame:
     """[Q26] Errors of custom checks."""
     return checked(t).custom()
@@ -160,13 +160,14 @@ def dq_error_columns(t: Tables) -> DataFrame:
 
 @query(BASE + """
 SELECT orderkey, string_split(m, '-')[1] AS mail_group, substring(m, strpos(m, '-') + 1) AS description,
- CASE WHEN e1 OR e2 THEN 'high' WHEN e3 OR e4 THEN 'medium' ELSE 'low' END AS first_priority
+ CASE WHEN m LIKE 'core-Null%' THEN 'high' WHEN m LIKE 'core-%' THEN 'medium' ELSE 'low' END AS priority
 FROM (SELECT *, unnest(string_split(description, ';')) AS m FROM graded WHERE grade = 'medium')
 """)
 def dq_export_medium(t: Tables) -> DataFrame:
-    """[Q21, Q30] Export lines of one grade."""
-    rows = report.export_frame(checked(t).error_rows("orders_2024.csv", "gate", RUN_TIME), "medium")
-    return rows.select("orderkey", "mail_group", F.col("ERROR_DESCRIPTION").alias("description"), F.col("priority_level").alias("first_priority"))
+    """[Q21, Q30] Export lines of one grade, each error with its own priority."""
+    done = checked(t)
+    rows = report.export_frame(done.invalid, done.columns, done.key, "medium", "orders_2024.csv", "gate", RUN_TIME)
+    return rows.select("orderkey", "mail_group", F.col("ERROR_DESCRIPTION").alias("description"), F.col("priority_level").alias("priority"))
 
 
 @query(BASE + """
@@ -243,15 +244,33 @@ def dq_history(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) > 1 AS is_copy FROM documents
+SELECT doc_id, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) > 1 AS is_copy
+FROM (SELECT doc_id, text, lang FROM documents UNION ALL SELECT doc_id, text, lang FROM documents WHERE lang = 'fr')
 """)
 def dq_whole_row(t: Tables) -> DataFrame:
-    """[Q09] Whole-row duplicates: all but the first copy fail."""
+    """[Q09] Whole-row duplicates: all but the first copy fail; some rows are delivered twice, key and all."""
     rule = Rule("duplicate_check", "duplicate", ("text",), "Duplicate Check#Copy", "medium", "docs")
-    done = gate(t.documents.select("doc_id", "text", "lang"), [rule], ["doc_id"])
+    rows = t.documents.select("doc_id", "text", "lang")
+    done = gate(rows.unionByName(rows.filter("lang = 'fr'")), [rule], ["doc_id"])
     return done.tagged.select("doc_id", (F.col("grade") == "medium").alias("is_copy"))
 
 
+FILTER_SQL = """
+SELECT d.*, 'Custom Check#Large order' AS processing_status_2, 'medium' AS priority_status_2
+FROM {data} d JOIN {lineitem} l ON d.o_orderkey = l.l_orderkey WHERE d.o_totalprice > 300000
+"""
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_totalprice > 300000 AND o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN 'medium' ELSE 'ok' END AS grade FROM orders
+""")
+def dq_custom_filter(t: Tables) -> DataFrame:
+    """[Q10, Q17] A query rule that filters and joins to many rows: every order comes out once all the same."""
+    rule = Rule("custom_check", "custom", (), "", "low", "fin", FILTER_SQL)
+    done = gate(t.orders.select("o_orderkey", "o_totalprice"), [rule], ["o_orderkey"], views={"lineitem": t.lineitem})
+    return done.valid.select("o_orderkey", F.lit("ok").alias("grade")).unionByName(done.held.select("o_orderkey", "grade"))
+
+
 @query("SELECT o_orderkey, 'ok' AS grade FROM orders")
 def dq_no_rules(t: Tables) -> DataFrame:
     """[Q02] Without rules everything passes."""
@@ -265,6 +284,8 @@ RULE_ROWS = [
     ("date_check", "XX", "ORDERS", "ORDERS%", "orders_*.csv", "I", "day", "Date Check#Bad", "low", "core", "yyyy-MM-dd"),
 ]
 
+STRUCTURE_ROW = ("structure_check", "XX", "ORDERS", "ORDERS%", "orders_*.csv", "A", None, "Structure#Columns differ", "high", "core", None)
+
 RULE_SCHEMA = (
     "rule_name string, country_code string, source_system string, file_name string, config_filename_format string, "
     "active_flag string, column_name string, subject_line string, priority_level string, mail_group string, sql_query string"
@@ -321,36 +342,37 @@ SELECT 'customer', count(*) FROM customer WHERE c_acctbal < 0
 """)
 def post_load_rules(t: Tables) -> DataFrame:
     """[Q31] Active post-load rules of a region run against the loaded tables."""
-    t.orders.createOrReplaceTempView("loaded_orders")
-    t.customer.createOrReplaceTempView("loaded_customer")
     entry = lambda name, sql, target, active="A", region="EU": {
         "name": name, "query": sql, "target": target, "active": active, "region": region
     }
     found = post_load(
         t.spark,
         [
-            entry("large", "SELECT count(*) AS n FROM loaded_orders WHERE o_totalprice > 400000", "orders"),
-            entry("owing", "SELECT count(*) AS n FROM loaded_customer WHERE c_acctbal < 0", "customer"),
-            entry("idle", "SELECT count(*) AS n FROM loaded_orders", "orders", "I"),
-            entry("skip", "SELECT count(*) AS n FROM loaded_orders", "orders"),
+            entry("large", "SELECT count(*) AS n FROM {orders} WHERE o_totalprice > 400000", "orders"),
+            entry("owing", "SELECT count(*) AS n FROM {customer} WHERE c_acctbal < 0", "customer"),
+            entry("idle", "SELECT count(*) AS n FROM {orders}", "orders", "I"),
+            entry("skip", "SELECT count(*) AS n FROM {orders}", "orders"),
         ],
         "EU",
         excluded=["skip"],
+        views={"orders": t.orders, "customer": t.customer},
     )
     return stack_tagged({name.split(".")[0]: df for name, df in found.items()}, "table")
 
 
 @query(BASE + """
-SELECT CASE WHEN e1 OR e2 THEN 'high' ELSE 'low' END AS grade, count(*) AS n, 'orders_2024.csv' AS filename
-FROM graded WHERE e1 OR e2 OR e5 GROUP BY 1
+SELECT CASE WHEN e1 OR e2 THEN 'high' ELSE 'low' END AS grade, count(*) AS n, f AS filename
+FROM graded, (VALUES ('orders_2024.csv'), ('Orders_2024b.csv')) AS files(f) WHERE e1 OR e2 OR e5 GROUP BY 1, 3
 """)
 def dq_file_run(t: Tables) -> DataFrame:
-    """[Q01, Q17 to Q24] A whole run, twice: the second delivery of a file replaces its rows in the error table."""
-    table = t.spark.createDataFrame(RULE_ROWS, RULE_SCHEMA)
+    """[Q01, Q03, Q17 to Q24] Runs of two files at one time, twice: a second delivery replaces its own file's rows only."""
+    table = t.spark.createDataFrame([*RULE_ROWS, STRUCTURE_ROW], RULE_SCHEMA)
     errors, summary = work_path(t.spark, "error_table"), work_path(t.spark, "summary")
+    rows = source(t)
     for hour in (6, 7):
         at = dt.datetime(2024, 3, 1, hour)
-        delivery = Delivery("orders_2024.csv", "orders_*.csv", "xx", "Orders", "gate", at)
-        check_file(source(t), table, ["orderkey"], delivery, errors, summary)
-    rows = report.by_grade(read_snapshot(t.spark, errors))
+        for file in ("orders_2024.csv", "Orders_2024b.csv"):
+            delivery = Delivery(file, "orders_*.csv", "xx", "Orders", "gate", at)
+            check_file(rows, table, ["orderkey"], delivery, errors, summary, expected=rows.columns)
+    rows = report.by_grade(read_files(t.spark, errors))
     return rows.groupBy("grade", F.col("FILENAME").alias("filename")).agg(F.count(F.lit(1)).alias("n"))

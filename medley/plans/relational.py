@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medley.functions import numbers
-from medley.operators import aggregates, joins, project, reshape, windows
+from medley.operators import aggregates, joins, project, reshape, skew, windows
 from medley.operators.commerce import sales_input
 from medley.plans.base import Tables, money, number, query
 from medley.streaming.hourly import merge_copies
@@ -262,18 +262,19 @@ def rate_interval_join(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH r AS (SELECT s_suppkey, s_nationkey, DATE '1995-01-01' + CAST(s_suppkey % 20 AS INTEGER) * 100 AS s,
-           DATE '1995-01-01' + CAST(s_suppkey % 20 AS INTEGER) * 100 + 150 AS e FROM supplier)
+WITH r AS (SELECT min(s_suppkey) AS s_suppkey, s_nationkey, DATE '1995-01-01' + CAST(s_suppkey % 20 AS INTEGER) * 100 AS s,
+           DATE '1995-01-01' + CAST(s_suppkey % 20 AS INTEGER) * 100 + 150 AS e FROM supplier GROUP BY ALL)
 SELECT o_orderkey, s_suppkey FROM orders JOIN customer ON o_custkey = c_custkey
 LEFT JOIN r ON s_nationkey = c_nationkey AND CAST(o_orderdate AS DATE) BETWEEN s AND e
 """)
 def period_interval_join(t: Tables) -> DataFrame:
-    """[J04] Ranges from a table of any size: distinct key and day pairs find theirs, rows look them up."""
+    """[J04] One range per nation and period, of which two overlap at most: distinct key and day pairs find theirs."""
     start = F.date_add(F.lit(dt.date(1995, 1, 1)), (F.col("s_suppkey") % 20 * 100).cast("int"))
-    ranges = t.supplier.select("s_suppkey", "s_nationkey", start.alias("s"), F.date_add(start, 150).alias("e"))
+    ranges = t.supplier.groupBy("s_nationkey", start.alias("s")).agg(F.min("s_suppkey").alias("s_suppkey"))
+    ranges = ranges.withColumn("e", F.date_add("s", 150))
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     orders = orders.select("o_orderkey", "c_nationkey", "o_orderdate")
-    rows = joins.interval_join(orders, ranges, ("c_nationkey", "s_nationkey"), "o_orderdate", "s", "e", small=0)
+    rows = joins.interval_join(orders, ranges, ("c_nationkey", "s_nationkey"), "o_orderdate", "s", "e")
     return rows.select("o_orderkey", "s_suppkey")
 
 
@@ -494,13 +495,13 @@ def describe_text(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS kinds, count(*) AS n_kinds
-FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY 1
+SELECT user_id, event_type, count(*) OVER (PARTITION BY user_id) AS n_kinds FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_type IS NOT NULL)
 """)
 def distinct_sets(t: Tables) -> DataFrame:
-    """[A16, A18] Sorted distinct event types by user, and how many."""
-    sets = aggregates.value_sets(t.events, ["user_id"], "event_type")
-    return sets.select("user_id", F.array_join("items", ",").alias("kinds"), F.size("items").cast("long").alias("n_kinds"))
+    """[A16, A18] Distinct event types by user as rows, and how many."""
+    kinds = t.events.select("user_id", "event_type").dropna(subset=["event_type"]).distinct()
+    counts = kinds.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_kinds"))
+    return skew.lookup(kinds, counts, ["user_id"])
 
 
 @query("SELECT DISTINCT c_mktsegment, c_nationkey FROM customer")
@@ -573,11 +574,14 @@ def dup_rows(t: Tables) -> DataFrame:
     return rows.select("doc_id", F.col("_dup_n").alias("dup_n"))
 
 
-@query("SELECT min(event_id) AS event_id, user_id, event_type FROM events GROUP BY user_id, event_type")
+@query("""
+SELECT day, user_id, event_type FROM (SELECT CAST(ts AS DATE) AS day, user_id, event_type,
+ row_number() OVER (PARTITION BY user_id, event_type ORDER BY CAST(ts AS DATE)) AS rn FROM events) WHERE rn = 1
+""")
 def drop_duplicates(t: Tables) -> DataFrame:
-    """[T05] First event of each user and type."""
-    rows = t.events.select("event_id", "user_id", "event_type")
-    return reshape.drop_duplicate_rows(rows, ["user_id", "event_type"], "event_id")
+    """[T05] First day of each user and type; many rows tie on it."""
+    rows = t.events.select(F.to_date("ts").alias("day"), "user_id", "event_type")
+    return reshape.drop_duplicate_rows(rows, ["user_id", "event_type"], "day")
 
 
 @query("""
@@ -587,8 +591,7 @@ WHERE rnk <= 3
 def dense_rank_month(t: Tables) -> DataFrame:
     """[W03] Orders on the first three order days of their month."""
     rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day")).withColumn("month", F.trunc("day", "month"))
-    ranked = windows.rank_in(rows, ["month"], "day", "date_rank")
-    return ranked.filter("date_rank <= 3").select("o_orderkey", "date_rank")
+    return windows.first_ranks(rows, ["month"], "day", 3, "date_rank").select("o_orderkey", "date_rank")
 
 
 @query("""
@@ -673,29 +676,25 @@ def append_missing_cols(t: Tables) -> DataFrame:
     return reshape.stack_loose([a, b])
 
 
-@query("""
-WITH w AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS click, count(*) FILTER (WHERE event_type = 'view') AS "view" FROM events GROUP BY 1)
-SELECT user_id, 'click' AS event_type, click AS n FROM w UNION ALL SELECT user_id, 'view', "view" FROM w
-""")
+# Every event type of the table.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+COUNTED = ", ".join(f"count(*) FILTER (WHERE event_type = '{k}') AS \"{k}\"" for k in EVENT_TYPES)
+USERS = ", ".join(f"count(DISTINCT user_id) FILTER (WHERE event_type = '{k}')" for k in EVENT_TYPES)
+
+
+@query(f"WITH w AS (SELECT user_id, {COUNTED} FROM events GROUP BY 1) UNPIVOT w ON {', '.join(EVENT_TYPES)} INTO NAME event_type VALUE n")
 def melt_counts(t: Tables) -> DataFrame:
     """[T07] Wide counts to long."""
-    wide = t.events.groupBy("user_id").agg(
-        *[F.count_if(F.col("event_type") == k).alias(k) for k in ("click", "view")]
-    )
-    return reshape.melt(wide, ["user_id"], ["click", "view"], "event_type", "n")
+    wide = t.events.groupBy("user_id").agg(*[F.count_if(F.col("event_type") == k).alias(k) for k in EVENT_TYPES])
+    return reshape.melt(wide, ["user_id"], EVENT_TYPES, "event_type", "n")
 
 
-@query("""
-SELECT 'n' AS measure, count(*) FILTER (WHERE event_type = 'click') AS click, count(*) FILTER (WHERE event_type = 'error') AS error,
- count(*) FILTER (WHERE event_type = 'view') AS "view" FROM events
-UNION ALL SELECT 'users', count(DISTINCT user_id) FILTER (WHERE event_type = 'click'), count(DISTINCT user_id) FILTER (WHERE event_type = 'error'),
- count(DISTINCT user_id) FILTER (WHERE event_type = 'view') FROM events
-""")
+@query(f"SELECT 'n' AS measure, {COUNTED} FROM events UNION ALL SELECT 'users', {USERS} FROM events")
 def pivot_types(t: Tables) -> DataFrame:
     """[T08] A small summary on its side."""
     pairs = t.events.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
     small = pairs.groupBy("event_type").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("users"))
-    return reshape.transpose(small, "event_type", ["n", "users"], ["click", "error", "view"], "measure")
+    return reshape.transpose(small, "event_type", ["n", "users"], EVENT_TYPES, "measure")
 
 
 @query("""

@@ -295,12 +295,11 @@ SELECT p.event_id, c.event_id AS click_id FROM (SELECT * FROM events WHERE event
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts >= c.ts
 """)
 def cogroup_asof(t: Tables) -> DataFrame:
-    """[U05] Each purchase with the user's last click, one pair of groups at a time."""
+    """[U05] Each purchase with the user's last click."""
     at = F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
     left = t.events.filter("event_type = 'purchase'").select("user_id", at, "event_id")
-    right = t.events.filter("event_type = 'click'").select("user_id", at, F.col("event_id").cast("double").alias("click_id"))
-    rows = batches.cogrouped_asof(left, right, "user_id", "at", "event_id long, click_id double")
-    return rows.withColumn("click_id", F.when(~F.isnan("click_id"), F.col("click_id")).cast("long"))
+    right = t.events.filter("event_type = 'click'").select("user_id", at, F.col("event_id").alias("click_id"))
+    return batches.cogrouped_asof(left, right, "user_id", "at", "click_id").select("event_id", "click_id")
 
 
 @query("""

@@ -33,7 +33,8 @@ MODEL = """
 d AS (SELECT k, ds, y, ym + slope * ((ds - DATE '1970-01-01') - tm) AS trend, dayofweek(ds) AS dow FROM cut JOIN line USING (k) WHERE slope IS NOT NULL),
 f AS (SELECT k, dow, coalesce(avg(CASE WHEN trend <> 0 THEN y / trend END), 1.0) AS factor FROM d GROUP BY k, dow),
 s AS (SELECT k, coalesce(stddev_samp(y - trend * factor), 0.0) AS sigma FROM d JOIN f USING (k, dow) GROUP BY k),
-p AS (SELECT k, ds, (ym + slope * ((ds - DATE '1970-01-01') - tm)) * coalesce(factor, 1.0) AS yhat, sigma
+p AS (SELECT k, ds, (ym + slope * ((ds - DATE '1970-01-01') - tm)) * coalesce(factor, 1.0) AS yhat, sigma,
+  ym + slope * ((ds - DATE '1970-01-01') - tm) AS trend, coalesce(factor, 1.0) AS factor
  FROM (SELECT *, CAST(last + CAST(i AS INTEGER) AS DATE) AS ds FROM line, range(1, {horizon} + 1) r(i)) JOIN s USING (k) LEFT JOIN f USING (k) WHERE (dow = dayofweek(ds) OR dow IS NULL))
 """
 
@@ -64,25 +65,62 @@ def backtest_scores(t: Tables) -> DataFrame:
     return rows.select("event_type", "origin", "n", F.round("mape", 6).alias("mape"), F.round("rmse", 4).alias("rmse"))
 
 
-@query()
+ORDER_DAILY = """
+WITH RECURSIVE h AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS ds, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS y FROM orders GROUP BY ALL)
+"""
+
+BACK = "(SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY ds DESC) AS back FROM h)"
+
+
+def _rounded(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"mape": F.round("mape", 6), "rmse": F.round("rmse", 2)})
+
+
+@query(ORDER_DAILY + f", cut AS (SELECT o_orderpriority || '/' || o AS k, ds, y FROM {BACK}, range(10, 181, 5) v(o) WHERE back > o)" + MODEL.format(horizon=5) + """
+SELECT o_orderpriority, count(*) AS n, round(avg(CASE WHEN y <> 0 THEN abs(y - yhat) / abs(y) END), 6) AS mape,
+ round(sqrt(avg((y - yhat) * (y - yhat))), 2) AS rmse FROM p JOIN h ON h.o_orderpriority = string_split(k, '/')[1] AND h.ds = p.ds GROUP BY 1
+""")
 def backtest_orders(t: Tables) -> DataFrame:
     """[M03] Thirty-five origins over years of orders."""
-    return series.scores(series.backtest(order_history(t), ["o_orderpriority"]), ["o_orderpriority"])
+    return _rounded(series.scores(series.backtest(order_history(t), ["o_orderpriority"]), ["o_orderpriority"]))
 
 
-@query()
+@query(ORDER_DAILY + f"""
+, every AS (SELECT o_orderpriority || '/' || o || '/' || w AS k, w, ds, y FROM {BACK}, (VALUES (10), (20), (30), (40)) v(o), (VALUES (60), (365), (3650)) u(w) WHERE back > o),
+cut AS (SELECT k, ds, y FROM (SELECT *, max(ds) OVER (PARTITION BY k) AS last_ds FROM every) WHERE last_ds - ds < w)""" + MODEL.format(horizon=5) + """
+SELECT o_orderpriority, CAST(string_split(k, '/')[3] AS INTEGER) AS "window", CAST(strength AS DOUBLE) AS strength, count(*) AS n,
+ round(avg(CASE WHEN y <> 0 THEN abs(y - yh) / abs(y) END), 6) AS mape, round(sqrt(avg((y - yh) * (y - yh))), 2) AS rmse
+FROM (SELECT h.o_orderpriority, k, strength, y, trend * (1 + strength * (factor - 1)) AS yh
+ FROM p JOIN h ON h.o_orderpriority = string_split(k, '/')[1] AND h.ds = p.ds, (VALUES (0.0), (0.5), (1.0)) s(strength)) GROUP BY 1, 2, 3
+""")
 def parameter_grid(t: Tables) -> DataFrame:
     """[M06] Settings scored by RMSE."""
     params = [(w, s) for w in (60, 365, 3650) for s in (0.0, 0.5, 1.0)]
-    return series.grid(order_history(t), ["o_orderpriority"], params, [10, 20, 30, 40])
-
-
-@query()
+    return _rounded(series.grid(order_history(t), ["o_orderpriority"], params, [10, 20, 30, 40]))
+
+
+@query(ORDER_DAILY + """
+, r AS (SELECT o_orderpriority AS k, y, row_number() OVER (PARTITION BY o_orderpriority ORDER BY ds) AS i, count(*) OVER (PARTITION BY o_orderpriority) AS c FROM h),
+tr AS (SELECT k, i, y, CAST(c - ceil(c * 0.05) AS BIGINT) AS n FROM r WHERE i <= c - ceil(c * 0.05)),
+te AS (SELECT k, i - CAST(c - ceil(c * 0.05) AS BIGINT) AS h, y FROM r WHERE i > c - ceil(c * 0.05)),
+m AS (SELECT k, n, avg(y) AS mean FROM tr GROUP BY k, n),
+f AS (SELECT k, (i - 1) % 12 AS seat, CASE WHEN any_value(m.n) >= 24 THEN avg(y) / any_value(mean) ELSE 1.0 END AS f FROM tr JOIN m USING (k) GROUP BY ALL),
+a AS (SELECT tr.k, i, n, y / f AS a FROM tr JOIN f ON tr.k = f.k AND (i - 1) % 12 = seat),
+ses(k, alpha, i, level, sse) AS (
+ SELECT k, x * 0.05::DOUBLE, 1::BIGINT, a, 0.0::DOUBLE FROM a, range(1, 20) g(x) WHERE i = 1
+ UNION ALL SELECT s.k, alpha, s.i + 1, level + alpha * (a - level), sse + (a - level) * (a - level) FROM ses s JOIN a ON a.k = s.k AND a.i = s.i + 1),
+best AS (SELECT ses.k, alpha, level, n FROM ses JOIN m ON ses.k = m.k AND ses.i = m.n QUALIFY row_number() OVER (PARTITION BY ses.k ORDER BY sse, alpha) = 1),
+slope AS (SELECT k, regr_slope(a, i) / 2 AS drift FROM a GROUP BY k),
+ahead AS (SELECT te.k, y, (level + drift * (h - 1 + (1 - pow(1 - alpha, n)) / alpha)) * f AS yhat
+ FROM te JOIN best USING (k) JOIN slope USING (k) JOIN f ON f.k = te.k AND (n + h - 1) % 12 = seat)
+SELECT k AS o_orderpriority, count(*) AS n, round(avg(CASE WHEN y <> 0 THEN abs(y - yhat) / abs(y) END), 6) AS mape,
+ round(sqrt(avg((y - yhat) * (y - yhat))), 2) AS rmse FROM ahead GROUP BY 1
+""")
 def theta_scores(t: Tables) -> DataFrame:
-    """[M05] Theta on the ordered split, scored by MAPE over the test days."""
+    """[M05] Theta on the ordered split, scored by MAPE over all test days of each series."""
     keys = ["o_orderpriority"]
     train, test = series.split(order_history(t), keys, 0.05)
     order = F.row_number().over(series.Window.partitionBy(*keys).orderBy("ds"))
-    numbered = test.withColumn("h", order)
-    predicted = series.theta(train, keys, 365)
-    return series.scores(predicted.join(numbered, [*keys, "h"]), keys)
+    lengths = test.groupBy(*keys).agg(F.count(F.lit(1)).alias("horizon"))
+    predicted = series.theta(train, keys, lengths)
+    return _rounded(series.scores(predicted.join(test.withColumn("h", order), [*keys, "h"]), keys))

@@ -19,6 +19,7 @@ def build(app: str = "medley", master: str | None = None, **conf: str) -> SparkS
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medley.operators.load import overwrite_partitions
 from medley.operators.reshape import stack_loose
+from medley.operators.skew import lookup
 from medley.operators.windows import latest
 
 
@@ -19,31 +20,35 @@ def rewrite_partition(events: DataFrame, path: str, at: str, partition: str = "e
     overwrite_partitions(events.withColumn(partition, F.to_date(F.col(at))), path, [partition])
 
 
-def read_events(spark: SparkSession, path: str, schema: T.StructType, name_filter: str | None = None, at: str = "ts") -> DataFrame:
-    """[R01] A file source as a stream, its event time as a timestamp (a watermark needs that type)."""
-    reader = spark.readStream.schema(schema)
+def read_events(
+    spark: SparkSession, path: str, schema: T.StructType, name_filter: str | None = None, at: str = "ts", files: int = 200
+) -> DataFrame:
+    """[R01] A file source as a stream, its event time as a timestamp; a micro-batch takes `files` files at most."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     return reader.parquet(path).withColumn(at, F.col(at).cast("timestamp"))
 
 
-def distinct_events(stream: DataFrame, key: Sequence[str], at: str, delay: str) -> DataFrame:
-    """[R02] Each key once within the watermark's delay; state older than the delay is dropped."""
-    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(key))
-
-
 def stream_to_partitions(
-    stream: DataFrame, path: str, checkpoint: str, at: str, partition: str = "event_date"
+    stream: DataFrame, path: str, checkpoint: str, at: str, key: Sequence[str], partition: str = "event_date"
 ) -> StreamingQuery:
-    """[R01] Stream form: every micro-batch lands in its own run folder under the date partitions.
+    """[R01, R02] Stream form: every micro-batch lands in its own folder under the date partitions, each key once.
 
-    A batch number is part of the path, and a batch that runs again overwrites its own folder only, so a
-    restart neither loses nor doubles rows. Readers see one table partitioned by date and batch.
+    A key that lies in the table already, in the partition of its date, is left out, however late it comes: rows are
+    compared with the table and not with state that a watermark would drop. The folder is named after the query and the
+    batch, so a batch that runs again overwrites its own folder only and a new checkpoint none of an earlier one's.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumns({partition: F.to_date(F.col(at)), "batch": F.lit(number)})
-        overwrite_partitions(rows, path, ["batch", partition])
+        spark = batch.sparkSession
+        own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number:010d}"
+        rows = batch.withColumn(partition, F.to_date(F.col(at))).dropDuplicates([*key, partition])
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+            known = spark.read.option("basePath", path).parquet(path).filter(F.col("batch") != own).select(*key, partition)
+            rows = lookup(rows, known.withColumn(partition, F.col(partition).cast("date")), [*key, partition], "left_anti")
+        overwrite_partitions(rows.withColumn("batch", F.lit(own)), path, ["batch", partition])
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return query.trigger(availableNow=True).start()

@@ -101,7 +101,7 @@ def test_udfs(spark, same):
     same(batches.map_batches(df.select("id"), lambda p: pd.DataFrame({"id": p.id * 2}), "id long"), [(2,), (4,), (6,), (8,)])
     left = spark.createDataFrame([(1, "x", 1.0), (3, "x", 2.0), (2, "y", 3.0)], "at long, id string, v double")
     right = spark.createDataFrame([(1, "x", "p"), (2, "x", "q")], "at long, id string, w string")
-    got = batches.cogrouped_asof(left, right, "id", "at", "at long, id string, v double, w string")
+    got = batches.cogrouped_asof(left, right, "id", "at", "w")
     same(got, [(1, "x", 1.0, "p"), (3, "x", 2.0, "q"), (2, "y", 3.0, None)])
 
 
@@ -158,6 +158,8 @@ def test_reshape(spark, same):
     same(reshape.reindex(df, "city", ["c2", "c9"], "flag", 1, ["c9"]), [("c2", 3, 4, None), ("c9", None, None, 1)])
     copies = spark.createDataFrame([(2, "x"), (1, "x"), (3, None), (4, None)], "i int, t string")
     same(reshape.drop_duplicate_rows(copies, ["t"], "i"), [(1, "x"), (3, None)])
+    ties = spark.createDataFrame([(1, "b"), (2, "a"), (2, "b"), (3, "b"), (3, "b")], "i int, t string")
+    same(reshape.drop_duplicate_rows(ties, ["t"], "i"), [(1, "b"), (2, "a")])
 
 
 def test_commerce(spark, same):
@@ -176,12 +178,3 @@ def test_rewrite_table(spark, tmp_path):
     for n in (3, 2):
         commerce.rewrite_table(spark.range(n), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
-
-
-def test_lists_and_groups_of_any_size_are_not_gathered(spark, monkeypatch):
-    df = spark.range(10).selectExpr("'k' as k", "id")
-    with pytest.raises(ValueError):
-        aggregates.value_sets(df, ["k"], "id", limit=5)
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (5,))
-    with pytest.raises(ValueError):
-        batches.grouped(df, ["k"], lambda p: p, "k string, id long")

@@ -56,6 +56,22 @@ def test_merge_partitions_rewrites_only_touched(spark, tmp_path):
     assert before == {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("p=[12]/*.parquet")}
 
 
+def test_merge_partitions_null_and_moved_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, "old", "x"), (2, "old", None), (3, "old", None), (4, "old", "y"), (5, "old", "a=b c"), (None, "old", "z")]
+    spark.createDataFrame(rows, "k int, v string, p string").write.partitionBy("p").parquet(path)
+    source = spark.createDataFrame([(1, "new", "y"), (3, "new", None), (5, "new", "x"), (6, "new", None), (None, "new", "z")], "k int, v string, p string")
+    assert load.merge_partitions(spark, path, source, ["k"], "p") == 5
+    got = {(r["k"], r["v"], r["p"]) for r in spark.read.parquet(path).collect()}
+    assert got == {(1, "new", "y"), (2, "old", None), (3, "new", None), (4, "old", "y"), (5, "new", "x"), (6, "new", None), (None, "new", "z")}
+
+
+def test_few_files_per_partition(spark, tmp_path):
+    rows = spark.range(3000).repartition(16).withColumn("p", F.col("id") % 30)
+    load.overwrite_partitions(rows, str(tmp_path / "t"), ["p"])
+    assert len(list((tmp_path / "t").glob("p=*/*.parquet"))) <= 60
+
+
 def test_vanished(spark, same):
     target = frame(spark, [(1, "in"), (2, "in"), (3, "out"), (None, "in"), (4, None)])
     source = frame(spark, [(1, "x")])
@@ -121,5 +137,7 @@ def test_allocation_conserves_totals(spark, same):
     same(got.select("p", "area", "amount"), [("p", "x", 2.5), ("p", "y", 7.5), ("q", None, 5.0), (None, None, 1.0)])
     assert allocation.bad_weights(weights, ["p"], "w").count() == 0
     assert allocation.bad_weights(weights.filter("area = 'x'"), ["p"], "w").count() == 1
+    with pytest.raises(Exception, match="do not sum to 1"):
+        allocation.allocate(sales, weights.filter("area = 'x'"), ["p"], "area", "w", "amount").count()
     levels = allocation.roll_up(got.fillna("none"), ["p", "area"], "amount")
     assert levels["p"].agg(F.sum("amount")).first()[0] == 16.0

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from medley.operators.quality import Rule, gate, report, rules, select_rules, to_rules
 from medley.operators.quality.dates import LocalFormat, normalise_dates
-from medley.plans.quality import RULE_ROWS, RULE_SCHEMA
+from medley.plans.quality import RULE_ROWS, RULE_SCHEMA, STRUCTURE_ROW
 
 NOW = dt.datetime(2024, 3, 1, 6)
 RULES = [
@@ -82,22 +82,59 @@ def test_materialised_result_is_the_same(done):
 
 
 def test_export(done, spark, tmp_path):
-    rows = done.error_rows("F.csv", "job", NOW)
-    paths = report.export_by_grade(rows, str(tmp_path), "F.csv")
+    paths = report.export_by_grade(done.invalid, done.columns, done.key, str(tmp_path), "F.csv", "job", NOW)
     assert [p.rsplit("/", 1)[1] for p in paths] == ["err_f_high", "err_f_medium", "err_f_low"]
     high = spark.read.option("header", True).csv(paths[0])
     assert high.count() == 1 + 3 + 2 + 2
-    after = report.mark_processed(rows, "high")
-    assert report.export_frame(after, "high").count() == 0
-    assert report.export_frame(after, "medium").count() == 3
+    medium = report.export_frame(done.invalid, done.columns, done.key, "medium", "F.csv", "job", NOW)
+    assert medium.count() == 3
 
 
 def test_whole_row_duplicates_keep_the_first(spark):
     df = spark.createDataFrame([(3, "x", None), (1, "x", None), (2, "y", None), (4, None, None), (5, None, None)], "id int, a string, b string")
     rule = Rule("duplicate_check", "duplicate", ("a",), "Dup#Copy", "low", "g")
-    for rows in (1, 10**9):
-        got = gate(df, [rule], ["id"], rows=rows).tagged.filter("grade <> 'ok'")
-        assert {r["id"] for r in got.collect()} == {3, 5}
+    got = gate(df, [rule], ["id"]).tagged.filter("grade <> 'ok'")
+    assert {r["id"] for r in got.collect()} == {3, 5}
+
+
+def test_identical_rows_are_duplicates_too(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, "a"), (None, "b"), (None, "b")], "id int, a string")
+    rule = Rule("duplicate_check", "duplicate", ("a",), "Dup#Copy", "low", "g")
+    grades = sorted((r["id"] or 0, r["grade"]) for r in gate(df, [rule], ["id"]).tagged.collect())
+    assert grades == [(0, "low"), (0, "ok"), (1, "low"), (1, "low"), (1, "ok"), (2, "low")]
+
+
+def test_custom_queries_neither_lose_nor_double_rows(spark):
+    df = spark.createDataFrame([(1, 5), (2, 6), (3, 9), (3, 9), (None, 9)], "id int, v int")
+    sql = "SELECT d.*, 'C#big' AS processing_status_2, 'medium' AS priority_status_2 FROM {data} d, VALUES (1), (2) AS t(x) WHERE v > 5"
+    done = gate(df, [Rule("custom_check", "custom", (), "", "low", "g", sql)], ["id"])
+    assert sorted((r["id"] or 0, len(r["errors"])) for r in done.held.collect()) == [(0, 1), (2, 1), (3, 1), (3, 1)]
+    assert [r["id"] for r in done.valid.collect()] == [1]
+
+
+def test_export_takes_errors_apart_as_they_are(spark):
+    df = spark.createDataFrame([(1, None, "x")], "id int, a string, b string")
+    found = [
+        Rule("null_check", "mandatory", ("a",), "Null#Missing; really", "high", "core-team"),
+        Rule("valid_value_check", "valid_value", ("b",), "Value#Bad - or not", "low", "sales", "y"),
+    ]
+    done = gate(df, found, ["id"])
+    lines = report.export_frame(done.invalid, done.columns, done.key, "high", "f.csv", "job", dt.datetime(2024, 1, 1)).collect()
+    got = {(r["mail_group"], r["ERROR_DESCRIPTION"], r["priority_level"], r["RECORD_NUMBER"]) for r in lines}
+    assert got == {("core-team", "Null#Missing; really: a", "high", "1"), ("sales", "Value#Bad - or not: b", "low", "1")}
+
+
+def test_typed_dates_stay_dates(spark):
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 2))], "id int, d date")
+    done = gate(df, [Rule("date_check", "date", ("d",), "D#x", "low", "g", "yyyy-MM-dd")], ["id"])
+    assert done.valid.schema["d"].dataType.simpleString() == "date" and done.valid.first()["d"] == dt.date(2024, 1, 2)
+
+
+def test_rules_without_or_with_unknown_names_are_refused(spark):
+    for name in (None, "no_such_check"):
+        table = spark.createDataFrame([(name, *RULE_ROWS[0][1:])], RULE_SCHEMA)
+        with pytest.raises(ValueError, match="unknown rules"):
+            to_rules(table)
 
 
 def test_text_that_reads_alike_is_not_a_duplicate(spark):
@@ -167,8 +204,8 @@ def test_error_table_upkeep(spark, same):
 
 
 def test_file_run_keeps_the_books(spark, tmp_path):
-    from medley.operators.load import read_snapshot
-    from medley.operators.quality.run import Delivery, HighPriorityError, check_file, load_file
+    from medley.operators.load import read_files
+    from medley.operators.quality.run import Delivery, HighPriorityError, StructureError, check_file, load_file
 
     table = spark.createDataFrame(RULE_ROWS, RULE_SCHEMA)
     errors, summary, out = (str(tmp_path / n) for n in ("errors", "summary", "out"))
@@ -188,13 +225,24 @@ def test_file_run_keeps_the_books(spark, tmp_path):
     run(bad, "orders_2024b.csv", 2)
     again = run(good, "orders_2024.csv", 3)
     assert not again.high_flag
-    kept = {(r["FILENAME"], r["RECORD_NUMBER"], r["priority_level"]) for r in read_snapshot(spark, errors).collect()}
+    kept = {(r["FILENAME"], r["RECORD_NUMBER"], r["priority_level"]) for r in read_files(spark, errors).collect()}
     assert kept == {("orders_2024b.csv", "1", "high"), ("orders_2024.csv", "2", "low")}
-    lines = {(r["filename"], r["count"], r["total_record"]) for r in read_snapshot(spark, summary).collect()}
+    lines = {(r["filename"], r["count"], r["total_record"]) for r in read_files(spark, summary).collect()}
     assert lines == {("orders_2024b.csv", 1, 2), ("orders_2024.csv", 1, 2)}
     target = spark.createDataFrame([(2, "O", "t"), (9, "O", "t")], schema)
     merged = {tuple(r) for r in load_file(again, target, ["orderkey"]).collect()}
     assert merged == {(1, "O", "s"), (2, "Z", "s"), (9, "O", "t")}
-    assert read_snapshot(spark, errors, "20240301T010000") is None
+    assert read_files(spark, str(tmp_path / "none")) is None
+    run(bad, "ORDERS_2024.csv", 3)  # the same second as the run before, another spelling of its file
+    run(bad, "orders_2024c.csv", 3)
+    kept = sorted((r["FILENAME"], r["RECORD_NUMBER"]) for r in read_files(spark, errors).collect())
+    assert kept == [("ORDERS_2024.csv", "1"), ("orders_2024b.csv", "1"), ("orders_2024c.csv", "1")]
+    late = Delivery("orders_2024c.csv", "orders_*.csv", "XX", "ORDERS", "job", dt.datetime(2024, 3, 9))
+    check_file(bad, table, ["orderkey"], late, errors, summary)  # days older than three go, so do the file's earlier rows
+    assert [r["FILENAME"] for r in read_files(spark, errors).collect()] == ["orders_2024c.csv"]
+    assert read_files(spark, summary).count() == 3
+    strict = spark.createDataFrame([*RULE_ROWS, STRUCTURE_ROW], RULE_SCHEMA)
+    with pytest.raises(StructureError):
+        check_file(bad, strict, ["orderkey"], late, errors, summary, expected=["orderkey"])
     passed = run(good, "other.txt", 4)
     assert passed.result is None and passed.valid is good

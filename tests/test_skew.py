@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from medley.operators import joins, quantiles, skew, windows
 
-LOW = 60
-
 
 def skewed(n=3000, seed=7):
     rng = random.Random(seed)
@@ -32,41 +30,45 @@ def equal(a, b):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_hot_keys_finds_heavy_and_null_groups(frame):
-    assert [n for _, n in skew.hot_keys(frame, ["k"], LOW)] == [1000, 500]
-    assert skew.hot_keys(frame, ["k"]) == []
-    assert skew.hot_keys(frame.limit(0), ["k"], LOW) == []
+@pytest.mark.parametrize("order", [["t", "i"], ["flag", "i"], ["pair"], ["z"]])
+def test_parts_are_small_whatever_a_group_holds(frame, order):
+    # texts that differ behind a long common prefix, booleans and structs
+    wide = frame.withColumns({
+        "z": F.concat(F.lit("document-0000000000000-"), F.lpad(F.col("i").cast("string"), 9, "0")),
+        "flag": F.col("i") % 2 == 0,
+        "pair": F.struct("t", "i"),
+    })
+    split = skew.split_groups(wide, ["k"], order, 20)
+    sizes = [r["count"] for r in split.frame.groupBy(skew.PART).count().collect()]
+    assert len(sizes) > 15 and max(sizes) <= 4 * 3000 / 20
+    assert split.order == [*order, skew.TIE]
 
 
-def test_chunks_are_small_and_in_order(frame):
-    split = skew.split_groups(frame, ["k"], ["t", "i"], LOW)
-    cut, names = split.frame, split.chunks
-    assert names == ["_chunk0", "_chunk1"] and split.order == ["t", "i"]
-    sizes = cut.filter("_chunk0 is not null").groupBy("k", *names).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 5 * LOW
-    spans = cut.filter("k = 'hot' and t is not null").groupBy("_chunk0").agg(F.min("t"), F.max("t")).orderBy("_chunk0")
-    rows = spans.collect()
-    assert all(a[2] < b[1] for a, b in zip(rows, rows[1:], strict=False))
+def test_a_thousand_large_groups(spark):
+    df = spark.range(100_000).select((F.col("id") % 1000).alias("k"), F.col("id"))
+    split = skew.split_groups(df, ["k"], ["id"], 50)
+    assert split.frame.groupBy(skew.PART).count().agg(F.max("count")).first()[0] <= 4 * 2000
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("id")).cast("long"))
+    equal(skew.running(df, ["k"], ["id"], {"n": ("count", "*")}, 50), want)
 
 
-@pytest.mark.parametrize("rows", [LOW, 10**9])
-def test_running_equals_window(frame, rows):
+@pytest.mark.parametrize("parts", [None, 1, 50])
+def test_running_equals_window(frame, parts):
     w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
     want = frame.select(
-        "*", F.max("v").over(w).alias("m"), F.last("v", True).over(w).alias("l"), F.count(F.lit(1)).over(w).alias("n")
-    )
-    outputs = {"m": ("max", "v"), "l": ("last", "v"), "n": ("count", "*")}
-    equal(skew.running(frame, ["k"], ["t", "i"], outputs, rows), want)
+        "*", F.max("v").over(w).alias("m"), F.last("v", True).over(w).alias("l"), F.count(F.lit(1)).over(w).alias("n"),
+        F.count("v").over(w).alias("c"),
+    )
+    outputs = {"m": ("max", "v"), "l": ("last", "v"), "n": ("count", "*"), "c": ("count", "v")}
+    equal(skew.running(frame, ["k"], ["t", "i"], outputs, parts), want)
 
 
 def test_copies_are_split_too(spark):
     rows = [("hot", 1, 1.0)] * 600 + [("hot", 0, 5.0), ("hot", 2, None), ("x", 1, 2.0)]
     df = spark.createDataFrame(rows, "k string, t int, v double").repartition(4)
-    split = skew.split_groups(df, ["k"], ["t"], LOW)
-    assert split.order == ["t", skew.TIE]
-    sizes = split.frame.groupBy("k", *split.chunks).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 5 * LOW
-    got = skew.running(df, ["k"], ["t"], {"n": ("count", "*"), "m": ("max", "v"), "p": ("previous", "t")}, LOW)
+    split = skew.split_groups(df, ["k"], ["t"], 10)
+    assert split.frame.groupBy(skew.PART).count().agg(F.max("count")).first()[0] <= 4 * 60
+    got = skew.running(df, ["k"], ["t"], {"n": ("count", "*"), "m": ("max", "v"), "p": ("previous", "t")}, 10)
     assert got.columns == ["k", "t", "v", "n", "m", "p"]
     hot = sorted((r["n"], r["t"], r["m"], r["p"]) for r in got.filter("k = 'hot'").collect())
     assert [h[0] for h in hot] == list(range(1, 603))
@@ -74,10 +76,10 @@ def test_copies_are_split_too(spark):
     assert [h[3] for h in hot] == [None, 0] + [1] * 600
 
 
-@pytest.mark.parametrize("rows", [LOW, 10**9])
-def test_previous_equals_lag(frame, rows):
+@pytest.mark.parametrize("parts", [None, 50])
+def test_previous_equals_lag(frame, parts):
     want = frame.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "i")))
-    equal(skew.running(frame, ["k"], ["t", "i"], {"p": ("previous", "v")}, rows), want)
+    equal(skew.running(frame, ["k"], ["t", "i"], {"p": ("previous", "v")}, parts), want)
 
 
 def test_asof_with_copies_on_both_sides(spark, same):
@@ -85,7 +87,7 @@ def test_asof_with_copies_on_both_sides(spark, same):
     right = [("a", 5, 7, 0.5)] * 400 + [("a", 4, 1, 0.1), ("a", 6, 2, None)]
     a = spark.createDataFrame(left, "k string, t long, i long")
     b = spark.createDataFrame(right, "k string, t long, ri long, rv double")
-    got = joins.asof(a, b, ["k"], "t", {"ri": "hit", "rv": "value"}, "ri", LOW)
+    got = joins.asof(a, b, ["k"], "t", {"ri": "hit", "rv": "value"}, "ri", 20)
     same(got, brute_asof(left, right))
 
 
@@ -93,7 +95,7 @@ def test_running_without_group_and_along_text(frame):
     text = frame.withColumn("z", F.concat(F.lit("id-"), F.sha2(F.col("i").cast("string"), 256)))
     w = Window.partitionBy(F.lit(0)).orderBy("z").rowsBetween(Window.unboundedPreceding, 0)
     want = text.withColumn("n", F.count(F.lit(1)).over(w))
-    equal(skew.running(text, [], ["z"], {"n": ("count", "*")}, LOW), want)
+    equal(skew.running(text, [], ["z"], {"n": ("count", "*")}, 20), want)
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
@@ -101,10 +103,8 @@ def test_lookup_equals_join(spark, frame, how):
     table = spark.createDataFrame([("hot", 1), (None, 2), ("k3", 3), ("zz", 4)], "k string, w int")
     on = frame["k"].eqNullSafe(table["k"])
     want = frame.join(table, on, how).drop(table["k"])
-    equal(skew.lookup(frame, table, ["k"], how, LOW), want)
     equal(skew.lookup(frame, table, ["k"], how), want)
-    equal(skew.lookup(frame, table, ["k"], how, LOW, small=10), want)
-    equal(skew.lookup(frame, table, ["k"], how, LOW, small=2), want)
+    equal(skew.lookup(frame, skew.one_per_key(table, ["k"]), ["k"], how), want)
 
 
 def test_lookup_refuses_different_key_types(spark, frame):
@@ -112,15 +112,22 @@ def test_lookup_refuses_different_key_types(spark, frame):
         skew.lookup(frame, spark.createDataFrame([(1, 1)], "t int, w int"), ["t"])
 
 
-@pytest.mark.parametrize("rows", [LOW, 10**9])
-def test_counts_ranks_and_copies(frame, rows):
+def test_a_key_that_occurs_twice_is_an_error(spark, frame):
+    twice = spark.createDataFrame([("hot", 1), ("hot", 1)], "k string, w int")
+    with pytest.raises(Exception, match="several rows for one key"):
+        joins.enrich(frame, twice, ["k"]).count()
+
+
+@pytest.mark.parametrize("parts", [None, 50])
+def test_counts_ranks_and_copies(frame, parts):
     by = Window.partitionBy("k")
-    equal(windows.count_keys(frame, ["k"], "n", rows), frame.withColumn("n", F.count(F.lit(1)).over(by)))
+    equal(windows.count_keys(frame, ["k"], "n"), frame.withColumn("n", F.count(F.lit(1)).over(by)))
     want = frame.withColumn("r", F.dense_rank().over(by.orderBy("t")))
-    equal(windows.rank_in(frame, ["k"], "t", "r", rows).withColumn("r", F.col("r").cast("int")), want)
+    equal(windows.rank_in(frame, ["k"], "t", "r", parts).withColumn("r", F.col("r").cast("int")), want)
+    equal(windows.first_ranks(frame, ["k"], "t", 2, "r"), want.filter("r <= 2"))
     copies = frame.select("k", "i")
     want = copies.withColumn("_dup_n", F.row_number().over(by.orderBy("i")).cast("long"))
-    equal(windows.mark_duplicate_rows(copies, ["i"], ["k"], rows), want)
+    equal(windows.mark_duplicate_rows(copies, ["i"], ["k"], parts), want)
 
 
 def brute_asof(left, right):
@@ -132,24 +139,17 @@ def brute_asof(left, right):
     return out
 
 
-@pytest.mark.parametrize("rows", [LOW, 10**9])
-def test_asof_against_brute_force(spark, frame, rows, same):
+@pytest.mark.parametrize("parts", [None, 50])
+def test_asof_against_brute_force(spark, frame, parts, same):
     data = skewed(900, 3)
     left = [(k, t, i) for k, t, i, _ in data if i % 2]
     right = [(k, t, i, v) for k, t, i, v in data if not i % 2]
     a = spark.createDataFrame(left, "k string, t long, i long")
     b = spark.createDataFrame(right, "k string, t long, ri long, rv double")
-    got = joins.asof(a, b, ["k"], "t", {"ri": "hit", "rv": "value"}, "ri", rows)
+    got = joins.asof(a, b, ["k"], "t", {"ri": "hit", "rv": "value"}, "ri", parts)
     same(got, brute_asof(left, right))
 
 
-def test_asof_plan_has_one_window(spark):
-    a = spark.createDataFrame([(1, 1, 1)], "k int, t int, i int")
-    b = spark.createDataFrame([(1, 1, 2)], "k int, t int, v int")
-    plan = joins.asof(a, b, ["k"], "t", {"v": "v"})._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [") == 1 and "NestedLoop" not in plan and "Join" not in plan
-
-
 @pytest.mark.parametrize("limit", [20, 10**6])
 def test_quantiles_are_exact(frame, limit):
     values = [r[3] for r in skewed() if r[3] is not None]

@@ -39,16 +39,20 @@ def test_sessions_stream_equals_batch(spark, tmp_path, same):
     assert len(rows) > 10 and rows <= {tuple(r) for r in want}
 
 
-def test_partitions_and_restart(spark, tmp_path):
+def test_late_events_restarts_and_new_queries(spark, tmp_path):
     src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
     batch = events(spark, src)
-    for _ in range(2):
-        stream = hourly.distinct_events(hourly.read_events(spark, src, batch.schema), ["id"], "ts", "2 days")
-        hourly.stream_to_partitions(stream, out, cp, "ts").awaitTermination()
-    late = spark.createDataFrame([(1000, BASE + dt.timedelta(days=3), 1, "c"), (1000, BASE + dt.timedelta(days=3), 1, "c")], batch.schema)
-    late.coalesce(1).write.mode("append").parquet(src)
-    stream = hourly.distinct_events(hourly.read_events(spark, src, batch.schema), ["id"], "ts", "2 days")
-    hourly.stream_to_partitions(stream, out, cp, "ts").awaitTermination()
+
+    def run(checkpoint):
+        stream = hourly.read_events(spark, src, batch.schema, files=1)
+        hourly.stream_to_partitions(stream, out, checkpoint, "ts", ["id"]).awaitTermination()
+
+    run(cp)
+    run(cp)
+    late = [(1000, BASE + dt.timedelta(minutes=1), 1, "c")] * 2 + [(7, BASE + dt.timedelta(minutes=91), 2, "a")]  # days behind; 7 is known
+    spark.createDataFrame(late, batch.schema).coalesce(1).write.mode("append").parquet(src)
+    run(cp)
+    run(str(tmp_path / "another"))  # a fresh checkpoint reads all again
     got = spark.read.parquet(out)
     assert got.count() == 401 and got.select("id").distinct().count() == 401
     days = got.groupBy(F.to_date("ts").alias("d"), F.to_date("event_date").alias("e")).count()
