@@ -227,6 +227,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFra
     light = some.mapInArrow(_minimisers(window, m), "mini long, doc_id long, start int, n int, sequence long, twice boolean")
     again = light.groupBy("mini").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high"), F.max("twice").alias("twice"), F.count("*").alias("freq"))
     again = again.where("low <> high OR twice").select("mini", F.ceil(F.col("freq") / BUCKET).cast("int").alias("parts"))
+    again = session.materialise(again, "again")  # read from a table, a frequent minimiser's side of the join can be split
     hits = light.drop("sequence", "twice").join(again, "mini").join(copies, "doc_id", "left_anti")
     hits = session.materialise(hits.groupBy("doc_id").agg(F.collect_set(F.struct("mini", "start", "n", "parts")).alias("hits")), "hits")
     packed = some.join(hits, "doc_id", "left").where("hits IS NOT NULL").mapInArrow(
