@@ -48,7 +48,7 @@ def top_grams(texts: list[str], top: int) -> tuple[np.ndarray, np.ndarray, np.nd
     alphabet = np.flatnonzero(seen).astype(np.uint64)
     dense = np.zeros(POINTS, np.uint64)
     dense[alphabet] = np.arange(len(alphabet), dtype=np.uint64)
-    alphabet[0] = 32  # the boundary mark is a character of its own, unlike the absent places of shorter grams
+    alphabet[0] = 32  # the boundary mark is a character of its own, unlike the places that shorter grams lack
     bits = np.uint64(max(1, int(len(alphabet) - 1).bit_length()))
     c = dense[points]
     r = row.astype(np.uint64)
@@ -74,9 +74,9 @@ def top_grams(texts: list[str], top: int) -> tuple[np.ndarray, np.ndarray, np.nd
     best = rank < top
     rows, keys, rank = rows[best], keys[best], rank[best]
     mask = (np.uint64(1) << bits) - np.uint64(1)
-    gram = (
-        (alphabet[(keys >> (bits + bits)) & mask] << np.uint64(42)) | (alphabet[(keys >> bits) & mask] << np.uint64(21)) | alphabet[keys & mask]
-    )
+    size = (keys >> three) & np.uint64(3)
+    one, two, tri = (np.where(size > k, alphabet[(keys >> (np.uint64(k) * bits)) & mask], np.uint64(0)) for k in range(3))
+    gram = (tri << np.uint64(42)) | (two << np.uint64(21)) | one
     return rows, gram, rank
 
 

@@ -40,8 +40,8 @@ DROPPED_NAMES = frozenset(
 )
 KEPT_NAMES = frozenset("article body column content entry main page post story text".split())
 KEPT_TAGS = frozenset("html body article main".split())
-BONUS = {"article": 10, "main": 8, "div": 3, "section": 3, "pre": 2, "td": 2, "blockquote": 2, "ul": -3, "ol": -3, "dl": -3, "li": -3, "th": -5}
-PARAGRAPHS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
+BONUS = {"article": 10, "main": 8, "div": 3, "section": 3, "pre": 2, "blockquote": 2, "ul": -3, "ol": -3, "dl": -3}
+PARAGRAPHS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li dt dd td th tr caption figcaption".split())
 SHARES = (1, 2, 6, 9, 12)
 
 
@@ -191,7 +191,9 @@ def main_text(page: str | None) -> str:
         node.chars += len(text)
         node.linked += linked
         points = ((1.0 if len(text) >= 25 else 0.2) + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-        around = node.parent if node.tag in PARAGRAPHS and node.parent is not None else node
+        around = node
+        while around.tag in PARAGRAPHS and around.parent is not None:
+            around = around.parent
         for share in SHARES:
             around.points += points / share
             if around.parent is None:

@@ -24,7 +24,7 @@ STRIDE = 4
 EMBED, FILTERS = 8, 32
 BLOCKS = HOP // STRIDE
 SAMPLE = 1200
-EPOCHS = 8
+EPOCHS, STEPS = 8, 600
 PIECE = 1 << 17
 THRESHOLD = 0.7
 
@@ -105,7 +105,7 @@ def _adam(params: list[np.ndarray], grads: list[np.ndarray], state: list, rate:
         p -= rate * (m / (1 - 0.9 ** state[2])) / (np.sqrt(v / (1 - 0.999 ** state[2])) + 1e-8)
 
 
-def learn(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Net:
+def learn(texts: list[str], labels: list[int], epochs: int = EPOCHS, steps: int = STEPS, seed: int = 7) -> Net:
     """Fit the network by Adam on log loss; the gradient of a pooled maximum goes to the position that won."""
     rng = np.random.default_rng(seed)
     net = Net(
@@ -118,6 +118,8 @@ def learn(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     y = np.asarray(labels, np.float32)
     state: list = []
     raw = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    batches = -(-len(raw) // 32)
+    epochs = max(epochs, -(-steps // max(1, batches)))  # few texts are gone through more often
     for epoch in range(epochs if len(set(labels)) > 1 else 0):
         order = rng.permutation(len(raw))
         for low in range(0, len(order), 32):

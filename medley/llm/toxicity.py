@@ -1,6 +1,6 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input is the embedding of its hash next to the mean embedding of its character trigrams. Two gated recurrent
+A word's input is the embedding of its hash next to the greatest values of its character trigrams' embeddings. Two gated recurrent
 layers, one from either side, read windows of 32 words that overlap by half and cover the whole text; attention pools a
 window's states into one log-odds, and a document's score is that of its worst window.
 """
@@ -22,7 +22,8 @@ SAMPLE = 1500
 PIECE = 1 << 18
 BATCH = 2048
 THRESHOLD = 0.3
-PASSES = 6
+PASSES, STEPS = 6, 500
+DECAY = 0.5
 
 Net = dict[str, np.ndarray]
 
@@ -66,7 +67,7 @@ def windows(row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
 def new_net(seed: int) -> Net:
     rng = np.random.default_rng(seed)
     x, h = 2 * EMBED, HIDDEN
-    net = {"word": rng.normal(0, 0.3, (BUCKETS, EMBED)), "tri": rng.normal(0, 0.5, (BUCKETS, EMBED))}
+    net = {"word": rng.normal(0, 0.02, (BUCKETS, EMBED)), "tri": rng.normal(0, 0.02, (BUCKETS, EMBED))}
     for side in "fb":
         net |= {f"w{side}": rng.normal(0, x**-0.5, (x, 3 * h)), f"u{side}": rng.normal(0, h**-0.5, (h, 3 * h)), f"b{side}": np.zeros(3 * h)}
     net |= {"a": rng.normal(0, 0.3, (2 * h, 2 * h)), "v": rng.normal(0, 0.3, 2 * h), "o": rng.normal(0, 0.3, 2 * h), "c": np.zeros(1)}
@@ -75,8 +76,8 @@ def new_net(seed: int) -> Net:
 
 def inputs(net: Net, bucket: np.ndarray, tri: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Input vector of each distinct word."""
-    chars = np.add.reduceat(net["tri"][tri], np.cumsum(size) - size) / size[:, None] if len(size) else np.zeros((0, EMBED), np.float32)
-    return np.hstack([net["word"][bucket], chars]).astype(np.float32)
+    chars = np.maximum.reduceat(net["tri"][tri], np.cumsum(size) - size) if len(size) else np.zeros((0, EMBED), np.float32)
+    return np.hstack([net["word"][bucket], chars])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -159,12 +160,17 @@ def backward(net: Net, x: np.ndarray, ids: np.ndarray, keep: dict, g: np.ndarray
 def _spread(net: Net, bucket: np.ndarray, tri: np.ndarray, size: np.ndarray, d_x: np.ndarray) -> Net:
     word, chars = np.zeros_like(net["word"]), np.zeros_like(net["tri"])
     np.add.at(word, bucket, d_x[:, :EMBED])
-    np.add.at(chars, tri, np.repeat(d_x[:, EMBED:] / size[:, None], size, 0))
+    each = net["tri"][tri]
+    won = each == np.repeat(np.maximum.reduceat(each, np.cumsum(size) - size), size, 0)
+    np.add.at(chars, tri, np.repeat(d_x[:, EMBED:], size, 0) * won)
     return {"word": word, "tri": chars}
 
 
-def learn(texts: list[str], labels: list[int], passes: int = PASSES, seed: int = 3) -> Net:
-    """Fit by Adam: first all sampled windows carry their text's label, then each text is judged by its worst windows."""
+def learn(texts: list[str], labels: list[int], passes: int = PASSES, steps: int = STEPS, seed: int = 3) -> Net:
+    """Fit by Adam: in a third of the passes windows carry their text's label, then each text is judged by its worst windows.
+
+    Few texts are gone through more often, up to about ``steps`` steps.
+    """
     net, rng = new_net(seed), np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
     if len(set(labels)) < 2:
@@ -179,8 +185,9 @@ def learn(texts: list[str], labels: list[int], passes: int = PASSES, seed: int =
     at, doc = windows(row, len(texts))
     ids = np.where(at >= 0, index[at], -1) if len(index) else at
     state: dict = {}
+    passes = max(passes, -(-steps // max(1, len(texts) * 5 // 256)))
     for turn in range(passes):
-        if turn < 2:
+        if turn < passes // 3:
             chosen = rng.permutation(len(ids))[: 12 * len(texts)]
         else:
             x = inputs(net, bucket, tri, size)
@@ -196,12 +203,16 @@ def learn(texts: list[str], labels: list[int], passes: int = PASSES, seed: int =
             if not len(used):
                 continue
             t = np.concatenate([tri[first[k] : first[k] + size[k]] for k in used])
+            # half of the distinct words are seen by their letters only, so that letters come to matter
+            shown = (rng.random(len(used)) < 0.5)[:, None]
             x = inputs(net, bucket[used], t, size[used])
+            x[:, :EMBED] *= shown
             keep: dict = {}
             odds = forward(net, x, local, keep)
             g = ((1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y[doc[part]]) / len(part)).astype(np.float32)
             grads, d_x = backward(net, x, local, keep, g)
-            _adam(net, grads | _spread(net, bucket[used], t, size[used], d_x), state, 0.01 if turn < 4 else 0.004)
+            d_x[:, :EMBED] *= shown
+            _adam(net, grads | _spread(net, bucket[used], t, size[used], d_x), state, 0.01 if turn < passes * 2 // 3 else 0.004)
     return net
 
 
@@ -211,7 +222,7 @@ def _adam(net: Net, grads: Net, state: dict, rate: float) -> None:
         m, v = state.setdefault(k, (np.zeros_like(net[k]), np.zeros_like(net[k])))
         m += 0.1 * (g - m)
         v += 0.001 * (g * g - v)
-        net[k] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        net[k] -= rate * ((m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8) + (DECAY * net[k] if k in ("word", "tri") else 0))
 
 
 def probability(net: Net, data: np.ndarray, offsets: np.ndarray, shift: float = 0.0) -> np.ndarray:
