@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,13 +76,9 @@ def from_utc(col: Column, zone: str) -> Column:
     return F.from_utc_timestamp(col.cast("timestamp"), zone)
 
 
-# Reporting time zone by region.
-REGION_ZONES = {"ICON": "EST", "EU": "Europe/Amsterdam"}
-
-
-def region_zone(region: str) -> str:
-    """[X13] Time zone of a region; Europe/Amsterdam where none is listed."""
-    return REGION_ZONES.get(region, "Europe/Amsterdam")
+def region_zone(region: str, zones: Mapping[str, str], default: str = "UTC") -> str:
+    """[X13] Time zone of a region by a configured table, `default` where none is listed."""
+    return zones.get(region, default)
 
 
 def elapsed(end: Column, start: Column) -> tuple[Column, Column]:

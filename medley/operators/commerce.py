@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,6 +176,37 @@ def fulfilment(lines: DataFrame, order: str, shipped: str) -> DataFrame:
     )
 
 
+def campaign_tags(orders: DataFrame, order: str, tags: str, prefix: str) -> DataFrame:
+    """[K12] Ours: one row per order and campaign, a campaign being a comma-separated tag with a prefix, without it."""
+    tag = F.explode(F.array_distinct(F.transform(F.split(tags, ","), lambda t: F.lower(F.trim(t)))))
+    rows = orders.select(order, tag.alias("tag")).filter(F.startswith("tag", F.lit(prefix)))
+    return rows.select(order, F.substring("tag", F.lit(len(prefix) + 1), F.length("tag")).alias("campaign"))
+
+
+def upsells(lines: DataFrame, order: str, product: str, amount: str) -> DataFrame:
+    """[K12] Ours: per order of several products the amount beyond the dearest one."""
+    products = lines.groupBy(order, product).agg(F.sum(amount).alias("_a"))
+    totals = products.groupBy(order).agg(F.count(F.lit(1)).alias("n_products"), (F.sum("_a") - F.max("_a")).alias("upsell"))
+    return totals.filter("n_products >= 2")
+
+
+def shipping(lines: DataFrame, order: str, shipped: str, placed: str) -> DataFrame:
+    """[K12] Ours: per order the days from placing to the first and to the last shipped line, null while none is."""
+    days = F.datediff(F.to_date(shipped), F.to_date(placed))
+    return lines.groupBy(order).agg(F.min(days).alias("first_days"), F.max(days).alias("last_days"))
+
+
+def order_detail(orders: DataFrame, lines: DataFrame, order: str, columns: Sequence[str], line_columns: Sequence[str]) -> DataFrame:
+    """[K12] Ours: every line with its order's columns; an order without lines keeps one row."""
+    return orders.select(order, *columns).join(lines.select(order, *line_columns), order, "left")
+
+
+def combined(extracts: Mapping[str, DataFrame], order: str) -> DataFrame:
+    """[K12] Ours: extracts of one row per order side by side, columns named after their extract."""
+    named = [df.select(order, *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c != order]) for name, df in extracts.items()]
+    return reduce(lambda a, b: a.join(b, order, "full"), named)
+
+
 def rewrite_table(df: DataFrame, path: str) -> None:
     """[K13] A finance table rewritten in full from its query."""
     df.write.mode("overwrite").parquet(path)

@@ -126,7 +126,7 @@ def tz_shift(t: Tables) -> DataFrame:
         "event_id",
         show(dates.to_utc(at, "PST")).alias("utc"),
         show(dates.from_utc(at, "IST")).alias("ist"),
-        show(dates.from_utc(at, dates.region_zone("EU"))).alias("eu"),
+        show(dates.from_utc(at, dates.region_zone("EU", {"EU": "Europe/Amsterdam"}))).alias("eu"),
     )
 
 

@@ -33,9 +33,10 @@ MODEL = """
 d AS (SELECT k, ds, y, ym + slope * ((ds - DATE '1970-01-01') - tm) AS trend, dayofweek(ds) AS dow FROM cut JOIN line USING (k) WHERE slope IS NOT NULL),
 f AS (SELECT k, dow, coalesce(avg(CASE WHEN trend <> 0 THEN y / trend END), 1.0) AS factor FROM d GROUP BY k, dow),
 s AS (SELECT k, coalesce(stddev_samp(y - trend * factor), 0.0) AS sigma FROM d JOIN f USING (k, dow) GROUP BY k),
-p AS (SELECT k, ds, (ym + slope * ((ds - DATE '1970-01-01') - tm)) * coalesce(factor, 1.0) AS yhat, sigma,
-  ym + slope * ((ds - DATE '1970-01-01') - tm) AS trend, coalesce(factor, 1.0) AS factor
- FROM (SELECT *, CAST(last + CAST(i AS INTEGER) AS DATE) AS ds FROM line, range(1, {horizon} + 1) r(i)) JOIN s USING (k) LEFT JOIN f USING (k) WHERE (dow = dayofweek(ds) OR dow IS NULL))
+p AS (SELECT x.k, x.ds, (ym + slope * ((x.ds - DATE '1970-01-01') - tm)) * coalesce(factor, 1.0) AS yhat, sigma,
+  ym + slope * ((x.ds - DATE '1970-01-01') - tm) AS trend, coalesce(factor, 1.0) AS factor
+ FROM (SELECT *, CAST(last + CAST(i AS INTEGER) AS DATE) AS ds FROM line, range(1, {horizon} + 1) r(i)) x JOIN s ON s.k = x.k
+ LEFT JOIN f ON f.k = x.k AND f.dow = dayofweek(x.ds))
 """
 
 

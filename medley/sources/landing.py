@@ -31,7 +31,7 @@ def load_ndjson(spark: SparkSession, path: str, schema: T.StructType | str, day:
 
 def load_ndjson_append(spark: SparkSession, path: str, schema: T.StructType | str, day: dt.date, table: str) -> None:
     """[S12] As `load_ndjson`, rows added to what the partition holds."""
-    read_ndjson_day(spark, path, schema, day).write.mode("append").partitionBy("report_date").parquet(table)
+    read_ndjson_day(spark, path, schema, day).hint("rebalance").write.mode("append").partitionBy("report_date").parquet(table)
 
 
 def load_tolerant(spark: SparkSession, path: str, schema: T.StructType | str, max_bad: int = 25) -> DataFrame:
@@ -53,15 +53,15 @@ def route_by_key(df: DataFrame, key: str, path: str, special: Sequence[str] = ("
 
     Special outputs are made distinct, as reports of one request may arrive more than once.
     """
-    for name in special:
+    for name in special:  # a filter each, which reaches the scan
         df.filter(F.col(key) == name).distinct().write.mode("overwrite").json(f"{path}/{name}")
     rest = df.filter(~F.col(key).isin(*special) | F.col(key).isNull())
-    rest.write.mode("overwrite").partitionBy(key).json(f"{path}/data")
+    rest.hint("rebalance", key).write.mode("overwrite").partitionBy(key).json(f"{path}/data")
 
 
 def split_to_tables(df: DataFrame, column: str, path: str) -> None:
     """[S24] One directory per value of a column, written in a single job."""
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
 
 
 def unprocessed(files: DataFrame, log: DataFrame, name: str = "file_name") -> DataFrame:

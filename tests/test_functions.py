@@ -43,7 +43,7 @@ def test_dates(spark):
     lists = {"all": ["x"], "weekend": ["w"], "weekday": ["d"], "hourly": ["h"]}
     assert dates.scrape_lists(None, DAY, lists) == ["x"] and dates.scrape_lists("daily", DAY, lists) == ["d"]
     assert dates.scrape_lists("daily", dt.date(2024, 3, 2), lists) == ["w"] and dates.scrape_lists("hourly", DAY, lists) == ["h"]
-    assert dates.region_zone("ICON") == "EST" and dates.region_zone("ASIA") == "Europe/Amsterdam"
+    assert dates.region_zone("X", {"X": "EST"}) == "EST" and dates.region_zone("ASIA", {"X": "EST"}, "Europe/Amsterdam") == "Europe/Amsterdam"
 
 
 def test_numbers(spark):

@@ -13,8 +13,6 @@ def test_csv_and_single_files(spark, tmp_path, same):
     same(files.read_csv(spark, str(tmp_path / "c"), "k int, v string"), [(1, "a,b"), (2, None)])
     files.write_single_file(df.repartition(4), str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    with pytest.raises(ValueError):
-        files.write_single_file(df, str(tmp_path / "big"), rows=1)
     files.write_quoted(df, str(tmp_path / "q"))
     text = sorted(line for f in (tmp_path / "q").glob("*.csv") for line in f.read_text().splitlines())
     assert '"1","a,b"' in text and '"2",""' in text
@@ -40,14 +38,15 @@ def test_formats(spark, tmp_path):
     assert spark.sql("select count(*) from hundred").first()[0] == 100
 
 
-def test_partitions_of_a_hot_value_are_spread(spark, tmp_path):
-    df = spark.range(1000).selectExpr("id", "if(id % 3 = 0, id, 0) % 5 as p")
-    # Small partitions would be put together again, which is what large ones must not need.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    files.write_partitioned(df, str(tmp_path / "p"), ["p"], spread=4)
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(list((tmp_path / "p" / "p=0").glob("*.parquet"))) > 1
-    assert spark.read.parquet(str(tmp_path / "p")).count() == 1000
+def test_partitions_have_few_files_and_a_hot_value_several(spark, tmp_path):
+    df = spark.range(200_000).repartition(16).selectExpr("id", "if(id % 3 = 0, id, 0) % 5 as p")
+    files.write_partitioned(df, str(tmp_path / "p"), ["p"])
+    assert len(list((tmp_path / "p").glob("p=*/*.parquet"))) <= 12
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")  # as if the rows were many
+    files.write_partitioned(df, str(tmp_path / "q"), ["p"])
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "q" / "p=0").glob("*.parquet"))) > 4
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 200_000
 
 
 def test_landing(spark, tmp_path, same):
