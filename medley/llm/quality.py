@@ -24,7 +24,7 @@ STRIDE = 4
 EMBED, FILTERS = 8, 32
 BLOCKS = HOP // STRIDE
 SAMPLE = 1200
-EPOCHS, STEPS = 8, 600
+EPOCHS, STEPS = 16, 1200
 PIECE = 1 << 17
 THRESHOLD = 0.7
 
