@@ -37,6 +37,33 @@ def normal(columns, rows):
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+FAMILIES = {
+    "whole": ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UBIGINT", "UINTEGER", "byte", "short", "integer", "long"),
+    "number": ("FLOAT", "DOUBLE", "DECIMAL", "float", "double", "decimal"),
+    "text": ("VARCHAR", "string"),
+    "truth": ("BOOLEAN", "boolean"),
+    "date": ("DATE", "date"),
+    "time": ("TIMESTAMP", "timestamp"),
+    "list": ("LIST", "array"),
+    "row": ("STRUCT", "MAP", "struct", "map"),
+    "bytes": ("BLOB", "binary"),
+}
+
+
+def family(kind):
+    """Whole number, number, text and so on, of a Spark or DuckDB type name."""
+    name = "LIST" if kind.endswith("]") else kind
+    return next((f for f, names in FAMILIES.items() if name.startswith(names)), kind)
+
+
+def schema_problem(df, cur):
+    """What differs between the kinds of the columns, if anything."""
+    want = {d[0]: family(str(d[1])) for d in cur.description}
+    got = {f.name: family(f.dataType.typeName()) for f in df.schema}
+    odd = {c: (got[c], want[c]) for c in got if got[c] != want[c] and want[c] != "NULL"}
+    return f"kinds {odd}" if odd else ""
+
+
 def compare(spark, con, name, query, sql, path):
     """Empty text if the results agree, else what differs."""
     df = query(spark, path)
@@ -46,6 +73,8 @@ def compare(spark, con, name, query, sql, path):
     want_rows = cur.fetchall()
     if sorted(df.columns) != sorted(want_cols):
         return f"columns {sorted(df.columns)} against {sorted(want_cols)}"
+    if problem := schema_problem(df, cur):
+        return problem
     got, want = normal(df.columns, got_rows), normal(want_cols, want_rows)
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
