@@ -64,7 +64,7 @@ REGISTRY: dict[str, base.Query] = {
     "op2_minhash": base.Query(op2, minhash.SQL),
     "op3_page_text": base.Query(op3),
     "op4_rotation_codes": base.Query(op4, embeddings.SQL),
-    "op5_spotsigs": base.Query(op5),
+    "op5_spotsigs": base.Query(op5, spotsigs.SQL),
     "op6_quality_cnn": base.Query(op6),
     "op7_toxicity_gru": base.Query(op7),
     "op8_language_id": base.Query(op8),

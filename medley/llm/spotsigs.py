@@ -35,8 +35,13 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then).getItem(0)
 
 
+def mark(anchor: Column, chain: Column) -> Column:
+    """The first 16 hex digits of the MD5 of an anchor and its chain."""
+    return F.substring(F.md5(F.concat(anchor, F.lit("|"), F.array_join(chain, " "))), 1, 16)
+
+
 def signatures(text: Column) -> Column:
-    """The sorted distinct signatures of a text as 64-bit hashes; null counts as empty.
+    """The sorted distinct signatures of a text, 16 hex digits each; null counts as empty.
 
     The chain takes up to CHAIN content words from the SPAN words after the anchor that are no plain stop words, and a place
     with none gives no signature. A text of fewer than SHORT words, or without any signature, takes every word for an
@@ -46,10 +51,10 @@ def signatures(text: Column) -> Column:
     def spots(every: Column, spotted: Column) -> Column:
         def spot(x: Column, i: Column) -> Column:
             chain = F.slice(F.filter(F.slice(spotted, i + 2, SPAN), lambda y: ~y.isin(ANCHORS)), 1, CHAIN)
-            return F.when(F.size(chain) > 0, F.xxhash64(x, F.array_join(chain, " ")))
+            return F.when(F.size(chain) > 0, mark(x, chain))
 
         found = F.array_compact(F.transform(spotted, lambda x, i: F.when(x.isin(ANCHORS), spot(x, i))))
-        plain = F.transform(every, lambda x, i: F.xxhash64(x, F.array_join(F.slice(every, i + 2, CHAIN), " ")))
+        plain = F.transform(every, lambda x, i: mark(x, F.slice(every, i + 2, CHAIN)))
         return let(found, lambda f: F.when((F.size(every) >= SHORT) & (F.size(f) > 0), f).otherwise(plain))
 
     chosen = let(words(F.coalesce(text, F.lit(""))), lambda every: let(F.filter(every, lambda x: ~x.isin(STOP)), lambda v: spots(every, v)))
@@ -57,8 +62,8 @@ def signatures(text: Column) -> Column:
 
 
 def fingerprint(sigs: Column) -> Column:
-    """A signature set as text: 16 hex digits each, in order."""
-    return F.array_join(F.transform(sigs, lambda x: F.lpad(F.hex(x), 16, "0")), "")
+    """A signature set as text, in order."""
+    return F.array_join(sigs, "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -105,15 +110,15 @@ def with_next(docs: DataFrame) -> DataFrame:
         "doc_id", "text", "sigs", F.coalesce("_text", "_head").alias("next_text"), F.coalesce("_sigs", "_head_sigs").alias("next_sigs")
     )
     lost = rows.where("doc_id IS NULL").select("doc_id", "text", signatures(F.col("text")).alias("sigs"))
-    return joined.unionByName(lost.withColumns({"next_text": F.lit(""), "next_sigs": F.array().cast("array<bigint>")}))
+    return joined.unionByName(lost.withColumns({"next_text": F.lit(""), "next_sigs": F.array().cast("array<string>")}))
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited form, and their likeness to each other and to the next document's.
 
     The edited text has its last floor(n_chars / 4) code points replaced by as many of the next document's first (or all).
-    Result: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and length_partition
-    (that of near_pairs at 0.8). A null text counts as empty. Rows that repeat an id follow each other by the hash of their
+    Result: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next. A null text counts
+    as empty. Rows that repeat an id follow each other by the hash of their
     text. A row with a null id is edited with an empty text.
     """
     rows = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
@@ -123,7 +128,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("sigs")).alias("fingerprint"),
         fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"), likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
-        likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), length_partition(F.size("sigs"), 0.8).alias("length_partition"),
+        likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
     )
 
 
@@ -156,3 +161,38 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, Data
     one, two = (whole.select(F.col("rep").alias(k), F.col("sigs").alias(f"_{k}")) for k in "ab")
     near = likeness(F.col("_a"), F.col("_b"))
     return member, pairs.join(one, "a").join(two, "b").select("a", "b", near.alias("near")).where(F.col("near") >= threshold)
+
+
+LIST = {k: ", ".join(f"'{w}'" for w in v) for k, v in (("anchors", ANCHORS), ("stop", STOP))}
+
+SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+o AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nt,
+  coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id FROM d),
+e AS (SELECT *, substr(t, 1, length(t) - length(t) // 4) || substr(nt, 1, length(t) // 4) AS ed FROM o),
+w AS (
+  SELECT doc_id, k, list_filter(string_split_regex(lower(x), '[^\p{{L}}\p{{N}}]+'), lambda y: y <> '') AS w
+  FROM (SELECT doc_id, 1 AS k, t AS x FROM e UNION ALL SELECT doc_id, 2, ed FROM e)),
+v AS (SELECT doc_id, k, w, list_filter(w, lambda y: NOT list_contains([{LIST["stop"]}], y)) AS v FROM w),
+places AS (SELECT doc_id, k, v, unnest(range(1, len(v) + 1)) AS i FROM v),
+spots AS (
+  SELECT doc_id, k, v[i] AS a, list_filter(v[i+1:i+{SPAN}], lambda y: NOT list_contains([{LIST["anchors"]}], y))[1:{CHAIN}] AS c
+  FROM places WHERE list_contains([{LIST["anchors"]}], v[i])),
+found AS (SELECT doc_id, k, substr(md5(a || '|' || array_to_string(c, ' ')), 1, 16) AS s FROM spots WHERE len(c) > 0),
+plain AS (
+  SELECT doc_id, k, substr(md5(w[i] || '|' || array_to_string(w[i+1:i+{CHAIN}], ' ')), 1, 16) AS s
+  FROM (SELECT doc_id, k, w, unnest(range(1, len(w) + 1)) AS i FROM w) WHERE len(w) < {SHORT} OR (doc_id, k) NOT IN (SELECT (doc_id, k) FROM found)),
+chosen AS (
+  SELECT * FROM plain UNION ALL
+  SELECT f.* FROM found f JOIN w ON w.doc_id = f.doc_id AND w.k = f.k WHERE len(w) >= {SHORT}),
+sets AS (SELECT doc_id, k, list(s ORDER BY s) AS s FROM (SELECT DISTINCT * FROM chosen) GROUP BY ALL),
+near AS (
+  SELECT e.doc_id, e.t, e.ed, coalesce(a.s, []) AS a, coalesce(b.s, []) AS b, coalesce(c.s, []) AS c FROM e
+  LEFT JOIN sets a ON a.doc_id = e.doc_id AND a.k = 1 LEFT JOIN sets b ON b.doc_id = e.doc_id AND b.k = 2
+  LEFT JOIN sets c ON c.doc_id = e.next_id AND c.k = 1)
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(ed) AS edited_sha256, coalesce(array_to_string(a, ''), '') AS fingerprint,
+  coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END::DOUBLE AS near_edited,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0 ELSE len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) END::DOUBLE AS near_next
+FROM near
+"""
