@@ -41,6 +41,7 @@ def main() -> None:
             start = time.perf_counter()
             REGISTRY[name](spark, path).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+            session.clear(spark)
         times[name] = round(statistics.median(taken[1:]), 3)
     total = round(sum(times.values()), 3)
     sf = path.rstrip("/").rsplit("sf", 1)[-1]

@@ -44,9 +44,26 @@ def work_dir(spark: SparkSession) -> str:
     return named
 
 
+_MADE: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one table inside the shared folder."""
-    return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this process has written, and say how many paths that were.
+
+    To be called when the results that read them have been written; frames built on them cannot be read afterwards.
+    """
+    done = len(_MADE)
+    while _MADE:
+        location = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+    return done
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:

@@ -114,3 +114,14 @@ def test_jdbc_options():
     assert o["dbtable"] == "(select 1) q" and o["numPartitions"] == "4" and o["partitionColumn"] == "id"
     assert "partitionColumn" not in jdbc.read_options("jdbc:x", "select 1")
     assert jdbc.write_options("jdbc:x", "t")["dbtable"] == "t"
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from medley import session
+
+    kept = session.materialise(spark.range(3), "three")
+    assert kept.count() == 3
+    path = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+    assert path.exists() and session.clear(spark) >= 1 and not path.exists()
