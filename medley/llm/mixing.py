@@ -60,16 +60,19 @@ def mix(docs: DataFrame, seed: str, weights: dict[str, float] | None = None, tem
     table = session.materialise(rates(docs, weights, temperature, epochs), "rates").select(
         F.col("source").alias("_source"), F.col("parts").alias("_parts"), F.col("cdf").alias("_cdf")
     )
-    keep = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    drawn = docs.join(table, docs["source"].eqNullSafe(table["_source"]))
+    # the row travels as one struct, so that no column of it can clash
+    keep = F.struct(*[c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")])
+    rows = docs.select(keep.alias("_row"))
+    drawn = rows.join(table, F.col("_row.source").eqNullSafe(F.col("_source")))
+    doc_id = F.col("_row.doc_id")
     draws = F.transform(
         F.sequence(F.lit(1), F.col("_parts")),
-        lambda part: F.size(F.filter("_cdf", lambda c: c <= uniform(F.lit(seed), F.col("doc_id"), part))),
+        lambda part: F.size(F.filter("_cdf", lambda c: c <= uniform(F.lit(seed), doc_id, part))),
     )
     count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
-    copies = drawn.select(*keep, F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))).alias("copy"))
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return copies.withColumn("shuffle_key", key).orderBy("shuffle_key", "doc_id", "copy")
+    copies = drawn.select("_row", F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))).alias("copy"))
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.col("copy").cast("string")))
+    return copies.withColumn("shuffle_key", key).orderBy("shuffle_key", doc_id, "copy").select("_row.*", "copy", "shuffle_key")
 
 
 SEED = "mix-1"

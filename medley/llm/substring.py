@@ -185,7 +185,7 @@ def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             total, removed, kept = [], [], []
-            for text, whole, runs in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for text, whole, runs in zip(batch.column(0).field("text"), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 found = (text.as_py() or "").encode().split()
                 gone = np.zeros(len(found), bool)
                 if whole:
@@ -201,7 +201,7 @@ def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join([w for w, g in zip(found, gone.tolist(), strict=True) if not g] if removed[-1] else found))
             found = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[3:], *found], [*batch.schema.names[3:], "n_words", "n_removed", "kept_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["_row", "n_words", "n_removed", "kept_text"])
 
     return run
 
@@ -241,13 +241,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFra
     runs = found.where("one IS NULL").select("doc_id", "start", "n").unionByName(late)
     runs = runs.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("runs")).withColumn("whole", F.lit(False))
     runs = runs.unionByName(copies.select("doc_id", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"), F.lit(True).alias("whole")))
-    keep = docs.select([c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text")])
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_whole"), F.col("runs").alias("_runs"))
-    judged = keep.where("doc_id IS NOT NULL").join(runs, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
-    none = keep.where("doc_id IS NULL").withColumns({"_whole": F.lit(False), "_runs": F.lit(None).cast(judged.schema["_runs"].dataType)})
-    judged = judged.unionByName(none).select(F.col("text").alias("_text"), "_whole", "_runs", *keep.columns)
+    # the row travels as one struct, so that no column of it can clash
+    keep = docs.select(F.struct(*[c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text")]).alias("_row"))
+    own = F.col("_row.doc_id").cast("long")
+    judged = keep.where(own.isNotNull()).join(runs, own == F.col("doc_id"), "left").select("_row", "whole", "runs")
+    none = keep.where(own.isNull()).withColumns({"whole": F.lit(False), "runs": F.lit(None).cast(judged.schema["runs"].dataType)})
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
-    return judged.mapInArrow(_cut(window), T.StructType([*keep.schema.fields, *added]))
+    out = judged.unionByName(none).mapInArrow(_cut(window), T.StructType([keep.schema["_row"], *added]))
+    return out.select("_row.*", "n_words", "n_removed", "kept_text")
 
 
 SQL = r"""

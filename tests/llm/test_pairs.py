@@ -99,7 +99,7 @@ def test_repeated_windows(spark, docs, monkeypatch, bucket):
 def test_repeated_windows_null_ids_repeated_rows_and_clashing_columns(spark):
     long = " ".join(f"q{k}" for k in range(30))
     rows = [(None, long, 1), (4, long, 2), (4, long, 2), (5, long + " z", 3), (6, None, 4)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_words long")
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_words long").withColumns({c: F.lit(7) for c in ("_row", "whole", "runs", "_id", "hits")})
     got = sorted((r.doc_id or 0, r.n_words, r.n_removed, sha(r.kept_text)) for r in substring.remove_repeats(df).collect())
     assert got == sorted([(0, 30, 0, sha(long)), (4, 30, 0, sha(long)), (4, 30, 0, sha(long)), (5, 31, 30, sha("z")), (6, 0, 0, sha(""))])
     assert substring.remove_repeats(df.limit(0)).collect() == []

@@ -187,7 +187,9 @@ def test_large_rates_and_odd_rows(spark, docs):
     table = {r.source: r for r in mixing.rates(docs(rows)).collect()}
     assert table["empty"].rate == 1.0 and table["tiny"].rate > 100 and table["tiny"].parts == -(-table["tiny"].rate // 16)
     assert table["tiny"].cdf[-1] == pytest.approx(1)
-    got = mixing.mix(docs(rows).withColumn("Copy", F.lit(9)).drop("Copy"), "s").groupBy("source").count().collect()
+    wide = docs(rows).withColumns({"Copy": F.lit(9), "_source": F.lit("x"), "_parts": F.lit(0), "_row": F.lit(1), "mass": F.lit(2)})
+    assert mixing.mix(wide, "s").columns == [*corpus_pipeline.COLUMNS, "_source", "_parts", "_row", "mass", "copy", "shuffle_key"]
+    got = mixing.mix(wide, "s").groupBy("source").count().collect()
     assert abs({r.source: r["count"] for r in got}["tiny"] - 2 * table["tiny"].rate) < 6 * (2 * table["tiny"].rate) ** 0.5 * 2
     assert mixing.mix(docs([]), "s").collect() == []
 
