@@ -26,9 +26,9 @@ def agg_set(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, column: str, limit: int = quantiles.DISTINCT_PER_TASK) -> DataFrame:
+def describe(df: DataFrame, column: str) -> DataFrame:
     """[A09] Count, mean, standard deviation, minimum, exact quartiles and maximum, in one row."""
-    q1, q2, q3 = quantiles.quantiles(df, column, [0.25, 0.5, 0.75], limit)
+    q1, q2, q3 = quantiles.quantiles(df, column, [0.25, 0.5, 0.75])
     c = F.col(column)
     return df.agg(
         F.count(c).alias("n"),

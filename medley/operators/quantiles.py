@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DISTINCT_PER_TASK = 1_000_000
+from medley.operators.skew import running
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -17,57 +17,19 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return low + 1, min(low + 2, n), position - low
 
 
-def _pick(values: DataFrame, ranks: Sequence[int], below: int) -> dict[int, float]:
-    """Values at global ranks, where `below` rows come before the given ones; few distinct values only."""
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    # The caller bounds the distinct values, so one ordered task is enough here.
-    upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("v")) + F.lit(below)
-    placed = counts.withColumn("upto", upto)
-    asked = F.filter(
-        F.array(*[F.lit(r).cast("long") for r in ranks]),
-        lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")),
-    )
-    hits = placed.select("v", F.explode(asked).alias("rank")).collect()
-    return {h["rank"]: h["v"] for h in hits}
+def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float | None]:
+    """[P22, A09] Exact interpolated quantiles of a column, any number at once; None for each if there is no value.
 
-
-def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], limit: int = DISTINCT_PER_TASK) -> dict[int, float]:
-    """The values at neighbouring 1-based ranks, found by narrowing a bracket around them.
-
-    Each round reads approximate quantiles a little below and above the ranks, counts exactly what lies
-    below the bracket and drops the rest. It ends when the bracket's distinct values fit one task.
-    The driver only ever sees a handful of numbers.
+    The data is read once, for the number of rows of each value; these counts are summed up along the values part by part,
+    and the values at the asked ranks are looked up. The driver sees two values for each quantile.
     """
-    values = df.select(F.col(column).alias("v")).filter("v is not null")
-    inside, below, bracket = values, 0, None
-    while True:
-        size = inside.agg(F.count("v").alias("n"), F.approx_count_distinct("v", 0.02).alias("d")).first()
-        if size["d"] <= limit:
-            return _pick(inside, ranks, below)
-        slack = 0.001
-        low, high = ((r - below) / size["n"] for r in (min(ranks), max(ranks)))
-        cuts = [max(0.0, low - slack), min(1.0, high + slack)]
-        found = inside.agg(F.percentile_approx("v", cuts, 100_000).alias("q")).first()["q"]
-        if found == bracket:
-            return _pick(inside, ranks, below)
-        bracket = found
-        below = values.filter(F.col("v") < bracket[0]).count()
-        inside = values.filter(F.col("v").between(*bracket))
-
-
-def quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], limit: int = DISTINCT_PER_TASK
-) -> list[float | None]:
-    """[P22, A09] Exact interpolated quantiles of a column; None for each if there is no value."""
-    values = df.select(F.col(column).alias("v")).filter("v is not null")
-    size = values.agg(F.count("v").alias("n"), F.approx_count_distinct("v", 0.02).alias("d")).first()
-    if not size["n"]:
+    counts = df.select(F.col(column).alias("v")).filter("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    placed = running(counts, [], ["v"], {"upto": ("sum", "n")})
+    total = placed.agg(F.max("upto")).first()[0]
+    if not total:
         return [None for _ in probabilities]
-    asked = [_ranks(size["n"], p) for p in probabilities]
-    if size["d"] <= limit:
-        at = _pick(values, sorted({r for low, high, _ in asked for r in (low, high)}), 0)
-    else:
-        at = {}
-        for low, high, _ in asked:
-            at |= values_at_ranks(df, column, sorted({low, high}), limit)
+    asked = [_ranks(total, p) for p in probabilities]
+    ranks = F.array(*[F.lit(r).cast("long") for r in sorted({r for low, high, _ in asked for r in (low, high)})])
+    inside = F.filter(ranks, lambda r: (r <= F.col("upto")) & (r > F.col("upto") - F.col("n")))
+    at = {h["rank"]: h["v"] for h in placed.select("v", F.explode(inside).alias("rank")).collect()}
     return [at[low] + (at[high] - at[low]) * weight for low, high, weight in asked]

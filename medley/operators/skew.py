@@ -87,8 +87,8 @@ def running(
 ) -> DataFrame:
     """Running values from the first row of a group to the current one, in ascending order.
 
-    `outputs` maps a new column to ("max", col), ("last", col: last non-null), ("count", "*"), ("count", col: non-null) or
-    ("previous", col: value of the row before).
+    `outputs` maps a new column to ("max", col), ("last", col: last non-null), ("count", "*"), ("count", col: non-null),
+    ("sum", col) or ("previous", col: value of the row before).
     """
     return scan(split_groups(df, by, order, parts), outputs).frame.drop(PART, TIE, ALL)
 
@@ -101,6 +101,7 @@ def scan(split: Split, outputs: dict[str, tuple[str, str]]) -> Split:
     counted = lambda c: F.lit(1) if c == "*" else F.col(c)
     local = {
         "max": lambda c: F.max(c).over(upto),
+        "sum": lambda c: F.sum(c).over(upto),
         "last": lambda c: F.last(c, ignorenulls=True).over(upto),
         "count": lambda c: F.count(counted(c)).over(upto),
         "previous": lambda c: F.lag(c).over(ordered),
@@ -110,6 +111,7 @@ def scan(split: Split, outputs: dict[str, tuple[str, str]]) -> Split:
     at = F.struct(*order)
     total = {
         "max": F.max,
+        "sum": F.sum,
         "last": lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)),
         "count": lambda c: F.count(counted(c)),
         "previous": lambda c: F.max_by(F.struct(c), at),
@@ -126,6 +128,7 @@ def scan(split: Split, outputs: dict[str, tuple[str, str]]) -> Split:
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
     carry = {
         "max": lambda c: F.max(c).over(earlier),
+        "sum": lambda c: F.sum(c).over(earlier),
         "last": lambda c: F.last(c, ignorenulls=True).over(earlier),
         "count": lambda c: F.sum(c).over(earlier),
         "previous": lambda c: F.lag(c).over(before),
@@ -137,6 +140,7 @@ def scan(split: Split, outputs: dict[str, tuple[str, str]]) -> Split:
     joined = out.join(F.broadcast(carried), (out[PART] == carried["_p"]) & same(out, carried, list(zip(by, names, strict=True))), "left")
     combine = {
         "max": lambda n, _: F.greatest(n, f"_c_{n}"),
+        "sum": lambda n, _: F.coalesce(F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)), f"_c_{n}"),
         "last": lambda n, _: F.coalesce(n, f"_c_{n}"),
         "count": lambda n, _: F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)),
         "previous": lambda n, c: F.when(F.col("_at_start"), F.col(f"_c_{n}")[c]).otherwise(F.col(n)),
