@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medley.operators.load import overwrite_partitions
 from medley.operators.reshape import stack_loose
-from medley.operators.skew import lookup
+from medley.operators.skew import lookup, scan, split_groups
 from medley.operators.windows import latest
 
 
@@ -73,12 +74,23 @@ def window_counts(
 
 
 def session_counts(events: DataFrame, at: str, by: Sequence[str], gap: str, delay: str = "1 hour") -> DataFrame:
-    """[R01] Events per session: a group's events with no gap longer than `gap`."""
+    """[R01] Events per session: a group's events with every gap shorter than `gap`; an event without a time has none.
+
+    On a table sessions are numbered by a scan in parts, so that a group with most of the events is spread over tasks. A
+    stream keeps each key's open sessions in its state.
+    """
     timed = events.withColumn(at, F.col(at).cast("timestamp"))
     if events.isStreaming:
-        timed = timed.withWatermark(at, delay)
-    counts = timed.groupBy(F.session_window(F.col(at), gap).alias("w"), *by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "n")
+        window = F.session_window(F.col(at), gap).alias("w")
+        counts = timed.withWatermark(at, delay).groupBy(window, *by).agg(F.count(F.lit(1)).alias("n"))
+        return counts.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "n")
+    wide = F.expr(f"INTERVAL {gap}")
+    rows = timed.filter(F.col(at).isNotNull()).select(*by, at)
+    seen = scan(split_groups(rows, by, [at]), {"_before": ("previous", at)})
+    new = F.when(F.col("_before").isNull() | (F.col(at) >= F.col("_before") + wide), 1)
+    numbered = scan(replace(seen, frame=seen.frame.withColumn("_new", new)), {"_session": ("count", "_new")}).frame
+    counts = numbered.groupBy(*by, "_session").agg(F.min(at).alias("session_start"), (F.max(at) + wide).alias("session_end"), F.count(F.lit(1)).alias("n"))
+    return counts.select("session_start", "session_end", *by, "n")
 
 
 def run_to_table(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
