@@ -66,12 +66,25 @@ def clear(spark: SparkSession) -> int:
     return done
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
     Use it where several outputs need the same expensive frame. The written table survives
     the loss of an executor and keeps column pruning and filter pushdown for its readers.
+    Its shuffle files are of no use once it is written, so Spark is asked to remove them then
+    and not whenever the driver happens to collect its garbage.
     """
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
