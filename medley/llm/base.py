@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medley import session
-from medley.llm.grouped import parts
+from medley.llm.grouped import mapped, parts
 
 
 @dataclass(frozen=True)
@@ -80,4 +80,4 @@ def annotate(docs: DataFrame, column: str, added: dict[str, T.DataType], compute
         for batch in parts(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column(at))], names)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *(T.StructField(k, v) for k, v in added.items())]))
+    return mapped(rows, run, T.StructType([*rows.schema.fields, *(T.StructField(k, v) for k, v in added.items())]))

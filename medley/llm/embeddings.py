@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from medley import session
 from medley.llm.components import components
-from medley.llm.grouped import whole_groups
+from medley.llm.grouped import mapped, whole_groups
 
 SPREADS = 5.0
 BLOCK = 1024
@@ -153,15 +153,14 @@ def near_duplicates(vectors: DataFrame, least: float, spreads: float = SPREADS)
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min("vector").alias("vector"), F.min(group).alias("group")
     )
     schema = f"rep long, copies long, vector {rows.schema['vector'].dataType.simpleString()}, group long, key string, code binary, factor double"
-    coded = whole.select("rep", "copies", "vector", "group", "key").mapInArrow(_coder, schema)
+    coded = mapped(whole.select("rep", "copies", "vector", "group", "key"), _coder, schema)
     coded = session.materialise(coded, "codes")
     sizes = session.materialise(coded.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
     placed = coded.drop("key").join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "copies", "vector", "code", "factor", "block")
-    found = placed.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(
-        _compare(least, spreads), "a long, b long, n long"
-    )
+    ranked = placed.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep")
+    found = mapped(ranked, _compare(least, spreads), "a long, b long, n long")
     found = session.materialise(found, "links")
     counts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("others"))
     parts = components(found.where("b IS NOT NULL").select("a", "b"))

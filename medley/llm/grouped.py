@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 PART = 1 << 22
+BATCH_SETTING, BATCH_DEFAULT, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with batches that stay small however long the rows are.
+
+    Spark's default allows 64 MB a batch, which both sides hold several times over; the session's setting is lowered to
+    8 MB unless the user has chosen one.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, BATCH)
+    return df.mapInArrow(run, schema)
 
 
 def parts(batches: Iterator[pa.RecordBatch], limit: int = PART) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from medley import session
 from medley.llm import words
 from medley.llm.components import components
-from medley.llm.grouped import parts, whole_groups
+from medley.llm.grouped import mapped, parts, whole_groups
 
 COORDINATES, MATCHES = 24, 11
 PREFIX = COORDINATES - MATCHES + 1
@@ -182,7 +182,7 @@ def _roots(parent: np.ndarray, of: np.ndarray) -> np.ndarray:
 def classes(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     """Set size and digest of every row; of every digest its least doc_id (rep), size and signature."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = session.materialise(rows.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, digest binary, sig binary"), "signatures")
+    rows = session.materialise(mapped(rows, _signatures(shingle), "doc_id long, n_shingles long, digest binary, sig binary"), "signatures")
     filled = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     reps = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("sig").alias("sig"))
     return rows.select("doc_id", "n_shingles", "digest"), session.materialise(reps, "classes")
@@ -219,11 +219,11 @@ def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) -> DataF
     """Links between class representatives that join all that are linked: a spanning forest of every block pair's links."""
     rows = _blocked(postings(reps))
     width = "key long, i int, j int, rep long, n long, sig binary, prefix int, block int"
-    near = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep").mapInArrow(_active(percent), width)
+    near = mapped(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep"), _active(percent), width)
     near = session.materialise(near, "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     full = near.join(texts, "rep").select(*near.columns, "text")
-    return full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep").mapInArrow(_confirm(shingle, percent), "a long, b long")
+    return mapped(full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep"), _confirm(shingle, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medley.llm.grouped import parts
+from medley.llm.grouped import mapped, parts
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?|<[!?/][^>]*+>?""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/>]|$))""", re.I)
@@ -244,4 +244,4 @@ def extract(pages: DataFrame) -> DataFrame:
     row gets a row, repeated ids and null urls included.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return mapped(rows, _extract, "page_id long, url string, text string, n_chars long")

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from medley import session
 from medley.llm import words
-from medley.llm.grouped import parts, whole_groups
+from medley.llm.grouped import mapped, parts, whole_groups
 
 WINDOW = 20
 M = 6
@@ -221,20 +221,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFra
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     some = rows.where("doc_id IS NOT NULL")
-    summary = session.materialise(some.mapInArrow(_summary, "doc_id long, n_words long, digest binary"), "summary")
+    summary = session.materialise(mapped(some, _summary, "doc_id long, n_words long, digest binary"), "summary")
     first = summary.where(F.col("n_words") >= window).groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = summary.join(first, "digest").where("doc_id <> least").select("doc_id").distinct()
-    light = some.mapInArrow(_minimisers(window, m), "mini long, doc_id long, start int, n int, sequence long, twice boolean")
+    light = mapped(some, _minimisers(window, m), "mini long, doc_id long, start int, n int, sequence long, twice boolean")
     again = light.groupBy("mini").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high"), F.max("twice").alias("twice"), F.count("*").alias("freq"))
     again = again.where("low <> high OR twice").select("mini", F.ceil(F.col("freq") / BUCKET).cast("int").alias("parts"))
     again = session.materialise(again, "again")  # read from a table, a frequent minimiser's side of the join can be split
     hits = light.drop("sequence", "twice").join(again, "mini").join(copies, "doc_id", "left_anti")
     hits = session.materialise(hits.groupBy("doc_id").agg(F.collect_set(F.struct("mini", "start", "n", "parts")).alias("hits")), "hits")
-    packed = some.join(hits, "doc_id", "left").where("hits IS NOT NULL").mapInArrow(
-        _packed(window), "mini long, salt int, doc_id long, start int, parts int, words binary"
+    packed = mapped(
+        some.join(hits, "doc_id", "left").where("hits IS NOT NULL"), _packed(window), "mini long, salt int, doc_id long, start int, parts int, words binary"
     )
     bucket = packed.repartition("mini", "salt").sortWithinPartitions("mini", "salt")
-    found = session.materialise(bucket.mapInArrow(_repeats(window), "doc_id long, start int, n int, one long, two long"), "repeats")
+    found = session.materialise(mapped(bucket, _repeats(window), "doc_id long, start int, n int, one long, two long"), "repeats")
     early = found.where("one IS NOT NULL")
     heads = early.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("head"))
     late = early.join(heads, ["one", "two"]).where(F.struct("doc_id", "start") != F.col("head")).select("doc_id", "start", "n")
@@ -247,7 +247,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFra
     judged = keep.where(own.isNotNull()).join(runs, own == F.col("doc_id"), "left").select("_row", "whole", "runs")
     none = keep.where(own.isNull()).withColumns({"whole": F.lit(False), "runs": F.lit(None).cast(judged.schema["runs"].dataType)})
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
-    out = judged.unionByName(none).mapInArrow(_cut(window), T.StructType([keep.schema["_row"], *added]))
+    out = mapped(judged.unionByName(none), _cut(window), T.StructType([keep.schema["_row"], *added]))
     return out.select("_row.*", "n_words", "n_removed", "kept_text")
 
 
