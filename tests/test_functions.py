@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medley.functions import dates, nested, numbers, text, web
-from medley.operators import aggregates, batches, commerce, project, reshape, skew
+from medley.operators import aggregates, batches, commerce, project, reshape
 
 DAY = dt.date(2024, 3, 1)
 
