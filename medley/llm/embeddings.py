@@ -158,7 +158,8 @@ def near_duplicates(vectors: DataFrame, least: float, spreads: float = SPREADS)
     sizes = session.materialise(coded.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
     placed = coded.drop("key").join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "copies", "vector", "code", "factor", "block")
+    pair = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    placed = placed.select("group", *pair, "rep", "copies", "vector", "code", "factor", "block")
     ranked = placed.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep")
     found = mapped(ranked, _compare(least, spreads), "a long, b long, n long")
     found = session.materialise(found, "links")

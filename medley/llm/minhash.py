@@ -199,12 +199,14 @@ def postings(reps: DataFrame) -> DataFrame:
         for k in range(COORDINATES)
     ]
     keys = reps.select("rep", F.explode(F.array(*part)).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("freq")).where("freq > 1")
+    # read from a table, a frequent key's side of the join can be split
+    shared = session.materialise(keys.groupBy("key").agg(F.count("*").alias("freq")).where("freq > 1"), "postings")
     mine = keys.join(shared, "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("all"))
     kept = mine.select("rep", F.expr(f"slice(all, 1, greatest(0, size(all) - {MATCHES - 1}))").alias("kept")).where("size(kept) > 0")
     bit = F.aggregate("kept", F.lit(0), lambda a, p: a.bitwiseOR(F.call_function("shiftleft", F.lit(1), p["key"].bitwiseAND(F.lit(31)).cast("int"))))
     kept = kept.withColumn("prefix", bit)
-    return kept.join(reps.select("rep", "n", "sig"), "rep").select("rep", "n", "sig", "prefix", F.explode("kept").alias("p")).select("rep", "n", "sig", "prefix", "p.key", "p.freq")
+    rows = kept.join(reps.select("rep", "n", "sig"), "rep").select("rep", "n", "sig", "prefix", F.explode("kept").alias("p"))
+    return rows.select("rep", "n", "sig", "prefix", "p.key", "p.freq")
 
 
 def _blocked(rows: DataFrame) -> DataFrame:

@@ -156,7 +156,8 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, Data
     rare = rare.withColumn("part", length_partition(F.col("n"), threshold))
     left = rare.select("sig", "part", F.col("rep").alias("a"), F.col("n").alias("na"))
     right = rare.withColumn("part", F.explode(F.array(F.col("part"), F.col("part") - 1))).select("sig", "part", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    reach = (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+    once = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    reach = once & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)
     pairs = left.join(right, ["sig", "part"]).where(reach).select("a", "b").distinct()
     one, two = (whole.select(F.col("rep").alias(k), F.col("sigs").alias(f"_{k}")) for k in "ab")
     near = likeness(F.col("_a"), F.col("_b"))

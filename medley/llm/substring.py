@@ -225,7 +225,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M) -> DataFra
     first = summary.where(F.col("n_words") >= window).groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = summary.join(first, "digest").where("doc_id <> least").select("doc_id").distinct()
     light = mapped(some, _minimisers(window, m), "mini long, doc_id long, start int, n int, sequence long, twice boolean")
-    again = light.groupBy("mini").agg(F.min("sequence").alias("low"), F.max("sequence").alias("high"), F.max("twice").alias("twice"), F.count("*").alias("freq"))
+    found = [F.min("sequence").alias("low"), F.max("sequence").alias("high"), F.max("twice").alias("twice"), F.count("*").alias("freq")]
+    again = light.groupBy("mini").agg(*found)
     again = again.where("low <> high OR twice").select("mini", F.ceil(F.col("freq") / BUCKET).cast("int").alias("parts"))
     again = session.materialise(again, "again")  # read from a table, a frequent minimiser's side of the join can be split
     hits = light.drop("sequence", "twice").join(again, "mini").join(copies, "doc_id", "left_anti")
