@@ -21,7 +21,8 @@ TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/>]|$))""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object canvas textarea title select xmp".split())
+RAW = frozenset("script style noscript template svg iframe object canvas textarea title select xmp".split())
+FOREIGN = frozenset("svg math".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -30,7 +31,8 @@ CLOSES = {  # a start tag ends an open element of these kinds, up to the nearest
     "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"),
     "th": ("td th", "tr table"), "option": ("option", "select"), "body": ("head", "html"),
 }
-DROPPED_TAGS = frozenset("head nav header footer aside form button menu dialog label fieldset input script style".split())
+DROPPED_TAGS = frozenset("head nav header footer aside form button menu dialog label fieldset input script style annotation annotation-xml".split())
+WRAPPERS = frozenset("form fieldset aside dialog".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 DROPPED_NAMES = frozenset(
     "ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright "
@@ -48,7 +50,7 @@ SHARES = (1, 2, 6, 9, 12)
 class Node:
     """An element with its pieces of text and elements in order, and what scoring finds out about it."""
 
-    __slots__ = ("tag", "dropped", "parent", "block", "children", "points", "chars", "linked", "kept", "menu")
+    __slots__ = ("tag", "dropped", "wrapper", "parent", "block", "children", "points", "chars", "linked", "kept", "menu")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None) -> None:
         self.tag, self.parent, self.children = tag, parent, []
@@ -56,13 +58,19 @@ class Node:
         self.points, self.chars, self.linked, self.kept, self.menu = 0.0, 0, 0, False, False
         found = {k.lower(): (v or "").strip("\"'").strip().lower() for k, v in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
         self.dropped = tag in DROPPED_TAGS or (tag not in KEPT_TAGS and unwanted(found))
+        self.wrapper = self.dropped and (tag not in DROPPED_TAGS or tag in WRAPPERS) and not hidden(found)
+
+
+def hidden(found: dict[str, str]) -> bool:
+    """Whether attributes hide an element."""
+    return "hidden" in found or found.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")))
 
 
 def unwanted(found: dict[str, str]) -> bool:
     """Whether attributes mark an element as hidden or as something other than the article."""
     if not found:
         return False
-    if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
+    if hidden(found):
         return True
     if set(found.get("role", "").split()) & DROPPED_ROLES:
         return True
@@ -113,9 +121,14 @@ def parse(page: str) -> list[Node]:
                     last = last.parent
                 top = close(last)
             continue
+        if tag in FOREIGN and (found[3] or found[6] or "").endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
-            at = size if end is None else end.end()
+            if end is not None:
+                at = end.end()
+            elif tag not in FOREIGN:
+                at = size
             continue
         for kinds, stop in ([("p", "table td th button caption")] if tag in BLOCK else []) + ([CLOSES[tag]] if tag in CLOSES else []):
             if any(open_tags[k] for k in kinds.split()) and (last := _nearest(top, kinds, stop)):
@@ -180,13 +193,44 @@ def blocks(root: Node) -> Iterator[tuple[Node, str, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """The article's blocks joined by line ends; empty if the page has none."""
+    """The article's blocks joined by line ends; empty if the page has none.
+
+    If no sentence is found, wrappers that hold most of the page's text are opened, from the outermost on.
+    """
     if not page:
         return ""
     nodes = parse(page)
+    first, well = article(nodes)
+    text, around, opened = first, [] if well else wrappers(nodes), 0
+    while not well and opened < len(around):
+        for node in around[opened : 2 * opened + 1]:
+            node.dropped = False
+        opened = 2 * opened + 1
+        for node in nodes:
+            node.points, node.chars, node.linked, node.kept, node.menu = 0.0, 0, 0, False, False
+        text, well = article(nodes)
+    return text if well else first
+
+
+def wrappers(nodes: list[Node]) -> list[Node]:
+    """Elements dropped by name, role or kind, not hidden, that hold more than half of the page's text; the outer ones first."""
+    held: Counter[Node] = Counter()
+    for node in reversed(nodes):
+        held[node] += sum(len(" ".join(piece.split())) for piece in node.children if isinstance(piece, str))
+        if node.parent is not None and (node.wrapper or not node.dropped):
+            held[node.parent] += held[node]
+    inside = {nodes[0]}
+    for node in nodes[1:]:
+        if node.parent in inside and 2 * held[node] > held[nodes[0]] and (node.wrapper or not node.dropped):
+            inside.add(node)
+    return [node for node in nodes if node in inside and node.wrapper]
+
+
+def article(nodes: list[Node]) -> tuple[str, bool]:
+    """Text of the best container, and whether any block of it is a sentence: 25 characters, fewer than half of them in links."""
     found = [(node.block, text, linked) for node, text, linked in blocks(nodes[0])]
     if not found:
-        return ""
+        return "", False
     for node, text, linked in found:
         node.chars += len(text)
         node.linked += linked
@@ -222,7 +266,8 @@ def main_text(page: str | None) -> str:
         if not node.kept:  # a list or table inside the article that is mostly links is a menu
             node.menu = node.parent.menu or (node.tag in ("ul", "ol", "dl", "table") and node.linked > node.chars / 2)
             node.kept = node.parent.kept
-    return "\n".join(text for node, text, _ in found if node.kept and not node.menu)
+    chosen = [(text, linked) for node, text, linked in found if node.kept and not node.menu]
+    return "\n".join(text for text, _ in chosen), any(len(text) >= 25 and 2 * linked < len(text) for text, linked in chosen)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +283,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of (page_id, url, html).
 
     The text is the article's blocks in page order, one a line, with character references decoded and runs of white space
-    as one space. Menus, headers, footers, asides, notices, adverts, forms, hidden parts, scripts, styles and comments are
+    as one space; formulas count as text. Menus, headers, footers, asides, notices, adverts, forms, hidden parts, scripts, styles and comments are
     left out by element, role, class and id; a list or table that is mostly links is a menu. If the best container stands
     in an article or main element, all of that is the article. Null, empty and textless pages give an empty text. Every
     row gets a row, repeated ids and null urls included.

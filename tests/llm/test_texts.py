@@ -152,6 +152,30 @@ def test_broken_pages(page, text):
     assert pages.main_text(page) == text
 
 
+BODY = "<p>First, the opening words of the article, which are long enough.</p><p>Then, more of it, and an end.</p>"
+BODY_TEXT = "First, the opening words of the article, which are long enough.\nThen, more of it, and an end."
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><svg class=icon />" + BODY + "</article><svg><text>no</text></svg>", BODY_TEXT),
+    ("<article><svg/>" + BODY + "</article>", BODY_TEXT), ("<article><math/>" + BODY + "</article>", BODY_TEXT),
+    ("<article><svg>" + BODY + "</article>", BODY_TEXT), ("<article><svg><text>no</text></svg>" + BODY + "</article>", BODY_TEXT),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding=tex>x=1</annotation></math> holds</p>", "so x=1 holds"),
+])
+def test_foreign_elements_lose_no_article(page, text):
+    assert pages.main_text(page) == text
+
+
+@pytest.mark.parametrize("around", ["<div class='layout-sidebar-right'>%s</div>", "<form action=x>%s</form>", "<form><div class=with-sidebar>%s</div></form>"])
+def test_wrappers_around_the_article_are_opened(around):
+    menu, comment = "<nav><a href=1>One page of this site, and more</a></nav>", "<div id=comments><p>Not so, I say, at length, in this place.</p></div>"
+    assert pages.main_text(menu + around % (BODY + menu + comment)) == BODY_TEXT
+    assert pages.main_text(around % (BODY + comment) + "<p>Contact</p>") == BODY_TEXT
+    assert pages.main_text("<div hidden>" + around % BODY + "</div><p>Contact</p>") == "Contact"
+    assert pages.main_text("<div class=menu><a href=1>One page of this site, and more</a></div><p>Contact</p>") == "Contact"
+    assert pages.main_text(BODY + around % (comment * 9)) == BODY_TEXT
+
+
 def test_pages_of_the_table(spark):
     import re
     from html import unescape
