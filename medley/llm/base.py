@@ -43,12 +43,13 @@ def excerpt(text: Column, size: int, pieces: int = 8) -> Column:
     return F.when(F.length(text) <= size, text).otherwise(F.concat_ws(" ", *parts))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, bound: int, seed: str, size: int = 20_000) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, bound: int, seed: str, size: int | None = 20_000) -> DataFrame:
     """About ``bound`` rows of each label value (all, where there are fewer), the same for any partitioning.
 
     ``labels`` holds (doc_id, label). Rows whose label, id or text is null, and held-out rows, are never taken. A row is
     taken if a salted hash of its id, as a number in [0, 1), is under bound / rows of its label. Texts longer than ``size``
-    are cut to evenly spaced pieces, so the sample has a proven bound in bytes and may go to one process that fits a model.
+    are cut to evenly spaced pieces, so the sample has a proven bound in bytes and may go to one process that fits a model;
+    without a ``size`` they stay whole, for labels that hold for a text and not for each part, and only rows are bounded.
     """
     rows = labels.select(F.col("doc_id").alias("doc_id"), F.col("label").alias("label"))
     rows = rows.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -57,7 +58,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int, seed: str, s
     chosen = rows.join(sizes, "label").where(chance < F.lit(float(bound)) / F.col("_n")).select("doc_id", "label")
     chosen = session.materialise(chosen, "sample")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", excerpt(F.col("text"), size).alias("text"), "label")
+    taken = F.col("text") if size is None else excerpt(F.col("text"), size)
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", taken.alias("text"), "label")
 
 
 def prior_shift(labels: DataFrame, column: str, sample: object) -> float:

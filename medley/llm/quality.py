@@ -167,12 +167,12 @@ def _gradients(net: Net, data: np.ndarray, offsets: np.ndarray, y: np.ndarray) -
 def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """Every row with score and predicted, by a network fitted to ``labels`` (doc_id, quality).
 
-    About ``sample`` documents of each label, none of them held out, are learned from, and the probability is then moved
+    About ``sample`` whole documents of each label, none of them held out, are learned from, and the probability is then moved
     to the labels' own shares among all rows that are not held out; every whole text is scored. Null and empty texts are
     scored as one padded chunk; equal texts have equal scores. Repeated ids and null ids each get a score. Without any
     usable label the score is 0.5, with one label value it is nearly that value. Input columns of these names are replaced.
     """
-    rows = base.training_sample(docs, labels.select("doc_id", F.col("quality").alias("label")), sample, "quality", 6000)
+    rows = base.training_sample(docs, labels.select("doc_id", F.col("quality").alias("label")), sample, "quality", None)
     rows = rows.orderBy("doc_id", "text").toPandas()
     net = learn(rows["text"].tolist(), rows["label"].astype(int).tolist())
     if not len(rows):

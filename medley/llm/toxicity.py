@@ -167,7 +167,7 @@ def _spread(net: Net, bucket: np.ndarray, tri: np.ndarray, size: np.ndarray, d_x
 
 
 def learn(texts: list[str], labels: list[int], passes: int = PASSES, steps: int = STEPS, seed: int = 3) -> Net:
-    """Fit by Adam: in a third of the passes windows carry their text's label, then each text is judged by its worst windows.
+    """Fit by Adam: in a third of the passes all windows carry their text's label, then each text is judged by its worst windows.
 
     Few texts are gone through more often, up to about ``steps`` steps.
     """
@@ -188,7 +188,7 @@ def learn(texts: list[str], labels: list[int], passes: int = PASSES, steps: int
     passes = max(passes, -(-steps // max(1, len(texts) * 5 // 256)))
     for turn in range(passes):
         if turn < passes // 3:
-            chosen = rng.permutation(len(ids))[: 12 * len(texts)]
+            chosen = rng.permutation(len(ids))
         else:
             x = inputs(net, bucket, tri, size)
             odds = np.concatenate([forward(net, x, ids[k : k + BATCH]) for k in range(0, len(ids), BATCH)])
@@ -243,12 +243,12 @@ def probability(net: Net, data: np.ndarray, offsets: np.ndarray, shift: float =
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of every row, by a network fitted to ``labels`` (doc_id, toxic).
 
-    About ``sample`` documents of each label, none of them held out, are learned from, and the log-odds are then moved to
+    About ``sample`` whole documents of each label, none of them held out, are learned from, and the log-odds are then moved to
     the labels' own shares among all rows that are not held out; every window of every whole text is scored. Null and
     empty texts are scored as one empty window; equal texts have equal scores. Repeated ids each get a row. Without any
     usable label the score is 0.5, with one label value it is nearly that value.
     """
-    rows = base.training_sample(docs, labels.select("doc_id", F.col("toxic").alias("label")), sample, "toxic", 6000)
+    rows = base.training_sample(docs, labels.select("doc_id", F.col("toxic").alias("label")), sample, "toxic", None)
     rows = rows.orderBy("doc_id", "text").toPandas()
     net = learn(rows["text"].tolist(), rows["label"].astype(int).tolist())
     shift = base.prior_shift(labels, "toxic", rows["label"])

@@ -184,6 +184,17 @@ def test_training_sample_leaves_held_out_rows(spark):
     assert len(base.training_sample(docs, docs, 10_000, "s").collect()) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(2000))
 
 
+@pytest.mark.parametrize("model", [quality, toxicity])
+def test_models_learn_from_whole_texts(spark, monkeypatch, model):
+    texts = [f"{k} " + "plain words " * 2000 + "one bad passage" for k in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(8)], "doc_id long, quality int, toxic int")
+    seen, learn = [], model.learn
+    monkeypatch.setattr(model, "learn", lambda texts, labels: seen.extend(texts) or learn([], []))
+    model.score(docs, labels)
+    assert seen and set(seen) <= set(texts)
+
+
 def test_excerpt_is_bounded(spark):
     df = spark.createDataFrame([("a" * 50,), ("".join(chr(97 + k % 26) for k in range(10_000)),)], "t string")
     short, long = (r.e for r in df.select(base.excerpt(F.col("t"), 800).alias("e")).collect())
