@@ -1,8 +1,8 @@
 """MinHash near-duplicates by an inverted join over signature coordinates.
 
 Equal shingle sets become one class first. A class posts itself under (coordinate, value) pairs of its signature. Two
-signatures that agree in MATCHES of their COORDINATES must share one of each one's PREFIX rarest postings (the frequent
-ones cannot hold all their agreements), so only those are joined, and a pair is taken up in the first posting that it
+signatures that agree in ``matches`` of their COORDINATES must share one of each one's rarest postings, all but matches - 1
+of them (the others cannot hold all their agreements), so only those are joined, and a pair is taken up in the first posting that it
 shares and skipped in all others. Pairs in one posting are compared in numpy, block against block, and never written out:
 first signatures alone name the members that have any partner, then those members' full sets confirm the links, of which a
 spanning forest leaves the task.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from medley.llm import words
 from medley.llm.components import components
 from medley.llm.grouped import mapped, parts, whole_groups
 
-COORDINATES, MATCHES = 24, 11
-PREFIX = COORDINATES - MATCHES + 1
+COORDINATES = 24
+MISS = 1.5e-6
 BLOCK = 512
 PAIRS = 100_000
 
@@ -33,6 +34,19 @@ _ODD = words.mix(_SALT) | np.uint64(1)
 _ROLL = [np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 
 
+def matches(percent: int) -> int:
+    """The most coordinates that all but MISS of the pairs at a similarity of ``percent`` / 100 agree in; 43 percent at least."""
+    p, missed, found = percent / 100, 0.0, 0
+    for k in range(COORDINATES):
+        missed += comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if missed > MISS:
+            break
+        found = k + 1
+    if not found or percent > 100:
+        raise ValueError(f"{COORDINATES} coordinates cannot find pairs at {percent} percent")
+    return found
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sorted distinct 64-bit hashes of the word shingles of every text, in order; fewer words make one shingle."""
     data, offsets = words.buffers(column)
@@ -114,12 +128,13 @@ class _Members:
 
     def partners(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs to take up in this posting: different blocks of a block pair, sizes and agreements that can reach."""
+        least = matches(percent)
         for a, b in _pairs(self.group):
             ok = (self.i[a] == self.j[a]) | (self.block[a] != self.block[b])
             ok &= 100 * np.minimum(self.n[a], self.n[b]) >= percent * np.maximum(self.n[a], self.n[b])
             a, b = a[ok], b[ok]
             same = self.sig[a] == self.sig[b]
-            ok = same.sum(1) >= MATCHES
+            ok = same.sum(1) >= least
             a, b, same = a[ok], b[ok], same[ok]
             shared = (same * self.bits).sum(1) & self.prefix[a] & self.prefix[b]
             ok = (shared & -shared) == self.bits[self.key[a] & 31]
@@ -188,11 +203,11 @@ def classes(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     return rows.select("doc_id", "n_shingles", "digest"), session.materialise(reps, "classes")
 
 
-def postings(reps: DataFrame) -> DataFrame:
+def postings(reps: DataFrame, least: int) -> DataFrame:
     """The rare postings of every class that some other class shares: rep, n, sig, prefix, key and its frequency.
 
     A key holds its coordinate in the lowest five bits. Ties of frequency go by key, the same everywhere. ``prefix`` has a
-    bit for each coordinate of the class that is among its PREFIX rarest; those that no other class has count as rarest.
+    bit for each coordinate of the class that is among its rarest, all but least - 1; those that no other class has count as rarest.
     """
     part = [
         F.shiftleft(F.conv(F.hex(F.substring("sig", 4 * k + 1, 4)), 16, 10).cast("long"), 5).bitwiseOR(F.lit(k)).alias(str(k))
@@ -202,7 +217,7 @@ def postings(reps: DataFrame) -> DataFrame:
     # read from a table, a frequent key's side of the join can be split
     shared = session.materialise(keys.groupBy("key").agg(F.count("*").alias("freq")).where("freq > 1"), "postings")
     mine = keys.join(shared, "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("all"))
-    kept = mine.select("rep", F.expr(f"slice(all, 1, greatest(0, size(all) - {MATCHES - 1}))").alias("kept")).where("size(kept) > 0")
+    kept = mine.select("rep", F.expr(f"slice(all, 1, greatest(0, size(all) - {least - 1}))").alias("kept")).where("size(kept) > 0")
     bit = F.aggregate("kept", F.lit(0), lambda a, p: a.bitwiseOR(F.call_function("shiftleft", F.lit(1), p["key"].bitwiseAND(F.lit(31)).cast("int"))))
     kept = kept.withColumn("prefix", bit)
     rows = kept.join(reps.select("rep", "n", "sig"), "rep").select("rep", "n", "sig", "prefix", F.explode("kept").alias("p"))
@@ -219,7 +234,7 @@ def _blocked(rows: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links between class representatives that join all that are linked: a spanning forest of every block pair's links."""
-    rows = _blocked(postings(reps))
+    rows = _blocked(postings(reps, matches(percent)))
     width = "key long, i int, j int, rep long, n long, sig binary, prefix int, block int"
     near = mapped(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep"), _active(percent), width)
     near = session.materialise(near, "candidates")
@@ -234,8 +249,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Words are runs of bytes other than space and 0x09-0x0D, A-Z in lower case; a set holds the distinct shingles of
     ``shingle`` words, or the whole sequence where there are fewer. A null, empty or blank text, and a null id, is linked
     with nothing. component_id is the least id reachable by links, the own one included; kept says that it is the own id.
-    Links are exact once found; a pair at the threshold agrees in fewer than MATCHES coordinates, and so may be missed,
-    with a chance of about one in a million. Rows that repeat an id share that id's class and each get a row, but an id
+    Links are exact once found; a pair at the threshold agrees in fewer coordinates than ``matches`` asks for, and so may be
+    missed, with a chance of at most MISS. A ``percent`` under 43 is refused. Rows that repeat an id share that id's class and each get a row, but an id
     should name one text: of several under one id, links are confirmed on one.
     """
     rows, reps = classes(docs, shingle)

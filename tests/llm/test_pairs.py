@@ -55,6 +55,29 @@ def test_minhash_links_what_all_pairs_do(spark, docs, size, percent):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+@pytest.mark.parametrize("percent", [80, 50])
+def test_minhash_misses_few_pairs_at_any_threshold(spark, docs, percent):
+    rows = []
+    for k in range(80):  # pairs just at the threshold
+        own = [f"p{k}w{i}" for i in range(percent)]
+        rows += [(2 * k, " ".join([*own, *(f"p{k}a{i}" for i in range((100 - percent) // 2))])), (2 * k + 1, " ".join([*own, *(f"p{k}b{i}" for i in range((100 - percent) // 2))]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs(rows), 1, percent).collect()}
+    assert got == near_groups(rows, 1, percent) and all(got[2 * k + 1][1] == 2 * k for k in range(80))
+
+
+def test_minhash_miss_rate():
+    from math import comb
+
+    c = minhash.COORDINATES
+    for percent in range(43, 101):
+        p = percent / 100
+        assert sum(comb(c, k) * p**k * (1 - p) ** (c - k) for k in range(minhash.matches(percent))) <= minhash.MISS
+    assert (minhash.matches(85), minhash.matches(80), minhash.matches(100)) == (11, 9, c)
+    for percent in (0, 42, 101):
+        with pytest.raises(ValueError, match="percent"):
+            minhash.matches(percent)
+
+
 def test_minhash_blocks_of_a_large_group(spark, docs, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 7)
     rng = random.Random(4)
