@@ -22,12 +22,16 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that of the least id; shingles of five words, similarity 0.8 or more.
 
-    Of rows that repeat an id the one with the least text stays. A row without an id is linked with nothing and stays.
+    Rows that repeat an id count as documents of their own where their texts differ; of near copies under the least id the
+    one with the least hash stays, of equal rows one. A row without an id is linked with nothing and stays.
     """
     rows = docs.select(COLUMNS)
-    ids = minhash.near_duplicates(rows).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
-    kept = rows.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    kept = kept.groupBy("doc_id").agg(F.min(F.struct(COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    known = rows.where("doc_id IS NOT NULL").withColumn("_id", F.xxhash64("doc_id", "text"))
+    groups = minhash.near_duplicates(known.select(F.col("_id").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_id"), "component_id").distinct().join(known.select("_id", "doc_id").distinct(), "_id")
+    ids = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "_id")).alias("least")).select("least.*")
+    kept = known.join(ids, ["_id", "doc_id"], "left_semi")
+    kept = kept.groupBy("_id", "doc_id").agg(F.min(F.struct(COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
     return kept.select(COLUMNS).unionByName(rows.where("doc_id IS NULL"))
 
 

@@ -252,6 +252,14 @@ def test_pipeline_stage_by_stage(spark):
     assert len(back) == before.count() and all(r.decoded == r.text for r in back)
 
 
+def test_near_dedup_keeps_other_texts_of_a_repeated_id(spark, docs):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(50)) for c in "xyz")
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, two), (4, one + " end"), (5, None), (5, ""), (None, one)]
+    rows = [(i, t, "en", "s", 1) for i, t in rows]
+    out = corpus_pipeline.one_of_each(spark, docs([*rows, rows[0]]), PATH)
+    assert sorted(((r.doc_id or 0, r.text or "") for r in out.collect())) == [(0, one), (1, one), (2, two), (3, three), (5, ""), (5, "")]
+
+
 def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
     long = " ".join(f"w{k}" for k in range(50))
     rows = [(None, long, "en", None, 1), (1, None, None, "s", 0), (1, None, None, "s", 0), (2, "", "en", "s", 0), (3, long, "en", "s", 5), (4, long, "en", "s", 5)]
