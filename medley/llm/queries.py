@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medley.llm import base, embeddings, language, minhash, mixing, pages, quality, sentencepiece, spotsigs, substring, toxicity
+from medley.llm import base, collocations, embeddings, infill, language, minhash, mixing, pages, quality, rules, sentencepiece, spotsigs, substring, toxicity
 
 
 def op1(spark: SparkSession, path: str) -> DataFrame:
@@ -59,6 +59,25 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11(spark: SparkSession, path: str) -> DataFrame:
+    """Documents rearranged for filling in the middle, and whether they can be put back."""
+    docs = base.table(spark, path, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = infill.fill_in_middle(docs)
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(), 256).alias("restored_sha256")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12(spark: SparkSession, path: str) -> DataFrame:
+    """Counts of every document, and whether it is kept once its lines have been cleaned."""
+    docs = base.table(spark, path, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rules.clean(docs).drop("text", "cleaned")
+
+
+def op13(spark: SparkSession, path: str) -> DataFrame:
+    """Collocations of every language."""
+    return collocations.collocations(base.table(spark, path, "documents"))
+
+
 REGISTRY: dict[str, base.Query] = {
     "op1_sentencepiece": base.Query(op1),
     "op2_minhash": base.Query(op2, minhash.SQL),
@@ -70,4 +89,7 @@ REGISTRY: dict[str, base.Query] = {
     "op8_language_id": base.Query(op8),
     "op9_poisson_mixing": base.Query(op9, mixing.SQL),
     "op10_super_kmers": base.Query(op10, substring.SQL),
+    "op11_fenwick_infill": base.Query(op11, infill.SQL),
+    "op12_line_rules": base.Query(op12, rules.SQL),
+    "op13_collocations": base.Query(op13, collocations.SQL),
 }
