@@ -285,8 +285,16 @@ def map_filter(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 6) AS off FROM events")
 def group_demean(t: Tables) -> DataFrame:
-    """[U04] Value minus its group's mean; hot groups are never gathered."""
-    rows = batches.demean(t.events.select("event_id", "event_type", "value"), ["event_type"], "value", "off")
+    """[U04] Value minus its group's mean by a function over grouped rows; hot groups are never gathered."""
+
+    def count_and_sum(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"n": [rows.value.count()], "total": [rows.value.sum()]})
+
+    def off(rows: pd.DataFrame, whole: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(off=rows.value - whole.total.iloc[0] / whole.n.iloc[0])
+
+    summary = batches.Summary("n long, total double", count_and_sum, lambda a, b: pd.DataFrame({c: [a[c].iloc[0] + b[c].iloc[0]] for c in a.columns}))
+    rows = batches.grouped_map(t.events.select("event_id", "event_type", "value"), ["event_type"], summary, off, "event_id long, off double")
     return rows.select("event_id", F.round("off", 6).alias("off"))
 
 
@@ -295,11 +303,17 @@ SELECT p.event_id, c.event_id AS click_id FROM (SELECT * FROM events WHERE event
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts >= c.ts
 """)
 def cogroup_asof(t: Tables) -> DataFrame:
-    """[U05] Each purchase with the user's last click."""
+    """[U05] Each purchase with the user's last click, by a function over both sides of a user."""
+
+    def last_click(left: pd.DataFrame, right: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        clicks = pd.concat([before, right[["at", "click_id"]]]).astype({"at": "int64", "click_id": "Int64"})
+        return pd.merge_asof(left, clicks, on="at")
+
     at = F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
     left = t.events.filter("event_type = 'purchase'").select("user_id", at, "event_id")
     right = t.events.filter("event_type = 'click'").select("user_id", at, F.col("event_id").alias("click_id"))
-    return batches.cogrouped_asof(left, right, "user_id", "at", "click_id").select("event_id", "click_id")
+    last = batches.Carry("at long, click_id long", lambda left, right: right[["at", "click_id"]].tail(1), lambda before, own: own if len(own) else before)
+    return batches.cogrouped_map(left, right, ["user_id"], ["at"], last_click, "event_id long, click_id long", last, tie=["click_id"])
 
 
 @query("""
