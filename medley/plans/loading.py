@@ -12,7 +12,7 @@ from medley.operators.reshape import stack_tagged
 from medley.plans.base import Tables, money, number, query
 from medley.session import work_path
 from medley.sources import files, landing, typed
-from medley.streaming import hourly
+from medley.streaming import entities, hourly
 
 
 @query("""
@@ -240,6 +240,27 @@ def stream_partition_counts(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+SELECT entity, CAST(CAST(date_trunc('year', day) AS DATE) AS VARCHAR) AS event_date, count(*) AS n FROM (
+ SELECT event_type AS entity, ts AS day FROM events UNION ALL SELECT 'orders', o_orderdate FROM orders
+ UNION ALL (SELECT 'order_lines', min(l_shipdate) FROM lineitem GROUP BY l_orderkey, l_linenumber, year(l_shipdate))) GROUP BY ALL
+""")
+def entity_stream_counts(t: Tables) -> DataFrame:
+    """[R01, R02] Seven entities from their landing folders as one stream, delivered twice: each key of a year once, late rows included."""
+    landing, path, state = (work_path(t.spark, n) for n in ("landing", "entities", "entity_state"))
+    kinds = [entities.Entity(n, ["event_id"], "ts") for n in ("view", "signup", "click", "error", "purchase")]
+    kinds += [entities.Entity("orders", ["o_orderkey"], "o_orderdate"), entities.Entity("order_lines", ["l_orderkey", "l_linenumber"], "l_shipdate")]
+    line = lambda *columns: F.to_json(F.struct(*columns)).alias("value")
+    raw = t.events.select(F.col("event_type").alias("entity"), line("event_id", "ts", "user_id", "props"))
+    raw = raw.unionByName(t.orders.select(F.lit("orders").alias("entity"), line("o_orderkey", "o_orderdate", "o_orderstatus")))
+    raw = raw.unionByName(t.lineitem.select(F.lit("order_lines").alias("entity"), line("l_orderkey", "l_linenumber", "l_shipdate")))
+    for _ in range(2):
+        raw.write.partitionBy("entity").mode("append").text(landing)
+        entities.load_entities(entities.read_landing(t.spark, landing, kinds), path, state, period="year").awaitTermination()
+    rows = entities.with_late(t.spark, path).groupBy("entity", F.col("event_date").cast("string").alias("event_date"))
+    return rows.agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL
 """)
