@@ -9,11 +9,13 @@ from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medley.operators.joins import anti, compare_totals, semi
 from medley.operators.skew import lookup
 from medley.operators.windows import latest
 from medley.session import materialise
+from medley.sources import snapshots
 
 
 def mode(load_type: str | None, watermark: Any) -> str:
@@ -114,6 +116,46 @@ def merge_partitions(
     return touched.count()
 
 
+def merge_snapshot(
+    spark: SparkSession, path: str, source: DataFrame, key: Sequence[str], partition: str, order_by: Sequence[str] | None = None
+) -> int:
+    """[L05] Merge into a table kept by `snapshots`, and rewrite only the parts that change; how many they are.
+
+    As `merge_partitions`, but readers and later writers see all of it or nothing: a run that is lost leaves the old version,
+    and one that another writer overtakes is worked out again on that writer's. The labels of the changed parts, no
+    more than the table has parts, come to the driver; no row does.
+    """
+    source = materialise(latest(source, key, order_by) if order_by else source, "source")
+    if not order_by and not duplicate_keys(source, key).isEmpty():
+        raise ValueError(f"source has several rows for one key {list(key)}")
+    changed = 0
+
+    def change(version: snapshots.Version) -> tuple[T.StructType, snapshots.Folders]:
+        nonlocal changed
+        target = snapshots.read(spark, path, version=version)
+        if target is None:
+            folders = snapshots.write_parts(source, path, partition)
+            changed = len(folders)
+            return snapshots.widened(None, source.schema), folders
+        schema = snapshots.widened(version.schema, source.schema)
+        moved = lookup(target.select(*key, partition), source.select(*key), key, "left_semi").select(partition)
+        label = F.coalesce(F.col(partition).cast("string"), F.lit(""))
+        touched = {r[0] for r in moved.unionByName(source.select(partition)).select(label.alias("label")).distinct().toLocalIterator()}
+        changed = len(touched)
+        old = snapshots.read(spark, path, touched, snapshots.Version(version.number, schema, version.folders))
+        new = merge(old, source.select([F.col(f.name) if f.name in source.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]), key)
+        return schema, {**{k: f for k, f in version.folders.items() if k not in touched}, **snapshots.write_parts(new, path, partition)}
+
+    snapshots.publish(spark, path, change)
+    return changed
+
+
+def replace_periods(new: DataFrame, path: str, period: str) -> snapshots.Version:
+    """[L09] Replace the periods that occur in the new data in a table kept by `snapshots`, all at once; others stay."""
+    folders = snapshots.write_parts(new, path, period)
+    return snapshots.replace_labels(new.sparkSession, path, lambda label: label in folders, new.schema, folders)
+
+
 def partition_folder(column: str, value: Any) -> str:
     """The folder name of a partition value, as Spark writes it."""
     text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
@@ -176,28 +218,25 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def replace_file(df: DataFrame, path: str, day: dt.date, file: str, keep_days: int | None = None) -> None:
-    """Replace one delivered file's rows in a table of many files, and drop days older than `keep_days`.
+    """[Q19] Replace one delivered file's rows in a table of many files, and drop days older than `keep_days`, in one step.
 
-    The table has a folder per day and file, the name in lower case; only this file's folders are touched.
+    The table is kept by `snapshots`, a part for each day and file, the name in lower case. A run that is lost leaves the
+    table as it was, and runs of different files lose nothing of each other's.
     """
-    root, folder = path.rstrip("/"), f"file_key={quote(file.lower(), safe='')}"
-    df.write.mode("overwrite").parquet(f"{root}/run_day={day}/{folder}")
-    spark = df.sparkSession
-    location = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    for name in [f.getPath().getName() for f in system.listStatus(location)]:
-        if not name.startswith("run_day=") or name == f"run_day={day}":
-            continue
-        old = keep_days is not None and dt.date.fromisoformat(name[8:]) < day - dt.timedelta(days=keep_days)
-        remove(spark, f"{root}/{name}" if old else f"{root}/{name}/{folder}")
+    own = quote(file.lower(), safe="")
+    first = day - dt.timedelta(days=keep_days) if keep_days is not None else dt.date.min
+
+    def gone(label: str) -> bool:
+        run_day, name = label.split("/")
+        return name == own or dt.date.fromisoformat(run_day) < first
+
+    folder = snapshots.write_folder(df, path)
+    snapshots.replace_labels(df.sparkSession, path, gone, df.schema, {f"{day}/{own}": folder})
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame | None:
     """The table that `replace_file` keeps, all files together; None if there is none yet."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-        return None
-    return spark.read.option("mergeSchema", "true").parquet(path).drop("run_day", "file_key")
+    return snapshots.read(spark, path)
 
 
 def checked_overwrite(raw_lines: DataFrame, loaded: DataFrame, path: str) -> int:

@@ -11,7 +11,7 @@ from medley.operators import aggregates, joins, load, reconcile
 from medley.operators.reshape import stack_tagged
 from medley.plans.base import Tables, money, number, query
 from medley.session import work_path
-from medley.sources import files, landing, typed
+from medley.sources import files, landing, snapshots, typed
 from medley.streaming import entities, hourly
 
 
@@ -119,6 +119,35 @@ def merge_partitions(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).groupBy("period", "state").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+SELECT CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 THEN CASE WHEN o_orderkey % 7 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) + 1 END
+  WHEN o_orderkey % 4 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) END AS period,
+ CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 THEN 'n2' ELSE 'old' END AS state, count(*) AS n
+FROM orders GROUP BY ALL
+""")
+def merge_snapshot(t: Tables) -> DataFrame:
+    """[L05, L12] The same merge into a table kept by a manifest: the whole change or none of it."""
+    path = work_path(t.spark, "orders_snapshot")
+    year, k = F.year("o_orderdate"), F.col("o_orderkey")
+    load.replace_periods(_target(t).select("o_orderkey", "state", F.when(k % 4 != 0, year).alias("period")), path, "period")
+    source = _source(t).select("o_orderkey", "state", F.when(k % 7 != 0, year + 1).alias("period"))
+    load.merge_snapshot(t.spark, path, source, ["o_orderkey"], "period", ["state"])
+    return snapshots.read(t.spark, path).groupBy("period", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS period, count(*) AS n, CAST(sum(CASE WHEN year(o_orderdate) IN (1994, 1995) THEN 1 ELSE 0 END) AS BIGINT) AS again
+FROM orders WHERE year(o_orderdate) NOT IN (1994, 1995) OR o_orderkey % 2 = 0 GROUP BY 1
+""")
+def replace_periods(t: Tables) -> DataFrame:
+    """[L09] Two years delivered again with fewer rows take the place of the old ones, at once."""
+    path = work_path(t.spark, "orders_periods")
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("period"))
+    load.replace_periods(rows.withColumn("again", F.lit(0)), path, "period")
+    load.replace_periods(rows.filter("period IN (1994, 1995) AND o_orderkey % 2 = 0").withColumn("again", F.lit(1)), path, "period")
+    return snapshots.read(t.spark, path).groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.sum("again").alias("again"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 1000)
 """)
