@@ -2,15 +2,14 @@
 
 Texts are lower-cased (A to Z) and brought to a form in which the words of a phrase stand one space apart, so that a phrase is
 one run of bytes; prefix polynomials give the fingerprint of any run in constant time. Only fingerprints travel, each with its
-count, the place of one occurrence and the sum of a second, shorter fingerprint over all occurrences. Frequent ones are read
-at that place; if the sum is not count times the second fingerprint of what stands there, two phrases share the fingerprint,
+count, the document of one occurrence and the sum of a second, shorter fingerprint over all occurrences. Frequent ones are read
+in that document; if the sum is not count times the second fingerprint of what stands there, two phrases share the fingerprint,
 and their counts are taken again from the texts. Three-word phrases are only sent where both two-word phrases in them are
 frequent, by a bitmap of fixed size which errs on the side of sending.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,9 +32,9 @@ SALT = 0xD6E8FEB86659FD93
 CHECK_BITS = 20
 BITMAP_BITS = 27
 CHUNK = 1 << 16
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 UNKNOWN = "und"
-SENT = "fp long, n long, checks long, key long, at long"
+SENT = "fp long, n long, checks long, key long"
 
 KINDS = np.zeros(256, np.uint8)
 KINDS[list(b" \t")], KINDS[list(b".,;:!?\n\x0b\x0c\r")] = 1, 2
@@ -115,16 +114,15 @@ class Words:
         heads, tails = offsets[:-1][filled], offsets[1:][filled] - 1
         first[heads] |= inside[heads]
         last[tails] |= inside[tails]
-        self.place, until = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self.row = np.searchsorted(offsets, self.place, "right") - 1
+        place, until = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.row = np.searchsorted(offsets, place, "right") - 1
         gaps = np.concatenate([[0], np.cumsum(parted, dtype=np.int32)])
-        self.joined = (self.row[1:] == self.row[:-1]) & (gaps[self.place[1:]] == gaps[until[:-1]])
+        self.joined = (self.row[1:] == self.row[:-1]) & (gaps[place[1:]] == gaps[until[:-1]])
         kept = inside.copy()
         kept[1:] |= inside[:-1]
         at = np.concatenate([[0], np.cumsum(kept)])
-        self.start, self.end = at[self.place], at[until]
+        self.start, self.end = at[place], at[until]
         self.data = np.where(inside, data, np.uint8(32))[kept]
-        self.place -= offsets[self.row]
 
     def phrases(self, k: int) -> np.ndarray:
         """Whether a phrase of ``k`` words starts with each word."""
@@ -152,14 +150,14 @@ class Words:
             low = high
 
 
-def grouped(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint, count, sum of checks, and key and place of one occurrence, of (fingerprint, check, count, key, place)."""
-    fp, check, n, key, at = (np.concatenate(x) for x in zip(*found, strict=True))
+def grouped(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, count, sum of checks and least key, of (fingerprint, check, count, key)."""
+    fp, check, n, key = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.argsort(fp, kind="stable")
     fp = fp[order]
     head = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
     sums = [np.add.reduceat(x[order], head) if len(head) else np.zeros(0, np.int64) for x in (n, check * n)]
-    return fp[head].view(np.int64), sums[0], sums[1], key[order][head], at[order][head]
+    return fp[head].view(np.int64), sums[0], sums[1], np.minimum.reduceat(key[order], head) if len(head) else key
 
 
 def known(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
@@ -194,7 +192,7 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
             sums = np.bincount(at.row, minlength=len(langs))
             held = np.flatnonzero(sums)
             empty = salted(np.zeros(len(held), np.uint64), salts[held])
-            yield sized(empty, 0, mask), short(empty), sums[held], keys[held], np.zeros(len(held), np.int64)
+            yield sized(empty, 0, mask), short(empty), sums[held], keys[held]
         for low, high in at.ranges():
             own = {k: np.flatnonzero(starts[k][low:high]) for k in asked}
             if bits is not None:
@@ -204,7 +202,7 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
             one, two = (at.hashed(low, high, asked, b, salts) for b in BASES)
             for k, v, c in zip(asked, one, two, strict=True):
                 i = own[k]
-                yield sized(v[i], k, mask), short(c[i]), np.ones(len(i), np.int64), keys[at.row[low + i]], at.place[low + i]
+                yield sized(v[i], k, mask), short(c[i]), np.ones(len(i), np.int64), keys[at.row[low + i]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
@@ -219,14 +217,12 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
         if waiting:
             yield batch_of(grouped(found), SENT)
 
-    least = F.min(F.struct("key", "at"))
-    sums = mapped(docs, run, SENT).groupBy("fp").agg(F.sum("n").alias("n"), F.sum("checks").alias("checks"), least.alias("least"))
-    return sums.select("fp", "n", "checks", "least.key", "least.at")
+    return mapped(docs, run, SENT).groupBy("fp").agg(*(f(c).alias(c) for f, c in ((F.sum, "n"), (F.sum, "checks"), (F.min, "key"))))
 
 
-def bitmap_of(fps: DataFrame) -> bytes:
+def bitmap_of(fps: DataFrame, column: str = "fp") -> bytes:
     """2^BITMAP_BITS bits, of which each fingerprint sets the one that its first bits name: 16 MB, whatever the input."""
-    place = F.shiftrightunsigned("fp", 64 - BITMAP_BITS)
+    place = F.shiftrightunsigned(column, 64 - BITMAP_BITS)
     rows = fps.select(F.shiftright(place, 15).alias("bucket"), place.bitwiseAND(32767).alias("bit"))
     out = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
     for bucket, bits in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit")).collect():
@@ -234,35 +230,61 @@ def bitmap_of(fps: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def phrase_at(text: bytes, place: int, k: int) -> bytes:
-    """The k words from a place of a text, one space apart; empty if there are none in a row."""
-    found = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+" + rb"[ \t]+[^ \t.,;:!?\n\x0b\x0c\r]+" * (k - 1)).match(text, place)
-    return b" ".join(found[0].split()).lower() if found else b""
-
-
 READ = "fp long, lang string, phrase string, n long, agreed boolean"
 PHRASE = "fp long, lang string, phrase string, n long"
 ASKED = "lang string, phrase string, fp long, check long"
 
 
+def pointed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents whose key is among those of ``wanted``, and a few more, by a bitmap of fixed size: less to shuffle."""
+    spread = wanted.select(F.xxhash64("key").alias("spread"))
+    bits, names = docs.sparkSession.sparkContext.broadcast(bitmap_of(spread, "spread")), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            keep = known(held, batch.column("spread").to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(keep)).select(names)
+
+    return mapped(docs.withColumn("spread", F.xxhash64("key")), run, docs.schema)
+
+
 def read_phrases(docs: DataFrame, wanted: DataFrame, mask: int) -> DataFrame:
-    """READ for fingerprints of phrases: what stands at the place of each, and whether that accounts for all occurrences.
+    """READ for fingerprints of phrases: what their document holds under each, and whether that accounts for all occurrences.
 
-    The places of a document are no more than its words. Rows that share a key are all looked at; what has another
-    fingerprint than the one asked for is no occurrence.
+    A document is asked for no more fingerprints than it has phrases. Rows that share a key are all looked at; one of them
+    holds the phrase.
     """
-    places = wanted.groupBy("key").agg(F.collect_list(F.struct("fp", "n", "checks", "at")).alias("places"))
-    rows = docs.join(session.materialise(places, "places"), "key").select("lang", "text", "places")
+    places = wanted.groupBy("key").agg(F.collect_list(F.struct("fp", "n", "checks")).alias("places"))
+    rows = pointed(docs, wanted).join(session.materialise(places, "places"), "key").select("key", "lang", "text", "places")
+    sizes = [2, 3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            for lang, text, at in zip(*batch.columns, strict=True):
-                lang, text = lang.as_py(), text.as_py().encode()
-                fp, n, checks, place = (at.values.field(k).to_numpy() for k in range(4))
-                found = [phrase_at(text, p, k) for p, k in zip(place.tolist(), (fp & 3).tolist(), strict=True)]
-                got, check = fingerprints(found, [lang] * len(found), mask)
-                same = np.flatnonzero(got.view(np.int64) == fp)
-                yield batch_of([fp[same], [lang] * len(same), [found[j].decode() for j in same], n[same], (check * n == checks)[same]], READ)
+            at, langs, keys = Words(*words.buffers(batch.column("text"))), batch.column("lang").to_pylist(), batch.column("key").to_numpy()
+            asked = batch.column("places").flatten()
+            fp, n, checks = (asked.field(k).to_numpy() for k in range(3))
+            owner = np.repeat(keys, batch.column("places").value_lengths().to_numpy())
+            order = np.argsort(fp, kind="stable")
+            order = order[np.concatenate([[True], fp[order][1:] != fp[order][:-1]])]
+            fp, n, checks, owner = fp[order], n[order], checks[order], owner[order]
+            each = {x: lang_salt(x) for x in set(langs)}
+            salts = np.array([each[x] for x in langs], np.uint64)
+            starts = {k: at.phrases(k) for k in sizes}
+            found: dict[int, tuple[int, str, str, int, bool]] = {}
+            for low, high in at.ranges():
+                one, two = (at.hashed(low, high, sizes, b, salts) for b in BASES)
+                for k, v, c in zip(sizes, one, two, strict=True):
+                    got = sized(v, k, mask).view(np.int64)
+                    where = np.minimum(np.searchsorted(fp, got), len(fp) - 1)
+                    hit = np.flatnonzero(starts[k][low:high] & (fp[where] == got) & (owner[where] == keys[at.row[low:high]]))
+                    _, first = np.unique(where[hit], return_index=True)
+                    for i in hit[first]:
+                        j, check = int(where[i]), int(short(c[i : i + 1])[0])
+                        if j not in found:
+                            phrase = at.data[at.start[low + i] : at.end[low + i + k - 1]].tobytes().decode()
+                            found[j] = (int(fp[j]), langs[at.row[low + i]], phrase, int(n[j]), check * int(n[j]) == int(checks[j]))
+            yield batch_of(list(zip(*found.values(), strict=True)) if found else [[]] * 5, READ)
 
     return mapped(rows, run, READ).distinct()
 
