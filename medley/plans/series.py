@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medley.operators import series
+from medley.operators import seasonal, series
 from medley.plans.base import Tables, money, number, query
 
 
@@ -125,3 +125,18 @@ def theta_scores(t: Tables) -> DataFrame:
     lengths = test.groupBy(*keys).agg(F.count(F.lit(1)).alias("horizon"))
     predicted = series.theta(train, keys, lengths)
     return _rounded(series.scores(predicted.join(test.withColumn("h", order), [*keys, "h"]), keys))
+
+
+@query()
+def seasonal_forecast(t: Tables) -> DataFrame:
+    """[M01, M02] Thirty days of orders ahead of a cutoff, by trend with changepoints, week and year. Compared with a plain fit in the tests."""
+    cut = series.up_to(order_history(t), "ds", dt.date(1998, 6, 1))
+    rows = seasonal.predict(seasonal.fit(cut, ["o_orderpriority"]), ["o_orderpriority"], 30)
+    return rows.select("o_orderpriority", F.col("ds").cast("string").alias("ds"), *[F.round(c, 2).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
+
+
+@query()
+def prior_grid(t: Tables) -> DataFrame:
+    """[M06] Sixteen settings of the priors scored over four origins, thirty days each. Compared with plain fits in the tests."""
+    priors = [seasonal.Prior(c, s) for c in (0.001, 0.01, 0.1, 0.5) for s in (0.01, 0.1, 1.0, 10.0)]
+    return _rounded(seasonal.prior_grid(order_history(t), ["o_orderpriority"], priors, [30, 90, 180, 365]))
