@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medley.functions import dates, nested, numbers, text, udfs
+from medley.functions import dates, fingerprint, nested, numbers, text, udfs
 from medley.operators import batches, project
 from medley.operators.commerce import hash_emails
 from medley.operators.reconcile import error_reports
@@ -156,6 +156,14 @@ def unit_change(t: Tables) -> DataFrame:
     )
 
 
+@query()
+def farm_fingerprints(t: Tables) -> DataFrame:
+    """[X18, K07] Customers' names and whole documents as the warehouse's fingerprint in text form. Compared with published values in the tests."""
+    names = t.customer.select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), fingerprint.farm(F.lower(F.trim("c_name"))).cast("string").alias("hash"))
+    texts = t.documents.select(F.lit("document").alias("source"), F.col("doc_id").alias("id"), fingerprint.farm(F.col("text")).cast("string").alias("hash"))
+    return names.unionByName(texts)
+
+
 @query("SELECT c_custkey, sha256('pepper' || lower(trim(c_name))) AS name_hash FROM customer")
 def pii_hash(t: Tables) -> DataFrame:
     """[X18, K07, P06] Names replaced by a salted hash."""
