@@ -32,7 +32,8 @@ SALT = 0xD6E8FEB86659FD93
 CHECK_BITS = 20
 BITMAP_BITS = 27
 CHUNK = 1 << 16
-FLUSH = 1 << 19
+FLUSH = 1 << 18
+PIECE = 1 << 20
 UNKNOWN = "und"
 SENT = "fp long, n long, checks long, key long"
 
@@ -207,7 +208,7 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         found, waiting = [], 0
-        for batch in parts(batches):
+        for batch in parts(batches, PIECE):
             for piece in of(batch, bits):
                 found.append(piece)
                 waiting += len(piece[0])
@@ -260,7 +261,7 @@ def read_phrases(docs: DataFrame, wanted: DataFrame, mask: int) -> DataFrame:
     sizes = [2, 3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
+        for batch in parts(batches, PIECE):
             at, langs, keys = Words(*words.buffers(batch.column("text"))), batch.column("lang").to_pylist(), batch.column("key").to_numpy()
             asked = batch.column("places").flatten()
             fp, n, checks = (asked.field(k).to_numpy() for k in range(3))
@@ -295,7 +296,7 @@ def recount(docs: DataFrame, shared: DataFrame, sizes: list[int], mask: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(bits.value, np.uint8)
-        for batch in parts(batches, 1 << 20):
+        for batch in parts(batches, PIECE):
             at, langs = Words(*words.buffers(batch.column("text"))), batch.column("lang").to_pylist()
             salts = np.array([lang_salt(x) for x in langs], np.uint64)
             starts = {k: at.phrases(k) for k in sizes if k}
@@ -320,7 +321,7 @@ def counts_of(phrases: DataFrame, docs: DataFrame, counts: DataFrame, sizes: lis
     """lang, phrase and n for distinct phrases, from counts by fingerprint where the check agrees, else from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, 1 << 20):
+        for batch in parts(batches, PIECE):
             lang, phrase = (c.to_pylist() for c in batch.columns)
             fp, check = fingerprints([x.encode() for x in phrase], lang, mask)
             yield batch_of([lang, phrase, fp.view(np.int64), check], ASKED)
