@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medley.llm import base
+from medley.llm.grouped import mapped, parts
 
 TOP = 300
 SAMPLE = 600
@@ -26,12 +27,12 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def top_grams(texts: list[str], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, gram and rank (from 0) of the ``top`` most frequent 1- to 3-grams of each text, of at most 256 texts.
+def counted_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, gram and count of the 1- to 3-grams of each text, of at most 256 texts; of a row the most frequent first.
 
     Texts are lower-cased; every run of characters that are not letters is one boundary mark, which counts as a
-    character of 2- and 3-grams but not in the middle of one. Ties rank by n and then by code points. A gram is three
-    code points in one integer.
+    character of 2- and 3-grams but not in the middle of one. Ties come by n and then by code points. A gram is three
+    code points in one integer, and so orders like that.
     """
     lower = [t.lower() for t in texts]
     points = np.frombuffer(("\0" + "\0".join(lower) + "\0").encode("utf-32-le", "replace"), np.uint32).copy()
@@ -68,16 +69,20 @@ def top_grams(texts: list[str], top: int) -> tuple[np.ndarray, np.ndarray, np.nd
     keys = keys[first]
     rows = (keys >> (three + np.uint64(2))).astype(np.int64)
     order = np.argsort((rows << 32) - count, kind="stable")
-    rows, keys = rows[order], keys[order]
-    begins = np.searchsorted(rows, rows, "left")
-    rank = np.arange(len(rows)) - begins
-    best = rank < top
-    rows, keys, rank = rows[best], keys[best], rank[best]
+    rows, keys, count = rows[order], keys[order], count[order]
     mask = (np.uint64(1) << bits) - np.uint64(1)
     size = (keys >> three) & np.uint64(3)
     one, two, tri = (np.where(size > k, alphabet[(keys >> (np.uint64(k) * bits)) & mask], np.uint64(0)) for k in range(3))
     gram = (tri << np.uint64(42)) | (two << np.uint64(21)) | one
-    return rows, gram, rank
+    return rows, gram, count
+
+
+def top_grams(texts: list[str], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, gram and rank (from 0) of the ``top`` first grams of each text."""
+    rows, gram, _ = counted_grams(texts)
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
+    best = rank < top
+    return rows[best], gram[best], rank[best]
 
 
 def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -125,13 +130,8 @@ class Profiles:
         return names, scores
 
 
-def learn(texts: list[str], langs: list[str], top: int = TOP) -> Profiles:
-    """Profiles of each language from labelled texts."""
-    names = sorted(set(langs))
-    found = []
-    for name in names:
-        _, gram, rank = top_grams([" ".join(t for t, lang in zip(texts, langs, strict=True) if lang == name)], top)
-        found.append((gram, rank))
+def profiles(names: list[str], found: list[tuple[np.ndarray, np.ndarray]], top: int) -> Profiles:
+    """Profiles from the grams and ranks of each language."""
     grams = np.unique(np.concatenate([g for g, _ in found])) if found else np.zeros(0, np.uint64)
     names = names if len(grams) else []
     ranks = np.full((len(grams), len(names)), -1, np.int64)
@@ -140,16 +140,37 @@ def learn(texts: list[str], langs: list[str], top: int = TOP) -> Profiles:
     return Profiles(names, grams, ranks, top)
 
 
+def learn(sample: DataFrame, top: int = TOP) -> Profiles:
+    """Profiles of each language from labelled texts (``text``, ``label``), read whole.
+
+    Grams are counted batch by batch and summed by Spark; of each language only its ``top`` first come to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
+            for low, high in slices(texts):
+                row, gram, n = counted_grams(texts[low:high])
+                yield pa.RecordBatch.from_arrays([pa.array(langs[low:high][row], pa.string()), pa.array(gram.view(np.int64)), pa.array(n)], ["label", "gram", "n"])
+
+    grams = mapped(sample.select("text", F.col("label").cast("string")), run, "label string, gram long, n long")
+    order = Window.partitionBy("label").orderBy(F.desc("n"), "gram")
+    ranked = grams.groupBy("label", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1)
+    kept = ranked.where(F.col("rank") < top).select("label", "gram", "rank").toPandas()
+    names = sorted(kept["label"].unique())
+    own = [kept[kept["label"] == name].sort_values("rank") for name in names]
+    return profiles(names, [(x["gram"].to_numpy(np.int64).view(np.uint64), x["rank"].to_numpy(np.int64)) for x in own], top)
+
+
 def identify(docs: DataFrame, sample: int = SAMPLE, top: int = TOP) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row.
 
-    Profiles are learned from about ``sample`` documents per language that are not held out; every whole text is ranked
-    and compared. A null text, one without a letter, or a table without any usable lang gives ``und`` and 0. Rows with
+    Profiles are learned from about ``sample`` documents per language that are not held out; every whole text is counted,
+    ranked and compared. A null text, one without a letter, or a table without any usable lang gives ``und`` and 0. Rows with
     equal ids each get a row; a null id is scored too. Equal distances go to the language first in order of name.
     """
     labelled = docs.select("doc_id", F.col("lang").alias("label"))
-    rows = base.training_sample(docs, labelled, sample, "lang").orderBy("doc_id").toPandas()
-    model = learn(rows["text"].tolist(), rows["label"].tolist(), top)
+    model = learn(base.training_sample(docs, labelled, sample, "lang", None), top)
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         names, scores = model.predict(texts.to_pylist())

@@ -65,12 +65,12 @@ def mix(docs: DataFrame, seed: str, weights: dict[str, float] | None = None, tem
     rows = docs.select(keep.alias("_row"))
     drawn = rows.join(table, F.col("_row.source").eqNullSafe(F.col("_source")))
     doc_id = F.col("_row.doc_id")
-    draws = F.transform(
-        F.sequence(F.lit(1), F.col("_parts")),
-        lambda part: F.size(F.filter("_cdf", lambda c: c <= uniform(F.lit(seed), doc_id, part))),
-    )
+    # the numbers are an array of their own: a lambda that named one would work it out again for every term
+    numbers = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda part: uniform(F.lit(seed), doc_id, part))
+    draws = F.transform(numbers, lambda u: F.size(F.filter("_cdf", lambda c: c <= u)))
     count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
-    copies = drawn.select("_row", F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))).alias("copy"))
+    each = F.flatten(F.transform(F.array(count), lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
+    copies = drawn.select("_row", F.explode(each).alias("copy"))
     key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.col("copy").cast("string")))
     return copies.withColumn("shuffle_key", key).orderBy("shuffle_key", doc_id, "copy").select("_row.*", "copy", "shuffle_key")
 

@@ -1,7 +1,9 @@
 """SpotSigs document fingerprints, in DataFrame functions only.
 
 An anchor is a very common word. Each place of an anchor gives a spot signature: the anchor with the chain of the next
-content words, words that are neither anchors nor other stop words. A document's set of signatures is its fingerprint.
+content words, words that are neither anchors nor other stop words. A word that no anchor stands shortly before gives a
+signature of its own, with the words after it as they are, so that no stretch of a text is left out. Both kinds are the same
+at every length, and an edit changes no signature but those around it. A document's bag of signatures is its fingerprint.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ STOP = (
 ).split()
 CHAIN = 2
 SPAN = 6
-SHORT = 64
 GROUP = 256
 
 
@@ -36,29 +37,46 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def mark(anchor: Column, chain: Column) -> Column:
-    """The first 16 hex digits of the MD5 of an anchor and its chain."""
-    return F.substring(F.md5(F.concat(anchor, F.lit("|"), F.array_join(chain, " "))), 1, 16)
+    """The first 12 hex digits of the MD5 of an anchor and its chain."""
+    return F.substring(F.md5(F.concat(anchor, F.lit("|"), F.array_join(chain, " "))), 1, 12)
+
+
+def numbered(marks: Column) -> Column:
+    """Sorted marks, each followed by how many equal ones stand before it (6 hex digits), so that a set of them is a bag of marks."""
+
+    def of(m: Column) -> Column:
+        starts = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (F.get(m, i - 1) != x), i)), lambda i: i.isNotNull())
+        return let(starts, lambda s: let(F.concat(F.slice(s, 2, F.size(s)), F.array(F.size(m))), lambda e: runs(m, s, e)))
+
+    def runs(m: Column, starts: Column, ends: Column) -> Column:
+        run = lambda a, b: let(F.get(m, a), lambda x: F.transform(F.sequence(F.lit(0), b - a - 1), lambda k: F.concat(x, F.lpad(F.lower(F.hex(k)), 6, "0"))))
+        return F.flatten(F.zip_with(starts, ends, run))
+
+    return F.when(F.size(marks) > 0, let(F.sort_array(marks), of)).otherwise(F.array().cast("array<string>"))
 
 
 def signatures(text: Column) -> Column:
-    """The sorted distinct signatures of a text, 16 hex digits each; null counts as empty.
+    """The sorted signatures of a text, 18 hex digits each, the last 6 for repeats; null counts as empty.
 
-    The chain takes up to CHAIN content words from the SPAN words after the anchor that are no plain stop words, and a place
-    with none gives no signature. A text of fewer than SHORT words, or without any signature, takes every word for an
-    anchor, with the next words as they are; a text without words has the empty set.
+    An anchor's chain takes up to CHAIN content words from the SPAN words after it. A word with no anchor among itself and the
+    SPAN - 1 words before it takes the next CHAIN words. A text without words has the empty set, any other has a signature.
     """
 
-    def spots(every: Column, spotted: Column) -> Column:
-        def spot(x: Column, i: Column) -> Column:
-            chain = F.slice(F.filter(F.slice(spotted, i + 2, SPAN), lambda y: ~y.isin(ANCHORS)), 1, CHAIN)
-            return F.when(F.size(chain) > 0, mark(x, chain))
+    def spot(w: Column, i: Column) -> Column:
+        chain = F.filter(F.slice(w, i + 2, SPAN), lambda y: ~y.isin(*ANCHORS, *STOP))
+        return mark(F.get(w, i), F.slice(chain, 1, CHAIN))
+
+    def found(w: Column, places: Column) -> Column:
+        starts, ends = F.concat(F.array(F.lit(-SPAN)), places), F.concat(places, F.array(F.size(w)))
+        between = F.zip_with(starts, ends, lambda a, b: F.when(a + SPAN < b, F.sequence(a + SPAN, b - 1)).otherwise(F.array().cast("array<int>")))
+        plain = F.transform(F.flatten(between), lambda i: mark(F.get(w, i), F.slice(w, i + 2, CHAIN)))
+        return F.concat(F.transform(places, lambda i: spot(w, i)), plain)
 
-        found = F.array_compact(F.transform(spotted, lambda x, i: F.when(x.isin(ANCHORS), spot(x, i))))
-        plain = F.transform(every, lambda x, i: mark(x, F.slice(every, i + 2, CHAIN)))
-        return let(found, lambda f: F.when((F.size(every) >= SHORT) & (F.size(f) > 0), f).otherwise(plain))
+    def of(w: Column) -> Column:
+        places = F.filter(F.transform(w, lambda x, i: F.when(x.isin(ANCHORS), i)), lambda i: i.isNotNull())
+        return let(places, lambda p: found(w, p))
 
-    chosen = let(words(F.coalesce(text, F.lit(""))), lambda every: let(F.filter(every, lambda x: ~x.isin(STOP)), lambda v: spots(every, v)))
-    return F.sort_array(F.array_distinct(chosen))
+    return let(let(words(F.coalesce(text, F.lit(""))), of), lambda marks: numbered(marks))
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -102,7 +120,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     after = following(heads, "_group").select(F.col("_group").alias("_before"), F.col("next").alias("_group"))
     heads = heads.join(after, "_group").select(F.col("_before").alias("_group"), F.col("head").alias("_head"), signatures(F.col("head")).alias("_head_sigs"))
     order = Window.partitionBy("_group").orderBy("doc_id", "_hash")
-    ahead = known.withColumn("sigs", signatures(F.col("text")))
+    # dealt before the signatures are made, which are longer than the texts
+    ahead = known.repartition("_group").withColumn("sigs", signatures(F.col("text")))
     ahead = ahead.withColumns({"_text": F.lead("text").over(order), "_sigs": F.lead("sigs").over(order)})
     last = F.col("ahead._text").isNull()
     joined = ahead.alias("ahead").join(heads.alias("heads"), (F.col("ahead._group") == F.col("heads._group")) & last, "left")
@@ -174,18 +193,15 @@ e AS (SELECT *, substr(t, 1, length(t) - length(t) // 4) || substr(nt, 1, length
 w AS (
   SELECT doc_id, k, list_filter(string_split_regex(lower(x), '[^\p{{L}}\p{{N}}]+'), lambda y: y <> '') AS w
   FROM (SELECT doc_id, 1 AS k, t AS x FROM e UNION ALL SELECT doc_id, 2, ed FROM e)),
-v AS (SELECT doc_id, k, w, list_filter(w, lambda y: NOT list_contains([{LIST["stop"]}], y)) AS v FROM w),
-places AS (SELECT doc_id, k, v, unnest(range(1, len(v) + 1)) AS i FROM v),
-spots AS (
-  SELECT doc_id, k, v[i] AS a, list_filter(v[i+1:i+{SPAN}], lambda y: NOT list_contains([{LIST["anchors"]}], y))[1:{CHAIN}] AS c
-  FROM places WHERE list_contains([{LIST["anchors"]}], v[i])),
-found AS (SELECT doc_id, k, substr(md5(a || '|' || array_to_string(c, ' ')), 1, 16) AS s FROM spots WHERE len(c) > 0),
-plain AS (
-  SELECT doc_id, k, substr(md5(w[i] || '|' || array_to_string(w[i+1:i+{CHAIN}], ' ')), 1, 16) AS s
-  FROM (SELECT doc_id, k, w, unnest(range(1, len(w) + 1)) AS i FROM w) WHERE len(w) < {SHORT} OR (doc_id, k) NOT IN (SELECT (doc_id, k) FROM found)),
-chosen AS (
-  SELECT * FROM plain UNION ALL
-  SELECT f.* FROM found f JOIN w ON w.doc_id = f.doc_id AND w.k = f.k WHERE len(w) >= {SHORT}),
+places AS (SELECT doc_id, k, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+known AS (SELECT *, list_contains([{LIST["anchors"]}], w[i]) AS anchor FROM places),
+near_anchor AS (SELECT *, bool_or(anchor) OVER (PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN {SPAN - 1} PRECEDING AND CURRENT ROW) AS near_one FROM known),
+chains AS (
+  SELECT doc_id, k, w[i] AS a, CASE WHEN anchor THEN
+    list_filter(w[i+1:i+{SPAN}], lambda y: NOT list_contains([{LIST["anchors"]}, {LIST["stop"]}], y))[1:{CHAIN}] ELSE w[i+1:i+{CHAIN}] END AS c
+  FROM near_anchor WHERE anchor OR NOT near_one),
+marks AS (SELECT doc_id, k, substr(md5(a || '|' || array_to_string(c, ' ')), 1, 12) AS s FROM chains),
+chosen AS (SELECT doc_id, k, s || printf('%06x', row_number() OVER (PARTITION BY doc_id, k, s) - 1) AS s FROM marks),
 sets AS (SELECT doc_id, k, list(s ORDER BY s) AS s FROM (SELECT DISTINCT * FROM chosen) GROUP BY ALL),
 near AS (
   SELECT e.doc_id, e.t, e.ed, coalesce(a.s, []) AS a, coalesce(b.s, []) AS b, coalesce(c.s, []) AS c FROM e

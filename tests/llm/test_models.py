@@ -1,6 +1,7 @@
 """The trained models: their arithmetic against plain loops, and held-out accuracy on the given tables."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -132,13 +133,37 @@ def test_rank_order_profiles_by_counting():
     assert few.tolist() == code[:4]
 
 
-def test_out_of_place_distance():
-    model = language.learn(["aaa aab aab", "zzz zzy zzy"], ["x", "y"], 5)
+def test_out_of_place_distance(spark):
+    model = language.learn(spark.createDataFrame([("aaa aab aab", "x"), ("zzz zzy zzy", "y")], "text string, label string"), 5)
     names, scores = model.predict(["aab", None, "", "123", "zzy zz"])
     assert names == ["x", "und", "und", "und", "y"]
     assert scores[1:4] == [0.0, 0.0, 0.0] and all(0.5 <= s <= 1 for s in (scores[0], scores[4]))
 
 
+def plain_profile(texts, top):
+    grams = Counter()
+    for text in texts:
+        for run in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            grams.update(run)
+            padded = f" {run} "
+            grams.update(padded[k : k + n] for n in (2, 3) for k in range(len(padded) - n + 1))
+    return {g: k for k, g in enumerate(sorted(grams, key=lambda g: (-grams[g], len(g), g))[:top])}
+
+
+def test_predictions_equal_plain_distances(spark):
+    labelled = [("the cat and the hat, ate that", "en"), ("der Hund und die Katze", "de"), ("und der große Baum", "de"), ("le chat et la ville", "fr"), ("x" * 30_000 + " tail end", "xx")]
+    asked = ["the hat", "die Hunde", "la chatte et le", "xx tail", "größer", "qqq", "a", "e e", "the der le"]
+    top = 12
+    model = language.learn(spark.createDataFrame(labelled, "text string, label string").repartition(3), top)
+    known = {name: plain_profile([t for t, x in labelled if x == name], top) for name in ("de", "en", "fr", "xx")}
+    names, scores = model.predict(asked)
+    for text, name, score in zip(asked, names, scores, strict=True):
+        own = plain_profile([text], top)
+        far = {x: sum(abs(p[g] - k) if g in p else top for g, k in own.items()) for x, p in known.items()}
+        first, second = sorted(far.values())[:2]
+        assert name == min(far, key=lambda x: (far[x], x)) and score == pytest.approx(second / (first + second))
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op6_quality_cnn", "quality", 0.93), ("op7_toxicity_gru", "toxic", 0.9)])
 def test_held_out_accuracy(spark, name, label, least):
     rows = queries.REGISTRY[name](spark, PATH)

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -174,7 +176,8 @@ def test_spot_signatures(spark, docs):
         after, cut = order[(k + 1) % len(order)][1], len(text) // 4
         assert (got[i].n_chars, got[i].edited_sha256) == (len(text), sha(text[: len(text) - cut] + after[:cut]))
         assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
-    one, two = (set(got[i].fingerprint[k : k + 16] for k in range(0, len(got[i].fingerprint), 16)) for i in (order[0][0], order[1][0]))
+        assert got[i].fingerprint == "".join(plain_signatures(text))
+    one, two = (set(got[i].fingerprint[k : k + 18] for k in range(0, len(got[i].fingerprint), 18)) for i in (order[0][0], order[1][0]))
     assert got[order[0][0]].near_next == pytest.approx(len(one & two) / max(1, len(one | two)))
     texts = {i: t or "" for i, t in rows}
     for a in got:
@@ -184,13 +187,50 @@ def test_spot_signatures(spark, docs):
     assert spotsigs.compare_edits(docs([])).collect() == []
 
 
-def test_spot_chains_skip_stop_words(spark):
-    text = "The very big house of the old man is by the sea and the dog was a good dog " + " ".join(f"n{k}" for k in range(60))
+def test_spot_chains_skip_stop_words_and_gaps_are_filled(spark):
+    text = "The very big house of the old man is by the sea and the dog was a good dog one two three four five six seven"
     df = spark.createDataFrame([(text,)], "text string")
-    got = set(df.select(spotsigs.signatures(df.text).alias("s")).first().s)
-    chains = [("the", "very big"), ("of", "old man"), ("the", "old man"), ("is", "sea dog"), ("the", "sea dog"), ("the", "dog good"), ("was", "good dog"), ("a", "good dog")]
-    want = {hashlib.md5(f"{a}|{c}".encode()).hexdigest()[:16] for a, c in chains}
-    assert got == want
+    got = df.select(spotsigs.signatures(df.text).alias("s")).first().s
+    chains = [("the", "very big"), ("of", "old man"), ("the", "old man"), ("is", "sea dog"), ("the", "sea dog"), ("the", "dog good"), ("was", "good dog"),
+              ("a", "good dog"), ("five", "six seven"), ("six", "seven"), ("seven", "")]
+    # the last anchor covers six words, and from the fourth number on every word stands for itself
+    chains.insert(8, ("four", "five six"))
+    assert set(got) <= {hashlib.md5(f"{a}|{c}".encode()).hexdigest()[:12] + "000000" for a, c in chains} and len(got) >= 10
+    assert got == plain_signatures(text)
+
+
+def plain_signatures(text):
+    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+    seen, out = Counter(), []
+    for i, x in enumerate(w):
+        if x in spotsigs.ANCHORS:
+            chain = [y for y in w[i + 1 : i + 1 + spotsigs.SPAN] if y not in spotsigs.ANCHORS and y not in spotsigs.STOP][: spotsigs.CHAIN]
+        elif not set(w[max(0, i - spotsigs.SPAN + 1) : i + 1]) & set(spotsigs.ANCHORS):
+            chain = w[i + 1 : i + 1 + spotsigs.CHAIN]
+        else:
+            continue
+        mark = hashlib.md5(f"{x}|{' '.join(chain)}".encode()).hexdigest()[:12]
+        out.append(f"{mark}{seen[mark]:06x}")
+        seen[mark] += 1
+    return sorted(out)
+
+
+def test_signatures_of_odd_texts(spark):
+    texts = ["", None, "the", "der der der der", "x", "it it it", "word " * 3000, "the " * 3000 + "end", "!!! ...", "a b c d e f g h i j k l m n " * 30]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in rows.select("i", spotsigs.signatures(F.col("text")).alias("s")).collect():
+        assert r.s == plain_signatures(texts[r.i])
+
+
+def test_edits_keep_likeness_and_unlike_texts_differ(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = spotsigs.compare_edits(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
+    assert min(r.near_edited for r in rows if len(r.text.split()) >= 64) >= 0.3
+    found = {}
+    for r in rows:
+        w = [x for x in re.split(r"[\W_]+", r.text.lower()) if x]
+        found.setdefault(r.fingerprint, []).append({tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))})
+    assert all(len(a & same[0]) >= 0.5 * len(a | same[0]) for same in found.values() for a in same)
 
 
 def test_spot_near_pairs(spark, docs):
