@@ -40,6 +40,12 @@ DROPPED_NAMES = frozenset(
     "pager pagination popup promo promotion recommended related replies reply respond rss search share sharing shoutbox sidebar signup skip "
     "social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+SECOND_NAMES = frozenset("discussion opinions responses".split())
+# what may stand inside or beside an article as an article element of its own
+OTHER_ARTICLES = frozenset("comment comments promo recommended related replies reply response responses sponsored teaser teasers".split())
+# a name that begins so tells what the element has or is filed under, not what it is
+ABOUT = frozenset("category format has is js no show status tag type with without".split())
+TITLED = frozenset("header heading title".split())
 KEPT_NAMES = frozenset("article body column content entry main page post story text".split())
 KEPT_TAGS = frozenset("html body article main".split())
 BONUS = {"article": 10, "main": 8, "div": 3, "section": 3, "pre": 2, "blockquote": 2, "ul": -3, "ol": -3, "dl": -3}
@@ -57,7 +63,7 @@ class Node:
         self.block = self if tag in BLOCK or parent is None else parent.block
         self.points, self.chars, self.linked, self.kept, self.menu = 0.0, 0, 0, False, False
         found = {k.lower(): (v or "").strip("\"'").strip().lower() for k, v in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-        self.dropped = tag in DROPPED_TAGS or (tag not in KEPT_TAGS and unwanted(found))
+        self.dropped = tag in DROPPED_TAGS or (other_article(found) if tag == "article" else tag not in KEPT_TAGS and unwanted(found))
         self.wrapper = self.dropped and (tag not in DROPPED_TAGS or tag in WRAPPERS) and not hidden(found)
 
 
@@ -75,10 +81,22 @@ def unwanted(found: dict[str, str]) -> bool:
     if set(found.get("role", "").split()) & DROPPED_ROLES:
         return True
     names = (found.get("class", "") + " " + found.get("id", "")).split()
-    if any(n in DROPPED_NAMES for n in names):
+    if any(n in DROPPED_NAMES or n in SECOND_NAMES for n in names):
         return True
-    parts = {p for n in names for p in re.split(r"[-_:0-9]+", n)}
-    return bool(parts & DROPPED_NAMES) and not parts & KEPT_NAMES
+    compounds = [[p for p in re.split(r"[-_:0-9]+", n) if p] for n in names]
+    parts = {p for c in compounds for p in c}
+    if parts & (DROPPED_NAMES | SECOND_NAMES) and not parts & KEPT_NAMES:
+        return True
+    # of a compound with a word of either kind the last word says what it is: comments of a post, the sidebar of the content
+    return any(c[-1] in (DROPPED_NAMES | SECOND_NAMES) - TITLED and c[0] not in ABOUT and set(c) & KEPT_NAMES for c in compounds if len(c) > 1)
+
+
+def other_article(found: dict[str, str]) -> bool:
+    """Whether attributes mark an article element as a comment or teaser, or hide it."""
+    if not found:
+        return False
+    names = (found.get("class", "") + " " + found.get("id", "")).split()
+    return hidden(found) or found.get("role") == "comment" or any(re.sub(r"[-_0-9]+$", "", n) in OTHER_ARTICLES for n in names)
 
 
 def _nearest(top: Node, kinds: str, stop: str) -> Node | None:
