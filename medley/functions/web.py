@@ -62,24 +62,42 @@ def named_counter(stats: Column, name: str) -> Column:
     return F.get(hit, 0)["userInteractionCount"].try_cast("long")
 
 
+# An attribute's value in double or single quotes, or bare, as one group of three.
+VALUE = """(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def start_tags(html: Column, tag: str) -> Column:
+    """[H05] The attributes of every start tag of a kind, in page order, as they stand; quoted values may hold any character."""
+    return F.regexp_extract_all(html, F.lit(rf"""(?is)<{tag}((?:\s(?:"[^"]*"|'[^']*'|[^"'>])*)?)>"""), 1)
+
+
+def attribute(attributes: Column, name: str) -> Column:
+    """[H05] The value of an attribute, wherever it stands and however it is quoted; null if there is none."""
+    pattern = rf"""(?is)^(?:\s+(?!{name}\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?|\s*/)*\s+{name}\s*=\s*{VALUE}"""
+    value = F.concat(*[F.coalesce(F.regexp_extract(attributes, pattern, k), F.lit("")) for k in (1, 2, 3)])
+    return F.when(F.rlike(attributes, F.lit(pattern)), value)
+
+
 def meta_content(html: Column, name: str) -> Column:
-    """[H05] Content of a named meta tag."""
-    return first_group(html, rf'<meta[^>]*(?:name|property)="{name}"[^>]*content="([^"]*)"')
+    """[H05] Content of the first meta tag of a name or property, attributes in any order; empty if there is none."""
+    named = lambda a: F.coalesce(attribute(a, "name"), attribute(a, "property")).eqNullSafe(name) & attribute(a, "content").isNotNull()
+    return F.coalesce(attribute(F.get(F.filter(start_tags(html, "meta"), named), 0), "content"), F.lit(""))
 
 
 def charset(html: Column) -> Column:
-    """[H05] Declared character set."""
-    return first_group(html, r'<meta[^>]*charset="([^"]*)"')
+    """[H05] Declared character set; empty if there is none."""
+    found = F.filter(F.transform(start_tags(html, "meta"), lambda a: attribute(a, "charset")), lambda x: x.isNotNull())
+    return F.coalesce(F.get(found, 0), F.lit(""))
 
 
 def title(html: Column) -> Column:
-    """[H05] Page title."""
-    return first_group(html, r"(?s)<title>(.*?)</title>")
+    """[H05] Page title, whatever attributes its tag has."""
+    return first_group(html, r"""(?is)<title(?:\s(?:"[^"]*"|'[^']*'|[^"'>])*)?>(.*?)</title\s*>""")
 
 
 def links(html: Column) -> Column:
-    """[H05] All link targets in page order."""
-    return F.regexp_extract_all(html, F.lit(r'<a href="([^"]*)"'), 1)
+    """[H05] All link targets in page order, wherever `href` stands in the tag."""
+    return F.filter(F.transform(start_tags(html, "a"), lambda a: attribute(a, "href")), lambda x: x.isNotNull())
 
 
 # Numeric features of a track.
