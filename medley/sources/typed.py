@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medley.sources import avro
+
 # Field types accepted, and the Spark type of each.
 TYPES = {"string": "string", "boolean": "boolean", "int": "int", "long": "bigint", "float": "float", "double": "double"}
 
@@ -39,16 +42,21 @@ def csv_to_typed(
     spark: SparkSession, path: str, out: str, fields: Sequence[tuple[str, str]], delimiter: str = ",",
     fmt: str = "avro", strict: bool = True,
 ) -> str:
-    """[S15] Typed records, snappy; ORC where the Avro package is absent. Returns the format used."""
+    """[S15] Typed records, snappy, as Avro or another format of the session; one that is missing is refused. Returns the format."""
+    check_fields(fields)
+    if fmt != "avro" and not has_format(spark, fmt):
+        raise ValueError(f"the session has no format {fmt}")
     rows = parse_typed(spark.read.text(path), fields, delimiter, strict)
-    used = fmt if has_format(spark, fmt) else "orc"
-    rows.write.mode("overwrite").format(used).option("compression", "snappy").save(out)
-    return used
+    if fmt == "avro":
+        avro.write(rows, out)
+    else:
+        rows.write.mode("overwrite").format(fmt).option("compression", "snappy").save(out)
+    return fmt
 
 
 def read_typed(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """[S16] The records read back."""
-    return spark.read.format(fmt).load(path)
+    return avro.read(spark, path) if fmt == "avro" else spark.read.format(fmt).load(path)
 
 
 def has_format(spark: SparkSession, fmt: str) -> bool:
@@ -56,6 +64,6 @@ def has_format(spark: SparkSession, fmt: str) -> bool:
     empty = spark.createDataFrame([], "a string")
     try:
         spark.read.format(fmt).schema(empty.schema).load([])
-    except AnalysisException:
+    except (AnalysisException, Py4JJavaError):
         return False
     return True
