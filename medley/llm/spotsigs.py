@@ -42,21 +42,21 @@ def mark(anchor: Column, chain: Column) -> Column:
 
 
 def numbered(marks: Column) -> Column:
-    """Sorted marks, each followed by how many equal ones stand before it (6 hex digits), so that a set of them is a bag of marks."""
+    """Sorted marks, a repeated one followed by + and how many equal ones stand before it, so that a set of them is a bag of marks."""
 
     def of(m: Column) -> Column:
         starts = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (F.get(m, i - 1) != x), i)), lambda i: i.isNotNull())
         return let(starts, lambda s: let(F.concat(F.slice(s, 2, F.size(s)), F.array(F.size(m))), lambda e: runs(m, s, e)))
 
     def runs(m: Column, starts: Column, ends: Column) -> Column:
-        run = lambda a, b: let(F.get(m, a), lambda x: F.transform(F.sequence(F.lit(0), b - a - 1), lambda k: F.concat(x, F.lpad(F.lower(F.hex(k)), 6, "0"))))
+        run = lambda a, b: let(F.get(m, a), lambda x: F.transform(F.sequence(F.lit(0), b - a - 1), lambda k: F.when(k == 0, x).otherwise(F.concat(x, F.lit("+"), k.cast("string")))))
         return F.flatten(F.zip_with(starts, ends, run))
 
     return F.when(F.size(marks) > 0, let(F.sort_array(marks), of)).otherwise(F.array().cast("array<string>"))
 
 
 def signatures(text: Column) -> Column:
-    """The sorted signatures of a text, 18 hex digits each, the last 6 for repeats; null counts as empty.
+    """The signatures of a text in order, 12 hex digits each and the number of a repeat; null counts as empty.
 
     An anchor's chain takes up to CHAIN content words from the SPAN words after it. A word with no anchor among itself and the
     SPAN - 1 words before it takes the next CHAIN words. A text without words has the empty set, any other has a signature.
@@ -81,7 +81,7 @@ def signatures(text: Column) -> Column:
 
 def fingerprint(sigs: Column) -> Column:
     """A signature set as text, in order."""
-    return F.array_join(sigs, "")
+    return F.array_join(sigs, ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -201,14 +201,14 @@ chains AS (
     list_filter(w[i+1:i+{SPAN}], lambda y: NOT list_contains([{LIST["anchors"]}, {LIST["stop"]}], y))[1:{CHAIN}] ELSE w[i+1:i+{CHAIN}] END AS c
   FROM near_anchor WHERE anchor OR NOT near_one),
 marks AS (SELECT doc_id, k, substr(md5(a || '|' || array_to_string(c, ' ')), 1, 12) AS s FROM chains),
-chosen AS (SELECT doc_id, k, s || printf('%06x', row_number() OVER (PARTITION BY doc_id, k, s) - 1) AS s FROM marks),
-sets AS (SELECT doc_id, k, list(s ORDER BY s) AS s FROM (SELECT DISTINCT * FROM chosen) GROUP BY ALL),
+chosen AS (SELECT *, row_number() OVER (PARTITION BY doc_id, k, s) - 1 AS n FROM marks),
+sets AS (SELECT doc_id, k, list(s || CASE WHEN n > 0 THEN '+' || n ELSE '' END ORDER BY s, n) AS s FROM chosen GROUP BY doc_id, k),
 near AS (
   SELECT e.doc_id, e.t, e.ed, coalesce(a.s, []) AS a, coalesce(b.s, []) AS b, coalesce(c.s, []) AS c FROM e
   LEFT JOIN sets a ON a.doc_id = e.doc_id AND a.k = 1 LEFT JOIN sets b ON b.doc_id = e.doc_id AND b.k = 2
   LEFT JOIN sets c ON c.doc_id = e.next_id AND c.k = 1)
-SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(ed) AS edited_sha256, coalesce(array_to_string(a, ''), '') AS fingerprint,
-  coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(ed) AS edited_sha256, coalesce(array_to_string(a, ','), '') AS fingerprint,
+  coalesce(array_to_string(b, ','), '') AS edited_fingerprint,
   CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END::DOUBLE AS near_edited,
   CASE WHEN len(a) + len(c) = 0 THEN 1.0 ELSE len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) END::DOUBLE AS near_next
 FROM near
