@@ -24,10 +24,17 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def mark_duplicate_rows(df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
-    """[W01, T05] `_dup_n`: number of the row among rows equal in `columns`, in the given order."""
+def mark_duplicate_rows(
+    df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None, parts: int | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """[W01, T05] `_dup_n`: number of the row among rows equal in `columns`, in the given order.
+
+    Of the columns only those of `keep` (all, if not given) and the order travel; long texts that are compared can stay behind.
+    """
     data = list(columns or [c for c in df.columns if c not in order])
     marked = df.withColumn("_fp", fingerprint(data))
+    if keep is not None:
+        marked = marked.select(*dict.fromkeys([*keep, *order]), "_fp")
     return running(marked, ["_fp"], list(order), {"_dup_n": ("count", "*")}, parts).drop("_fp")
 
 

@@ -570,7 +570,7 @@ def dup_keys(t: Tables) -> DataFrame:
 @query("SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS dup_n FROM documents")
 def dup_rows(t: Tables) -> DataFrame:
     """[W01, T05] Number of each document among those with equal text."""
-    rows = windows.mark_duplicate_rows(t.documents, ["doc_id"], ["text"])
+    rows = windows.mark_duplicate_rows(t.documents, ["doc_id"], ["text"], keep=["doc_id"])
     return rows.select("doc_id", F.col("_dup_n").alias("dup_n"))
 
 
@@ -594,6 +594,13 @@ def dense_rank_month(t: Tables) -> DataFrame:
     return windows.first_ranks(rows, ["month"], "day", 3, "date_rank").select("o_orderkey", "date_rank")
 
 
+@query("SELECT o_orderkey, dense_rank() OVER (PARTITION BY date_trunc('month', o_orderdate) ORDER BY o_orderdate) AS date_rank FROM orders")
+def dense_rank_split(t: Tables) -> DataFrame:
+    """[W03] The rank of every order's day in its month, by a scan in parts, so that a hot month or day is spread over tasks."""
+    rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day")).withColumn("month", F.trunc("day", "month"))
+    return windows.rank_in(rows, ["month"], "day", "date_rank").select("o_orderkey", "date_rank")
+
+
 @query("""
 SELECT user_id, event_type, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
@@ -610,7 +617,8 @@ SELECT event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROW
 """)
 def running_max(t: Tables) -> DataFrame:
     """[W05] Highest value so far by user."""
-    return windows.running_max(t.events, ["user_id"], ["ts", "event_id"], "value", "high").select("event_id", "high")
+    rows = t.events.select("event_id", "user_id", "ts", "value")
+    return windows.running_max(rows, ["user_id"], ["ts", "event_id"], "value", "high").select("event_id", "high")
 
 
 @query("""

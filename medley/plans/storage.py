@@ -13,19 +13,20 @@ from medley.session import work_path
 from medley.sources import files, landing
 
 DAY = dt.date(2024, 3, 1)
-NATION = "n_nationkey long, n_name string, n_regionkey long"
+FILE_ROWS = 10_000
 
 
 def _count_files(t: Tables, path: str) -> int:
     return t.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").count()
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey, 1 AS files FROM nation")
+@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS priority, count(*) AS n, 1 AS files FROM orders GROUP BY ALL")
 def single_file(t: Tables) -> DataFrame:
-    """[S03] A small export in one file."""
+    """[S03] A report over all orders in one file."""
     path = work_path(t.spark, "single")
-    files.write_single_file(t.nation.select("n_nationkey", "n_name", "n_regionkey").repartition(5), path)
-    return files.read_csv(t.spark, path, NATION).withColumn("files", F.lit(_count_files(t, path)))
+    report = t.orders.groupBy(F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("priority")).agg(F.count(F.lit(1)).alias("n"))
+    files.write_single_file(report, path)
+    return files.read_csv(t.spark, path, "year int, priority string, n long").withColumn("files", F.lit(_count_files(t, path)))
 
 
 @query("SELECT o_orderpriority AS priority, count(*) AS n, 7 AS files FROM orders GROUP BY 1")
@@ -39,11 +40,12 @@ def n_files(t: Tables) -> DataFrame:
 
 @query("SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size FROM part")
 def multiline_json(t: Tables) -> DataFrame:
-    """[S08] JSON objects that span lines, one array a file."""
+    """[S08] JSON objects that span lines, one array of about FILE_ROWS objects a file."""
     path = work_path(t.spark, "multiline")
+    pieces_asked = max(1, -(-t.part.count() // FILE_ROWS))
     fields = [F.concat(F.lit(f'  "{c}": '), F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)) for c in ("p_partkey", "p_name", "p_size")]
     item = F.concat(F.lit("{\n"), F.concat_ws(",\n", *fields), F.lit("\n}"))
-    pieces = t.part.select(F.pmod(F.xxhash64("p_partkey"), F.lit(64)).alias("k"), item.alias("item"))
+    pieces = t.part.select(F.pmod(F.xxhash64("p_partkey"), F.lit(pieces_asked)).alias("k"), item.alias("item"))
     texts = pieces.groupBy("k").agg(F.concat(F.lit("["), F.array_join(F.collect_list("item"), ",\n"), F.lit("]")).alias("value"))
     texts.write.partitionBy("k").text(path)
     return files.read_json_multiline(t.spark, path, "p_partkey long, p_name string, p_size long").drop("k")
@@ -78,12 +80,11 @@ def store_metadata_csv(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, "s_suppkey long, s_name string")
 
 
-@query("SELECT r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey IN (0, 2)")
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
 def literal_frame(t: Tables) -> DataFrame:
-    """[S21] Literal rows as a frame that the tables join."""
-    wanted = files.frame_from(t.spark, [(0,), (2,)], "r_regionkey long")
-    regions = joins.semi(t.region.withColumn("r_regionkey", F.col("r_regionkey").cast("long")), wanted, ["r_regionkey"])
-    return t.nation.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", "n_name")
+    """[S21] Literal rows as a frame that orders are looked up in."""
+    wanted = files.frame_from(t.spark, [("1-URGENT",), ("5-LOW",), (None,)], "o_orderpriority string")
+    return joins.semi(t.orders.select("o_orderkey", "o_orderpriority"), wanted, ["o_orderpriority"])
 
 
 @query("SELECT 2024 AS year, 3 AS month, 1 AS day, count(*) AS n FROM customer UNION ALL SELECT 2024, 3, 2, count(*) FROM customer WHERE c_acctbal < 0")
@@ -121,13 +122,13 @@ def unprocessed_files(t: Tables) -> DataFrame:
     return joins.semi(rows, fresh, ["name"]).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT c_custkey, c_name FROM customer")
 def staging_table(t: Tables) -> DataFrame:
     """[S27] A table made if it is missing, filled through a staging view, and both dropped."""
     name = work_path(t.spark, "stage").rsplit("/", 1)[1].replace("-", "_")
     for _ in range(2):
-        landing.create_table_if_missing(t.spark, name, "n_nationkey long, n_name string")
-    t.nation.select(F.col("n_nationkey").cast("long"), "n_name").write.mode("append").saveAsTable(name)
+        landing.create_table_if_missing(t.spark, name, "c_custkey long, c_name string")
+    t.customer.select(F.col("c_custkey").cast("long"), "c_name").write.mode("append").saveAsTable(name)
     path = work_path(t.spark, "staged")
     t.spark.table(name).write.parquet(path)
     landing.drop_staging(t.spark, name)

@@ -23,8 +23,10 @@ def write_csv(df: DataFrame, path: str, header: bool = True, **options: str) ->
     df.write.mode("overwrite").option("header", header).options(**options).csv(path)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """[S03] One output file, written by one task: for exports that are small by nature."""
+def write_single_file(df: DataFrame, path: str, fmt: str = "csv", most: int = 1_000_000) -> None:
+    """[S03] One output file, written by one task: for results that are small by nature; more than `most` rows are refused."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows for one file")
     df.coalesce(1).write.mode("overwrite").format(fmt).option("header", True).save(path)
 
 
