@@ -161,3 +161,34 @@ def test_quantiles_with_one_value_in_most_rows(spark):
     values = [1.0] * 700 + [float(i) for i in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert np.allclose(quantiles.quantiles(df, "v", [0.1, 0.5, 0.95]), np.quantile(values, [0.1, 0.5, 0.95]))
+
+
+@pytest.mark.parametrize("few", [5, 300])
+def test_quantiles_by_brackets(spark, few):
+    import random
+
+    r = random.Random(2)
+    for values in (
+        [r.random() for _ in range(5000)], [float(r.randrange(7)) for _ in range(3000)], [1.0] * 2000 + [r.random() for _ in range(1000)] + [2.0] * 1500,
+        [float(i // 2) for i in range(4000)], [5.0], [1.0, 2.0], [-1e300, 0.0, 1e300] * 400,
+    ):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+        asked = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+        assert np.allclose(quantiles.quantiles(df, "v", asked, few), np.quantile(values, asked), rtol=1e-12)
+
+
+def test_brackets_need_no_range_shuffle(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("all values were counted")
+
+    monkeypatch.setattr(quantiles, "_by_counts", refused)
+    df = spark.range(200_000).selectExpr("CAST(xxhash64(id) AS double) AS v", "CAST(id AS int) AS i")
+    values = sorted(x[0] for x in df.select("v").collect())
+    assert quantiles.quantiles(df, "v", [0.5], 100) == [(values[99_999] + values[100_000]) / 2]
+    assert quantiles.quantiles(df, "i", [0.25, 0.75], 100) == [49_999.75, 149_999.25]
+
+
+def test_quantiles_count_nan_as_the_greatest(spark):
+    df = spark.createDataFrame([(float("nan"),)] * 3 + [(float(i),) for i in range(7)], "v double")
+    got = quantiles.quantiles(df, "v", [0.0, 0.5, 1.0])
+    assert got[:2] == [0.0, 4.5] and np.isnan(got[2])
