@@ -63,7 +63,7 @@ def named_counter(stats: Column, name: str) -> Column:
 
 
 # An attribute's value in double or single quotes, or bare, as one group of three.
-VALUE = """(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def start_tags(html: Column, tag: str) -> Column:
