@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from medley.operators.skew import scan, split_groups
 from medley.operators.windows import fingerprint
+from medley.session import materialise
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
@@ -80,12 +81,14 @@ def report_rows(df: DataFrame, file: str, line: str, label: str, amount: str, da
     text = F.trim(F.col(label))
     lines = df.filter(text.isNotNull() & (text != "")).withColumn("_label", text)
     blank = F.col(amount).isNull() | (F.trim(F.col(amount).cast("string")) == "")
-    heads = lines.withColumn("_head", F.when(blank, F.col("_label")))
+    keep = list(dict.fromkeys([file, line, *([date] if date else []), amount]))
+    heads = lines.select(*keep, "_label", F.when(blank, F.col("_label")).alias("_head"))
     seen = scan(split_groups(heads, [file], [line], parts), {"_above": ("previous", "_head")})
-    marked = seen.frame.withColumn("_category", F.when(F.col("_head").isNotNull(), F.col("_above")))
+    marked = seen.frame.withColumn("_category", F.when(F.col("_head").isNotNull(), F.col("_above"))).drop("_above")
+    # the second scan reads its input three times, so the first one's result is written, in the parts that it has
+    marked = materialise(marked, "marked")
     outputs = {"category": ("last", "_category"), "sub_category": ("last", "_head")}
     carried = scan(replace(seen, frame=marked), outputs).frame
     total = F.startswith(F.lower("_label"), F.lit("total"))
     data = carried.filter(F.col("_head").isNull() & ~total & F.col("sub_category").isNotNull())
-    keep = [F.col(date)] if date else []
-    return data.select(file, line, *keep, "category", "sub_category", F.col("_label").alias("details"), amount)
+    return data.select(file, line, *([date] if date else []), "category", "sub_category", F.col("_label").alias("details"), amount)
