@@ -10,12 +10,14 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from medley.operators.load import overwrite_partitions
 
 BUCKETS = 16
 DAY = 86_400_000
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PLAIN, ROCKS = (f"org.apache.spark.sql.execution.streaming.state.{n}StateStoreProvider" for n in ("HDFSBacked", "RocksDB"))
 PERIODS = {"day": "1 day", "month": "1 month", "year": "1 year"}
 LOADED, LATE, BAD = "loaded", "late", "bad"
 ROW = "entity string, event_date date, at timestamp, key string, value string, kind string"
@@ -80,6 +82,22 @@ class Once(StatefulProcessor):
         pass
 
 
+def started(query: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query whose state needs column families, which Spark's default store has not.
+
+    A query takes the session's settings when it starts, so the store is named for that moment only; one that the user has
+    chosen stays.
+    """
+    before = spark.conf.get(PROVIDER)
+    if before != PLAIN:
+        return query.start()
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        return query.start()
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
 def load_entities(
     stream: DataFrame, path: str, checkpoint: str, delay: str = "2 days", period: str = "day", buckets: int = BUCKETS
 ) -> StreamingQuery:
@@ -109,7 +127,7 @@ def load_entities(
         overwrite_partitions(out.withColumn("batch", F.lit(own)), path, ["batch", "kind", "entity", "event_date"])
 
     query = kept.unionByName(bad).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return query.trigger(availableNow=True).start()
+    return started(query.trigger(availableNow=True), stream.sparkSession)
 
 
 def read_loaded(spark: SparkSession, path: str, kind: str = LOADED) -> DataFrame:

@@ -80,3 +80,15 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path, load):
         (commits / name).unlink()  # as if the process had been lost between the write and the commit
     load()
     assert keys(spark, tmp_path, "loaded") == before
+
+
+def test_the_session_need_not_name_a_state_store(spark, tmp_path, load):
+    before = spark.conf.get(entities.PROVIDER)
+    spark.conf.set(entities.PROVIDER, entities.PLAIN)
+    try:
+        land(tmp_path, "orders", 1, [order(1, 0), order(1, 0), order(2, 30)])
+        load()
+        assert spark.conf.get(entities.PROVIDER) == entities.PLAIN
+    finally:
+        spark.conf.set(entities.PROVIDER, before)
+    assert keys(spark, tmp_path, "loaded") == [("orders", '["1"]', "2024-01-01"), ("orders", '["2"]', "2024-01-02")]
