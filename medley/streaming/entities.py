@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulP
 from medley.operators.load import overwrite_partitions
 
 BUCKETS = 16
+CELLS = 256
+HELD = 1 << 17
 DAY = 86_400_000
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 PLAIN, ROCKS = (f"org.apache.spark.sql.execution.streaming.state.{n}StateStoreProvider" for n in ("HDFSBacked", "RocksDB"))
@@ -51,29 +54,43 @@ def read_landing(spark: SparkSession, path: str, entities: Sequence[Entity], fil
 class Once(StatefulProcessor):
     """The first row of each key of one entity, period and bucket; rows behind the watermark are marked as late.
 
-    Keys are held in a map of their group, which one timer clears when the watermark has left the period: from then on
-    every row of the period is late, whether its key was there or not.
+    Keys are held in a map of their group, dealt over cells, so that a call to the state reads or writes a cell and not a
+    key; what a micro-batch costs follows from its own rows and the cells they fall into. One timer clears the map when the
+    watermark has left the period: from then on every row of the period is late, whether its key was there or not.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "key string", "times int")
+        self.seen = handle.getMapState("seen", "cell int", "keys array<string>")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        fresh = False
+        filled, fresh = self.seen.exists(), False
+        held: dict[int, set[str]] = {}
+        added: set[int] = set()
         for batch in rows:
             late = batch.at_ms < watermark
             new = batch[~late].drop_duplicates("key")
-            if self.seen.exists():
-                new = new[~new.key.map(lambda k: self.seen.containsKey((k,))).astype(bool)]
-            for k in new.key:
-                self.seen.updateValue((k,), (1,))
+            for c in set(new.cell) - held.keys():
+                held[c] = set(self.seen.getValue((int(c),))[0]) if filled and self.seen.containsKey((int(c),)) else set()
+            new = new[np.array([k not in held[c] for c, k in zip(new.cell, new.key, strict=True)], bool)]
+            for c, k in zip(new.cell, new.key, strict=True):
+                held[c].add(k)
+            added.update(new.cell)
             fresh |= len(new) > 0
+            if sum(map(len, held.values())) > HELD:
+                self.keep(held, added)
+                filled, held, added = True, {}, set()
             yield pd.concat([new.assign(kind=LOADED), batch[late].assign(kind=LATE)])[["entity", "day", "key", "at_us", "value", "kind"]]
+        self.keep(held, added)
         if fresh:
             self.handle.registerTimer(int(key[2]) * DAY)
 
+    def keep(self, held: dict[int, set[str]], added: set[int]) -> None:
+        """Write the cells that have got keys."""
+        for c in added:
+            self.seen.updateValue((int(c),), (list(held[c]),))
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         self.seen.clear()
         return iter(())
@@ -113,7 +130,7 @@ def load_entities(
     rows = timed.select(
         "entity", "key", "value", F.unix_micros("at").alias("at_us"), F.unix_millis("at").alias("at_ms"),
         F.unix_date(first).alias("day"), F.unix_date((first + F.expr(f"INTERVAL {PERIODS[period]}")).cast("date")).alias("until"),
-        F.pmod(F.xxhash64("entity", "key"), F.lit(buckets)).alias("bucket"),
+        F.pmod(F.xxhash64("entity", "key"), F.lit(buckets)).alias("bucket"), F.pmod(F.hash("key"), F.lit(CELLS)).alias("cell"),
     )
     usable = F.col("key").isNotNull() & F.col("at_us").isNotNull()
     kept = rows.filter(usable).groupBy("entity", "day", "until", "bucket").transformWithStateInPandas(

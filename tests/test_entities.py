@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 
 from medley.streaming import entities
@@ -92,3 +93,54 @@ def test_the_session_need_not_name_a_state_store(spark, tmp_path, load):
     finally:
         spark.conf.set(entities.PROVIDER, before)
     assert keys(spark, tmp_path, "loaded") == [("orders", '["1"]', "2024-01-01"), ("orders", '["2"]', "2024-01-02")]
+
+
+class Handle:
+    """A map state in memory that counts its calls, and the timers."""
+
+    def __init__(self):
+        self.cells, self.timers, self.calls = {}, [], 0
+
+    def getMapState(self, *_):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def exists(self):
+        return bool(self.cells)
+
+    def containsKey(self, cell):
+        self.calls += 1
+        return cell in self.cells
+
+    def getValue(self, cell):
+        self.calls += 1
+        return self.cells[cell]
+
+    def updateValue(self, cell, value):
+        self.calls += 1
+        self.cells[cell] = value
+
+
+@pytest.mark.parametrize("limit", [entities.HELD, 50])
+def test_calls_to_the_state_follow_from_cells_and_not_from_keys(monkeypatch, limit):
+    monkeypatch.setattr(entities, "HELD", limit)
+    handle, once, cells = Handle(), entities.Once(), 8
+    once.init(handle)
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    def batch(low, high):
+        rows = [{"entity": "a", "day": 1, "key": str(i), "at_us": 1, "at_ms": -1 if i % 10 == 0 else 1, "value": "", "cell": i % cells} for i in range(low, high)]
+        return pd.DataFrame(rows + rows)
+
+    for given, want in (([(0, 400), (300, 500)], 450), ([(0, 500)], 0), ([(499, 502)], 1)):
+        before = handle.calls
+        out = pd.concat([*once.handleInputRows(("a", 1, 2, 0), iter([batch(*g) for g in given]), Clock())])
+        assert (out.kind == "loaded").sum() == want and (out.kind == "late").sum() == 2 * sum(i % 10 == 0 for g in given for i in range(*g))
+        assert handle.calls - before <= 3 * cells * len(given)
+    assert sorted(int(k) for (keys,) in handle.cells.values() for k in keys) == [i for i in range(502) if i % 10]
+    assert set(handle.timers) == {2 * entities.DAY}
