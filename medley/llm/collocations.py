@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from medley import session
 from medley.llm import words
-from medley.llm.grouped import mapped, parts
+from medley.llm.grouped import mapped, parts, whole_groups
 
 LEAST = 10
 TOP = 2000
@@ -31,11 +31,13 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SALT = 0xD6E8FEB86659FD93
 CHECK_BITS = 20
 BITMAP_BITS = 27
+BUCKET_BITS = 14
 CHUNK = 1 << 16
-FLUSH = 1 << 18
+FLUSH = 1 << 20
 PIECE = 1 << 20
 UNKNOWN = "und"
 SENT = "fp long, n long, checks long, key long"
+PACKED = "bucket int, fp binary, n binary, checks binary, key binary"
 
 KINDS = np.zeros(256, np.uint8)
 KINDS[list(b" \t")], KINDS[list(b".,;:!?\n\x0b\x0c\r")] = 1, 2
@@ -151,14 +153,37 @@ class Words:
             low = high
 
 
-def grouped(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint, count, sum of checks and least key, of (fingerprint, check, count, key)."""
-    fp, check, n, key = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.argsort(fp, kind="stable")
+def grouped(fp: np.ndarray, n: np.ndarray, checks: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Fingerprints in rising order, unsigned, each once, with count, sum of checks and least key."""
+    order = np.argsort(fp.view(np.uint64))
     fp = fp[order]
     head = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
-    sums = [np.add.reduceat(x[order], head) if len(head) else np.zeros(0, np.int64) for x in (n, check * n)]
-    return fp[head].view(np.int64), sums[0], sums[1], np.minimum.reduceat(key[order], head) if len(head) else key
+    if len(head) == len(fp):
+        return fp.view(np.int64), n[order], checks[order], key[order]
+    return fp[head].view(np.int64), np.add.reduceat(n[order], head), np.add.reduceat(checks[order], head), np.minimum.reduceat(key[order], head)
+
+
+def joined(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Pieces of columns put together."""
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def packed(columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """PACKED of rows in the order of their fingerprints: those with the same first bits stand in one bucket, a cell for each column."""
+    bucket = (columns[0].view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    ends = pa.py_buffer(np.append(head, len(bucket)).astype(np.int32) * np.int32(8))
+    cells = [pa.Array.from_buffers(pa.binary(), len(head), [None, ends, pa.py_buffer(np.ascontiguousarray(c))]) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[head]), *cells], [x.split()[0] for x in PACKED.split(", ")])
+
+
+def unpacked(cells: pa.ChunkedArray) -> np.ndarray:
+    """The numbers of a packed column, all cells after each other."""
+    found = []
+    for c in cells.chunks:
+        ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
+        found.append(np.frombuffer(c.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.int64))
+    return np.concatenate(found)
 
 
 def known(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
@@ -176,10 +201,11 @@ def batch_of(columns: list | tuple, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, KINDS_OF[t]) for c, (_, t) in zip(columns, fields, strict=True)], [f for f, _ in fields])
 
 
-def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcast | None = None) -> DataFrame:
+def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcast | None = None, least: int = 1) -> DataFrame:
     """SENT for the phrases of so many words (0: of none, once a word), summed up per part of the input and then by fingerprint.
 
-    With a bitmap, only phrases whose two-word phrases are both in it.
+    With a bitmap, only phrases whose two-word phrases are both in it; only fingerprints found ``least`` times. What a part
+    has found travels packed by the first bits of the fingerprint: 2^BUCKET_BITS buckets, of which a task sums some at a time.
     """
 
     def of(rows: pa.RecordBatch, bits: np.ndarray | None) -> Iterator[tuple[np.ndarray, ...]]:
@@ -193,7 +219,7 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
             sums = np.bincount(at.row, minlength=len(langs))
             held = np.flatnonzero(sums)
             empty = salted(np.zeros(len(held), np.uint64), salts[held])
-            yield sized(empty, 0, mask), short(empty), sums[held], keys[held]
+            yield sized(empty, 0, mask), sums[held], short(empty) * sums[held], keys[held]
         for low, high in at.ranges():
             own = {k: np.flatnonzero(starts[k][low:high]) for k in asked}
             if bits is not None:
@@ -203,7 +229,7 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
             one, two = (at.hashed(low, high, asked, b, salts) for b in BASES)
             for k, v, c in zip(asked, one, two, strict=True):
                 i = own[k]
-                yield sized(v[i], k, mask), short(c[i]), np.ones(len(i), np.int64), keys[at.row[low + i]]
+                yield sized(v[i], k, mask), np.ones(len(i), np.int64), short(c[i]), keys[at.row[low + i]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
@@ -213,12 +239,18 @@ def count_phrases(docs: DataFrame, sizes: list[int], mask: int, bitmap: Broadcas
                 found.append(piece)
                 waiting += len(piece[0])
                 if waiting >= FLUSH:
-                    yield batch_of(grouped(found), SENT)
+                    yield packed(grouped(*joined(found)))
                     found, waiting = [], 0
         if waiting:
-            yield batch_of(grouped(found), SENT)
+            yield packed(grouped(*joined(found)))
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["bucket"]):
+            found = grouped(*(unpacked(rows.column(c)) for c in range(1, 5)))
+            often = found[1] >= least
+            yield batch_of([c[often] for c in found], SENT)
 
-    return mapped(docs, run, SENT).groupBy("fp").agg(*(f(c).alias(c) for f, c in ((F.sum, "n"), (F.sum, "checks"), (F.min, "key"))))
+    return mapped(mapped(docs, run, PACKED).repartition("bucket").sortWithinPartitions("bucket"), total, SENT)
 
 
 def bitmap_of(fps: DataFrame, column: str = "fp") -> bytes:
@@ -359,9 +391,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside: in
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
     rows = docs.select(key.alias("key"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), text.alias("text"))
     size = F.col("fp").bitwiseAND(3)
-    grams = session.materialise(count_phrases(rows, [0, 1, 2], mask).where(F.col("n") >= least), "grams")
+    grams = session.materialise(count_phrases(rows, [0, 1, 2], mask, least=least), "grams")
     pairs = docs.sparkSession.sparkContext.broadcast(bitmap_of(grams.where(size == 2)))
-    triples = session.materialise(count_phrases(rows, [3], mask, pairs).where(F.col("n") >= least), "grams")
+    triples = session.materialise(count_phrases(rows, [3], mask, pairs, least), "grams")
     read = session.materialise(read_phrases(rows, grams.where(size == 2).unionByName(triples), mask), "phrases")
     found, shared = read.where("agreed").select("lang", "phrase", "n"), read.where("NOT agreed")
     if not shared.isEmpty():

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -187,3 +189,21 @@ def test_queries_derive_their_columns(spark, tmp_path):
     twelve = {r.doc_id: r for r in queries.op12(spark, str(tmp_path)).collect()}
     assert (twelve[1].n_words, twelve[1].base_failed, twelve[2].n_words, twelve[2].kept) == (90, True, 0, False)
     assert queries.op13(spark, str(tmp_path)).filter(F.col("phrase") == "one two three").first().a == 30
+
+
+def test_fingerprints_travel_packed_and_are_summed_by_bucket(docs):
+    rng = np.random.default_rng(4)
+    fp = rng.integers(-(2**63), 2**63 - 1, 300)[rng.integers(0, 300, 5000)]
+    n, checks, key = rng.integers(1, 9, 5000), rng.integers(0, 1 << 20, 5000), rng.integers(-(2**63), 2**63 - 1, 5000)
+    want: dict[int, tuple[int, int, int]] = {}
+    for f, a, b, c in zip(fp.tolist(), n.tolist(), checks.tolist(), key.tolist(), strict=True):
+        x = want.get(f, (0, 0, c))
+        want[f] = (x[0] + a, x[1] + b, min(x[2], c))
+    pieces = [collocations.packed(collocations.grouped(*(c[low : low + 700] for c in (fp, n, checks, key)))) for low in range(0, 5000, 700)]
+    assert all(len(set(p.column("bucket").to_pylist())) == p.num_rows for p in pieces)
+    table = pa.Table.from_batches([p.slice(k, 9) for p in pieces for k in range(0, p.num_rows, 9)])
+    got = collocations.grouped(*(collocations.unpacked(table.column(c)) for c in range(1, 5)))
+    assert {f: tuple(x) for f, *x in zip(*(c.tolist() for c in got), strict=True)} == want
+    counted = collocations.count_phrases(docs([(i, "a b c. a b", "en") for i in range(6)]).withColumnRenamed("doc_id", "key"), [0, 1, 2], -4 & (1 << 64) - 1, least=12)
+    assert "Aggregate" not in counted._jdf.queryExecution().executedPlan().toString()  # no row of its own for each fingerprint
+    assert sorted(r.n for r in counted.collect()) == [12, 12, 12, 30]
