@@ -273,7 +273,7 @@ def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
         assert out.count() >= 0 and not out.where("doc_id = 4").count()
 
 
-BODY = "".join(f"<p>This is paragraph {i} of the article, which has enough words, and commas, to count as text.</p>" for i in range(6))
+PARAGRAPHS = "".join(f"<p>This is paragraph {i} of the article, which has enough words, and commas, to count as text.</p>" for i in range(6))
 OTHER = "<p>Unwanted words of somebody else, which are long enough, and so could be taken for text.</p>"
 
 
@@ -284,7 +284,7 @@ OTHER = "<p>Unwanted words of somebody else, which are long enough, and so could
 )
 @pytest.mark.parametrize("around", ["article", 'div class="post"', "div", 'section id="story"'])
 def test_parts_named_as_something_else_go(name, around):
-    page = f'<html><body><{around}>{BODY}<div class="{name}">{OTHER}</div></{around.split()[0]}></body></html>'
+    page = f'<html><body><{around}>{PARAGRAPHS}<div class="{name}">{OTHER}</div></{around.split()[0]}></body></html>'
     assert pages.main_text(page).count("paragraph") == 6 and "Unwanted" not in pages.main_text(page)
 
 
@@ -292,12 +292,12 @@ def test_parts_named_as_something_else_go(name, around):
 def test_articles_that_are_comments_or_teasers_go(start):
     inner = f"<{start}>{OTHER}</article>"
     for page in (
-        f"<body><article>{BODY}{inner}</article></body>", f"<body><article>{BODY}</article>{inner}</body>",
-        f"<body><main><article class='post tag-social category-promo'>{BODY}</article>{inner}</main></body>",
+        f"<body><article>{PARAGRAPHS}{inner}</article></body>", f"<body><article>{PARAGRAPHS}</article>{inner}</body>",
+        f"<body><main><article class='post tag-social category-promo'>{PARAGRAPHS}</article>{inner}</main></body>",
     ):
         assert pages.main_text(page).count("paragraph") == 6 and "Unwanted" not in pages.main_text(page)
 
 
 @pytest.mark.parametrize("name", ["entry-header", "has-sidebar main", "post with-comments", "tag-newsletter post", "article-body", "page no-footer"])
 def test_names_that_only_mention_other_parts_stay(name):
-    assert pages.main_text(f'<body><div class="{name}">{BODY}</div></body>').count("paragraph") == 6
+    assert pages.main_text(f'<body><div class="{name}">{PARAGRAPHS}</div></body>').count("paragraph") == 6
