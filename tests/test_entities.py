@@ -2,7 +2,9 @@ import datetime as dt
 import json
 
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from medley.streaming import entities
 from medley.streaming.entities import Entity
@@ -144,3 +146,80 @@ def test_calls_to_the_state_follow_from_cells_and_not_from_keys(monkeypatch, lim
         assert handle.calls - before <= 3 * cells * len(given)
     assert sorted(int(k) for (keys,) in handle.cells.values() for k in keys) == [i for i in range(502) if i % 10]
     assert set(handle.timers) == {2 * entities.DAY}
+
+
+def test_each_line_is_read_and_handed_to_a_state_once(spark, tmp_path, load):
+    land(tmp_path, "orders", 1, [order(i, i % 20) for i in range(300)] + ["no json", {"id": 7}, {"updated_at": "2024-01-01"}])
+    land(tmp_path, "other", 1, [order(1, 0)])
+    query = load()
+    progress = [json.loads(p.json) for p in query.recentProgress]
+    assert sum(p["numInputRows"] for p in progress) == 304
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.asDict()["count"] for r in rows.groupBy("kind").count().collect()) == [4, 300]
+    bad = {(r.value, str(r.at)) for r in entities.read_loaded(spark, str(tmp_path / "out"), "bad").collect()}
+    assert bad == {("no json", "None"), ('{"id": 7}', "None"), ('{"updated_at": "2024-01-01"}', "2024-01-01 00:00:00"), (json.dumps(order(1, 0)), "None")}
+
+
+def test_rows_are_packed_by_group_and_come_out_as_they_were(monkeypatch):
+    monkeypatch.setattr(entities, "PIECE", 5_000)
+    rows = [
+        {"entity": [None, "a", "b"][i % 3], "key": None if i % 7 == 0 else f"k{i}", "value": f"v\n{i}", "at_us": None if i % 11 == 0 else i, "day": i % 2, "until": 5, "bucket": i % 4 // 2, "cell": i}
+        for i in range(1000)
+    ]
+    kinds = [("entity", pa.string()), ("key", pa.string()), ("value", pa.string()), ("at_us", pa.int64()), ("day", pa.int32()), ("until", pa.int32()), ("bucket", pa.int32()), ("cell", pa.int32())]
+    table = pa.Table.from_pylist(rows, pa.schema(kinds))
+    packed = pa.Table.from_batches(entities.pack(iter(table.to_batches(max_chunksize=64))))
+    assert 12 <= len(packed) < 200
+    groups = {}
+    for p in packed.to_pylist():
+        inner = pa.ipc.read_record_batch(pa.py_buffer(p["rows"]), entities.INNER).to_pylist()
+        groups.setdefault((p["entity"], p["day"], p["bucket"]), []).extend(r["cell"] for r in inner)
+    assert len(groups) == 12 and all(g == sorted(g) for g in groups.values()) and sorted(sum(groups.values(), [])) == [*range(1000)]
+    named = packed.append_column("kind", pa.array(["x"] * len(packed), pa.string()))
+    out = pa.Table.from_batches(entities.unpack(iter(named.to_batches()))).to_pylist()
+    want = [{"entity": r["entity"], "day": r["day"], "kind": "x", **{c: r[c] for c in ("key", "value", "at_us")}} for r in rows]
+    assert sorted(map(repr, out)) == sorted(map(repr, want))
+
+
+def test_a_state_gets_packed_rows_and_treats_them_as_rows():
+    handle, once = Handle(), entities.Packed()
+    once.init(handle)
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 5
+
+    def call(keys, ats, until=2):
+        inner = pa.record_batch([pa.array(keys, pa.string()), pa.array([f"v{k}" for k in keys], pa.string()), pa.array([a * 1000 for a in ats], pa.int64()), pa.array([0] * len(keys), pa.int32())], schema=entities.INNER)
+        frame = pd.DataFrame({"entity": ["a"], "day": [1], "until": [until], "bucket": [0], "rows": [inner.serialize().to_pybytes()]})
+        out = pd.concat([*once.handleInputRows(("a", 1, until, 0), iter([frame]), Clock())])
+        return {kind: pa.ipc.read_record_batch(pa.py_buffer(r), entities.INNER)["value"].to_pylist() for kind, r in zip(out.kind, out["rows"], strict=True)}
+
+    assert call(["1", "1", "2", "3"], [5, 6, 4, 9]) == {"loaded": ["v1", "v3"], "late": ["v2"]}
+    assert call(["3", "4"], [9, 9]) == {"loaded": ["v4"]}
+    assert call([None, "5"], [9, 9], entities.NEVER) == {"bad": ["vNone", "v5"]}
+    assert handle.timers == [2 * entities.DAY] * 2
+
+
+ODD = [
+    '{"id": 1, "updated_at": "2024-01-01"}', '{"id": 1, "id": 2, "updated_at": "2024-01-01", "updated_at": "2024-01-02"}', '{"\\u0069d": 3, "id": 4, "updated_at": "2024-01-01"}',
+    "{'id': 5, \"id\": 6, 'updated_at': \"2024-01-01\"}", '{"id": "a\\"b\\n", "updated_at": "x"}', '{"id": 1.10, "updated_at": null}', '{"id": {"id": 7}, "updated_at": "2024-01-03"}',
+    '{"id": [1, 2], "updated_at": "2024-01-01"} rest', '{"id": 8, "updated_at": "2024-01-01"', '[{"id": 9}]', '{"ID": 1}', '{"id": "", "updated_at": ""}', '{"id": true, "updated_at": 5}', "",
+]
+
+
+def test_fields_are_what_get_json_object_finds(spark, tmp_path):
+    land(tmp_path, "orders", 1, ODD)
+    land(tmp_path, "deep", 1, ['{"x": {"id": 1, "at": "2024-01-01"}, "id": 2}', '{"x.id": 3}'])
+    kinds = [Entity("orders", ["id"], "updated_at"), Entity("deep", ["x.id", "id"], "x.at")]
+    query = entities.read_landing(spark, str(tmp_path / "in"), kinds).writeStream.format("memory").queryName("fields").trigger(availableNow=True)
+    query.option("checkpointLocation", str(tmp_path / "cp")).start().awaitTermination()
+    got = spark.table("fields")
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    one, two = (F.when(F.concat(*f).isNotNull(), F.to_json(F.array(*f))) for f in ([field("id")], [field("x.id"), field("id")]))
+    want = got.select(
+        "entity", F.when(F.col("entity") == "orders", one).otherwise(two).alias("key"),
+        F.try_to_timestamp(F.when(F.col("entity") == "orders", field("updated_at")).otherwise(field("x.at"))).alias("at"), "value",
+    )
+    assert got.count() == len(ODD) + 2 and got.filter("key is not null").count() >= 10
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
